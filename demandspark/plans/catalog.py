@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_clean, q_sources  # noqa: F401
+from . import q_aggregates, q_clean, q_enrich, q_sources  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
