@@ -181,9 +181,7 @@ def enriched_week(t: Sales):
     SELECT sku, year_week, SUM(quantity) AS weekly_quantity, SUM(line_total) AS weekly_revenue, AVG(unit_price) AS avg_unit_price,
            COUNT(DISTINCT invoice_id) AS order_count, COUNT(DISTINCT customer_id) AS unique_customers, MIN(description) AS description,
            MIN(v2) AS data_completeness
-    FROM x_raw JOIN x_completeness c USING (year_week) GROUP BY sku, year_week""".replace(
-        "x_completeness c USING", "(SELECT year_week, v2 FROM x_completeness) USING"
-    ),
+    FROM x_raw JOIN (SELECT year_week, v2 FROM x_completeness) USING (year_week) GROUP BY sku, year_week""",
     "weekly_quantity weekly_revenue avg_unit_price",
 )
 def _(t):
@@ -405,8 +403,8 @@ def _(t):
     "A25_pattern_v31",
     """
     SELECT sku, COUNT(*) AS n_weeks, CASE WHEN COUNT(*) FILTER (weekly_quantity = 0) / COUNT(*) > 0.5 THEN 'sparse'
-             WHEN stddev_samp(weekly_quantity) / AVG(weekly_quantity) > 0.6 THEN 'volatile' ELSE 'stable' END AS pattern
-    FROM x_sku WHERE week_num <= 26 GROUP BY sku HAVING COUNT(*) >= 4""".replace("0.6", "1.5"),
+             WHEN stddev_samp(weekly_quantity) / AVG(weekly_quantity) > 1.5 THEN 'volatile' ELSE 'stable' END AS pattern
+    FROM x_sku WHERE week_num <= 26 GROUP BY sku HAVING COUNT(*) >= 4""",
 )
 def _(t):
     from ..operators.baselines import split

@@ -73,6 +73,9 @@ PARTS = {
                o_orderstatus AS status, r_name AS region_name
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
+    "x_monday": """
+        SELECT DISTINCT strftime(o_orderdate, '%G-W%V') AS year_week,
+               CAST(date_trunc('week', o_orderdate) AS DATE) AS monday FROM orders""",
     "x_brand": """
         SELECT brand, year_week, SUM(quantity) AS weekly_quantity, SUM(line_total) AS weekly_revenue,
                AVG(unit_price) AS avg_unit_price, COUNT(DISTINCT invoice_id) AS order_count,
@@ -110,8 +113,9 @@ def with_parts(body: str) -> str:
     parts = ",\n".join(f"{name} AS ({PARTS[name]})" for name in order_parts(needed))
     if not parts:
         return body
-    if body.lstrip().upper().startswith("WITH "):
-        return f"WITH {parts},\n{body.lstrip()[5:]}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(opening):
+            return f"{opening}{parts},\n{body.removeprefix(opening)}"
     return f"WITH {parts}\n{body}"
 
 
