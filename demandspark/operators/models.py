@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import product
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.calendar import calendar_flags, cyclical, week_num, week_start, year_week
 from ..functions.clean import SEGMENT_CODES, BUYER_CODES, ordinal, safe_div
 from ..functions.distributed import number_rows, same_keys
-from ..session import shared_dir
+from ..session import cpu_tasks, pin, shared_dir
 from .baselines import NORMAL_QUANTILES
 from .evaluate import errors, wmape
 from .joins import eligible, top_entities
@@ -69,7 +71,7 @@ def fit(df: DataFrame, feats: list[str], label: str, stage) -> PipelineModel:
 def gbt(label: str, depth: int = 5, iters: int = 100, step: float = 0.1, seed: int = 42) -> GBTRegressor:
     return GBTRegressor(
         featuresCol="features", labelCol=label, predictionCol="predicted",
-        maxDepth=depth, maxIter=iters, stepSize=step, seed=seed, cacheNodeIds=True,
+        maxDepth=depth, maxIter=iters, stepSize=step, seed=seed,
     )
 
 
@@ -99,8 +101,11 @@ def gbt_by_group(
 ) -> DataFrame:
     """One distributed fit per group of at least `min_rows`; other groups take the global model.
 
-    Meant for short lists such as categories; more than `MAX_GROUPS` is an error.
+    Meant for short lists such as categories; more than `MAX_GROUPS` is an error. The rows
+    are pinned, as every fit reads them again.
     """
+    needed = list(dict.fromkeys([*e, "year_week", group, *feats, label]))
+    train, test = pin(train.select(*needed)), pin(test.select(*needed))
     counts = train.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_rows)
     names = [r[0] for r in counts.select(group).orderBy(group).take(MAX_GROUPS + 1)]
     if len(names) > MAX_GROUPS:
@@ -119,15 +124,18 @@ def gbt_by_group(
 
 
 def entity_frame(train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, extra=()) -> DataFrame:
+    """Training and test rows of each entity side by side, with the entity's number of training rows."""
     cols = [*e, "year_week", *feats, F.col(label).cast("double").alias("_y"), *extra]
-    return zero_filled(
-        train.select(*cols, F.lit(True).alias("_train")).unionByName(test.select(*cols, F.lit(False).alias("_train"))),
-        feats,
-    )
+    rows = train.select(*cols, F.lit(True).alias("_train")).unionByName(test.select(*cols, F.lit(False).alias("_train")))
+    return zero_filled(rows, feats).withColumn("_n", F.count_if("_train").over(Window.partitionBy(*e)))
 
 
 def fit_each(rows: DataFrame, e: list[str], feats: list[str], predict) -> DataFrame:
-    """One small fit per entity: `predict(x, y, x_new, train_rows)` on its weekly rows."""
+    """One small fit per entity; `predict(series, x, y, train, rows)` scores many entities at once.
+
+    Entities are spread by hash over a fixed number of tasks and sorted, so a task reads a
+    stream of whole series batch by batch; only a series cut by a batch border is held back.
+    """
     schema = T.StructType(
         [rows.schema[c] for c in e]
         + [
@@ -137,20 +145,33 @@ def fit_each(rows: DataFrame, e: list[str], feats: list[str], predict) -> DataFr
         ]
     )
 
-    def one(frame_: pd.DataFrame) -> pd.DataFrame:
+    def score_batch(batch: pd.DataFrame) -> pd.DataFrame:
         from demandspark.operators.series_models import matrix
 
-        past = frame_[frame_["_train"]].sort_values("year_week")
-        new = frame_[~frame_["_train"]].sort_values("year_week")
-        if past.empty or new.empty:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema.fields})
-        values = predict(matrix(past, feats), past["_y"].to_numpy(float), matrix(new, feats), past)
-        out = new[[*e, "year_week"]].copy()
+        series = batch.groupby(e, sort=False, dropna=False).ngroup().to_numpy()
+        train = batch["_train"].to_numpy(bool)
+        values = predict(series, matrix(batch, feats), batch["_y"].to_numpy(float), train, batch)
+        out = batch[[*e, "year_week"]].copy()
         out["predicted"] = values.clip(min=0).round(1)
-        out["actual"] = new["_y"]
-        return out
-
-    return rows.groupBy(*e).applyInPandas(one, schema)
+        out["actual"] = batch["_y"]
+        return out[~train]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if held is not None:
+                batch = pd.concat([held, batch], ignore_index=True)
+            last = batch[e].iloc[-1]
+            open_series = (batch[e] == last).all(axis=1).to_numpy()
+            held = batch[open_series]
+            whole = batch[~open_series]
+            if len(whole):
+                yield score_batch(whole.reset_index(drop=True))
+        if held is not None and len(held):
+            yield score_batch(held.reset_index(drop=True))
+
+    spread = rows.repartition(cpu_tasks(rows.sparkSession), *e)
+    return spread.sortWithinPartitions(*e, "year_week").mapInPandas(run, schema)
 
 
 def gbt_by_entity(
@@ -168,16 +189,19 @@ def gbt_by_entity(
 ) -> DataFrame:
     """Boosted trees per entity with at least `min_rows` training rows, the global model for the rest.
 
-    Rows are one per entity and week, so a group never outgrows the calendar.
+    Rows are one per entity and week, so a series never outgrows the calendar.
     """
-    from .series_models import boost
-
-    known = train.groupBy(*e).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_rows).select(*e)
-    rows = entity_frame(train, test, e, feats, label).join(known, e, "left_semi")
-    own = fit_each(rows, e, feats, lambda x, y, new, _: boost(x, y, new, trees, depth, step))
-    rest = test.join(known, e, "left_anti")
-    fallback = fit(train, feats, label, gbt(label, depth=depth, iters=global_iters, step=step))
-    pooled = result(score(fallback, rest, feats), e, label, "global").withColumn("predicted", F.round("predicted", 1))
+
+    def predict(series, x, y, trained, _):
+        from demandspark.operators.series_models import boost
+
+        return boost(series, x, y, trained, trees, depth, step)
+
+    rows = pin(entity_frame(train, test, e, feats, label))
+    own = fit_each(rows.where(F.col("_n") >= min_rows), e, feats, predict)
+    rest = rows.where((F.col("_n") < min_rows) & ~F.col("_train"))
+    fallback = fit(rows.where("_train"), feats, "_y", gbt("_y", depth=depth, iters=global_iters, step=step))
+    pooled = result(score(fallback, rest, feats), e, "_y", "global").withColumn("predicted", F.round("predicted", 1))
     return own.withColumn("model_type", F.lit(model_type)).unionByName(pooled)
 
 
@@ -185,19 +209,29 @@ def by_pattern(
     train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, patterns: DataFrame, trees: int = 100
 ) -> DataFrame:
     """Sparse series by ridge, volatile ones by shallow subsampled trees, stable ones by standard trees."""
-    from .series_models import boost, ridge
 
-    def choose(x, y, new, past):
-        kind = past["pattern"].iloc[0]
-        if kind == "sparse":
-            return ridge(x, y, new, 1.0)
-        if kind == "volatile":
-            return boost(x, y, new, trees, 4, 0.1, 3, 0.8)
-        return boost(x, y, new, trees, 5, 0.1, 2)
+    def predict(series, x, y, trained, rows):
+        from demandspark.operators.series_models import boost, ridge_each
+
+        kind = rows["pattern"].to_numpy()
+        out = np.zeros(len(y))
+        for name in ("sparse", "volatile", "stable"):
+            own = kind == name
+            if not own.any():
+                continue
+            codes = np.unique(series[own], return_inverse=True)[1]
+            part = (codes, x[own], y[own], trained[own])
+            if name == "sparse":
+                out[own] = ridge_each(*part)
+            elif name == "volatile":
+                out[own] = boost(*part, trees, 4, 0.1, 3, 0.8)
+            else:
+                out[own] = boost(*part, trees, 5, 0.1, 2)
+        return out
 
     kinds = patterns.select(*e, "pattern")
     rows = entity_frame(train.join(kinds, e), test.join(kinds, e), e, feats, label, extra=("pattern",))
-    return fit_each(rows, e, feats, choose).join(kinds.withColumnRenamed("pattern", "model_type"), e)
+    return fit_each(rows, e, feats, predict).join(kinds.withColumnRenamed("pattern", "model_type"), e)
 
 
 def gbt_cyclical(train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, patterns: DataFrame, **params) -> DataFrame:
@@ -262,7 +296,8 @@ def auto_arima(
         return out
 
     reach = F.col("standard_error") * NORMAL_QUANTILES[level]
-    ahead = grid.groupBy(*e).applyInPandas(one, schema)
+    spread = grid.repartition(cpu_tasks(df.sparkSession), *e)
+    ahead = spread.groupBy(*e).applyInPandas(one, schema)
     return ahead.withColumns(
         {
             "lower_bound": F.greatest(F.col("forecast") - reach, F.lit(0.0)),
@@ -391,8 +426,12 @@ def ts_splits(df: DataFrame, splits: int = 3) -> DataFrame:
 
 
 def ts_cv(df: DataFrame, e: list[str], feats: list[str], label: str, grid: dict[str, list], splits: int = 3) -> DataFrame:
-    """Mean and deviation of the MAE over expanding splits, per parameter setting."""
-    weeks = ts_splits(df, splits)
+    """Mean and deviation of the MAE over expanding splits, per parameter setting.
+
+    The rows are pinned, as every fit reads them again; a fold's week list is as short as the calendar.
+    """
+    df = pin(df.select(*dict.fromkeys([*e, "year_week", *feats, label])))
+    weeks = pin(ts_splits(df, splits))
     parts = []
     for values in product(*grid.values()):
         params = dict(zip(grid, values))

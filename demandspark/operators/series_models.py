@@ -8,29 +8,42 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
-MAX_BINS = 64
-
-
-def bin_edges(x: np.ndarray) -> list[np.ndarray]:
-    """Thresholds between distinct values of each feature, thinned to quantiles when many."""
-    edges = []
-    for column in x.T:
-        values = np.unique(column)
-        mids = (values[1:] + values[:-1]) / 2
-        if len(mids) >= MAX_BINS:
-            mids = np.unique(np.quantile(column, np.linspace(0, 1, MAX_BINS + 1)[1:-1]))
-        edges.append(mids)
-    return edges
-
-
-def to_bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
-    return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
+def best_splits(x, residual, order, node, start, count, total, min_leaf):
+    """Best (feature, threshold) of every node at once; `order` lists rows by node and value per feature."""
+    nodes = len(start)
+    best = np.zeros(nodes)
+    feature = np.full(nodes, -1)
+    threshold = np.zeros(nodes)
+    place = np.arange(len(order[0]))
+    owner = node[order[0]]
+    left_n = place - start[owner] + 1
+    right_n = count[owner] - left_n
+    inner = (left_n >= min_leaf) & (right_n >= min_leaf)
+    parent = (total**2 / count)[owner]
+    offset = start[owner]
+    for f, rows in enumerate(order):
+        value = x[rows, f]
+        sums = residual[rows].cumsum()
+        left = sums - np.where(offset > 0, sums[offset - 1], 0.0)
+        right = total[owner] - left
+        allowed = inner.copy()
+        allowed[:-1] &= value[:-1] < value[1:]
+        allowed[-1] = False
+        gain = np.where(allowed, left**2 / left_n + right**2 / np.maximum(right_n, 1) - parent, 0.0)
+        top = np.maximum.reduceat(gain, start)
+        better = top > best + 1e-9 * (1 + best)
+        if better.any():
+            first = np.minimum.reduceat(np.where(gain == top[owner], place, len(place)), start)[better]
+            best[better], feature[better] = top[better], f
+            threshold[better] = (value[first] + value[first + 1]) / 2
+    return feature, threshold
 
 
 def boost(
+    series: np.ndarray,
     x: np.ndarray,
     y: np.ndarray,
-    x_new: np.ndarray,
+    train: np.ndarray,
     trees: int = 100,
     depth: int = 5,
     step: float = 0.1,
@@ -38,50 +51,44 @@ def boost(
     subsample: float = 1.0,
     seed: int = 42,
 ) -> np.ndarray:
-    """Least-squares gradient boosting; each level of a tree is split in one vectorised pass."""
-    edges = bin_edges(x)
-    train, new = to_bins(x, edges), to_bins(x_new, edges)
-    n, width = train.shape
-    bins = max(len(e) for e in edges) + 1
-    fitted = np.full(n, y.mean())
-    out = np.full(len(x_new), y.mean())
-    if bins == 1:
-        return out
-    cells = np.arange(width) * bins + train
+    """Least-squares gradient boosting of many series side by side, one independent model each.
+
+    `series` numbers the rows' series from 0; every series has training rows. Each level
+    of a tree is split for all series in one pass over the rows.
+    """
+    fit = np.flatnonzero(train)
+    xt, root = x[fit], series[fit]
+    mean = np.bincount(root, y[fit]) / np.bincount(root)
+    out = mean[series].astype(float)
+    presorted = [np.lexsort((xt[:, f], root)) for f in range(x.shape[1])]
+    first_row = np.zeros(len(fit), bool)
+    first_row[np.unique(root, return_index=True)[1]] = True
     rng = np.random.default_rng(seed)
     for _ in range(trees):
-        residual = y - fitted
-        used = np.ones(n, bool) if subsample >= 1 else rng.random(n) < subsample
-        node, node_new = np.zeros(n, int), np.zeros(len(x_new), int)
-        # nodes are numbered as in a heap of the level: children 2k and 2k + 1
-        for level in range(depth):
-            count = 1 << level
-            slot = ((node[:, None] * width * bins) + cells)[used].ravel()
-            size = count * width * bins
-            weight = np.bincount(slot, minlength=size).reshape(count, width, bins)
-            total = np.bincount(slot, np.repeat(residual[used], width), size).reshape(count, width, bins)
-            lw, ls = weight.cumsum(2)[:, :, :-1], total.cumsum(2)[:, :, :-1]
-            aw, a = weight[:, 0].sum(1)[:, None, None], total[:, 0].sum(1)[:, None, None]
-            rw, rs = aw - lw, a - ls
-            allowed = (lw >= min_leaf) & (rw >= min_leaf)
-            gain = np.where(
-                allowed, ls**2 / np.maximum(lw, 1) + rs**2 / np.maximum(rw, 1) - a**2 / np.maximum(aw, 1), 0.0
-            ).reshape(count, -1)
-            best = gain.argmax(1)
-            split = gain[np.arange(count), best] > 1e-12
-            if not split.any():
-                # every node is final: keep the numbering of a full level
-                node, node_new = node << (depth - level), node_new << (depth - level)
+        residual = y[fit] - out[fit]
+        used = np.ones(len(fit), bool)
+        if subsample < 1:
+            used = first_row | (rng.random(len(fit)) < subsample)
+        order = [o[used[o]] for o in presorted]
+        node = series.astype(np.int64)
+        for _level in range(depth):
+            mine = node[fit]
+            count = np.bincount(mine[used])
+            total = np.bincount(mine[used], residual[used])
+            start = np.concatenate([[0], count.cumsum()[:-1]])
+            feature, threshold = best_splits(xt, residual, order, mine, start, count, total, min_leaf)
+            if (feature < 0).all():
                 break
-            feature, cut = best // (bins - 1), best % (bins - 1)
-            cut = np.where(split, cut, bins)
-            node = node * 2 + (train[np.arange(n), feature[node]] > cut[node])
-            node_new = node_new * 2 + (new[np.arange(len(new)), feature[node_new]] > cut[node_new])
-        leaves = 1 << depth
-        size = np.bincount(node[used], minlength=leaves)
-        value = np.bincount(node[used], residual[used], leaves) / np.maximum(size, 1) * step
-        fitted += value[node]
-        out += value[node_new]
+            picked = feature[node]
+            right = (picked >= 0) & (x[np.arange(len(x)), picked] > threshold[node])
+            child = 2 * node + right
+            kept = np.unique(child[fit][used])
+            node = np.searchsorted(kept, child)
+            mine = node[fit]
+            order = [o[np.argsort(mine[o], kind="stable")] for o in order]
+        mine = node[fit]
+        leaf = np.bincount(mine[used], residual[used]) / np.bincount(mine[used]) * step
+        out += leaf[node]
     return out
 
 
@@ -92,6 +99,15 @@ def ridge(x: np.ndarray, y: np.ndarray, x_new: np.ndarray, alpha: float = 1.0) -
     return mean + (x_new - center) @ np.linalg.solve(gram, (x - center).T @ (y - mean))
 
 
+def ridge_each(series: np.ndarray, x: np.ndarray, y: np.ndarray, train: np.ndarray, alpha: float = 1.0) -> np.ndarray:
+    """Ridge regression per series."""
+    out = np.zeros(len(y))
+    for rows in np.split(np.argsort(series, kind="stable"), np.bincount(series).cumsum()[:-1]):
+        past = rows[train[rows]]
+        out[rows] = ridge(x[past], y[past], x[rows], alpha)
+    return out
+
+
 def autoregress(y: np.ndarray, h: int, max_p: int = 3) -> tuple[np.ndarray, np.ndarray, str]:
     """AR(p) on the series or its differences, chosen by AIC: forecasts, standard errors, order."""
     best = None

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, baselines, customers, models
 from ..operators.quality import winsorise
+from ..session import pin
 from . import q_aggregates
 from .q_joins import ma_brand, naive_brand
 from .registry import PARTS, Sales, query
@@ -16,12 +17,17 @@ SERIES_FEATURES = [*FEATURES, "rolling_std_4w", "rolling_min_4w", "rolling_max_4
 CUT = "1998-W26"
 
 
+def feature_halves(weekly, e):
+    """Training and test rows; the features are written once, as fits read them several times."""
+    return baselines.split(pin(models.model_features(weekly, e)), CUT)
+
+
 def sku_halves(t: Sales):
-    return baselines.split(models.model_features(t.sku_week(), ["sku"]), CUT)
+    return feature_halves(t.sku_week(), ["sku"])
 
 
 def brand_halves(t: Sales):
-    return baselines.split(models.model_features(t.brand_week(), ["brand"]), CUT)
+    return feature_halves(t.brand_week(), ["brand"])
 
 
 @query("M01_gbt_global")
@@ -153,8 +159,7 @@ def _(t):
 
 
 def cycle_dim(t: Sales):
-    """Customers with their order rhythm, on order days a week apart at most twice a month."""
-    return customers.customer_cycles(t.raw_lines())
+    return pin(customers.customer_cycles(t.raw_lines()))
 
 
 CYCLE_FEATURES = ["total_orders", "total_units", "total_revenue", "avg_order_value", "active_weeks", "avg_days_between_orders"]

@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -26,10 +27,27 @@ def get_spark(master: str | None = None, app: str = "demandspark", **conf: str)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Week and date arithmetic must not depend on the zone of the submitting machine."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def cpu_tasks(spark: SparkSession) -> int:
+    """Tasks for work that is heavy on CPU but small in bytes; byte-based coalescing would leave one."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(wanted, 2 * spark.sparkContext.defaultParallelism)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Runtime settings of any session that runs these operators.
+
+    Week arithmetic must not depend on the submitting machine's zone. A hot key is split
+    at join time also where the next aggregation would have reused the join's partitions.
+    """
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    for key, value in wanted.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -56,6 +74,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so every later use reads the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write to the shared folder and read back: later uses see the same rows, whatever executor is lost.
+
+    A table instead of a checkpoint keeps column pruning and a true size for join planning.
+    """
+    path = scratch_path(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

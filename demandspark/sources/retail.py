@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import year_week
-from ..session import use_utc
+from ..session import prepare
 
 
 class Retail:
     """Lazy views over one folder of parquet tables; each method reads only what it needs."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = use_utc(spark)
+        self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
