@@ -130,12 +130,31 @@ def entity_frame(train: DataFrame, test: DataFrame, e: list[str], feats: list[st
     return zero_filled(rows, feats).withColumn("_n", F.count_if("_train").over(Window.partitionBy(*e)))
 
 
-def fit_each(rows: DataFrame, e: list[str], feats: list[str], predict) -> DataFrame:
-    """One small fit per entity; `predict(series, x, y, train, rows)` scores many entities at once.
+def per_series(rows: DataFrame, e: list[str], t: str, work, schema: T.StructType) -> DataFrame:
+    """`work` on batches of whole series, each batch sorted by entity and `t`.
 
     Entities are spread by hash over a fixed number of tasks and sorted, so a task reads a
-    stream of whole series batch by batch; only a series cut by a batch border is held back.
+    stream of whole series; only a series cut by a batch border is held back.
     """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if held is not None:
+                batch = pd.concat([held, batch], ignore_index=True)
+            unfinished = (batch[e] == batch[e].iloc[-1]).all(axis=1).to_numpy()
+            held, whole = batch[unfinished], batch[~unfinished]
+            if len(whole):
+                yield work(whole.reset_index(drop=True))
+        if held is not None and len(held):
+            yield work(held.reset_index(drop=True))
+
+    spread = rows.repartition(cpu_tasks(rows.sparkSession), *e)
+    return spread.sortWithinPartitions(*e, t).mapInPandas(run, schema)
+
+
+def fit_each(rows: DataFrame, e: list[str], feats: list[str], predict) -> DataFrame:
+    """One small fit per entity; `predict(series, x, y, train, rows)` scores many entities at once."""
     schema = T.StructType(
         [rows.schema[c] for c in e]
         + [
@@ -145,7 +164,7 @@ def fit_each(rows: DataFrame, e: list[str], feats: list[str], predict) -> DataFr
         ]
     )
 
-    def score_batch(batch: pd.DataFrame) -> pd.DataFrame:
+    def work(batch: pd.DataFrame) -> pd.DataFrame:
         from demandspark.operators.series_models import matrix
 
         series = batch.groupby(e, sort=False, dropna=False).ngroup().to_numpy()
@@ -156,22 +175,7 @@ def fit_each(rows: DataFrame, e: list[str], feats: list[str], predict) -> DataFr
         out["actual"] = batch["_y"]
         return out[~train]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            if held is not None:
-                batch = pd.concat([held, batch], ignore_index=True)
-            last = batch[e].iloc[-1]
-            open_series = (batch[e] == last).all(axis=1).to_numpy()
-            held = batch[open_series]
-            whole = batch[~open_series]
-            if len(whole):
-                yield score_batch(whole.reset_index(drop=True))
-        if held is not None and len(held):
-            yield score_batch(held.reset_index(drop=True))
-
-    spread = rows.repartition(cpu_tasks(rows.sparkSession), *e)
-    return spread.sortWithinPartitions(*e, "year_week").mapInPandas(run, schema)
+    return per_series(rows, e, "year_week", work, schema)
 
 
 def gbt_by_entity(
@@ -200,6 +204,8 @@ def gbt_by_entity(
     rows = pin(entity_frame(train, test, e, feats, label))
     own = fit_each(rows.where(F.col("_n") >= min_rows), e, feats, predict)
     rest = rows.where((F.col("_n") < min_rows) & ~F.col("_train"))
+    if rest.isEmpty():
+        return own.withColumn("model_type", F.lit(model_type))
     fallback = fit(rows.where("_train"), feats, "_y", gbt("_y", depth=depth, iters=global_iters, step=step))
     pooled = result(score(fallback, rest, feats), e, "_y", "global").withColumn("predicted", F.round("predicted", 1))
     return own.withColumn("model_type", F.lit(model_type)).unionByName(pooled)
@@ -282,22 +288,20 @@ def auto_arima(
         ]
     )
 
-    def one(frame_: pd.DataFrame) -> pd.DataFrame:
+    def work(batch: pd.DataFrame) -> pd.DataFrame:
         from demandspark.operators.series_models import autoregress
 
-        series = frame_.sort_values("week_start")
-        points, error, order = autoregress(series["_y"].to_numpy(float), h)
-        out = pd.DataFrame({c: [series[c].iloc[0]] * h for c in e})
-        out["last_week"] = series["week_start"].iloc[-1]
-        out["step"] = range(1, h + 1)
-        out["forecast"] = points.clip(min=0)
-        out["standard_error"] = error
-        out["model_order"] = order
+        ends = np.flatnonzero((batch[e] != batch[e].shift(-1)).any(axis=1).to_numpy()) + 1
+        fits = [autoregress(y, h) for y in np.split(batch["_y"].to_numpy(float), ends[:-1])]
+        out = batch.loc[np.repeat(ends - 1, h), [*e, "week_start"]].rename(columns={"week_start": "last_week"})
+        out["step"] = np.tile(np.arange(1, h + 1, dtype=np.int32), len(fits))
+        out["forecast"] = np.concatenate([f[0] for f in fits]).clip(min=0)
+        out["standard_error"] = np.concatenate([f[1] for f in fits])
+        out["model_order"] = np.repeat([f[2] for f in fits], h)
         return out
 
     reach = F.col("standard_error") * NORMAL_QUANTILES[level]
-    spread = grid.repartition(cpu_tasks(df.sparkSession), *e)
-    ahead = spread.groupBy(*e).applyInPandas(one, schema)
+    ahead = per_series(grid, e, "week_start", work, schema)
     return ahead.withColumns(
         {
             "lower_bound": F.greatest(F.col("forecast") - reach, F.lit(0.0)),

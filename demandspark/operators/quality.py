@@ -190,12 +190,15 @@ def outliers_iqr(df: DataFrame, e: list[str], y: str, k: float = 1.5, min_n: int
     return scored.withColumn("is_outlier", flag((F.col("_n") >= min_n) & outside)).drop("_q", "_n")
 
 
-def outliers_z(df: DataFrame, e: list[str], y: str, k: float = 3.0, name: str = "is_outlier") -> DataFrame:
-    """More than k sample deviations off the entity mean."""
+def outliers_z(
+    df: DataFrame, e: list[str], y: str, k: float = 3.0, min_n: int = 5, name: str = "is_outlier"
+) -> DataFrame:
+    """More than k sample deviations off the mean of an entity of at least `min_n` rows."""
     w = series(e)
-    scored = df.withColumns({"_m": F.avg(y).over(w), "_s": F.stddev_samp(y).over(w)})
+    scored = df.withColumns({"_m": F.avg(y).over(w), "_s": F.stddev_samp(y).over(w), "_n": F.count("*").over(w)})
     z = safe_div(F.abs(F.col(y) - F.col("_m")), "_s")
-    return scored.withColumn(name, F.coalesce(flag(z > k), F.lit(0))).drop("_m", "_s")
+    outside = F.coalesce((F.col("_n") >= min_n) & (z > k), F.lit(False))
+    return scored.withColumn(name, flag(outside)).drop("_m", "_s", "_n")
 
 
 def winsorise(

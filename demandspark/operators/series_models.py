@@ -8,35 +8,36 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
-def best_splits(x, residual, order, node, start, count, total, min_leaf):
-    """Best (feature, threshold) of every node at once; `order` lists rows by node and value per feature."""
-    nodes = len(start)
-    best = np.zeros(nodes)
-    feature = np.full(nodes, -1)
-    threshold = np.zeros(nodes)
-    place = np.arange(len(order[0]))
-    owner = node[order[0]]
+def best_splits(values, residual, order, owner, start, count, total, min_leaf):
+    """Best (feature, threshold) of every node at once.
+
+    `values` and `order` are features x rows, rows grouped by node and sorted by value;
+    `owner` is the node of each place in that order.
+    """
+    place = np.arange(order.shape[1])
     left_n = place - start[owner] + 1
     right_n = count[owner] - left_n
     inner = (left_n >= min_leaf) & (right_n >= min_leaf)
-    parent = (total**2 / count)[owner]
-    offset = start[owner]
-    for f, rows in enumerate(order):
-        value = x[rows, f]
-        sums = residual[rows].cumsum()
-        left = sums - np.where(offset > 0, sums[offset - 1], 0.0)
-        right = total[owner] - left
-        allowed = inner.copy()
-        allowed[:-1] &= value[:-1] < value[1:]
-        allowed[-1] = False
-        gain = np.where(allowed, left**2 / left_n + right**2 / np.maximum(right_n, 1) - parent, 0.0)
-        top = np.maximum.reduceat(gain, start)
-        better = top > best + 1e-9 * (1 + best)
-        if better.any():
-            first = np.minimum.reduceat(np.where(gain == top[owner], place, len(place)), start)[better]
-            best[better], feature[better] = top[better], f
-            threshold[better] = (value[first] + value[first + 1]) / 2
-    return feature, threshold
+    left = residual.take(order).cumsum(axis=1)
+    before = np.where(start > 0, left[:, start - 1], 0.0)
+    left -= before.take(owner, axis=1)
+    gain = left * left
+    gain *= np.where(inner, 1 / left_n, 0.0)
+    left -= total[owner]
+    left *= left
+    left *= np.where(inner, 1 / np.maximum(right_n, 1), 0.0)
+    gain += left
+    gain -= np.where(inner, (total**2 / count)[owner], 0.0)
+    gain[:, :-1] *= values[:, :-1] < values[:, 1:]
+    top = np.maximum.reduceat(gain, start, axis=1)
+    # equally good splits differ by rounding only: the first feature and value win
+    best = top.max(axis=0)
+    enough = best - 1e-8 * (1 + best)
+    feature = (top >= enough).argmax(axis=0)
+    hit = (gain[feature[owner], place] >= enough[owner]) & (gain[feature[owner], place] > 0)
+    first = np.minimum.reduceat(np.where(hit, place, len(place) - 2), start)
+    threshold = (values[feature, first] + values[feature, first + 1]) / 2
+    return np.where(best > 1e-9 * (1 + np.abs(total)), feature, -1), threshold
 
 
 def boost(
@@ -60,32 +61,47 @@ def boost(
     xt, root = x[fit], series[fit]
     mean = np.bincount(root, y[fit]) / np.bincount(root)
     out = mean[series].astype(float)
-    presorted = [np.lexsort((xt[:, f], root)) for f in range(x.shape[1])]
+    columns = np.ascontiguousarray(xt.T)
+    width, everyone = len(columns), np.arange(len(x))
+    presorted = np.stack([np.lexsort((c, root)) for c in columns])
     first_row = np.zeros(len(fit), bool)
     first_row[np.unique(root, return_index=True)[1]] = True
     rng = np.random.default_rng(seed)
     for _ in range(trees):
         residual = y[fit] - out[fit]
         used = np.ones(len(fit), bool)
+        order = presorted
         if subsample < 1:
             used = first_row | (rng.random(len(fit)) < subsample)
-        order = [o[used[o]] for o in presorted]
+            order = presorted[used[presorted]].reshape(width, -1)
+        # a split node keeps its number for the left child and appends one for the right
         node = series.astype(np.int64)
+        live = np.ones(len(mean), bool)
         for _level in range(depth):
             mine = node[fit]
-            count = np.bincount(mine[used])
-            total = np.bincount(mine[used], residual[used])
-            start = np.concatenate([[0], count.cumsum()[:-1]])
-            feature, threshold = best_splits(xt, residual, order, mine, start, count, total, min_leaf)
-            if (feature < 0).all():
+            count = np.bincount(mine[used], minlength=len(live))
+            total = np.bincount(mine[used], residual[used], len(live))
+            live &= count >= 2 * min_leaf
+            if not live.any():
                 break
+            number = live.cumsum() - 1
+            order = order[live[mine[order]]].reshape(width, -1)
+            slot = number[mine].astype(np.uint16 if number[-1] < 65_535 else np.int64)
+            if _level:
+                order = np.take_along_axis(order, np.argsort(slot[order], axis=1, kind="stable"), 1)
+            sizes = count[live]
+            start = np.concatenate([[0], sizes.cumsum()[:-1]])
+            values = columns.ravel().take(order + np.arange(width)[:, None] * len(fit))
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            best, cut = best_splits(values, residual, order, owner, start, sizes, total[live], min_leaf)
+            feature, threshold = np.full(len(live), -1), np.zeros(len(live))
+            feature[live], threshold[live] = best, cut
+            live = feature >= 0
+            right_child = len(live) + live.cumsum() - 1
             picked = feature[node]
-            right = (picked >= 0) & (x[np.arange(len(x)), picked] > threshold[node])
-            child = 2 * node + right
-            kept = np.unique(child[fit][used])
-            node = np.searchsorted(kept, child)
-            mine = node[fit]
-            order = [o[np.argsort(mine[o], kind="stable")] for o in order]
+            right = (picked >= 0) & (x[everyone, picked] > threshold[node])
+            node = np.where(right, right_child[node], node)
+            live = np.concatenate([live, np.ones(int(live.sum()), bool)])
         mine = node[fit]
         leaf = np.bincount(mine[used], residual[used]) / np.bincount(mine[used]) * step
         out += leaf[node]
@@ -109,18 +125,24 @@ def ridge_each(series: np.ndarray, x: np.ndarray, y: np.ndarray, train: np.ndarr
 
 
 def autoregress(y: np.ndarray, h: int, max_p: int = 3) -> tuple[np.ndarray, np.ndarray, str]:
-    """AR(p) on the series or its differences, chosen by AIC: forecasts, standard errors, order."""
+    """AR(p) on the series or its differences, chosen by AIC: forecasts, standard errors, order.
+
+    All orders share one moment matrix of the constant, the lags and the target.
+    """
     best = None
     for d in (0, 1):
         z = np.diff(y, d)
+        rows = len(z) - max_p
+        if rows < 3:
+            continue
+        design = np.stack([np.ones(rows), *[z[max_p - k : len(z) - k] for k in range(1, max_p + 1)], z[max_p:]])
+        moments = design @ design.T
         for p in range(max_p + 1):
-            rows = len(z) - max_p
             if rows < p + 3:
                 continue
-            lagged = [z[max_p - k : len(z) - k] for k in range(1, p + 1)]
-            design = np.column_stack([np.ones(rows), *lagged])
-            coef, *_ = np.linalg.lstsq(design, z[max_p:], rcond=None)
-            variance = max(float(np.mean((z[max_p:] - design @ coef) ** 2)), 1e-12)
+            gram = moments[: p + 1, : p + 1] + np.eye(p + 1) * 1e-9 * (1 + moments[-1, -1])
+            coef = np.linalg.solve(gram, moments[: p + 1, -1])
+            variance = max(float(np.mean((design[-1] - coef @ design[: p + 1]) ** 2)), 1e-12)
             aic = rows * np.log(variance) + 2 * (p + 1)
             if best is None or aic < best[0] - 1e-9:
                 best = (aic, d, p, coef, variance)
@@ -128,7 +150,7 @@ def autoregress(y: np.ndarray, h: int, max_p: int = 3) -> tuple[np.ndarray, np.n
         spread = float(np.std(y, ddof=1)) if len(y) > 1 else 0.0
         return np.full(h, y[-1]), np.full(h, spread), "last"
     _, d, p, coef, variance = best
-    past = list(np.diff(y, d))
+    past = list(np.diff(y, d)[-max(p, 1) :])
     ahead, psi = [], []
     for i in range(h):
         ahead.append(coef[0] + sum(coef[k] * past[-k] for k in range(1, p + 1)))

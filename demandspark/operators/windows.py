@@ -179,5 +179,5 @@ def rank_in_group(df: DataFrame, by: list[str], y: str, name: str = "rank_in_cat
 
 def spikes(df: DataFrame, e: list[str], y: str, z: float = 2.0) -> DataFrame:
     """Rows more than z deviations off the entity mean, with the entity median as baseline."""
-    flagged = outliers_z(df, e, y, z, "is_spike")
+    flagged = outliers_z(df, e, y, z, 1, "is_spike")
     return flagged.withColumn("baseline", F.percentile(y, 0.5).over(Window.partitionBy(*e)))

@@ -505,9 +505,7 @@ def _(t):
 
 @query(
     "P34_week_calendar",
-    """
-    SELECT CAST(d AS DATE) AS week_start, strftime(d, '%G-W%V') AS year_week
-    FROM (SELECT unnest(generate_series(date_trunc('week', MIN(o_orderdate)), date_trunc('week', MAX(o_orderdate)), INTERVAL 7 DAY)) AS d FROM orders)""",
+    "SELECT week_start, year_week FROM x_calendar",
 )
 def _(t):
     return cal.calendar_of(weeks(t))

@@ -399,7 +399,7 @@ for k in (1.5, 2.0):
     "E21_outliers_z",
     """
     SELECT sku, year_week, weekly_quantity,
-           CAST(COALESCE(abs(weekly_quantity - avg(weekly_quantity) OVER w) / NULLIF(stddev_samp(weekly_quantity) OVER w, 0) > 2.5, false) AS INTEGER) AS is_outlier
+           CAST(COALESCE(COUNT(*) OVER w >= 5 AND abs(weekly_quantity - avg(weekly_quantity) OVER w) / NULLIF(stddev_samp(weekly_quantity) OVER w, 0) > 2.5, false) AS INTEGER) AS is_outlier
     FROM x_sku WINDOW w AS (PARTITION BY sku)""",
     "weekly_quantity",
 )
@@ -423,7 +423,7 @@ def _(t):
 @query(
     "E23_missing_weeks",
     """
-    WITH a AS (SELECT DISTINCT strftime(o_orderdate, '%G-W%V') AS year_week FROM orders),
+    WITH a AS (SELECT year_week FROM x_calendar),
     s AS (SELECT DISTINCT x.year_week FROM x_lines x WHERE sku = (SELECT MIN(p_partkey) FROM part))
     SELECT a.year_week, CASE WHEN s.year_week IS NULL THEN 'MISSING' ELSE 'HAS_DATA' END AS status FROM a LEFT JOIN s USING (year_week)""",
 )

@@ -200,7 +200,7 @@ for order, direction in (("best", "ASC"), ("worst", "DESC")):
 
     @query(
         f"K03_{order}",
-        f"SELECT sku, n_weeks, wmape, volume FROM x_per_sku ORDER BY round(wmape, 6) {direction}, sku LIMIT 10",
+        f"SELECT sku, n_weeks, round(wmape, 6) AS wmape, volume FROM x_per_sku ORDER BY round(wmape, 6) {direction}, sku LIMIT 10",
         "wmape volume",
     )
     def _(t, order=order):

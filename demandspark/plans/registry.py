@@ -73,6 +73,10 @@ PARTS = {
                o_orderstatus AS status, r_name AS region_name
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
+    "x_calendar": """
+        SELECT CAST(d AS DATE) AS week_start, strftime(d, '%G-W%V') AS year_week
+        FROM (SELECT unnest(generate_series(date_trunc('week', MIN(o_orderdate)), date_trunc('week', MAX(o_orderdate)),
+                                            INTERVAL 7 DAY)) AS d FROM orders)""",
     "x_monday": """
         SELECT DISTINCT strftime(o_orderdate, '%G-W%V') AS year_week,
                CAST(date_trunc('week', o_orderdate) AS DATE) AS monday FROM orders""",
