@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 
-SKETCH_ACCURACY = 10_000
-
-
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on `keys`, NULL matching NULL; without keys `right` holds a single row."""
     if not keys:
@@ -21,102 +18,111 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def order_bins(key: Column) -> tuple[Column, Column]:
+    """Coarse and fine integers that grow with `key`: 2^12 and 2^28 steps per doubling of its size.
+
+    A fine bin spans few nanounits of its values, so it holds at most some million distinct doubles.
+    """
+    size = F.least(F.log2(F.abs(key)) + 1100, F.lit(2200.0))
+    scaled = F.when(key == 0, 0.0).otherwise(F.signum(key) * size)
+    return F.floor(scaled * (1 << 12)), F.floor(scaled * (1 << 28))
+
+
+def running(by: list[str], order: str):
+    """Values up to the current row of a group."""
+    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def exact_percentiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Linearly interpolated quantiles per group, exact for groups of any size.
 
-    A mergeable sketch brackets each quantile. Values under the bracket are only
-    counted; the values inside it (a fraction of a per mille of a large group, with
-    equal values merged) are ordered and the two order statistics are read off.
-    A group too small for the sketch to matter is ordered whole.
+    One pass merges equal values. Counts per coarse bin tell which bins hold the wanted
+    ranks, counts per fine bin narrow them down, and only the values of those fine bins
+    are ordered. No task orders more than the bins of a group or the values of a bin.
     """
-    margin = 4.0 / SKETCH_ACCURACY
     names = list(probs)
-    values = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    lows = [max(probs[n] - margin, 0.0) for n in names]
-    highs = [min(probs[n] + margin, 1.0) for n in names]
-    brackets = values.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.percentile_approx("_v", lows, SKETCH_ACCURACY).alias("_lo"),
-        F.percentile_approx("_v", highs, SKETCH_ACCURACY).alias("_hi"),
-    )
-    small = F.col("_n") <= 10 * SKETCH_ACCURACY
-    wanted = brackets.select(
-        *by,
-        "_n",
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    ((F.col("_n") - 1) * F.lit(probs[n])).alias("pos"),
-                    F.when(~small, F.col("_lo")[i]).alias("lo"),
-                    F.when(~small, F.col("_hi")[i]).alias("hi"),
-                )
-                for i, n in enumerate(names)
-            ]
-        ).alias("_q"),
+    values = df.select(*by, F.col(value).cast("double").alias("_v"))
+    coarse, fine = order_bins(F.col("_v"))
+    merged = (
+        values.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        .groupBy(*by, "_v")
+        .agg(F.count("*").alias("_c"))
+        .withColumns({"_b1": coarse, "_b2": fine})
     )
-    merged = values.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
-    spread = same_keys(merged, wanted, by).select(*by, "_v", "_c", F.inline("_q"))
-    below = F.col("_v") < F.col("lo")
-    inside = (
-        spread.where(F.col("hi").isNull() | (F.col("_v") <= F.col("hi")))
-        .groupBy(*by, "i", F.when(below, None).otherwise(F.col("_v")).alias("_v"))
-        .agg(F.sum("_c").alias("_c"), F.first("pos").alias("pos"))
+
+    def holding(counted: DataFrame) -> DataFrame:
+        """Rows whose rank range [_cum - _c, _cum) holds a wanted rank."""
+        wanted = F.filter(
+            "_q", lambda q: (F.floor(q["pos"]) < F.col("_cum")) & (F.ceil(q["pos"]) >= F.col("_cum") - F.col("_c"))
+        )
+        return counted.withColumn("_q", wanted).where(F.size("_q") > 0)
+
+    targets = F.array(
+        *[F.struct(F.lit(i).alias("i"), ((F.col("_n") - 1) * F.lit(probs[n])).alias("pos")) for i, n in enumerate(names)]
     )
-    ordered = inside.withColumn(
-        "_cum", F.sum("_c").over(Window.partitionBy(*by, "i").orderBy(F.col("_v").asc_nulls_first()))
+    level1 = merged.groupBy(*by, "_b1").agg(F.sum("_c").alias("_c"))
+    level1 = level1.withColumns(
+        {"_cum": F.sum("_c").over(running(by, "_b1")), "_n": F.sum("_c").over(Window.partitionBy(*by))}
+    ).withColumn("_q", targets)
+    kept1 = holding(level1).select(*by, "_b1", (F.col("_cum") - F.col("_c")).alias("_before"), "_q")
+    level2 = (
+        same_keys(merged, kept1, [*by, "_b1"])
+        .groupBy(*by, "_b1", "_b2")
+        .agg(F.sum("_c").alias("_c"), F.first("_before").alias("_before"), F.first("_q").alias("_q"))
+        .withColumn("_cum", F.col("_before") + F.sum("_c").over(running([*by, "_b1"], "_b2")))
     )
-    picked = ordered.groupBy(*by, "i").agg(
-        F.first("pos").alias("pos"),
-        F.max(F.when(F.col("_v").isNull(), F.col("_cum"))).alias("_under"),
-        F.min(F.when(F.col("_cum") > F.floor("pos"), F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_cum") > F.ceil("pos"), F.col("_v"))).alias("_b"),
+    kept2 = holding(level2).select(*by, "_b2", (F.col("_cum") - F.col("_c")).alias("_before"), "_q")
+    leaf = same_keys(merged, kept2, [*by, "_b2"]).withColumn(
+        "_cum", F.col("_before") + F.sum("_c").over(running([*by, "_b2"], "_v"))
     )
-    missed = F.col("_b").isNull() | (F.coalesce("_under", F.lit(0)) > F.floor("pos"))
-    quantile = F.when(missed, F.raise_error(F.lit("quantile bracket missed its target"))).otherwise(
-        F.col("_a") + (F.col("pos") - F.floor("pos")) * (F.col("_b") - F.col("_a"))
+    hits = holding(leaf).select(*by, "_v", "_c", "_cum", F.inline("_q"))
+
+    def at(rank: Column) -> Column:
+        here = (rank < F.col("_cum")) & (rank >= F.col("_cum") - F.col("_c"))
+        return F.max(F.when(here, F.col("_v")))
+
+    ends = hits.groupBy(*by, "i").agg(
+        F.first("pos").alias("pos"), at(F.floor("pos")).alias("_a"), at(F.ceil("pos")).alias("_b")
     )
+    quantile = F.col("_a") + (F.col("pos") - F.floor("pos")) * (F.col("_b") - F.col("_a"))
     return (
-        picked.select(*by, "i", quantile.alias("_q"))
+        ends.select(*by, "i", quantile.alias("_q"))
         .groupBy(*by)
         .agg(*[F.max(F.when(F.col("i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
     )
 
 
-def order_bin(key: Column) -> Column:
-    """A coarse integer that grows with `key`; 4096 steps per doubling."""
-    return F.signum(key) * F.floor(F.log2(F.abs(key) + 1) * 4096)
-
-
 def rank_large(
     df: DataFrame, by: list[str], y: str, name: str = "rank", method: str = "rank", descending: bool = True
 ) -> DataFrame:
     """Rank within groups of any size.
 
-    Equal values are merged first. Rank = values in earlier bins + values earlier in the
-    own bin, so no task orders more than one bin, and the bins of a group are a short list.
+    Equal values are merged first. Rank = values in earlier coarse bins + in earlier fine
+    bins of the own coarse bin + earlier values of the own fine bin.
     """
-    key = -F.col(y) if descending else F.col(y)
+    key = (-F.col(y) if descending else F.col(y)).cast("double")
+    coarse, fine = order_bins(F.col("_k"))
     values = (
         df.where(F.col(y).isNotNull())
         .groupBy(*by, y)
         .agg(F.count("*").alias("_c"))
-        .withColumns({"_k": key, "_bin": order_bin(key)})
-    )
-    bins = values.groupBy(*by, "_bin").agg(F.sum("_c").alias("_c"))
-    starts = bins.select(
-        *by, "_bin", F.sum("_c").over(Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)).alias("_before")
-    )
-    inner = values.withColumn(
-        "_inside",
-        F.sum("_c").over(
-            Window.partitionBy(*by, "_bin").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-        ),
+        .withColumn("_k", key)
+        .withColumns({"_b1": coarse, "_b2": fine})
     )
-    rank = 1 + F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0))
+
+    def earlier(keys: list[str], order: str) -> Column:
+        return F.sum("_c").over(running(keys, order)) - F.col("_c")
+
+    level2 = values.groupBy(*by, "_b1", "_b2").agg(F.sum("_c").alias("_c"))
+    level1 = level2.groupBy(*by, "_b1").agg(F.sum("_c").alias("_c"))
+    starts1 = level1.select(*by, "_b1", earlier(by, "_b1").alias("_s1"))
+    starts2 = level2.select(*by, "_b1", "_b2", earlier([*by, "_b1"], "_b2").alias("_s2"))
+    starts = same_keys(starts2, starts1, [*by, "_b1"]).select(*by, "_b2", (F.col("_s1") + F.col("_s2")).alias("_start"))
+    inner = values.withColumn("_inside", earlier([*by, "_b2"], "_k"))
+    rank = 1 + F.col("_start") + F.col("_inside")
     if method == "average":
         rank = rank + (F.col("_c") - 1) / 2
-    ranked = same_keys(inner, starts, [*by, "_bin"]).select(*by, y, rank.alias(name))
+    ranked = same_keys(inner, starts, [*by, "_b2"]).select(*by, y, rank.alias(name))
     return same_keys(df, ranked, [*by, y], "left")
 
 

@@ -157,8 +157,8 @@ def week_completeness(lines: DataFrame, variant: str = "v2", denominator: str =
 
     v2 compares line counts with their median (0.8, 0.3); v1 compares units with the median
     of weeks above a million units, or of all weeks (0.5, 0.1). The weekly table is as
-    short as the calendar, so its medians are taken directly. `denominator='invoices'`
-    gives the coverage that can exceed 100 %.
+    short as the calendar, so its medians come from one window over it.
+    `denominator='invoices'` gives the coverage that can exceed 100 %.
     """
     weeks = lines.groupBy("year_week").agg(
         F.count("*").alias("line_count"),
@@ -170,16 +170,17 @@ def week_completeness(lines: DataFrame, variant: str = "v2", denominator: str =
         F.count_distinct("region_name").alias("regions_active"),
         F.count_if(F.col("unit_price") > 0).alias("prices_captured"),
     )
+    all_weeks = Window.partitionBy(F.lit(1))
     if variant == "v1":
         high = F.when(F.col("total_quantity") > 1_000_000, F.col("total_quantity"))
-        level = F.coalesce(F.percentile(high, 0.5), F.percentile("total_quantity", 0.5))
+        level = F.coalesce(F.percentile(high, 0.5).over(all_weeks), F.percentile("total_quantity", 0.5).over(all_weeks))
         complete, partial = F.col("total_quantity") > F.col("_m") * 0.5, F.col("total_quantity") > F.col("_m") * 0.1
     else:
-        level = F.percentile("line_count", 0.5)
+        level = F.percentile("line_count", 0.5).over(all_weeks)
         complete, partial = F.col("line_count") >= F.col("_m") * 0.8, F.col("line_count") >= F.col("_m") * 0.3
     base = F.col("invoice_count" if denominator == "invoices" else "line_count")
     return (
-        weeks.crossJoin(F.broadcast(weeks.agg(level.alias("_m"))))
+        weeks.withColumn("_m", level)
         .withColumns(
             {
                 "data_completeness": F.when(complete, "complete").when(partial, "partial").otherwise("minimal"),
@@ -310,10 +311,9 @@ def order_size(lines: DataFrame, edges=ORDER_SIZES) -> DataFrame:
     sizes = orders.groupBy(bucket(F.col("_u"), edges).alias("order_size")).agg(
         F.count("*").alias("invoice_count"), F.sum("_u").alias("total_units"), F.sum("_r").alias("total_revenue")
     )
-    total = sizes.agg(F.sum("total_units").alias("_t"))
-    return sizes.crossJoin(F.broadcast(total)).withColumn(
-        "pct_of_units", F.round(F.col("total_units") * 100.0 / F.col("_t"), 1)
-    ).drop("_t")
+    # one row per bucket
+    total = F.sum("total_units").over(Window.partitionBy(F.lit(1)))
+    return sizes.withColumn("pct_of_units", F.round(F.col("total_units") * 100.0 / total, 1))
 
 
 def pivot_counts(lines: DataFrame, row: str, col: str, values: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import flag
@@ -127,12 +127,10 @@ def dq_score(df: DataFrame) -> DataFrame:
 
 
 def tier_distribution(df: DataFrame, tier: str = "dq_tier") -> DataFrame:
-    """Rows and share per tier."""
+    """Rows and share per tier; the window spans one row per tier."""
     counts = df.groupBy(tier).agg(F.count("*").alias("row_count"))
-    total = counts.agg(F.sum("row_count").alias("_t"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        tier, "row_count", (F.col("row_count") * 100.0 / F.col("_t")).alias("share_pct")
-    )
+    total = F.sum("row_count").over(Window.partitionBy(F.lit(1)))
+    return counts.withColumn("share_pct", F.col("row_count") * 100.0 / total)
 
 
 def build_customer_map(df: DataFrame, customer: str = "customer_id", name: str = "customer_name") -> DataFrame:

@@ -87,8 +87,8 @@ def per_entity(df: DataFrame, e: list[str], zero: str = "null") -> DataFrame:
 def compare(preds_by_model: dict[str, DataFrame], e: str) -> DataFrame:
     """One row per model; `is_best` marks the smallest MAE."""
     table = metrics(union_all(preds_by_model, "model"), ["model"], e)
-    best = table.agg(F.min_by("model", F.struct("mae", "model")).alias("_best"))
-    return table.crossJoin(F.broadcast(best)).withColumn("is_best", flag(F.col("model") == F.col("_best"))).drop("_best")
+    best = F.min(F.struct("mae", "model")).over(Window.partitionBy(F.lit(1)))
+    return table.withColumn("is_best", flag(F.col("model") == best["model"]))
 
 
 def compare_versions(preds_by_version: dict[str, DataFrame]) -> DataFrame:
@@ -185,10 +185,11 @@ def drift(reference: DataFrame, current: DataFrame, value: str, bins: int = 10)
         return rows.groupBy(bin_no.alias("bin")).agg(F.count("*").alias(name))
 
     both = counts(reference, "_r").join(counts(current, "_c"), "bin", "full_outer").fillna(0, ["_r", "_c"])
-    totals = both.agg(F.sum("_r").alias("_rt"), F.sum("_c").alias("_ct"))
+    every_bin = Window.partitionBy(F.lit(1))
+    both = both.withColumns({"_rt": F.sum("_r").over(every_bin), "_ct": F.sum("_c").over(every_bin)})
     p = F.greatest(F.col("_r").cast("double"), F.lit(0.5)) / F.col("_rt")
     q = F.greatest(F.col("_c").cast("double"), F.lit(0.5)) / F.col("_ct")
-    return both.crossJoin(F.broadcast(totals)).agg(
+    return both.agg(
         F.sum((q - p) * F.log(q / p)).alias("psi"), F.count("*").alias("bins_used")
     )
 

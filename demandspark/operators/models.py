@@ -458,8 +458,8 @@ def ts_cv(df: DataFrame, e: list[str], feats: list[str], label: str, grid: dict[
     for part in parts[1:]:
         folds = folds.unionByName(part)
     table = folds.groupBy(*grid).agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
-    best = table.agg(F.min("cv_mae").alias("_b"))
-    return table.crossJoin(F.broadcast(best)).withColumn("is_best", F.col("cv_mae") == F.col("_b")).drop("_b")
+    best = F.min("cv_mae").over(Window.partitionBy(F.lit(1)))
+    return table.withColumn("is_best", F.col("cv_mae") == best)
 
 
 def exclude_weeks(df: DataFrame, weeks: list[int]) -> DataFrame:

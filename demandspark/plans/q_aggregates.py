@@ -386,7 +386,7 @@ def _(t):
 
 
 def patterns(t: Sales, variant: str = "sql"):
-    return agg.pattern(agg.demand_stats(t.sku_week(), ["sku"]), variant)
+    return agg.pattern(agg.demand_stats(t.weekly("sku"), ["sku"]), variant)
 
 
 @query("A24_pattern", "SELECT sku, n_weeks, pattern, data_sufficiency, recommended_model FROM x_pattern")
@@ -436,7 +436,7 @@ def _(t):
 def _(t):
     from ..operators.baselines import split
 
-    train, test = split(t.sku_week())
+    train, test = split(t.weekly("sku"))
     preds = test.select("sku", "year_week", F.col("weekly_quantity").alias("predicted"))
     return agg.apply_peak_factor(preds, agg.uplift_from_cv(train, ["sku"]), ["sku"])
 
@@ -592,7 +592,7 @@ PARTS["x_ma_sku"] = """
 def ma_sku(t: Sales):
     from ..operators.baselines import walk_forward
 
-    return walk_forward(t.sku_week(), ["sku"], "weekly_quantity", "ma")
+    return walk_forward(t.weekly("sku"), ["sku"], "weekly_quantity", "ma")
 
 
 @query(

@@ -141,7 +141,7 @@ PARTS["x_labelled"] = """
 
 def labelled(t):
     per = per_sku(t).select("sku", "wmape")
-    weeks = windows.train_weeks(baselines.split(t.sku_week())[0], ["sku"])
+    weeks = windows.train_weeks(baselines.split(t.weekly("sku"))[0], ["sku"])
     return evaluate.with_confidence(per, weeks, ["sku"])
 
 

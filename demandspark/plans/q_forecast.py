@@ -62,7 +62,7 @@ def _(t):
     "actual predicted",
 )
 def _(t):
-    train, test = baselines.split(t.sku_week(), "1995-W20")
+    train, test = baselines.split(t.weekly("sku"), "1995-W20")
     return baselines.naive_last(train, test, ["sku"], Y, ["year_week"], missing=0.0)
 
 
@@ -91,7 +91,7 @@ def _(t):
     "actual predicted",
 )
 def _(t):
-    return baselines.moving_average(*baselines.split(t.sku_week()), ["sku"], Y, 8)
+    return baselines.moving_average(*baselines.split(t.weekly("sku")), ["sku"], Y, 8)
 
 
 @query(
@@ -114,7 +114,7 @@ PARTS["x_seasonal_sku"] = """
 
 @query("F03_seasonal_naive", "SELECT * FROM x_seasonal_sku", "actual predicted")
 def _(t):
-    return baselines.seasonal_naive(*baselines.split(t.sku_week()), ["sku"], Y)
+    return baselines.seasonal_naive(*baselines.split(t.weekly("sku")), ["sku"], Y)
 
 
 @query(
@@ -126,7 +126,7 @@ def _(t):
     "actual predicted",
 )
 def _(t):
-    return baselines.linear_trend(*baselines.split(t.sku_week()), ["sku"], Y)
+    return baselines.linear_trend(*baselines.split(t.weekly("sku")), ["sku"], Y)
 
 
 def smoothing_sql(alpha: float, source: str, key: str) -> str:
@@ -149,7 +149,7 @@ for alpha in (0.3, 0.5):
 
 @query("F05_exp_smoothing_sku", smoothing_sql(0.3, "x_sku", "sku"), "actual predicted")
 def _(t):
-    return baselines.exp_smoothing(*baselines.split(t.sku_week()), ["sku"], Y, 0.3)
+    return baselines.exp_smoothing(*baselines.split(t.weekly("sku")), ["sku"], Y, 0.3)
 
 
 @query(
@@ -177,7 +177,7 @@ def _(t):
     "actual predicted",
 )
 def _(t):
-    return baselines.walk_forward(t.sku_week(), ["sku"], Y, "smoothing")
+    return baselines.walk_forward(t.weekly("sku"), ["sku"], Y, "smoothing")
 
 
 @query(
@@ -190,7 +190,7 @@ def _(t):
     "actual predicted",
 )
 def _(t):
-    return baselines.median_spike(*baselines.split(t.sku_week()), ["sku"], Y)
+    return baselines.median_spike(*baselines.split(t.weekly("sku")), ["sku"], Y)
 
 
 PARTS["x_routed"] = """
@@ -202,7 +202,7 @@ PARTS["x_routed"] = """
 
 
 def routed(t):
-    seasonal = baselines.seasonal_naive(*baselines.split(t.sku_week()), ["sku"], Y)
+    seasonal = baselines.seasonal_naive(*baselines.split(t.weekly("sku")), ["sku"], Y)
     return baselines.route(q_aggregates.ma_sku(t), seasonal, q_aggregates.patterns(t), ["sku"])
 
 

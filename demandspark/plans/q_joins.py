@@ -19,7 +19,7 @@ def per_sku(t):
 
 
 def brand(t):
-    return t.brand_week().select("brand", "year_week", "weekly_quantity")
+    return t.weekly("brand").select("brand", "year_week", "weekly_quantity")
 
 
 @query(
@@ -29,7 +29,7 @@ def brand(t):
     "weekly_quantity predicted",
 )
 def _(t):
-    actual = t.sku_week().select("sku", "year_week", "weekly_quantity")
+    actual = t.weekly("sku").select("sku", "year_week", "weekly_quantity")
     return joins.match_predictions(actual, q_aggregates.ma_sku(t).drop("actual"), ["sku"])
 
 
@@ -39,7 +39,7 @@ def _(t):
     "weekly_quantity",
 )
 def _(t):
-    weekly = t.sku_week().select("sku", "year_week", "weekly_quantity")
+    weekly = t.weekly("sku").select("sku", "year_week", "weekly_quantity")
     df = with_product_attrs(weekly, t.products(), ["brand"])
     return df.join(q_aggregates.patterns(t).select("sku", "pattern"), "sku", "left")
 
@@ -62,7 +62,7 @@ def _(t):
     "weekly_quantity",
 )
 def _(t):
-    return joins.eligible(t.sku_week().select("sku", "year_week", "weekly_quantity"), ["sku"], 30)
+    return joins.eligible(t.weekly("sku").select("sku", "year_week", "weekly_quantity"), ["sku"], 30)
 
 
 @query(
@@ -73,7 +73,7 @@ def _(t):
     "weekly_quantity",
 )
 def _(t):
-    df = t.customer_week().select("customer_id", "year_week", "weekly_quantity")
+    df = t.weekly("customer").select("customer_id", "year_week", "weekly_quantity")
     return joins.top_entities(df, ["customer_id"], "weekly_quantity", 100)
 
 

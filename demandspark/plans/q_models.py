@@ -94,18 +94,18 @@ def _(t):
     "weekly_quantity",
 )
 def _(t):
-    weekly = t.sku_week().select("sku", "year_week", Y)
+    weekly = pin(t.sku_week().select("sku", "year_week", Y))
     return models.arima_eligible(weekly, ["sku"], Y, 20, 50, aggregates.week_completeness(t.raw_lines()))
 
 
 @query("M07_auto_arima_sku")
 def _(t):
-    return models.auto_arima(t.sku_week().select("sku", "year_week", Y), ["sku"], Y)
+    return models.auto_arima(t.weekly("sku").select("sku", "year_week", Y), ["sku"], Y)
 
 
 @query("M07_auto_arima_category")
 def _(t):
-    return models.auto_arima(t.category_week().select("category", "year_week", Y), ["category"], Y, h=8, level=0.95)
+    return models.auto_arima(t.weekly("category").select("category", "year_week", Y), ["category"], Y, h=8, level=0.95)
 
 
 def customer_weeks(t: Sales):
@@ -306,7 +306,7 @@ def _(t):
 )
 def _(t):
     kind = F.when(F.avg(Y) > 175, "cyclical").otherwise("high_variance").alias("pattern")
-    patterns = t.brand_week().groupBy("brand").agg(kind)
+    patterns = t.weekly("brand").groupBy("brand").agg(kind)
     weights = {"cyclical": {"naive": 0.4, "ma4": 0.6}, "other": {"naive": 0.3, "ma4": 0.7}}
     return models.ensemble({"naive": naive_brand(t), "ma4": ma_brand(t)}, weights, patterns, ["brand"], "other")
 

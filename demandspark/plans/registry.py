@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import weekly_features
+from ..session import pin
 from ..sources.retail import Retail
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +21,20 @@ NUDGE = 1e-7  # moves exact halves off the rounding edge, the same way on both s
 
 
 class Sales(Retail):
-    """The weekly tables most queries start from."""
+    """The weekly tables most queries start from.
+
+    `weekly` writes a level once and reads it back: a query that needs history, test weeks
+    and patterns of the same series then scans the lines once.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__(spark, folder)
+        self._written: dict[str, DataFrame] = {}
+
+    def weekly(self, level: str) -> DataFrame:
+        if level not in self._written:
+            self._written[level] = pin(getattr(self, f"{level}_week")())
+        return self._written[level]
 
     def sku_week(self) -> DataFrame:
         return weekly_features(self.lines(), ["sku"], {"order_count": "invoice_id"})

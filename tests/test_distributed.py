@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 from demandspark.functions import distributed as dist
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 50])
-def test_percentiles_are_exact_on_small_ties_and_large_groups(spark, monkeypatch, accuracy):
-    """With accuracy 50 the large groups go through the sketch bracket."""
-    monkeypatch.setattr(dist, "SKETCH_ACCURACY", accuracy)
+def test_percentiles_are_exact_on_small_ties_and_large_groups(spark):
     rng = np.random.default_rng(1)
     data = pd.concat(
         [
             pd.DataFrame({"g": "hot", "v": np.r_[rng.normal(size=6_000), np.full(4_000, 0.25)]}),
             pd.DataFrame({"g": "wide", "v": rng.exponential(1e6, 3_001)}),
+            pd.DataFrame({"g": "near", "v": 1e6 + np.arange(2_000) * 1e-6}),
+            pd.DataFrame({"g": "tiny", "v": rng.normal(size=501) * 1e-12}),
+            pd.DataFrame({"g": "mixed", "v": np.r_[-np.arange(50.0), np.zeros(7), rng.exponential(9, 80)]}),
             pd.DataFrame({"g": "pair", "v": [1.0, 2.0]}),
             pd.DataFrame({"g": "one", "v": [5.0]}),
             pd.DataFrame({"g": [None] * 4, "v": [1.0, 2.0, 3.0, None]}),
@@ -23,7 +23,7 @@ def test_percentiles_are_exact_on_small_ties_and_large_groups(spark, monkeypatch
     df = spark.createDataFrame(data).repartition(8).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
     probs = {"lo": 0.0, "q": 0.25, "m": 0.5, "p": 0.9, "hi": 1.0}
     got = {r["g"]: r for r in dist.exact_percentiles(df, ["g"], "v", probs).collect()}
-    assert len(got) == 5
+    assert len(got) == 8
     for name, part in data.groupby("g", dropna=False):
         row = got[None if pd.isna(name) else name]
         for column, prob in probs.items():
