@@ -65,14 +65,14 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, probs: dict[str,
         {"_cum": F.sum("_c").over(running(by, "_b1")), "_n": F.sum("_c").over(Window.partitionBy(*by))}
     ).withColumn("_q", targets)
     kept1 = holding(level1).select(*by, "_b1", (F.col("_cum") - F.col("_c")).alias("_before"), "_q")
+    near = same_keys(merged, kept1, [*by, "_b1"])
     level2 = (
-        same_keys(merged, kept1, [*by, "_b1"])
-        .groupBy(*by, "_b1", "_b2")
+        near.groupBy(*by, "_b1", "_b2")
         .agg(F.sum("_c").alias("_c"), F.first("_before").alias("_before"), F.first("_q").alias("_q"))
         .withColumn("_cum", F.col("_before") + F.sum("_c").over(running([*by, "_b1"], "_b2")))
     )
     kept2 = holding(level2).select(*by, "_b2", (F.col("_cum") - F.col("_c")).alias("_before"), "_q")
-    leaf = same_keys(merged, kept2, [*by, "_b2"]).withColumn(
+    leaf = same_keys(near.select(*by, "_b2", "_v", "_c"), kept2, [*by, "_b2"]).withColumn(
         "_cum", F.col("_before") + F.sum("_c").over(running([*by, "_b2"], "_v"))
     )
     hits = holding(leaf).select(*by, "_v", "_c", "_cum", F.inline("_q"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import PEAK_WEEK, flag, week_num
 from ..functions.clean import safe_div
-from ..functions.distributed import exact_percentiles
+from ..functions.distributed import exact_percentiles, same_keys
 
 # Order-size bounds and labels, by units of an order.
 ORDER_SIZES = (
@@ -106,12 +106,21 @@ def weekly_features(
         measures.append(F.avg("unit_price").alias("avg_unit_price"))
     measures += [F.count_distinct(c).alias(a) for a, c in (distinct or {}).items()]
     measures += [F.min(c).alias(c) for c in attrs or []]
-    measures += [F.mode(c, True).alias(a) for a, c in (modes or {}).items()]
     measures += [F.avg(c).alias(a) for a, c in (means or {}).items()]
-    out = lines.groupBy(*e, "year_week").agg(*measures)
+    keys = [*e, "year_week"]
+    out = lines.groupBy(*keys).agg(*measures)
+    for name, c in (modes or {}).items():
+        out = same_keys(out, most_frequent(lines, keys, c, name), keys)
     return out if having is None else out.where(having)
 
 
+def most_frequent(lines: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:
+    """The most frequent value per key, smallest on ties: counted in hash aggregates, never gathered."""
+    counts = lines.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count("*").alias("_c"))
+    best = F.min(F.struct((-F.col("_c")).alias("n"), F.col(c).alias("v")))
+    return counts.groupBy(*keys).agg(best["v"].alias(name))
+
+
 def roll_up(weekly_df: DataFrame, e: list[str], items: str = "sku") -> DataFrame:
     """A coarser level from a weekly table: sum of sums, mean of means, distinct items."""
     return weekly_df.groupBy(*e, "year_week").agg(
@@ -364,30 +373,38 @@ def dq_summary(weekly_df: DataFrame) -> DataFrame:
 
 
 def raw_totals(rows: DataFrame) -> DataFrame:
-    """File, region, month and grand totals in one pass."""
-    sets = [["file_name", "region", "month"], ["region"], ["month"], []]
+    """File, region, month and grand totals.
+
+    Sums are taken per file first. Ids are merged per file before the grouping sets
+    spread them, so the sets multiply the distinct ids, not the rows.
+    """
     keys = ["file_name", "region", "month"]
-    sold = F.col("quantity") > 0
-    return (
-        rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys])
-        .agg(
-            F.grouping_id().alias("_g"),
-            F.count_distinct("invoice_id").alias("invoices"),
-            F.count("*").alias("line_items"),
-            F.sum(F.when(sold, F.col("quantity")).otherwise(0.0)).alias("total_quantity"),
-            F.sum(F.when(F.col("line_total") > 0, F.col("line_total")).otherwise(0.0)).alias("total_revenue"),
-            F.count_distinct("sku").alias("unique_skus"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-        )
-        .withColumn(
-            "level",
-            F.when(F.col("_g") == 0, "file")
-            .when(F.col("_g") == 5, "region")
-            .when(F.col("_g") == 6, "month")
-            .otherwise("total"),
-        )
-        .drop("_g")
+    sets = [[F.col(c) for c in s] for s in (keys, ["region"], ["month"], [])]
+    level = (
+        F.when(F.col("_g") == 0, "file").when(F.col("_g") == 5, "region").when(F.col("_g") == 6, "month").otherwise("total")
+    )
+    per_file = rows.groupBy(*keys).agg(
+        F.count("*").alias("_n"),
+        F.sum(F.when(F.col("quantity") > 0, F.col("quantity")).otherwise(0.0)).alias("_q"),
+        F.sum(F.when(F.col("line_total") > 0, F.col("line_total")).otherwise(0.0)).alias("_r"),
+    )
+    sums = per_file.groupingSets(sets, *keys).agg(
+        F.grouping_id().alias("_g"),
+        F.sum("_n").alias("line_items"),
+        F.sum("_q").alias("total_quantity"),
+        F.sum("_r").alias("total_revenue"),
+    )
+    ids = {"invoices": "invoice_id", "unique_skus": "sku", "unique_customers": "customer_id"}
+    pairs = [F.struct(F.lit(a).alias("kind"), F.col(c).cast("string").alias("id")) for a, c in ids.items()]
+    merged = rows.select(*keys, F.inline(F.array(*pairs))).where(F.col("id").isNotNull()).distinct()
+    spread = merged.groupingSets([[*s, F.col("kind"), F.col("id")] for s in sets], *keys, "kind", "id").agg(
+        F.grouping_id().alias("_s")
+    )
+    # kind and id are never rolled up: the set number is that of the keys, four places up
+    counts = spread.groupBy(*keys, F.shiftright("_s", 2).alias("_g")).agg(
+        *[F.count_if(F.col("kind") == a).alias(a) for a in ids]
     )
+    return same_keys(sums, counts, [*keys, "_g"], "left").fillna(0, list(ids)).withColumn("level", level).drop("_g")
 
 
 def quantile(df: DataFrame, by: list[str], y: str, q: float = 0.5, exact: bool = True) -> DataFrame:

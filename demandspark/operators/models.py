@@ -265,17 +265,33 @@ def arima_eligible(df: DataFrame, e: list[str], y: str, min_weeks: int = 20, top
 
 
 def auto_arima(
-    df: DataFrame, e: list[str], y: str, h: int = 4, level: float = 0.8, min_weeks: int = 20, clean_spikes: bool = True
+    df: DataFrame,
+    e: list[str],
+    y: str,
+    h: int = 4,
+    level: float = 0.8,
+    min_weeks: int = 20,
+    clean_spikes: bool = True,
+    adjust_steps: bool = True,
+    holiday_weeks: tuple[int, ...] = (),
 ) -> DataFrame:
     """The next h weeks of each eligible series, with intervals.
 
-    The weekly grid has no holes and spikes are replaced by the series median before the fit.
+    The weekly grid has no holes. Before the fit, spikes and holiday weeks (ISO week
+    numbers) take the series median and an earlier level is moved to the latest one; a
+    forecast holiday week is scaled by the holiday weeks' mean over the median.
     """
     rows = eligible(df.where(F.col(y).isNotNull()), e, min_weeks)
-    if clean_spikes:
-        median = F.percentile(y, 0.5).over(Window.partitionBy(*e))
-        flagged = outliers_iqr(rows, e, y, 3.0).withColumn("_median", median)
-        rows = flagged.withColumn(y, F.when(F.col("is_outlier") == 1, F.col("_median")).otherwise(F.col(y)))
+    whole = Window.partitionBy(*e)
+    is_holiday = week_num("year_week").isin(*holiday_weeks) if holiday_weeks else F.lit(False)
+    effects = None
+    if clean_spikes or holiday_weeks:
+        flagged = outliers_iqr(rows, e, y, 3.0).withColumn("_median", F.percentile(y, 0.5).over(whole))
+        if holiday_weeks:
+            ratio = safe_div(F.avg(F.when(is_holiday, F.col(y))), F.max("_median"))
+            effects = flagged.groupBy(*e).agg(F.coalesce(ratio, F.lit(1.0)).alias("_effect"))
+        spike = (F.col("is_outlier") == 1) if clean_spikes else F.lit(False)
+        rows = flagged.withColumn(y, F.when(spike | is_holiday, F.col("_median")).otherwise(F.col(y)))
     grid = fill_gaps(rows, e, y).select(*e, "week_start", F.coalesce(F.col(y), F.lit(0.0)).alias("_y"))
     schema = T.StructType(
         [grid.schema[c] for c in e]
@@ -289,10 +305,11 @@ def auto_arima(
     )
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
-        from demandspark.operators.series_models import autoregress
+        from demandspark.operators.series_models import autoregress, level_steps
 
         ends = np.flatnonzero((batch[e] != batch[e].shift(-1)).any(axis=1).to_numpy()) + 1
-        fits = [autoregress(y, h) for y in np.split(batch["_y"].to_numpy(float), ends[:-1])]
+        parts = np.split(batch["_y"].to_numpy(float), ends[:-1])
+        fits = [autoregress(level_steps(y) if adjust_steps else y, h) for y in parts]
         out = batch.loc[np.repeat(ends - 1, h), [*e, "week_start"]].rename(columns={"week_start": "last_week"})
         out["step"] = np.tile(np.arange(1, h + 1, dtype=np.int32), len(fits))
         out["forecast"] = np.concatenate([f[0] for f in fits]).clip(min=0)
@@ -302,13 +319,15 @@ def auto_arima(
 
     reach = F.col("standard_error") * NORMAL_QUANTILES[level]
     ahead = per_series(grid, e, "week_start", work, schema)
+    ahead = ahead.withColumn("year_week", year_week(F.date_add("last_week", F.col("step") * 7))).drop("last_week")
+    if effects is not None:
+        factor = F.when(is_holiday, F.col("_effect")).otherwise(1.0)
+        ahead = ahead.join(effects, e).withColumns(
+            {"forecast": F.col("forecast") * factor, "standard_error": F.col("standard_error") * factor}
+        ).drop("_effect")
     return ahead.withColumns(
-        {
-            "lower_bound": F.greatest(F.col("forecast") - reach, F.lit(0.0)),
-            "upper_bound": F.col("forecast") + reach,
-            "year_week": year_week(F.date_add("last_week", F.col("step") * 7)),
-        }
-    ).drop("last_week")
+        {"lower_bound": F.greatest(F.col("forecast") - reach, F.lit(0.0)), "upper_bound": F.col("forecast") + reach}
+    )
 
 
 def segment_features(weekly: DataFrame) -> DataFrame:

@@ -124,6 +124,23 @@ def ridge_each(series: np.ndarray, x: np.ndarray, y: np.ndarray, train: np.ndarr
     return out
 
 
+def level_steps(y: np.ndarray, least: int = 8, share: float = 0.6) -> np.ndarray:
+    """Move an earlier level to the latest one when one step explains most of the variance."""
+    n = len(y)
+    if n < 2 * least:
+        return y
+    cut = np.arange(least, n - least + 1)
+    left, total = y.cumsum()[cut - 1], y.sum()
+    gap = (total - left) / (n - cut) - left / cut
+    explained = gap**2 * cut * (n - cut) / n
+    best = int(explained.argmax())
+    if explained[best] <= share * max(float(((y - y.mean()) ** 2).sum()), 1e-12):
+        return y
+    moved = y.copy()
+    moved[: cut[best]] += gap[best]
+    return moved
+
+
 def autoregress(y: np.ndarray, h: int, max_p: int = 3) -> tuple[np.ndarray, np.ndarray, str]:
     """AR(p) on the series or its differences, chosen by AIC: forecasts, standard errors, order.
 

@@ -105,7 +105,7 @@ def _(t):
 
 @query("M07_auto_arima_category")
 def _(t):
-    return models.auto_arima(t.weekly("category").select("category", "year_week", Y), ["category"], Y, h=8, level=0.95)
+    return models.auto_arima(t.weekly("category").select("category", "year_week", Y), ["category"], Y, h=8, level=0.95, holiday_weeks=(52, 1))
 
 
 def customer_weeks(t: Sales):

@@ -23,8 +23,8 @@ NUDGE = 1e-7  # moves exact halves off the rounding edge, the same way on both s
 class Sales(Retail):
     """The weekly tables most queries start from.
 
-    `weekly` writes a level once and reads it back: a query that needs history, test weeks
-    and patterns of the same series then scans the lines once.
+    `weekly` writes the quantities of a level once and reads them back: a query that needs
+    history, test weeks and patterns of the same series then scans the lines once.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -33,7 +33,8 @@ class Sales(Retail):
 
     def weekly(self, level: str) -> DataFrame:
         if level not in self._written:
-            self._written[level] = pin(getattr(self, f"{level}_week")())
+            whole = getattr(self, f"{level}_week")()
+            self._written[level] = pin(whole.select(whole.columns[0], "year_week", "weekly_quantity"))
         return self._written[level]
 
     def sku_week(self) -> DataFrame:

@@ -107,6 +107,21 @@ def test_auto_arima(spark):
     assert widths == sorted(widths) and rows[6]["forecast"] == 9.0 and rows[6]["upper_bound"] == 9.0
 
 
+def test_arima_holidays_and_steps(spark):
+    from demandspark.operators.series_models import level_steps
+
+    weeks = [f"{y}-W{w:02d}" for y in (2022, 2023, 2024) for w in range(1, 53)]
+    data = [("a", w, 300.0 if w.endswith(("W01", "W02")) else 100.0 + (i % 3)) for i, w in enumerate(weeks)]
+    df = spark.createDataFrame(data, "e string, year_week string, y double")
+    rows = {r["year_week"]: r["forecast"] for r in models.auto_arima(df, ["e"], "y", h=4, holiday_weeks=(1, 2)).collect()}
+    assert rows["2025-W01"] > 250 and rows["2025-W02"] > 250
+    assert 90 < rows["2025-W03"] < 115 and 90 < rows["2025-W04"] < 115
+    step = np.r_[np.full(30, 10.0), np.full(30, 50.0)]
+    assert np.allclose(level_steps(step), 50.0)
+    wave = 10 + np.sin(np.arange(60.0))
+    assert (level_steps(wave) == wave).all()
+
+
 def test_autoregression_recovers_its_order():
     rng = np.random.default_rng(5)
     y = [10.0]

@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandspark.plans import catalog
 from demandspark.sources.retail import Retail
@@ -44,3 +45,21 @@ def test_top_list_needs_no_full_sort(spark):
 
 def test_top_items_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(catalog.QUERIES["A22_top_items"](spark, FOLDER))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from demandspark.sources import tables
+
+    facts = Retail(spark, FOLDER)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+            tables.write_table(facts.table(name), f"bucketed_{name}", path=str(tmp_path / name), bucket_by=[key], buckets=8)
+        joined = spark.table("bucketed_lineitem").join(spark.table("bucketed_orders"), [F.col("l_orderkey") == F.col("o_orderkey")])
+        assert "Exchange" not in plan(joined.select("l_orderkey", "o_custkey"))
+        assert joined.count() == facts.table("lineitem").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("orders", "lineitem"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
