@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on `keys`, NULL matching NULL; without keys `right` holds a single row."""
+def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join with a table of one row per key, NULL matching NULL; without keys that is a single row.
+
+    The null-safe condition gives the join its own shuffle. A plain join with a grouped
+    table would reuse the grouping's partitions, and AQE could then not split a hot key.
+    """
     if not keys:
         return left.crossJoin(F.broadcast(right))
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -65,14 +69,14 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, probs: dict[str,
         {"_cum": F.sum("_c").over(running(by, "_b1")), "_n": F.sum("_c").over(Window.partitionBy(*by))}
     ).withColumn("_q", targets)
     kept1 = holding(level1).select(*by, "_b1", (F.col("_cum") - F.col("_c")).alias("_before"), "_q")
-    near = same_keys(merged, kept1, [*by, "_b1"])
+    near = key_join(merged, kept1, [*by, "_b1"])
     level2 = (
         near.groupBy(*by, "_b1", "_b2")
         .agg(F.sum("_c").alias("_c"), F.first("_before").alias("_before"), F.first("_q").alias("_q"))
         .withColumn("_cum", F.col("_before") + F.sum("_c").over(running([*by, "_b1"], "_b2")))
     )
     kept2 = holding(level2).select(*by, "_b2", (F.col("_cum") - F.col("_c")).alias("_before"), "_q")
-    leaf = same_keys(near.select(*by, "_b2", "_v", "_c"), kept2, [*by, "_b2"]).withColumn(
+    leaf = key_join(near.select(*by, "_b2", "_v", "_c"), kept2, [*by, "_b2"]).withColumn(
         "_cum", F.col("_before") + F.sum("_c").over(running([*by, "_b2"], "_v"))
     )
     hits = holding(leaf).select(*by, "_v", "_c", "_cum", F.inline("_q"))
@@ -117,13 +121,13 @@ def rank_large(
     level1 = level2.groupBy(*by, "_b1").agg(F.sum("_c").alias("_c"))
     starts1 = level1.select(*by, "_b1", earlier(by, "_b1").alias("_s1"))
     starts2 = level2.select(*by, "_b1", "_b2", earlier([*by, "_b1"], "_b2").alias("_s2"))
-    starts = same_keys(starts2, starts1, [*by, "_b1"]).select(*by, "_b2", (F.col("_s1") + F.col("_s2")).alias("_start"))
+    starts = key_join(starts2, starts1, [*by, "_b1"]).select(*by, "_b2", (F.col("_s1") + F.col("_s2")).alias("_start"))
     inner = values.withColumn("_inside", earlier([*by, "_b2"], "_k"))
     rank = 1 + F.col("_start") + F.col("_inside")
     if method == "average":
         rank = rank + (F.col("_c") - 1) / 2
-    ranked = same_keys(inner, starts, [*by, "_b2"]).select(*by, y, rank.alias(name))
-    return same_keys(df, ranked, [*by, y], "left")
+    ranked = key_join(inner, starts, [*by, "_b2"]).select(*by, y, rank.alias(name))
+    return key_join(df, ranked, [*by, y], "left")
 
 
 def number_rows(df: DataFrame, order: list[Column | str], name: str, start: int = 1) -> DataFrame:

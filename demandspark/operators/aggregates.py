@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import PEAK_WEEK, flag, week_num
 from ..functions.clean import safe_div
-from ..functions.distributed import exact_percentiles, same_keys
+from ..functions.distributed import exact_percentiles, key_join
 
 # Order-size bounds and labels, by units of an order.
 ORDER_SIZES = (
@@ -110,7 +110,7 @@ def weekly_features(
     keys = [*e, "year_week"]
     out = lines.groupBy(*keys).agg(*measures)
     for name, c in (modes or {}).items():
-        out = same_keys(out, most_frequent(lines, keys, c, name), keys)
+        out = key_join(out, most_frequent(lines, keys, c, name), keys)
     return out if having is None else out.where(having)
 
 
@@ -404,7 +404,7 @@ def raw_totals(rows: DataFrame) -> DataFrame:
     counts = spread.groupBy(*keys, F.shiftright("_s", 2).alias("_g")).agg(
         *[F.count_if(F.col("kind") == a).alias(a) for a in ids]
     )
-    return same_keys(sums, counts, [*keys, "_g"], "left").fillna(0, list(ids)).withColumn("level", level).drop("_g")
+    return key_join(sums, counts, [*keys, "_g"], "left").fillna(0, list(ids)).withColumn("level", level).drop("_g")
 
 
 def quantile(df: DataFrame, by: list[str], y: str, q: float = 0.5, exact: bool = True) -> DataFrame:

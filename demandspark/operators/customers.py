@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import safe_div
+from ..functions.distributed import key_join
 
 
 def rfm(df: DataFrame, e: list[str], day: str, doc: str, amount: str) -> DataFrame:
@@ -196,4 +197,4 @@ def segment_lines(lines: DataFrame) -> DataFrame:
         F.sum("quantity").alias("_u"), F.count_distinct("invoice_id").alias("_o")
     )
     labels = stats.select("customer_id", segment_v2(F.col("_u"), safe_div("_u", "_o")).alias("customer_segment"))
-    return lines.join(labels, "customer_id", "left")
+    return key_join(lines, labels, ["customer_id"], "left")

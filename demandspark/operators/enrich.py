@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import flag
 from ..functions.clean import category_levels, safe_div
-from ..functions.distributed import exact_percentiles, number_rows
+from ..functions.distributed import exact_percentiles, key_join, number_rows
 from ..sources.sheets import first_by
 
 # Points taken off the quality score, and the upper bounds of its tiers.
@@ -31,12 +31,11 @@ def infer_prices(lines: DataFrame, products: DataFrame | None = None) -> DataFra
         .groupBy("sku")
         .agg(F.avg("_e").alias("_avg"))
     )
-    joined = lines.join(averages, "sku", "left")
+    references = averages.withColumn("_master", F.lit(None).cast("double"))
     if products is not None:
         master = products.where(F.col("price") > 0).select("sku", F.col("price").alias("_master"))
-        joined = joined.join(master, "sku", "left")
-    else:
-        joined = joined.withColumn("_master", F.lit(None).cast("double"))
+        references = averages.join(master, "sku", "full_outer")
+    joined = key_join(lines, references, ["sku"], "left")
     price, total = F.col("original_unit_price"), F.col("original_line_total")
     lost = (price == 0) & (total == 0)
     total_only = (price == 0) & (total > 0)
@@ -64,7 +63,7 @@ def infer_prices(lines: DataFrame, products: DataFrame | None = None) -> DataFra
 def infer_prices_median(lines: DataFrame) -> DataFrame:
     """Fill lost prices from the SKU's exact median price; a zero total becomes quantity times price."""
     medians = exact_percentiles(lines.where(F.col("unit_price") > 0), ["sku"], "unit_price", {"_median": 0.5})
-    joined = lines.join(medians, "sku", "left")
+    joined = key_join(lines, medians, ["sku"], "left")
     lost = (F.col("unit_price") == 0) & (F.col("line_total") == 0)
     price = F.when(lost, F.col("_median")).otherwise(F.col("unit_price"))
     total = F.when(F.col("line_total") == 0, F.col("quantity") * price).otherwise(F.col("line_total"))
@@ -156,7 +155,7 @@ def normalise_customers(lines: DataFrame, lookup: DataFrame) -> DataFrame:
     by_id = lookup.groupBy(F.col("original_customer_id").alias("customer_id")).agg(
         F.min(F.struct(F.col("master_customer_id").alias("m"), F.col("customer_name").alias("n"))).alias("_m2")
     )
-    joined = lines.join(by_id, "customer_id", "left").join(by_name, ["customer_id", "customer_name"], "left")
+    joined = key_join(key_join(lines, by_id, ["customer_id"], "left"), by_name, ["customer_id", "customer_name"], "left")
     return joined.withColumns(
         {
             "master_customer_id": F.coalesce("_m1", "_m2.m", F.col("customer_id").try_cast("bigint")),

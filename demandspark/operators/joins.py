@@ -40,9 +40,9 @@ def related_count(df: DataFrame, e: list[str], other: str, name: str) -> DataFra
 
 
 def on_good_weeks(df: DataFrame, completeness: DataFrame, flags=("complete", "partial")) -> DataFrame:
-    """Rows of weeks with an accepted completeness flag."""
+    """Rows of weeks with an accepted completeness flag; the week list is as short as the calendar."""
     weeks = completeness.where(F.col("data_completeness").isin(*flags)).select("year_week")
-    return df.join(weeks, "year_week", "left_semi")
+    return df.join(F.broadcast(weeks), "year_week", "left_semi")
 
 
 def compare_history(history: DataFrame, forecast: DataFrame, e: list[str], attrs: DataFrame | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import calendar_flags, cyclical, week_num, week_start, year_week
 from ..functions.clean import SEGMENT_CODES, BUYER_CODES, ordinal, safe_div
-from ..functions.distributed import number_rows, same_keys
+from ..functions.distributed import key_join, number_rows
 from ..session import cpu_tasks, pin, shared_dir
 from .baselines import NORMAL_QUANTILES
 from .evaluate import errors, wmape
@@ -403,7 +403,7 @@ def encode(df: DataFrame, fit_on: DataFrame, col: str, name: str | None = None,
     """
     name = name or f"{col}_encoded"
     codes = number_rows(fit_on.select(col).where(F.col(col).isNotNull()).distinct(), [col], name, 0)
-    return same_keys(df, codes, [col], "left").withColumn(name, F.coalesce(name, F.lit(unseen)))
+    return key_join(df, codes, [col], "left").withColumn(name, F.coalesce(name, F.lit(unseen)))
 
 
 def sku_revenue_features(df: DataFrame, e: str = "sku") -> DataFrame:

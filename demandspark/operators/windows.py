@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import week_start
 from ..functions.clean import clip, safe_div
-from ..functions.distributed import rank_large
+from ..functions.distributed import key_join, rank_large
 from .quality import outliers_z
 
 
@@ -104,7 +104,7 @@ def share(df: DataFrame, by: list[str], y: str, name: str) -> DataFrame:
     joined, not windowed.
     """
     total = df.groupBy(*by).agg(F.sum(y).alias("_t"))
-    return df.join(total, by).withColumn(name, safe_div(y, "_t")).drop("_t")
+    return key_join(df, total, by).withColumn(name, safe_div(y, "_t")).drop("_t")
 
 
 def rank_in(df: DataFrame, by: list[str], y: str, method: str = "rank", name: str = "rank") -> DataFrame:
@@ -120,7 +120,7 @@ def growth(df: DataFrame, e: list[str], t: str, y: str) -> DataFrame:
     """Growth on the previous row, and its mean over the entities of the period."""
     grown = df.withColumn("wow_growth", safe_div(y, F.lag(y, 1).over(ordered(e, t))) - 1)
     means = grown.groupBy(t).agg(F.avg("wow_growth").alias("avg_growth"))
-    return grown.join(means, t)
+    return key_join(grown, means, [t])
 
 
 def tail(df: DataFrame, e: list[str], t: list[str], n: int) -> DataFrame:

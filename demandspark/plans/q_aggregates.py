@@ -188,7 +188,7 @@ def _(t):
     lines = t.raw_lines(product=True)
     flags = agg.week_completeness(t.raw_lines()).select("year_week", "data_completeness")
     return agg.weekly_features(
-        lines.join(flags, "year_week"),
+        lines.join(F.broadcast(flags), "year_week"),
         ["sku"],
         {"order_count": "invoice_id", "unique_customers": "customer_id"},
         attrs=["description", "data_completeness"],

@@ -63,3 +63,39 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("orders", "lineitem"):
             spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+
+
+def test_a_hot_key_is_split(spark):
+    """A third of the lines on one sku: the join splits it and the grouping shuffles partial sums."""
+    from demandspark.operators import aggregates, enrich
+
+    i, n = F.col("id"), 600_000
+    mixed = F.xxhash64("id")
+    lines = spark.range(n).select(
+        F.when(i % 3 == 0, 7).otherwise(i % 5_000).alias("sku"),
+        F.pmod(mixed, F.lit(40)).cast("double").alias("quantity"),
+        F.when(i % 11 == 0, 0.0).otherwise(F.pmod(mixed, F.lit(997)) / 7).alias("unit_price"),
+        F.concat(F.lit("2024-W"), F.lpad((i % 52 + 1).cast("string"), 2, "0")).alias("year_week"),
+        mixed.cast("string").alias("invoice_id"),
+    )
+    lines = lines.withColumn("line_total", F.col("quantity") * F.col("unit_price"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        weekly = aggregates.weekly_features(enrich.infer_prices(lines), ["sku"], {"order_count": "invoice_id"})
+        rows = weekly.groupBy().agg(F.sum("weekly_quantity"), F.sum("order_count"))
+        total = rows.collect()[0]
+        final = plan(rows).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in final and "hashpartitioning(sku" in final
+    assert total[0] == lines.agg(F.sum("quantity")).first()[0] and total[1] == n
