@@ -140,18 +140,15 @@ def _(t):
 @query(
     "J10_full_outer",
     """
-    WITH r AS (SELECT brand, SUM(quantity) AS raw_qty FROM x_lines WHERE category <> 'PROMO' GROUP BY 1),
-    e AS (SELECT brand, SUM(quantity) AS extracted_qty FROM x_lines WHERE category = 'PROMO' AND brand < 'Brand#2' GROUP BY 1)
-    SELECT brand, COALESCE(raw_qty, 0) AS raw_qty, COALESCE(extracted_qty, 0) AS extracted_qty FROM r FULL JOIN e USING (brand)""",
+    WITH r AS (SELECT region_name, SUM(quantity) AS raw_qty FROM x_lines GROUP BY 1),
+    e AS (SELECT region_name, SUM(quantity) AS extracted_qty FROM x_raw GROUP BY 1)
+    SELECT region_name, COALESCE(raw_qty, 0) AS raw_qty, COALESCE(extracted_qty, 0) AS extracted_qty FROM r FULL JOIN e USING (region_name)""",
     "raw_qty extracted_qty",
 )
 def _(t):
     from ..operators.quality import reconcile_by
 
-    lines = t.lines(product=True)
-    left = lines.where(F.col("category") != "PROMO")
-    right = lines.where((F.col("category") == "PROMO") & (F.col("brand") < "Brand#2"))
-    return reconcile_by(left, right, "brand").select("brand", "raw_qty", "extracted_qty")
+    return reconcile_by(t.lines(customer=True), t.raw_lines()).select("region_name", "raw_qty", "extracted_qty")
 
 
 @query(

@@ -17,7 +17,7 @@ PARTS["x_files"] = """
              ELSE concat('dub_', region, '_', month, '_corrected.xlsx') END AS file_name
     FROM (SELECT CASE r_name WHEN 'AFRICA' THEN 'CapeTown' WHEN 'AMERICA' THEN 'Gauteng' WHEN 'ASIA' THEN 'George'
                       WHEN 'EUROPE' THEN 'Limpopo' ELSE 'Other' END AS region,
-                 strftime(o_orderdate, '%Y-%m') AS month, day(o_orderdate) % 5 AS kind
+                 strftime(o_orderdate, '%Y-%m') AS month, LEAST((day(o_orderdate) - 1) // 6, 4) AS kind
           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
           JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -33,7 +33,7 @@ def files(t: Sales):
     )
     day = F.col("invoice_date")
     rows = t.transactions().select(
-        region.alias("region"), F.date_format(day, "yyyy-MM").alias("month"), (F.dayofmonth(day) % 5).alias("kind")
+        region.alias("region"), F.date_format(day, "yyyy-MM").alias("month"), F.least(F.floor((F.dayofmonth(day) - 1) / 6), F.lit(4)).alias("kind")
     ).distinct()
     stem = F.concat_ws("_", F.lit("ZZ"), "region", "month")
     name = (
