@@ -6,6 +6,8 @@ Training statistics are one row per entity, joined onto the test rows. A total o
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,28 +122,44 @@ def exp_smoothing(
     return predict(test, level, e, y)
 
 
+def running_smoothed(df: DataFrame, e: list[str], y: str, alpha: float, name: str = "smoothed") -> DataFrame:
+    """The smoothed level after every row, from window sums instead of a fold over all earlier rows.
+
+    Within a block of rows the weights are powers relative to the block's start, so they
+    never overflow; the level at the end of the block before enters with its decayed weight.
+    """
+    keep = 1 - alpha
+    if keep <= 0:
+        return df.withColumn(name, F.col(y).cast("double"))
+    block_rows = max(1, int(100 / -math.log10(keep)))
+    w = ordered(e)
+    rows = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_block", F.floor(F.col("_i") / block_rows))
+    rows = rows.withColumn("_k", F.col("_i") - F.col("_block") * block_rows)
+    weight = F.when(F.col("_i") == 0, 1.0).otherwise(alpha) * F.pow(F.lit(keep), -F.col("_k"))
+    inner = Window.partitionBy(*e, "_block").orderBy("year_week").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_local", F.pow(F.lit(keep), F.col("_k")) * F.sum(weight * F.col(y)).over(inner))
+    block_end = F.when(F.col("_k") == block_rows - 1, F.col("_local"))
+    carried = F.last(block_end, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    level = F.col("_local") + F.coalesce(carried, F.lit(0.0)) * F.pow(F.lit(keep), F.col("_k") + 1)
+    return rows.withColumn(name, level).drop("_i", "_block", "_k", "_local")
+
+
 def walk_forward(
     df: DataFrame, e: list[str], y: str, model: str = "naive", cut: int | str = 26, n: int = 4, alpha: float = 0.3
 ) -> DataFrame:
     """one-step forecasts of the test weeks from all actuals before them.
 
-    naive is the previous row, ma the mean of the n rows before; smoothing folds the
-    array of earlier values, which is no longer than the calendar.
+    naive is the previous row, ma the mean of the n rows before, smoothing the level after
+    the previous row.
     """
     out = with_week(df)
-    w = ordered(e)
     if model == "naive":
-        point = F.lag(y, 1).over(w)
+        rows = out.withColumn("predicted", F.lag(y, 1).over(ordered(e)))
     elif model == "ma":
-        point = F.avg(y).over(frame(e, "year_week", n))
+        rows = out.withColumn("predicted", F.avg(y).over(frame(e, "year_week", n)))
     else:
-        past = F.collect_list(F.col(y).cast("double")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        point = F.aggregate(
-            past,
-            F.lit(None).cast("double"),
-            lambda s, v: F.when(s.isNull(), v).otherwise(alpha * v + (1 - alpha) * s),
-        )
-    rows = out.withColumn("predicted", point)
+        rows = running_smoothed(out, e, y, alpha, "_level")
+        rows = rows.withColumn("predicted", F.lag("_level", 1).over(ordered(e)))
     _, test = split(rows, cut)
     return test.where(F.col("predicted").isNotNull()).select(*e, "year_week", "predicted", F.col(y).alias("actual"))
 

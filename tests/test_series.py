@@ -61,6 +61,19 @@ def test_trend_is_flat_when_all_weeks_are_the_same_and_never_negative(spark):
     assert baselines.linear_trend(*falling, ["e"], "y").first()["predicted"] == 0.0
 
 
+@pytest.mark.parametrize("alpha", [0.3, 0.5, 0.95, 1.0])
+def test_running_level_of_long_series(spark, alpha):
+    """Blocks of the weighted sums are crossed: 0.95 has blocks of 76 rows."""
+    values = [100.0 + (i * 37 % 91) for i in range(400)]
+    data = [("a", f"{2000 + i // 50}-W{i % 50 + 1:02d}", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "e string, year_week string, y double")
+    got = [r["s"] for r in baselines.running_smoothed(df, ["e"], "y", alpha, "s").orderBy("year_week").collect()]
+    want = [values[0]]
+    for v in values[1:]:
+        want.append(alpha * v + (1 - alpha) * want[-1])
+    assert got == pytest.approx(want, rel=1e-12)
+
+
 def test_windows_never_see_the_current_row(spark):
     base, changed = series(spark, [1, 2, 3, 4, 5, 6]), series(spark, [1, 2, 3, 4, 5, 600])
     def last(df):
