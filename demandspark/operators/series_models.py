@@ -32,11 +32,14 @@ def best_splits(values, residual, order, owner, start, count, total, min_leaf):
     top = np.maximum.reduceat(gain, start, axis=1)
     # equally good splits differ by rounding only: the first feature and value win
     best = top.max(axis=0)
-    enough = best - 1e-8 * (1 + best)
+    enough = np.maximum(best - 1e-8 * (1 + best), best / 2)
     feature = (top >= enough).argmax(axis=0)
-    hit = (gain[feature[owner], place] >= enough[owner]) & (gain[feature[owner], place] > 0)
+    hit = (gain[feature[owner], place] >= enough[owner]) & (best > 0)[owner]
     first = np.minimum.reduceat(np.where(hit, place, len(place) - 2), start)
-    threshold = (values[feature, first] + values[feature, first + 1]) / 2
+    low, high = values[feature, first], values[feature, first + 1]
+    middle = (low + high) / 2
+    # between neighbouring doubles the middle may round up to the higher one
+    threshold = np.where(middle < high, middle, low)
     return np.where(best > 1e-9 * (1 + np.abs(total)), feature, -1), threshold
 
 

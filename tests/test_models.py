@@ -144,6 +144,27 @@ def test_boosting_many_series_equals_boosting_each_alone():
     assert np.abs(together - y)[train].mean() < np.abs(y - y.mean())[train].mean() / 3
 
 
+def test_boosting_splits_neighbouring_doubles():
+    low = 1.1
+    x = np.array([low, np.nextafter(low, 2)] * 6 + [np.nextafter(low, 2)])[:, None]
+    y = np.where(x[:, 0] > low, 5.0, 1.0)
+    train = np.arange(13) < 12
+    with np.errstate(all="raise"):
+        out = boost(np.zeros(13, int), x, y, train, trees=80)
+    assert np.allclose(out, y, atol=0.01)
+
+
+def test_boosting_survives_constant_and_tiny_signals():
+    rng = np.random.default_rng(8)
+    series, x = np.repeat(np.arange(60), 20), rng.normal(size=(1200, 4)).round(1)
+    x[:, 0] = 0.0
+    y = np.where(series % 3 == 0, 7.0, np.where(series % 3 == 1, 5 + 1e-5 * x[:, 1], x[:, 2]))
+    train = np.tile(np.arange(20) < 6, 60)
+    with np.errstate(all="raise"):
+        out = boost(series, x, y, train, trees=60)
+    assert np.isfinite(out).all() and np.allclose(out[series % 3 == 0], 7.0)
+
+
 def test_encode_and_splits(spark, rows):
     fit_on = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "k string")
     df = spark.createDataFrame([("c",), ("z",), (None,), ("a",)], "k string")
