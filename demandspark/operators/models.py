@@ -7,6 +7,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -20,15 +21,20 @@ from ..functions.calendar import calendar_flags, cyclical, week_num, week_start,
 from ..functions.clean import SEGMENT_CODES, BUYER_CODES, ordinal, safe_div
 from ..functions.distributed import key_join, number_rows
 from ..session import cpu_tasks, pin, shared_dir
+from . import series_models
 from .baselines import NORMAL_QUANTILES
 from .evaluate import errors, wmape
 from .joins import eligible, top_entities
 from .quality import outliers_iqr
+from .series_models import autoregress, boost, level_steps, matrix, ridge_each
 from .windows import fill_gaps, frame, lags, ordered
 
 GLOBAL_FEATURES = ["lag1", "lag2", "lag4", "rolling_avg_4w", "avg_unit_price", "week_num", "is_w47"]
 MAX_GROUPS = 500
 
+# the numpy fits travel with the task, so executors need no copy of this package
+register_pickle_by_value(series_models)
+
 
 def model_features(df: DataFrame, e: list[str], y: str = "weekly_quantity") -> DataFrame:
     """The features of M01-M05: every window column excludes the current row."""
@@ -165,8 +171,6 @@ def fit_each(rows: DataFrame, e: list[str], feats: list[str], predict) -> DataFr
     )
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
-        from demandspark.operators.series_models import matrix
-
         series = batch.groupby(e, sort=False, dropna=False).ngroup().to_numpy()
         train = batch["_train"].to_numpy(bool)
         values = predict(series, matrix(batch, feats), batch["_y"].to_numpy(float), train, batch)
@@ -197,8 +201,6 @@ def gbt_by_entity(
     """
 
     def predict(series, x, y, trained, _):
-        from demandspark.operators.series_models import boost
-
         return boost(series, x, y, trained, trees, depth, step)
 
     rows = pin(entity_frame(train, test, e, feats, label))
@@ -217,8 +219,6 @@ def by_pattern(
     """Sparse series by ridge, volatile ones by shallow subsampled trees, stable ones by standard trees."""
 
     def predict(series, x, y, trained, rows):
-        from demandspark.operators.series_models import boost, ridge_each
-
         kind = rows["pattern"].to_numpy()
         out = np.zeros(len(y))
         for name in ("sparse", "volatile", "stable"):
@@ -305,8 +305,6 @@ def auto_arima(
     )
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
-        from demandspark.operators.series_models import autoregress, level_steps
-
         ends = np.flatnonzero((batch[e] != batch[e].shift(-1)).any(axis=1).to_numpy()) + 1
         parts = np.split(batch["_y"].to_numpy(float), ends[:-1])
         fits = [autoregress(level_steps(y) if adjust_steps else y, h) for y in parts]

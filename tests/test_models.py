@@ -186,3 +186,24 @@ def test_ensemble_weights(spark):
     weights = {"cyclical": {"m1": 0.4, "m2": 0.6}, "default": {"m1": 0.3, "m2": 0.7}}
     out = models.ensemble({"m1": preds(10.0), "m2": preds(20.0)}, weights, patterns, ["sku"], "default")
     assert {r["sku"]: r["predicted"] for r in out.collect()} == {"a": 16.0, "b": 17.0}
+
+
+def test_fits_need_no_package_on_the_executors(tmp_path):
+    """Workers start in another folder without this package on their path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = """
+import sys; sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession, functions as F
+from demandspark.operators import models
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+weeks = spark.range(40).select(F.lit("a").alias("e"), F.concat(F.lit("2024-W"), F.lpad((F.col("id") + 1).cast("string"), 2, "0")).alias("year_week"), (F.col("id") % 4).cast("double").alias("y"))
+print("steps", models.auto_arima(weeks, ["e"], "y", h=3).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    repo = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run([sys.executable, "-c", script, repo], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "steps 3" in done.stdout, done.stderr[-2000:]
