@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, oracle, quality_rules, secrets, url_filter
-from .common import table
+import public_tokenizers
+
+from . import decontaminate, oracle, packing, quality_rules, secrets, sharding, url_filter
+from .common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -72,3 +74,23 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The rule and verdict for every page's url."""
     return url_filter.filter_urls(table(spark, folder, "pages"))
+
+
+@query()
+def op7_shard(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard and slot; shard sizes in rows are at most one apart."""
+    text = whole()
+    sized = table(spark, folder, "documents").select(
+        "doc_id",
+        "text",
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    placed = sharding.shard(sized)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query()
+def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
