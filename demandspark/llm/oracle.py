@@ -93,3 +93,31 @@ m AS (SELECT page_id, r.rule, r.verdict FROM p JOIN rules r
   QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(r.rule) DESC) = 1)
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
 """
+
+SUFFIXES = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT doc_id, i, md5(substring(x, CAST(2 * i + 1 AS BIGINT), 200)) AS s FROM (SELECT doc_id, x, unnest(range(length(x) // 2 - 99)) AS i FROM d WHERE length(x) >= 200)),
+r AS (SELECT doc_id, i FROM p QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+g AS (SELECT doc_id, i, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) > 100 AS new FROM r),
+n AS (SELECT doc_id, i, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM n GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+c AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS upto,
+  string_agg(substring(x, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS kept
+  FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN c.doc_id IS NULL THEN x ELSE kept || substring(x, CAST(2 * upto + 1 AS BIGINT)) END)) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+WORD_WINDOWS = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+') AS w FROM documents),
+p AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 50], ' ') AS s FROM (SELECT doc_id, w, unnest(range(len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+r AS (SELECT doc_id, i FROM p QUALIFY doc_id > min(doc_id) OVER (PARTITION BY s)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM r),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS j FROM d),
+k AS (SELECT words.doc_id, count(*) FILTER (gone.j IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY words.j) FILTER (gone.j IS NULL) AS kept
+  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.j = words.j GROUP BY words.doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

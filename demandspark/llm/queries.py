@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import decontaminate, oracle, packing, quality_rules, secrets, sharding, url_filter
+from . import decontaminate, oracle, packing, quality_rules, rlz_dedup, secrets, sharding, suffix_dedup, url_filter
 from .common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,17 @@ def op7_shard(spark: SparkSession, folder: str) -> DataFrame:
 def op10_pack(spark: SparkSession, folder: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query(oracle.SUFFIXES)
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document in a 100-byte string that also starts earlier."""
+    cut = suffix_dedup.deduplicate(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", sha(F.col("kept")).alias("kept_sha256"))
+
+
+@query(oracle.WORD_WINDOWS)
+def op6_rlz_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document in a 50-word window that also starts in a document of smaller id."""
+    cut = rlz_dedup.deduplicate(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", sha(F.col("text")).alias("kept_sha256"))
