@@ -121,3 +121,15 @@ k AS (SELECT words.doc_id, count(*) FILTER (gone.j IS NOT NULL) AS n_removed, st
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """
+
+JACCARD = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^{SPACE}]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, to_id) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.to_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
+"""

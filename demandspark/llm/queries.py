@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import decontaminate, oracle, packing, quality_rules, rlz_dedup, secrets, sharding, suffix_dedup, url_filter
+from . import decontaminate, jaccard, oracle, packing, quality_rules, rlz_dedup, secrets, sharding, suffix_dedup, url_filter
 from .common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def op6_rlz_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document in a 50-word window that also starts in a document of smaller id."""
     cut = rlz_dedup.deduplicate(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", sha(F.col("text")).alias("kept_sha256"))
+
+
+@query(oracle.JACCARD)
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document under links of at least 0.9 on 3-word shingles."""
+    return jaccard.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
