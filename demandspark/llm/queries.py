@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import decontaminate, jaccard, oracle, packing, quality_rules, rlz_dedup, secrets, sharding, suffix_dedup, url_filter
+from . import classifier, decontaminate, jaccard, oracle, packing, quality_rules, rlz_dedup, secrets, sharding, suffix_dedup, url_filter
 from .common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,12 @@ def op6_rlz_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """The component of every document under links of at least 0.9 on 3-word shingles."""
     return jaccard.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document by a model of the labels that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = classifier.train(docs, table(spark, folder, "labels"))
+    held = classifier.held_out(F.col("doc_id")).alias("held_out")
+    return classifier.score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
