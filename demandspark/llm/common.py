@@ -102,7 +102,8 @@ def text_key(text: str = "text") -> Column:
 def only(docs: DataFrame, decided: DataFrame, how: str = "left_semi") -> DataFrame:
     """The rows of `docs` with (or, for left_anti, without) their doc_id and text_key in `decided`; null ids match."""
     side = decided.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    return docs.join(side, F.col("_id").eqNullSafe(docs["doc_id"]) & (F.col("_key") == F.xxhash64(F.coalesce(docs["text"], F.lit("")))), how)
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(side, side["_id"].eqNullSafe(docs["doc_id"]) & (side["_key"] == key), how)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

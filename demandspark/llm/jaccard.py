@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .common import drop, written
+from .common import drop, only, written
 from .links import components
 
 N, PERCENT = 3, 90
@@ -51,14 +51,14 @@ def set_id(found: np.ndarray) -> int:
 
 
 def per_text(docs: DataFrame, n: int, schema: str, columns, make) -> DataFrame:
-    """Rows that `make` yields for every (doc_id, tokens) as a tuple of columns, each a value or an array."""
+    """Rows that `make` gives for every text, by its doc_id, key and tokens, as a tuple of columns; None for no row."""
     names, types = zip(*columns)
 
     def work(batches):
         for batch in batches:
             held, size = [], 0
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("data").to_pylist()):
-                row = make(doc_id, tokens(data, n))
+            for doc_id, key, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "data"))):
+                row = make(doc_id, key, tokens(data, n))
                 if row is None:
                     continue
                 held.append(row)
@@ -72,23 +72,23 @@ def per_text(docs: DataFrame, n: int, schema: str, columns, make) -> DataFrame:
     def joined(held):
         return pa.RecordBatch.from_arrays([pa.array([x for part in column for x in part] if isinstance(column[0], list) else np.concatenate(column), kind) for column, kind in zip(zip(*held), types)], list(names))
 
-    return docs.select("doc_id", "data").mapInArrow(work, schema)
+    return docs.select("doc_id", "key", "data").mapInArrow(work, schema)
 
 
 def sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, size of the set, its id (0 for none), number of its tokens that the first order counts."""
+    """doc_id, key, size of the set, its id (0 for none), number of its tokens that the first order counts."""
 
-    def make(doc_id, found):
-        return [doc_id], [len(found)], [set_id(found) if len(found) else 0], [int((found < LOW).sum())]
+    def make(doc_id, key, found):
+        return [doc_id], [key], [len(found)], [set_id(found) if len(found) else 0], [int((found < LOW).sum())]
 
-    columns = [("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("n_low", pa.int64())]
-    return per_text(docs, n, "doc_id long, n long, set long, n_low long", columns, make)
+    columns = [("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("n_low", pa.int64())]
+    return per_text(docs, n, "doc_id long, key long, n long, set long, n_low long", columns, make)
 
 
 def ranked_tokens(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(token, set, high): the tokens that can be in a prefix of the first order."""
 
-    def make(doc_id, found):
+    def make(doc_id, key, found):
         low = int(np.searchsorted(found, LOW))
         upto = max(low, min(prefix(len(found), percent), len(found)))
         if not upto:
@@ -102,7 +102,7 @@ def ranked_tokens(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def whole_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(set, tokens, one, two): whole sets, and their prefixes under the other orders."""
 
-    def make(doc_id, found):
+    def make(doc_id, key, found):
         p = prefix(len(found), percent)
         others = [blocks.mixed(found ^ order) for order in ORDERS]
         firsts = [np.partition(x, min(p, len(x)) - 1)[:p] for x in others]
@@ -215,7 +215,7 @@ def similar(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, set (equal for equal sets), component_id.
+    """One row per row of `docs`: doc_id, text_key, n_shingles, component (null without shingles), component_id.
 
     Words are what stands between white space (0x20, 0x09 to 0x0D), A-Z in lower case. A text with fewer than n words
     has one shingle, all of it; null, empty and wordless texts have none and are linked with nothing: their component
@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     component unless it has no other. Rows of one id are documents of their own. An empty table gives no rows. Other
     columns are not read. Sets, and shingles, are equal where their 64-bit hashes are.
     """
-    texts = blocks.keyed(docs).select("doc_id", "data")
+    texts = blocks.keyed(docs).select("doc_id", "key", "data")
     found = written(sets(texts, n, percent), "set-ids")
     known = found.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("n_low").alias("n_low"))
     known = written(known, "known-sets")
@@ -231,8 +231,19 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     named = known.join(linked, F.col("set") == F.col("node"), "left").select("set", "doc_id", F.coalesce("component", "set").alias("component"))
     named = written(named, "named-sets")
     least = written(named.groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("component_id")), "least-ids")
-    by_set = named.join(least, F.col("component") == F.col("_component")).select(F.col("set").alias("_set"), "component_id")
+    by_set = named.join(least, F.col("component") == F.col("_component")).select(F.col("set").alias("_set"), "component", "component_id")
     by_set = written(by_set, "components-by-set")
     joined = found.join(by_set, F.col("set") == F.col("_set"), "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), "set", component.alias("component_id"))
+    smallest = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", F.col("key").alias("text_key"), F.col("n").alias("n_shingles"), "component", smallest.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` with one document of each component, that of the smallest (doc_id, text_key), null ids last.
+
+    Documents without shingles stay. Rows equal in id and text are one document, so they stay or go together.
+    """
+    found = near_duplicates(docs, n, percent)
+    order = F.struct(F.coalesce("doc_id", F.lit(blocks.LAST)), "text_key", "doc_id")
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_key")
+    return only(docs, first.unionAll(found.where("n_shingles = 0").select("doc_id", "text_key").distinct()))

@@ -92,7 +92,8 @@ def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT) ->
     hits = lines.join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
     # a set, so that rows repeating a document do not count its lines again
     lost = hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("host").alias("_host")).agg(F.collect_set(F.struct("place", "line", "words")).alias("gone"))
-    base = statistics(docs, host)
+    # written: a caller's filter on the counts must not be pushed below, into the work on words
+    base = written(statistics(docs, host), "statistics")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")) & F.col("host").eqNullSafe(F.col("_host"))
     return (
         base.join(lost, same, "left")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import CLEANUP, fresh_path, whole
+from .common import CLEANUP, fresh_path, whole, written
 
 
 @dataclass(frozen=True)
@@ -145,8 +145,6 @@ def scan_paths(versions: DataFrame, paths: list[str], ledger: str | None = None,
     Blobs with findings are written as a table of their own before the join with all paths, so that the join shuffles
     both sides itself and Spark splits a blob that a third of all paths hold.
     """
-    from .common import written
-
     spark = versions.sparkSession
     ledger = ledger or fresh_path(spark, "ledger")
     found = written(spans_by_blob(scan(versions.select("text"), ledger, rules), rules), "secret-spans")
