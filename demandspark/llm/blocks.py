@@ -3,157 +3,28 @@
 Of each window of `width` symbols the smallest of its hashed k-grams is its block. Equal windows have equal blocks,
 and neighbouring windows mostly share theirs, so a text has about one block in (width - k) / 2 symbols. Windows that
 follow each other with the same block are a run. Blocks are compared between all texts first, then the whole runs
-around repeated blocks, and only where runs around one block differ are single windows compared.
-
-The numpy code below works on one segment of symbols at a time, whatever the length of a text.
+around repeated blocks. Where runs around one block differ, the symbols next to the block on either side are compared,
+and only windows that reach over a repeated side are compared one by one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, whole, written
+from . import symbols
+from .common import drop, small_batches, whole, written
+from .symbols import Rolling, mixed, runs, segments
 
-SEGMENT = 1 << 20
 LAST = 2**63 - 1
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-
-_powers: dict = {}
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection that spreads 64-bit values; the shifts and factors are the published splitmix64 ones."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd factor modulo 2^64 from 0 to n - 1, and of its inverse."""
-    if len(_powers.get("up", ())) < n:
-        factor = int(MULTIPLIER) ^ 0x5851F42D00000000
-        for name, base in (("up", factor), ("down", pow(factor, -1, 2**64))):
-            steps = np.full(max(n, SEGMENT + 4096), base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps)
-    return _powers["up"][:n], _powers["down"][:n]
-
-
-class Rolling:
-    """Hash of any stretch of a symbol array, from prefix sums."""
-
-    def __init__(self, symbols: np.ndarray):
-        up, self.down = powers(len(symbols) + 1)
-        self.sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * up[: len(symbols)], out=self.sums[1:])
-
-    def window(self, at, size):
-        return (self.sums[at + size] - self.sums[at]) * self.down[at]
 
+# the numpy work travels with the tasks, so executors need no copy of this package
+register_pickle_by_value(symbols)
 
-def byte_symbols(data: bytes) -> np.ndarray:
-    return BYTE[np.frombuffer(data, np.uint8)]
-
-
-def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of UTF-8 text, that is of runs without 0x20 and 0x09 to 0x0D."""
-    raw = np.frombuffer(data, np.uint8)
-    word = np.zeros(len(raw) + 2, np.int8)
-    word[1:-1] = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
-    edge = np.diff(word)
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
-def pieces_at_space(data: bytes, most: int = SEGMENT):
-    """Long text in pieces that end at white space where there is some."""
-    at = 0
-    while len(data) - at > most:
-        end = max(data.rfind(c, at, at + most) for c in (b" ", b"\n"))
-        end = at + most if end <= at else end
-        if end == at + most:  # a word longer than a piece
-            ends = [e for e in (data.find(c, end) for c in (b" ", b"\n")) if e >= 0]
-            end = min(ends, default=len(data))
-        yield data[at:end]
-        at = end
-    yield data[at:]
-
-
-def word_symbols(data: bytes) -> np.ndarray:
-    """One 64-bit value for each word."""
-    out = []
-    for piece in pieces_at_space(data):
-        starts, ends = word_bounds(piece)
-        out.append(mixed(Rolling(byte_symbols(piece)).window(starts, ends - starts)))
-    return out[0] if len(out) == 1 else np.concatenate(out)
-
-
-def segments(texts: list[bytes], symbols_of, width: int):
-    """(row numbers, offsets in their text, bounds in the segment, symbols) of stretches that hold all windows.
-
-    Texts are put together up to `SEGMENT` symbols; longer ones are cut, each cut sharing width - 1 symbols.
-    """
-    rows, offsets, bounds, held, size = [], [], [0], [], 0
-    for row, text in enumerate(texts):
-        symbols = symbols_of(text)
-        for at in range(0, max(1, len(symbols) - width + 1), SEGMENT - width):
-            part = symbols[at : at + SEGMENT - 1]
-            if len(part) < width:
-                continue
-            if size + len(part) > SEGMENT:
-                yield rows, offsets, bounds, np.concatenate(held)
-                rows, offsets, bounds, held, size = [], [], [0], [], 0
-            size += len(part)
-            rows.append(row)
-            offsets.append(at)
-            bounds.append(size)
-            held.append(part)
-    if held:
-        yield rows, offsets, bounds, np.concatenate(held)
-
-
-def first_smallest(keys: np.ndarray, w: int) -> np.ndarray:
-    """For each w keys in a row the place of the smallest one, the first of equals; at most 2^20 keys."""
-    low = np.uint64(SEGMENT - 1)
-    least = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
-    span = 1
-    while 2 * span <= w:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < w:
-        least = np.minimum(least[: len(least) - (w - span)], least[w - span :])
-    return (least & low).astype(np.int64)
-
-
-def runs(bounds: list[int], symbols: np.ndarray, width: int, k: int):
-    """Arrays: number of the text, first window and number of windows of each run, its block, its context."""
-    rolling = Rolling(symbols)
-    grams = mixed(rolling.window(np.arange(len(symbols) - k + 1), k))
-    smallest = first_smallest(grams, width - k + 1)
-    edges = np.asarray(bounds)
-    inside = np.ones(len(smallest), bool)
-    for edge in edges[1:-1]:
-        inside[edge - width + 1 : edge] = False
-    at = np.flatnonzero(inside)
-    where = smallest[at]
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) != 1) | (np.diff(where) != 0)
-    begin = np.flatnonzero(new)
-    start, count, place = at[begin], np.diff(np.append(begin, len(at))), where[begin]
-    shape = ((place - start) << 20 | count).astype(np.uint64)
-    context = mixed(rolling.window(start, count + width - 1) ^ mixed(shape))
-    text = np.searchsorted(edges, start, "right") - 1
-    return text, start - edges[text], count, grams[place], context
-
-
-RUN = "id long, key long, start long, count int, block long, context long"
+RUN = "id long, key long, start long, count int, place int, block long, context long, sides long"
 
 
 def run_rows(docs: DataFrame, symbols_of, width: int, k: int) -> DataFrame:
@@ -162,11 +33,12 @@ def run_rows(docs: DataFrame, symbols_of, width: int, k: int) -> DataFrame:
     def work(batches):
         for batch in batches:
             ids, keys = (np.array(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("id", "key"))
-            for rows, offsets, bounds, symbols in segments(batch.column("data").to_pylist(), symbols_of, width):
-                text, start, count, block, context = runs(bounds, symbols, width, k)
+            for rows, offsets, bounds, values in segments(batch.column("data").to_pylist(), symbols_of, width):
+                text, start, count, place, block, context, sides = runs(bounds, values, width, k)
                 row = np.asarray(rows)[text]
-                columns = [ids[row], keys[row], start + np.asarray(offsets)[text], count.astype(np.int32), block.view(np.int64), context.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "key", "start", "count", "block", "context"])
+                columns = [ids[row], keys[row], start + np.asarray(offsets)[text], count.astype(np.int32), place.astype(np.int32)]
+                columns += [x.view(np.int64) for x in (block, context, sides)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "key", "start", "count", "place", "block", "context", "sides"])
 
     return docs.select("id", "key", "data").mapInArrow(work, RUN)
 
@@ -176,17 +48,17 @@ def window_rows(asked: DataFrame, symbols_of, width: int) -> DataFrame:
 
     `asked` has id, key, data and todo, an array of (start, count).
     """
-    half = width // 2
+    half, segment = width // 2, symbols.SEGMENT
 
     def work(batches):
         for batch in batches:
             for id_, key, data, todo in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "data", "todo"))):
-                symbols = symbols_of(data)
+                values = symbols_of(data)
                 wanted = np.unique(np.concatenate([np.arange(t["start"], t["start"] + t["count"]) for t in todo]))
-                for low in range(0, len(symbols), SEGMENT):
-                    own = wanted[(wanted >= low) & (wanted < low + SEGMENT)] - low
+                for low in range(0, len(values), segment):
+                    own = wanted[(wanted >= low) & (wanted < low + segment)] - low
                     if len(own):
-                        rolling = Rolling(symbols[low : low + SEGMENT + width])
+                        rolling = Rolling(values[low : low + segment + width])
                         a, b = mixed(rolling.window(own, half)), mixed(rolling.window(own + half, width - half))
                         columns = [np.full(len(own), id_), np.full(len(own), key), own + low, a.view(np.int64), b.view(np.int64)]
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "key", "start", "a", "b"])
@@ -196,6 +68,7 @@ def window_rows(asked: DataFrame, symbols_of, width: int) -> DataFrame:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, id (null ids last), key (of the text), data (UTF-8, empty for null); rows equal in both are one row."""
+    small_batches(docs.sparkSession)
     text = whole()
     return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("data"))
 
@@ -210,38 +83,37 @@ def earlier_windows(docs: DataFrame, symbols_of, width: int, k: int, order: list
     place = F.struct(*order)
     all_runs = run_rows(docs, symbols_of, width, k)
     # ranks of blocks: those of a single row drop out
-    shared = written(all_runs.groupBy("block").agg(share.alias("matters")).where("matters").select("block"), "shared-blocks")
+    shared = written(all_runs.groupBy("block").agg(share.alias("matters")).where("matters").select("block"), "shared-blocks", few_files=True)
     kept = written(all_runs.join(shared, "block", "left_semi"), "runs")
     drop(shared)
     # ranks of whole runs: all but the first of equal ones repeat it
-    first = written(kept.groupBy("block", "context").agg(F.min(place).alias("first")), "first-runs")
-    differ = written(kept.groupBy("block").agg((F.min("context") != F.max("context")).alias("differs")).where("differs").select("block"), "differing-blocks")
+    first = written(kept.groupBy("block", "context").agg(F.min(place).alias("first")), "first-runs", few_files=True)
     judged = kept.join(first, ["block", "context"]).withColumn("later", place > F.col("first"))
     repeated = judged.where("later").select("id", "key", "start", (F.col("start") + F.col("count") + width - 1).alias("end"))
-    open_runs = judged.where("not later").join(differ, "block", "left_semi")
-    todo = open_runs.groupBy("id", "key").agg(F.collect_set(F.struct("start", "count")).alias("todo"))
-    todo = written(todo, "open-runs")
+    # ranks of blocks with a side: a window reaches over the left side, or else over the right one
+    n_left = F.greatest(F.lit(0), F.least(F.col("count"), F.col("place") - (width - k) // 2 + 1))
+    part = lambda name, side, at, n: F.struct(F.lit(name).alias("part"), side.alias("side"), at.alias("from"), n.alias("n"))
+    left = part("left", F.shiftright("sides", 32), F.col("start"), n_left)
+    right = part("right", F.col("sides").bitwiseAND(F.lit(2**32 - 1)), F.col("start") + n_left, F.col("count") - n_left)
+    parts = F.explode(F.array(left, right))
+    heads = judged.where("not later").select("id", "key", "block", "context", parts.alias("p")).where("p.n > 0")
+    heads = written(heads.select("id", "key", "context", "p.from", "p.n", F.xxhash64("block", "p.part", "p.side").alias("rank")), "sides")
+    differ = written(heads.groupBy("rank").agg((F.min("context") != F.max("context")).alias("differs")).where("differs").select("rank"), "repeated-sides", few_files=True)
+    open_parts = heads.join(differ, "rank", "left_semi")
+    todo = open_parts.groupBy("id", "key").agg(F.collect_set(F.struct(F.col("from").alias("start"), F.col("n").alias("count"))).alias("todo"))
+    todo = written(todo, "open-parts", few_files=True)
+    drop(heads, differ)
     # ranks of single windows, as pairs of the ranks of their halves
     asked = docs.select("id", "key", "data").join(todo, ["id", "key"]).dropDuplicates(["id", "key"])
     windows = written(window_rows(asked, symbols_of, width), "windows")
-    least = written(windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last"), "first-windows")
+    least = written(windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last"), "first-windows", few_files=True)
     later = windows.join(least, ["a", "b"]).where(place > F.col("first")).select("id", "key", "start", (F.col("start") + width).alias("end"))
     spans = repeated.unionAll(later).groupBy("id", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = written(spans, "spans")
-    drop(kept, first, differ, todo, windows, least)
+    spans = written(spans, "spans", few_files=True)
+    drop(kept, first, todo, windows, least)
     return spans
 
 
-def cover(spans, n: int) -> np.ndarray:
-    """Which of n symbols lie in a span."""
-    if not spans:
-        return np.zeros(n, bool)
-    steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, [s["start"] for s in spans], 1)
-    np.add.at(steps, [s["end"] for s in spans], -1)
-    return np.cumsum(steps[:-1]) > 0
-
-
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, data and spans (null: none) of every text."""
     side = spans.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "spans")

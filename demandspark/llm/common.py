@@ -36,12 +36,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, few_files: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, whatever executor is lost later.
 
     The shuffle files of the writing job are removed when it has ended, since only the table is read afterwards.
+    With `few_files`, for tables far smaller than the input, the last tasks are as many as four for each core.
     """
     spark = df.sparkSession
+    schema = df.schema
+    if few_files:
+        df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     path = fresh_path(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -49,7 +53,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    table = spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
     table.scratch_path = path
     return table
 
@@ -77,6 +81,12 @@ def remove_all() -> None:
             return
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of a few megabytes, however long they are; the session keeps the setting."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is; `lower` alone would also change letters beyond ASCII."""
     replaced = text

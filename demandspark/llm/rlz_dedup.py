@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
+from .symbols import cover, word_symbols
 
 WIDTH, BLOCK = 50, 10
 
@@ -21,7 +22,7 @@ WIDTH, BLOCK = 50, 10
 def duplicate_spans(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """(id, key, spans) in words, for texts with a window of `width` words that starts in a document of smaller id."""
     two_ids = F.min("id") < F.max("id")
-    return blocks.earlier_windows(blocks.keyed(docs), blocks.word_symbols, width, block, ["id"], two_ids)
+    return blocks.earlier_windows(blocks.keyed(docs), word_symbols, width, block, ["id"], two_ids)
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
@@ -37,7 +38,7 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> Data
             out = []
             for doc_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "data", "spans"))):
                 words = data.split()
-                gone = blocks.cover(spans, len(words))
+                gone = cover(spans, len(words))
                 n = int(gone.sum())
                 kept = [w for w, g in zip(words, gone.tolist()) if not g] if n else words
                 out.append((doc_id, len(words), n, b" ".join(kept)))

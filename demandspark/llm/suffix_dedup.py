@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
+from .symbols import byte_symbols, cover
 
 WIDTH, BLOCK = 100, 32
 
@@ -23,7 +24,7 @@ WIDTH, BLOCK = 100, 32
 def duplicate_spans(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """(id, key, spans) in bytes, for texts with a string of `width` bytes that also starts earlier."""
     twice = F.count("*") > 1
-    return blocks.earlier_windows(blocks.keyed(docs), blocks.byte_symbols, width, block, ["id", "key", "start"], twice)
+    return blocks.earlier_windows(blocks.keyed(docs), byte_symbols, width, block, ["id", "key", "start"], twice)
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
@@ -41,7 +42,7 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> Data
         for batch in batches:
             out = []
             for doc_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "data", "spans"))):
-                gone = blocks.cover(spans, len(data))
+                gone = cover(spans, len(data))
                 n = int(gone.sum())
                 starts = int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum())
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if n else data
