@@ -13,13 +13,19 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import tokens
-from .common import whole, written
+from . import bins, tokens
+from .bins import best_fit
+from .common import small_batches, whole, written
+from .tokens import Encoder, chunks
 
 LENGTH, NODE, SLACK = 2048, 20_000, 16
+
+register_pickle_by_value(bins)
+register_pickle_by_value(tokens)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BINS = "node int, bin long, fill int, pieces array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>>"
 
@@ -28,18 +34,23 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, end: int = 0,
     """Per document (null: empty text) its ids, then `end`, cut into pieces of `length`; `ids` too if asked for."""
 
     def cut(batches):
-        encoder = tokens.encoder(vocabulary)
-        for batch in batches:
-            rows = batch.to_pydict()
-            for texts, ids in tokens.chunks(rows["text"], rows["doc_id"]):
-                found = []
-                for doc_id, own in zip(ids, encoder.texts(texts, end)):
-                    for k, at in enumerate(range(0, len(own), 4 * length)):
-                        part = own[at : at + 4 * length]
-                        found.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), np.frombuffer(part, "<i4")))
-                columns = [pa.array(column, kind) for column, kind in zip(zip(*found), types)]
-                yield pa.RecordBatch.from_arrays(columns[: len(names)], names)
-
+        encoder = Encoder(vocabulary)
+        try:
+            for batch in batches:
+                rows = batch.to_pydict()
+                for texts, ids in chunks(rows["text"], rows["doc_id"]):
+                    found = [piece for doc_id, own in zip(ids, encoder.texts(texts, end)) for piece in pieces_of(doc_id, own)]
+                    columns = [pa.array(column, kind) for column, kind in zip(zip(*found), types)]
+                    yield pa.RecordBatch.from_arrays(columns[: len(names)], names)
+        finally:
+            encoder.close()
+
+    def pieces_of(doc_id, own: bytes):
+        for k, at in enumerate(range(0, len(own), 4 * length)):
+            part = own[at : at + 4 * length]
+            yield doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), np.frombuffer(part, "<i4")
+
+    small_batches(docs.sparkSession)
     types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()) if with_ids else pa.null())
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5]
     if not with_ids:
@@ -48,31 +59,6 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, end: int = 0,
     return rows.mapInArrow(cut, PIECES + (", ids array<int>" if with_ids else ""))
 
 
-def best_fit(fills: np.ndarray, length: int) -> list[int]:
-    """Of items ordered by falling size the bin each goes to: the open bin it leaves least room in, else a new one.
-
-    Open bins are kept by their room; the rooms that occur are the bits of one integer, so the least room that is
-    enough is its lowest bit from the item's size on.
-    """
-    by_room: dict[int, list[int]] = {}
-    rooms, bins, target = 0, 0, []
-    for size in fills.tolist():
-        enough = rooms >> size
-        if enough:
-            room = size + (enough & -enough).bit_length() - 1
-            stack = by_room[room]
-            chosen = stack.pop()
-            if not stack:
-                rooms &= ~(1 << room)
-        else:
-            room, chosen, bins = length, bins, bins + 1
-        target.append(chosen)
-        if left := room - size:
-            by_room.setdefault(left, []).append(chosen)
-            rooms |= 1 << left
-    return target
-
-
 def pack_node(length: int, level: int):
     """A function that gives the bins of one node from its items (fill, pieces): the pieces of merged items follow each other."""
 
@@ -112,7 +98,7 @@ def pack(items: DataFrame, length: int = LENGTH, node: int = NODE, slack: int =
         dealt = open_bins.select(F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(nodes)).cast("int").alias("node"), "bin", "fill", "pieces")
         level += 1
         packed = dealt.groupBy("node").applyInPandas(pack_node(length, level), BINS)
-        packed = written(packed, f"bins-{level}")
+        packed = written(packed, f"bins-{level}", few_files=True)
         if nodes == 1:
             done.append(packed.select("bin", "pieces"))
             break
