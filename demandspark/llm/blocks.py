@@ -90,6 +90,7 @@ def earlier_windows(docs: DataFrame, symbols_of, width: int, k: int, order: list
     first = written(kept.groupBy("block", "context").agg(F.min(place).alias("first")), "first-runs", few_files=True)
     judged = kept.join(first, ["block", "context"]).withColumn("later", place > F.col("first"))
     repeated = judged.where("later").select("id", "key", "start", (F.col("start") + F.col("count") + width - 1).alias("end"))
+    repeated = written(repeated, "repeated-runs")
     # ranks of blocks with a side: a window reaches over the left side, or else over the right one
     n_left = F.greatest(F.lit(0), F.least(F.col("count"), F.col("place") - (width - k) // 2 + 1))
     part = lambda name, side, at, n: F.struct(F.lit(name).alias("part"), side.alias("side"), at.alias("from"), n.alias("n"))
@@ -102,15 +103,19 @@ def earlier_windows(docs: DataFrame, symbols_of, width: int, k: int, order: list
     open_parts = heads.join(differ, "rank", "left_semi")
     todo = open_parts.groupBy("id", "key").agg(F.collect_set(F.struct(F.col("from").alias("start"), F.col("n").alias("count"))).alias("todo"))
     todo = written(todo, "open-parts", few_files=True)
-    drop(heads, differ)
+    drop(kept, first, heads, differ)
     # ranks of single windows, as pairs of the ranks of their halves
     asked = docs.select("id", "key", "data").join(todo, ["id", "key"]).dropDuplicates(["id", "key"])
     windows = written(window_rows(asked, symbols_of, width), "windows")
-    least = written(windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last"), "first-windows", few_files=True)
-    later = windows.join(least, ["a", "b"]).where(place > F.col("first")).select("id", "key", "start", (F.col("start") + width).alias("end"))
+    drop(todo)
+    first = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = written(first, "first-windows", few_files=True)
+    later = windows.join(first, ["a", "b"]).where(place > F.col("first")).select("id", "key", "start", (F.col("start") + width).alias("end"))
+    later = written(later, "later-windows")
+    drop(windows, first)
     spans = repeated.unionAll(later).groupBy("id", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = written(spans, "spans", few_files=True)
-    drop(kept, first, todo, windows, least)
+    drop(repeated, later)
     return spans
 
 
