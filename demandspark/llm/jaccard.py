@@ -1,53 +1,42 @@
 """Exact Jaccard join of documents on word n-grams by prefix filters under several global orders.
 
-If two sets reach the similarity, they share a token among the first p of each, under any order of all tokens. The
-first order puts rare tokens first and makes the candidates; two more orders, by other hashes of the tokens, must
-also give a shared prefix token; what passes all is verified on the whole sets.
+If two sets reach the similarity, they share a token among the first p of each, under any order of all tokens.
 
-The first order ranks tokens of a fixed 3/16 of the hash space by how many rows hold them, then all others by hash.
-So only tokens of that share are counted and shuffled, and a text that has too few of them adds others.
+The first order ranks the tokens of a fixed 3/16 of the hash space by how many rows hold them, and puts all others
+after them by hash. So of the tokens of all texts only that share is counted and shuffled (a set that has too few of
+them adds others). Sets without a shared token among their first p drop out, which most do.
 
-Candidates are not all pairs of the texts that share a token. Each token's texts are first compared with one of
-them. Links join texts to components; then only texts of different components are compared, in a hub at a time while
-those pairs are many, and all that are left in the end. No link between components is lost.
+The second order ranks all tokens of the sets that are left, again the rarest first. A group is a token with a range
+of set sizes; sets that share a group are candidates if the tokens before the shared one leave enough to share, which
+holds at the first token that a linked pair shares. A third order, by another hash, must give a shared token as well;
+what passes all is verified on the whole sets.
+
+Candidates are not all pairs of a group. Its sets are first compared with one of them, its hub. Links join sets to
+components; then only sets of different components are compared, with eight times as many hubs each round while such
+pairs are many, and all that are left in the end. No link between components is lost.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import blocks
+from . import blocks, shingles
 from .common import drop, only, written
 from .links import components
+from .shingles import ORDERS, prefix, set_id, tokens
+from .symbols import mixed
 
 N, PERCENT = 3, 90
 LOW = np.uint64(3 << 60)  # the share of the hash space that the first order counts
-ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-PENDING = 4
-
-
-def tokens(text: bytes, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams; with fewer words the whole sequence is one."""
-    words = blocks.word_symbols(text.lower())  # of bytes: A-Z only
-    size = min(n, len(words))
-    if not size:
-        return np.zeros(0, np.uint64)
-    grams = blocks.mixed(blocks.Rolling(words).window(np.arange(len(words) - size + 1), size) + np.uint64(size))
-    return np.unique(grams)
-
-
-def prefix(n: int, percent: int) -> int:
-    return n + (-percent * n // 100) + 1 if n else 0
-
+PENDING = 64
 
-def set_id(found: np.ndarray) -> int:
-    """A hash of the set as a whole."""
-    total = np.sum(blocks.mixed(found ^ ORDERS[0]), dtype=np.uint64), np.sum(blocks.mixed(found ^ ORDERS[1]), dtype=np.uint64)
-    value = blocks.mixed(np.array([total[0]], np.uint64) ^ blocks.mixed(np.array([total[1] + np.uint64(len(found))], np.uint64)))
-    return int(value.view(np.int64)[0])
+register_pickle_by_value(shingles)
 
 
 def per_text(docs: DataFrame, n: int, schema: str, columns, make) -> DataFrame:
@@ -100,117 +89,176 @@ def ranked_tokens(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(set, tokens, one, two): whole sets, and their prefixes under the other orders."""
+    """(set, n, tokens, other): whole sets, and their prefixes under the third order."""
 
     def make(doc_id, key, found):
         p = prefix(len(found), percent)
-        others = [blocks.mixed(found ^ order) for order in ORDERS]
-        firsts = [np.partition(x, min(p, len(x)) - 1)[:p] for x in others]
-        return [set_id(found)], [found.view(np.int64)], *([x.view(np.int64)] for x in firsts)
+        other = np.partition(mixed(found ^ ORDERS[0]), min(p, len(found)) - 1)[:p]
+        return [set_id(found)], [len(found)], [found.view(np.int64)], [other.view(np.int64)]
 
     kind = pa.list_(pa.int64())
-    columns = [("set", pa.int64()), ("tokens", kind), ("one", kind), ("two", kind)]
-    return per_text(docs, n, "set long, tokens array<long>, one array<long>, two array<long>", columns, make)
+    columns = [("set", pa.int64()), ("n", pa.int64()), ("tokens", kind), ("other", kind)]
+    return per_text(docs, n, "set long, n long, tokens array<long>, other array<long>", columns, make)
 
 
-def prefix_rows(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
-    """(token, set, n): prefixes under the first order, without tokens that only one set has there."""
+def prefix_length(percent: int):
+    return (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+
+
+def first_candidates(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
+    """The sets (`_set`) that share a token with another one in their prefix under the first order."""
     ranked = ranked_tokens(docs, n, percent)
     counted = ranked.groupBy("token").agg(F.count("*").alias("df"), F.min("set").alias("a"), F.max("set").alias("b"))
     shared = written(counted.where("a <> b").select("token", "df"), "shared-tokens")
     kept = written(ranked.join(shared, "token"), "ranked-tokens")
     ordered = kept.groupBy("set").agg(F.sort_array(F.collect_set(F.struct("high", "df", "token"))).alias("tokens"))
     size = known.select(F.col("set").alias("_set"), "n", "n_low")
-    # tokens of one set only stand before all others of the counted share
+    # tokens of one set only stand before all others of the counted share; beyond it only those were listed that are
+    # in the prefix
     shared_low = F.size(F.filter("tokens", lambda t: ~t["high"]))
-    p = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    left = F.greatest(p - (F.col("n_low") - shared_low), F.lit(0)).cast("int")
-    # of the others only those were listed that are in the prefix
+    left = F.greatest(prefix_length(percent) - (F.col("n_low") - shared_low), F.lit(0)).cast("int")
     taken = F.concat(F.slice("tokens", F.lit(1), F.least(left, shared_low)), F.filter("tokens", lambda t: t["high"]))
-    rows = ordered.join(size, F.col("set") == F.col("_set")).select("set", "n", F.explode(taken).alias("t"))
-    out = written(rows.select(F.col("t.token").alias("token"), "set", "n"), "prefixes")
+    rows = ordered.join(size, F.col("set") == F.col("_set")).select("set", "n", F.explode(F.transform(taken, lambda t: t["token"])).alias("token"))
+    rows = written(rows.withColumnRenamed("token", "t").select("set", grouped("t", percent)), "first-prefixes", few_files=True)
     drop(shared, kept)
+    met = written(rows.groupBy("token").agg((F.min("set") < F.max("set")).alias("meet")).where("meet").select("token"), "met", few_files=True)
+    candidates = written(rows.join(met, "token", "left_semi").select(F.col("set").alias("_set")).distinct(), "candidates", few_files=True)
+    drop(rows, met)
+    return candidates
+
+
+def grouped(token: str, percent: int):
+    """The groups of a token, with `lower`: similar sets are in the same range of sizes or in neighbouring ones.
+
+    A set is in the group of its range and, as a lower one, in the next; two lower ones meet in the group before.
+    """
+    scale = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)) if percent < 100 else F.col("n")
+    each = [F.struct(F.xxhash64(F.col(token), scale + k).alias("token"), F.lit(bool(k)).alias("lower")) for k in (0, 1)]
+    return F.inline(F.array(*each))
+
+
+def prefix_rows(content: DataFrame, percent: int) -> DataFrame:
+    """Prefixes under the second order: token (a group), set, n, place, before, lower; tokens of one set only are left out.
+
+    `place` is how many tokens stand before the one at hand, `before` the shared one right before it.
+    """
+    each = content.select("set", F.explode("tokens").alias("t"))
+    shared = written(each.groupBy("t").agg(F.count("*").alias("df")).where("df > 1"), "shared-tokens", few_files=True)
+    kept = each.join(shared, "t").groupBy("set").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("tokens"))
+    size = content.select(F.col("set").alias("_set"), "n")
+    joined = kept.join(size, F.col("set") == F.col("_set"))
+    # tokens that only one set has stand before all others
+    alone = F.col("n") - F.size("tokens")
+    first = F.slice("tokens", F.lit(1), F.greatest(prefix_length(percent) - alone, F.lit(0)).cast("int"))
+    rows = joined.select("set", "n", alone.alias("alone"), first.alias("first"), F.posexplode(first).alias("k", "t"))
+    before = F.when(F.col("k") > 0, F.get("first", F.col("k") - 1)["t"]).otherwise(F.col("set"))
+    rows = rows.select("set", "n", (F.col("alone") + F.col("k")).cast("int").alias("place"), before.alias("before"), F.col("t.t").alias("t"))
+    out = written(rows.select("set", "n", "place", "before", grouped("t", percent)), "prefixes", few_files=True)
+    drop(shared)
     return out
 
 
+COLUMNS = ("set", "n", "place", "before", "lower")
+
+
 def fits(percent: int):
-    """Sizes that allow the similarity."""
-    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    """Whether a pair may be similar and this is the group to find it in.
 
+    Its sizes allow the similarity, and enough tokens are left from the shared one on. If both have the same shared
+    token right before, that one's group finds the pair; if both are lower, the range's own group does.
+    """
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return sizes & enough & (F.col("before_a") != F.col("before_b")) & ~(F.col("lower_a") & F.col("lower_b"))
+
+
+def hubs_of(rows: DataFrame, count: int) -> DataFrame:
+    """Of each token at most `count` sets, spread over its sets by hash; written."""
+    part = F.pmod("set", F.lit(count))
+    hubs = rows.groupBy(F.col("token").alias("_token"), part.alias("part")).agg(F.min(F.struct(*COLUMNS, "component")).alias("hub"))
+    return written(hubs.select("_token", "hub"), "hubs", few_files=True)
 
-def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Each set with the smallest one of its token, if their components differ."""
-    hubs = rows.groupBy(F.col("token").alias("_token")).agg(F.min(F.struct("set", "n", "component")).alias("hub"))
-    met = rows.join(written(hubs, "hubs"), F.col("token") == F.col("_token")).where("component <> hub.component")
-    return met.select(F.col("hub.set").alias("a"), F.col("hub.n").alias("n_a"), F.col("set").alias("b"), F.col("n").alias("n_b")).where(fits(percent))
+
+def hub_pairs(rows: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """Each set with the hubs of its token, if their components differ."""
+    side = hubs.select("_token", F.col("hub.component").alias("_component"), *(F.col(f"hub.{c}").alias(f"{c}_a") for c in COLUMNS))
+    own = rows.select("token", "component", *(F.col(c).alias(f"{c}_b") for c in COLUMNS))
+    pairs = own.join(side, (F.col("token") == F.col("_token")) & (F.col("component") != F.col("_component")) & fits(percent))
+    low, high = (f(F.struct("set_a", "n_a"), F.struct(F.col("set_b").alias("set_a"), F.col("n_b").alias("n_a"))) for f in (F.least, F.greatest))
+    ordered = pairs.select(low.alias("x"), high.alias("y"))
+    return ordered.select(F.col("x.set_a").alias("a"), F.col("x.n_a").alias("n_a"), F.col("y.set_a").alias("b"), F.col("y.n_a").alias("n_b"))
 
 
 def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """All pairs of sets of different components that share a token; made from pairs of components."""
-    groups = written(rows.select("token", "component").distinct(), "token-components")
-    pairs = groups.alias("x").join(groups.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")))
+    names = ("place", "low", "high", "before_low", "before_high", "lower")
+    values = (F.min("place"), F.min("n"), F.max("n"), F.min("before"), F.max("before"), F.bool_and("lower"))
+    groups = rows.groupBy("token", "component").agg(*(v.alias(name) for name, v in zip(names, values)))
+    groups = written(groups, "token-components", few_files=True)
+    x, y = groups.alias("x"), groups.alias("y")
+    # what `fits` asks, as far as it holds for some pair of their sets
+    sizes = (F.col("x.high") * 100 >= F.col("y.low") * percent) & (F.col("y.high") * 100 >= F.col("x.low") * percent)
+    most = F.least(F.col("x.high") - F.col("x.place"), F.col("y.high") - F.col("y.place"))
+    enough = most * (100 + percent) >= (F.col("x.low") + F.col("y.low")) * percent
+    same = (F.col("x.before_low") == F.col("y.before_high")) & (F.col("x.before_high") == F.col("y.before_low"))
+    some = sizes & enough & ~same & ~(F.col("x.lower") & F.col("y.lower"))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & some)
     pairs = pairs.select(F.col("x.token").alias("_token"), F.col("x.component").alias("_a"), F.col("y.component").alias("_b"))
-    side = lambda name: rows.select(F.col("token").alias(f"t_{name}"), F.col("component").alias(f"c_{name}"), F.col("set").alias(name), F.col("n").alias(f"n_{name}"))
+    side = lambda name: rows.select(F.col("token").alias(f"t_{name}"), F.col("component").alias(f"c_{name}"), *(F.col(c).alias(f"{c}_{name}") for c in COLUMNS))
     met = pairs.join(side("a"), (F.col("_token") == F.col("t_a")) & (F.col("_a") == F.col("c_a")))
-    met = met.join(side("b"), (F.col("_token") == F.col("t_b")) & (F.col("_b") == F.col("c_b")))
-    return met.select("a", "n_a", "b", "n_b").where(fits(percent))
+    met = met.join(side("b"), (F.col("_token") == F.col("t_b")) & (F.col("_b") == F.col("c_b")) & fits(percent))
+    return met.select(F.col("set_a").alias("a"), "n_a", F.col("set_b").alias("b"), "n_b")
 
 
 def verified(pairs: DataFrame, content: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs the links (a, b): prefixes meet under the other orders, and the whole sets are similar."""
-    pairs = written(pairs.groupBy("a", "b").agg(F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b")), "pairs")
-
-    def beside(df, columns):
-        for name in ("a", "b"):
-            side = content.select(F.col("set").alias("_set"), *(F.col(c).alias(f"{c}_{name}") for c in columns))
-            df = df.join(side, F.col(name) == F.col("_set")).drop("_set")
-        return df
-
-    meet = F.arrays_overlap("one_a", "one_b") & F.arrays_overlap("two_a", "two_b")
-    passed = written(beside(pairs, ("one", "two")).where(meet).select("a", "b", "n_a", "n_b"), "filtered")
+    """Of candidate pairs the links (a, b): prefixes meet under the third order, and the whole sets are similar."""
+    pairs = written(pairs.groupBy("a", "b").agg(F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b")), "pairs", few_files=True)
+    beside = pairs
+    for name in ("a", "b"):
+        side = content.select(F.col("set").alias("_set"), F.col("tokens").alias(f"tokens_{name}"), F.col("other").alias(f"other_{name}"))
+        beside = beside.join(side, F.col(name) == F.col("_set")).drop("_set")
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    links = beside(passed, ("tokens",)).where(both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent)
-    links = written(links.select("a", "b"), "links")
-    drop(pairs, passed)
+    similar_sets = F.when(F.arrays_overlap("other_a", "other_b"), both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent)
+    links = written(beside.where(similar_sets).select("a", "b"), "links", few_files=True)
+    drop(pairs)
     return links
 
 
 def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
     """`rows` with the component of each set; those of tokens whose sets are all in one component are left out."""
-    found = written(components(links), "components")
-    joined = rows.select("token", "set", "n").join(found, F.col("set") == F.col("node"), "left")
-    labelled = written(joined.select("token", "set", "n", F.coalesce("component", "set").alias("component")), "labelled")
+    found = written(components(links), "components", few_files=True)
+    joined = rows.select("token", *COLUMNS).join(found, F.col("set") == F.col("node"), "left")
+    labelled = written(joined.select("token", *COLUMNS, F.coalesce("component", "set").alias("component")), "labelled", few_files=True)
     apart = labelled.groupBy(F.col("token").alias("_token")).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("_token")
-    return written(labelled.join(written(apart, "apart"), F.col("token") == F.col("_token"), "left_semi"), "open")
+    return written(labelled.join(written(apart, "apart", few_files=True), F.col("token") == F.col("_token"), "left_semi"), "open")
 
 
 def similar(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, component) of every set that is linked with another one."""
     spark = docs.sparkSession
-    rows = prefix_rows(docs, known, n, percent)
-    wanted = rows.select(F.col("set").alias("_set")).distinct()
-    one_each = known.join(wanted, F.col("set") == F.col("_set"), "left_semi").select(F.col("doc_id").alias("_doc"))
+    one_each = known.join(first_candidates(docs, known, n, percent), F.col("set") == F.col("_set"), "left_semi").select(F.col("doc_id").alias("_doc"))
     texts = docs.join(one_each, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
     content = written(whole_sets(texts, n, percent).dropDuplicates(["set"]), "sets")
+    rows = prefix_rows(content, percent)
     links = spark.createDataFrame([], "a long, b long")
     rows = rows.withColumn("component", F.col("set"))
-    first = True
+    count = 1
     while True:
         sizes = rows.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("g"), F.sum(F.col("c") * F.col("c")).alias("s"))
         total, pending = sizes.agg(F.coalesce(F.sum("g"), F.lit(0)), F.coalesce(F.sum((F.col("g") * F.col("g") - F.col("s")) / 2), F.lit(0))).first()
         if pending == 0:
             break
-        last = not first and pending <= PENDING * total
-        new = verified((cross_pairs if last else hub_pairs)(rows, percent), content, percent)
-        links = links.unionAll(new)
-        if last:
+        if count > 1 and pending <= PENDING * total:
+            links = links.unionAll(verified(cross_pairs(rows, percent), content, percent))
             break
+        hubs = hubs_of(rows, count)
+        links = links.unionAll(verified(hub_pairs(rows, hubs, percent), content, percent))
         # a hub has met all others of its token
-        hubs = rows.groupBy(F.col("token").alias("_token")).agg(F.min("set").alias("_hub"))
-        met = written(hubs, "met")
+        met = hubs.select("_token", F.col("hub.set").alias("_hub"))
         rest = rows.join(met, (F.col("token") == F.col("_token")) & (F.col("set") == F.col("_hub")), "left_anti")
         rows = with_components(rest, links)
-        first = False
+        count *= 8
     return components(links)
 
 
@@ -227,12 +275,12 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     found = written(sets(texts, n, percent), "set-ids")
     known = found.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("n_low").alias("n_low"))
     known = written(known, "known-sets")
-    linked = written(similar(texts, known, n, percent), "linked")
+    linked = written(similar(texts, known, n, percent), "linked", few_files=True)
     named = known.join(linked, F.col("set") == F.col("node"), "left").select("set", "doc_id", F.coalesce("component", "set").alias("component"))
-    named = written(named, "named-sets")
-    least = written(named.groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("component_id")), "least-ids")
+    named = written(named, "named-sets", few_files=True)
+    least = written(named.groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("component_id")), "least-ids", few_files=True)
     by_set = named.join(least, F.col("component") == F.col("_component")).select(F.col("set").alias("_set"), "component", "component_id")
-    by_set = written(by_set, "components-by-set")
+    by_set = written(by_set, "components-by-set", few_files=True)
     joined = found.join(by_set, F.col("set") == F.col("_set"), "left")
     smallest = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("key").alias("text_key"), F.col("n").alias("n_shingles"), "component", smallest.alias("component_id"))
