@@ -69,8 +69,8 @@ def boilerplate(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS,
     at = lambda i: F.when(i >= 0, F.coalesce(F.get("lines", i), F.lit(0))).otherwise(F.lit(0))
     placed = numbered.select("host", F.inline(F.transform(firsts, lambda e: F.struct(e["x"].alias("line"), at(e["i"] - 1).alias("prev"), at(e["i"] + 1).alias("next")))))
     counts = placed.groupBy("host", "line").agg(F.least(F.count_distinct("prev"), F.count_distinct("next")).alias("n_docs"))
-    over = written(counts.where(F.col("n_docs") > min_docs), "shared-lines")
-    hosts = written(docs.groupBy(F.col(host).alias("_host")).agg(F.count("*").alias("total")), "hosts")
+    over = written(counts.where(F.col("n_docs") > min_docs), "shared-lines", few_files=True)
+    hosts = written(docs.groupBy(F.col(host).alias("_host")).agg(F.count("*").alias("total")), "hosts", few_files=True)
     kept = over.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("n_docs") > host_share * F.col("total"))
     return kept.select("host", "line", "n_docs")
 
@@ -85,7 +85,7 @@ def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT) ->
 
     Text never leaves its row: line hashes with their neighbours and counts are what is shuffled.
     """
-    shared = written(boilerplate(docs, host), "boilerplate")
+    shared = written(boilerplate(docs, host), "boilerplate", few_files=True)
     rows = docs.select("doc_id", text_key().alias("text_key"), F.col(host).alias("host"), F.posexplode(worded_lines(whole())).alias("place", "text_line"))
     lines = rows.select("doc_id", "text_key", "host", "place", line_hash(F.col("text_line")).alias("line"), F.size(extract_all(F.col("text_line"), SPACE_WORD)).alias("words"))
     side = shared.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
