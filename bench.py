@@ -16,6 +16,7 @@ HEADLINE = [
     "E05_dq_score",
     "E08_normalise_customers",
     "E17_reconcile",
+    "E20_outliers_iqr_1_5",
     "A06_sku_week_enriched",
     "A10_category_week",
     "A16_product_stats",
@@ -38,9 +39,12 @@ HEADLINE = [
     "V08_confidence",
     "D04_series_document",
     "D07_eval_summary",
+    "M01_gbt_global",
+    "M02_gbt_by_group",
     "M03_gbt_by_sku",
     "M06_linear",
     "M07_auto_arima_sku",
+    "M12_sku_revenue_model",
 ]
 
 

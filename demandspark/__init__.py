@@ -1 +1 @@
-"""Demand-planning operators on Spark DataFrames."""
+"""Sales-forecast operators on Spark DataFrames."""

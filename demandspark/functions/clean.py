@@ -65,7 +65,7 @@ def sku_clean(df: DataFrame, col: str) -> DataFrame:
 def strip_prefix(c: Column | str, prefix: str) -> Column:
     """P04."""
     value = as_col(c)
-    return F.when(value.startswith(prefix), F.substring(value, len(prefix) + 1, 1_000_000)).otherwise(value)
+    return F.when(value.startswith(prefix), F.substr(value, F.lit(len(prefix) + 1))).otherwise(value)
 
 
 def add_prefix(c: Column | str, prefix: str) -> Column:

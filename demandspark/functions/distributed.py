@@ -117,12 +117,15 @@ def rank_large(
     def earlier(keys: list[str], order: str) -> Column:
         return F.sum("_c").over(running(keys, order)) - F.col("_c")
 
+    # the innermost order is that of the column itself: doubles do not tell large whole numbers apart
+    own = F.desc(y) if descending else F.asc(y)
+
     level2 = values.groupBy(*by, "_b1", "_b2").agg(F.sum("_c").alias("_c"))
     level1 = level2.groupBy(*by, "_b1").agg(F.sum("_c").alias("_c"))
     starts1 = level1.select(*by, "_b1", earlier(by, "_b1").alias("_s1"))
     starts2 = level2.select(*by, "_b1", "_b2", earlier([*by, "_b1"], "_b2").alias("_s2"))
     starts = key_join(starts2, starts1, [*by, "_b1"]).select(*by, "_b2", (F.col("_s1") + F.col("_s2")).alias("_start"))
-    inner = values.withColumn("_inside", earlier([*by, "_b2"], "_k"))
+    inner = values.withColumn("_inside", earlier([*by, "_b2"], own))
     rank = 1 + F.col("_start") + F.col("_inside")
     if method == "average":
         rank = rank + (F.col("_c") - 1) / 2

@@ -96,7 +96,7 @@ def weekly_features(
 
     `distinct` counts distinct values, `attrs` keep the smallest value of a descriptive
     column, `modes` the most frequent one (smallest on ties; for short lists such as
-    regions), `means` average further columns. `drop_blank` removes lines without that key
+    regions, whose counts are kept per group), `means` average further columns. `drop_blank` removes lines without that key
     before the shuffle; `having` filters the result.
     """
     if drop_blank:
@@ -107,20 +107,11 @@ def weekly_features(
     measures += [F.count_distinct(c).alias(a) for a, c in (distinct or {}).items()]
     measures += [F.min(c).alias(c) for c in attrs or []]
     measures += [F.avg(c).alias(a) for a, c in (means or {}).items()]
-    keys = [*e, "year_week"]
-    out = lines.groupBy(*keys).agg(*measures)
-    for name, c in (modes or {}).items():
-        out = key_join(out, most_frequent(lines, keys, c, name), keys)
+    measures += [F.mode(c, True).alias(a) for a, c in (modes or {}).items()]
+    out = lines.groupBy(*e, "year_week").agg(*measures)
     return out if having is None else out.where(having)
 
 
-def most_frequent(lines: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:
-    """The most frequent value per key, smallest on ties: counted in hash aggregates, never gathered."""
-    counts = lines.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count("*").alias("_c"))
-    best = F.min(F.struct((-F.col("_c")).alias("n"), F.col(c).alias("v")))
-    return counts.groupBy(*keys).agg(best["v"].alias(name))
-
-
 def roll_up(weekly_df: DataFrame, e: list[str], items: str = "sku") -> DataFrame:
     """A coarser level from a weekly table: sum of sums, mean of means, distinct items."""
     return weekly_df.groupBy(*e, "year_week").agg(

@@ -1,12 +1,13 @@
 """Closed-form forecasts (F00-F11): (entity, year_week, predicted, actual).
 
-Training statistics are one row per entity, joined onto the test rows. A total order
-(`week_num`, then `year_week`) makes every result repeatable.
+Training statistics are one row per entity, joined onto the test rows. A total order makes every result repeatable:
+`ORDER` by week number first, as in one year, or `IN_TIME`.
 """
 
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,9 +18,12 @@ from .joins import compare_history
 from .windows import frame, ordered
 
 ORDER = ["week_num", "year_week"]
+IN_TIME = ["year_week"]
 
-# Two-sided normal quantiles of the interval levels.
-NORMAL_QUANTILES = {0.8: 1.2815515655446004, 0.9: 1.6448536269514722, 0.95: 1.959963984540054}
+
+def normal_quantile(level: float) -> float:
+    """How many deviations a two-sided normal interval of this level reaches."""
+    return NormalDist().inv_cdf((1 + level) / 2)
 
 
 def with_week(df: DataFrame) -> DataFrame:
@@ -27,7 +31,10 @@ def with_week(df: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame, cut: int | str = 26) -> tuple[DataFrame, DataFrame]:
-    """training and test rows, by week number (int) or by `YYYY-Wnn` (text)."""
+    """training and test rows, by `YYYY-Wnn` (text) or by week number (int).
+
+    A number splits every year by itself, so it is a split in time for rows of one year only.
+    """
     out = with_week(df)
     first = F.col("week_num") <= cut if isinstance(cut, int) else F.col("year_week") <= cut
     return out.where(first), out.where(~first)
@@ -88,19 +95,25 @@ def seasonal_naive(train: DataFrame, test: DataFrame, e: list[str], y: str, offs
     return joined.select(*e, "year_week", F.coalesce("_w", "_m").alias("predicted"), "actual")
 
 
-def linear_trend(train: DataFrame, test: DataFrame, e: list[str], y: str, min_n: int = 4) -> DataFrame:
-    """least squares on the week number, floored at 0; flat at the mean when all weeks are the same."""
-    fit = with_week(train).groupBy(*e).agg(
-        F.regr_slope(y, "week_num").alias("_s"),
-        F.regr_intercept(y, "week_num").alias("_i"),
+def linear_trend(
+    train: DataFrame, test: DataFrame, e: list[str], y: str, min_n: int = 4, across_years: bool = False
+) -> DataFrame:
+    """least squares on the week number, floored at 0; flat at the mean when all weeks are the same.
+
+    With `across_years` weeks are counted on through the years; within one year both give the same line.
+    """
+    k = F.floor(F.datediff(week_start("year_week"), F.lit("1970-01-05")) / 7) if across_years else week_num("year_week")
+    fit = train.withColumn("_k", k).groupBy(*e).agg(
+        F.regr_slope(y, "_k").alias("_s"),
+        F.regr_intercept(y, "_k").alias("_i"),
         F.avg(y).alias("_m"),
         F.count("*").alias("_n"),
     )
     line = fit.where(F.col("_n") >= min_n).select(
         *e, F.coalesce("_s", F.lit(0.0)).alias("_s"), F.coalesce("_i", "_m").alias("_i")
     )
-    rows = with_week(test).select(*e, "year_week", "week_num", F.col(y).alias("actual"))
-    predicted = F.greatest(F.col("_i") + F.col("_s") * F.col("week_num"), F.lit(0.0))
+    rows = test.select(*e, "year_week", k.alias("_k"), F.col(y).alias("actual"))
+    predicted = F.greatest(F.col("_i") + F.col("_s") * F.col("_k"), F.lit(0.0))
     return rows.join(line, e).select(*e, "year_week", predicted.alias("predicted"), "actual")
 
 
@@ -211,7 +224,7 @@ def horizon(
         F.coalesce(F.stddev_samp("_res"), F.lit(0.0)).alias("standard_error"),
         F.max("year_week").alias("_last"),
     )
-    reach = F.col("standard_error") * NORMAL_QUANTILES[level]
+    reach = F.col("standard_error") * normal_quantile(level)
     return point.select(
         *e,
         F.explode(F.sequence(F.lit(1), F.lit(h))).alias("step"),
@@ -247,20 +260,3 @@ def sanity(history: DataFrame, forecast: DataFrame, e: list[str], y: str) -> Dat
         "pct_diff", safe_div(F.col("forecast_avg") - F.col("hist_avg"), "hist_avg") * 100
     )
 
-
-__all__ = [
-    "exp_smoothing",
-    "horizon",
-    "linear_trend",
-    "median_spike",
-    "moving_average",
-    "moving_average_weeks",
-    "naive_at_week",
-    "naive_last",
-    "restock",
-    "route",
-    "sanity",
-    "seasonal_naive",
-    "split",
-    "walk_forward",
-]

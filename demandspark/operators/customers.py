@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import safe_div
 from ..functions.distributed import key_join
+from ..session import pin
 
 
 def rfm(df: DataFrame, e: list[str], day: str, doc: str, amount: str) -> DataFrame:
@@ -79,12 +80,14 @@ def segment_v1(avg_units: Column) -> Column:
     )
 
 
-def segment_v2(total_units: Column, avg_units: Column) -> Column:
-    """A21 v2: by total units or units per order."""
+def segment_v2(
+    total_units: Column, avg_units: Column, bulk: tuple[float, float] = (100_000, 10_000), large: float = 2_000, medium: float = 500
+) -> Column:
+    """A21 v2: by total units or units per order; the limits are those of the rule unless given."""
     return (
-        F.when((total_units > 100_000) | (avg_units > 10_000), "Bulk/Wholesale")
-        .when(avg_units > 2_000, "Large Retailer")
-        .when(avg_units > 500, "Medium Retailer")
+        F.when((total_units > bulk[0]) | (avg_units > bulk[1]), "Bulk/Wholesale")
+        .when(avg_units > large, "Large Retailer")
+        .when(avg_units > medium, "Medium Retailer")
         .otherwise("Small Retailer")
     )
 
@@ -169,8 +172,13 @@ def top_items(lines: DataFrame, e: list[str], item: str = "sku", y: str = "quant
 
 
 def customer_cycles(lines: DataFrame) -> DataFrame:
-    """A19-A22 as one customer dimension."""
-    known = with_customer(lines)
+    """A19-A22 as one customer dimension.
+
+    Totals, order days and top items all start from the lines' few columns used here, which are written once, so the
+    lines and what they were joined from are read once.
+    """
+    columns = ["customer_id", "customer_name", "region_name", "invoice_id", "order_date", "year_week", "sku", "quantity", "line_total"]
+    known = pin(with_customer(lines).select(*columns))
     stats = known.groupBy("customer_id").agg(
         F.min("customer_name").alias("customer_name"),
         F.mode("region_name", True).alias("primary_region"),

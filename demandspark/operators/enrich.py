@@ -167,7 +167,10 @@ def normalise_customers(lines: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def master_summary(lines: DataFrame) -> DataFrame:
-    """Original ids, their number, and volume per master; ids are merged before they are listed."""
+    """E09 as text: original ids, their number, and volume per master; ids are merged before they are listed.
+
+    One cell holds all ids of a master, so this is for masters with few of them; `master_ids` has no such limit.
+    """
     ids = lines.groupBy("master_customer_id", "customer_id").agg(F.sum("quantity").alias("_q"))
     return ids.groupBy("master_customer_id").agg(
         F.array_join(F.sort_array(F.collect_list("customer_id")), ",").alias("original_ids"),
@@ -176,6 +179,13 @@ def master_summary(lines: DataFrame) -> DataFrame:
     )
 
 
+def master_ids(lines: DataFrame) -> DataFrame:
+    """E09 as rows: one per master and original id, with the id's volume and its share of the master's."""
+    ids = lines.groupBy("master_customer_id", "customer_id").agg(F.sum("quantity").alias("volume"))
+    masters = ids.groupBy("master_customer_id").agg(F.count("customer_id").alias("num_ids"), F.sum("volume").alias("total_volume"))
+    return key_join(ids, masters, ["master_customer_id"])
+
+
 def with_product_attrs(
     df: DataFrame, products: DataFrame, cols: list[str], default: str = "Unknown"
 ) -> DataFrame:

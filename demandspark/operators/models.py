@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from itertools import product
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
@@ -22,15 +24,15 @@ from ..functions.clean import SEGMENT_CODES, BUYER_CODES, ordinal, safe_div
 from ..functions.distributed import key_join, number_rows
 from ..session import cpu_tasks, pin, shared_dir
 from . import series_models
-from .baselines import NORMAL_QUANTILES
+from .baselines import normal_quantile
 from .evaluate import errors, wmape
 from .joins import eligible, top_entities
 from .quality import outliers_iqr
-from .series_models import autoregress, boost, level_steps, matrix, ridge_each
+from .series_models import arima, boost, level_steps, matrix, ridge_each, same_key
 from .windows import fill_gaps, frame, lags, ordered
 
 GLOBAL_FEATURES = ["lag1", "lag2", "lag4", "rolling_avg_4w", "avg_unit_price", "week_num", "is_w47"]
-MAX_GROUPS = 500
+FIT_THREADS = 4
 
 # the numpy fits travel with the task, so executors need no copy of this package
 register_pickle_by_value(series_models)
@@ -96,10 +98,12 @@ def result(scored: DataFrame, e: list[str], label: str, model_type: str) -> Data
     )
 
 
-def gbt_global(train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, **params) -> DataFrame:
-    """One boosted-tree model over all entities."""
-    model = fit(train, feats, label, gbt(label, **params))
-    return result(score(model, test, feats), e, label, "global")
+def gbt_global(
+    train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, core: list[str] | None = None, **params
+) -> DataFrame:
+    """One boosted-tree model over all entities; with `core`, on rows that have all these features."""
+    model = fit(complete_rows(train, core), feats, label, gbt(label, **params))
+    return result(score(model, complete_rows(test, core), feats), e, label, "global")
 
 
 def gbt_by_group(
@@ -107,31 +111,51 @@ def gbt_by_group(
 ) -> DataFrame:
     """One distributed fit per group of at least `min_rows`; other groups take the global model.
 
-    Meant for short lists such as categories; more than `MAX_GROUPS` is an error. The rows
-    are pinned, as every fit reads them again.
+    The names of the groups come to the driver, which starts a fit for each, `FIT_THREADS` at a time; the rows are
+    kept partitioned by group, so a fit reads its own partition's rows.
     """
     needed = list(dict.fromkeys([*e, "year_week", group, *feats, label]))
-    train, test = pin(train.select(*needed)), pin(test.select(*needed))
-    counts = train.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_rows)
-    names = [r[0] for r in counts.select(group).orderBy(group).take(MAX_GROUPS + 1)]
-    if len(names) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; use gbt_by_entity")
-    parts = []
-    for name in names:
-        own = fit(train.where(F.col(group) == name), feats, label, gbt(label, **params))
-        parts.append(result(score(own, test.where(F.col(group) == name), feats), e, label, "category"))
-    rest = ~F.col(group).isin(names) if names else F.lit(True)
-    fallback = fit(train, feats, label, gbt(label, **params))
-    parts.append(result(score(fallback, test.where(rest | F.col(group).isNull()), feats), e, label, "global"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def entity_frame(train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, extra=()) -> DataFrame:
-    """Training and test rows of each entity side by side, with the entity's number of training rows."""
+    marked = train.select(*needed, F.lit(True).alias("_train")).unionByName(test.select(*needed, F.lit(False).alias("_train")))
+    rows = marked.repartition(group).persist()
+    try:
+        counts = rows.where("_train").groupBy(group).agg(F.count("*").alias("_n")).where((F.col("_n") >= min_rows) & F.col(group).isNotNull())
+        names = [r[0] for r in counts.select(group).orderBy(group).toLocalIterator()]
+        train, test = rows.where("_train").drop("_train"), rows.where(~F.col("_train")).drop("_train")
+
+        def own(name) -> DataFrame:
+            return fit(train if name is None else train.where(F.col(group) == name), feats, label, gbt(label, **params))
+
+        with ThreadPoolExecutor(FIT_THREADS) as pool:
+            fitted = list(pool.map(own, [*names, None]))
+        rest = ~F.col(group).isin(names) if names else F.lit(True)
+        parts = [result(score(model, test.where(F.col(group) == name), feats), e, label, "category") for name, model in zip(names, fitted)]
+        parts.append(result(score(fitted[-1], test.where(rest | F.col(group).isNull()), feats), e, label, "global"))
+        return pin(reduce(DataFrame.unionByName, parts))
+    finally:
+        rows.unpersist()
+
+
+def complete_rows(df: DataFrame, core: list[str] | None) -> DataFrame:
+    """Rows without a NULL in the core features; without a list all rows, whose NULLs then count as zero."""
+    return df.dropna(subset=core) if core else df
+
+
+def training_rows(train: DataFrame, e: list[str], core: list[str], min_rows: int = 4) -> DataFrame:
+    """Per entity its training rows, the complete ones, and whether they are enough for a model of its own."""
+    complete = F.count_if(reduce(Column.__and__, (F.col(c).isNotNull() for c in core)))
+    counts = train.groupBy(*e).agg(F.count("*").alias("n_rows"), complete.alias("n_complete"))
+    return counts.withColumn("eligible", F.col("n_complete") >= min_rows)
+
+
+def entity_frame(
+    train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, extra=(), core: list[str] | None = None
+) -> DataFrame:
+    """Training and test rows of each entity side by side, with the entity's number of training rows.
+
+    With `core`, rows that lack one of these features are neither fitted, counted nor scored; other NULLs are zero.
+    """
     cols = [*e, "year_week", *feats, F.col(label).cast("double").alias("_y"), *extra]
+    train, test = complete_rows(train, core), complete_rows(test, core)
     rows = train.select(*cols, F.lit(True).alias("_train")).unionByName(test.select(*cols, F.lit(False).alias("_train")))
     return zero_filled(rows, feats).withColumn("_n", F.count_if("_train").over(Window.partitionBy(*e)))
 
@@ -148,7 +172,7 @@ def per_series(rows: DataFrame, e: list[str], t: str, work, schema: T.StructType
         for batch in batches:
             if held is not None:
                 batch = pd.concat([held, batch], ignore_index=True)
-            unfinished = (batch[e] == batch[e].iloc[-1]).all(axis=1).to_numpy()
+            unfinished = same_key(batch[e], batch[e].iloc[-1])
             held, whole = batch[unfinished], batch[~unfinished]
             if len(whole):
                 yield work(whole.reset_index(drop=True))
@@ -194,16 +218,17 @@ def gbt_by_entity(
     step: float = 0.1,
     global_iters: int = 100,
     model_type: str = "sku",
+    core: list[str] | None = None,
 ) -> DataFrame:
     """Boosted trees per entity with at least `min_rows` training rows, the global model for the rest.
 
-    Rows are one per entity and week, so a series never outgrows the calendar.
+    With `core`, only rows that have all these features count, train and are scored. Rows are one per entity and week, so a series never outgrows the calendar.
     """
 
     def predict(series, x, y, trained, _):
-        return boost(series, x, y, trained, trees, depth, step)
+        return boost(series, x, y, trained, trees, depth, step, min_split=5)
 
-    rows = pin(entity_frame(train, test, e, feats, label))
+    rows = pin(entity_frame(train, test, e, feats, label, core=core))
     own = fit_each(rows.where(F.col("_n") >= min_rows), e, feats, predict)
     rest = rows.where((F.col("_n") < min_rows) & ~F.col("_train"))
     if rest.isEmpty():
@@ -230,9 +255,12 @@ def by_pattern(
             if name == "sparse":
                 out[own] = ridge_each(*part)
             elif name == "volatile":
-                out[own] = boost(*part, trees, 4, 0.1, 3, 0.8)
+                names = rows.loc[own, e].astype(str).agg("\x1f".join, axis=1)
+                seeds = np.array([zlib.crc32(name.encode()) for name in names[~pd.Series(codes, index=names.index).duplicated()]])
+                firsts = codes[~pd.Series(codes).duplicated()]
+                out[own] = boost(*part, trees, 4, 0.1, 3, 0.8, min_split=5, seeds=seeds[np.argsort(firsts)])
             else:
-                out[own] = boost(*part, trees, 5, 0.1, 2)
+                out[own] = boost(*part, trees, 5, 0.1, 2, min_split=5)
         return out
 
     kinds = patterns.select(*e, "pattern")
@@ -274,10 +302,12 @@ def auto_arima(
     clean_spikes: bool = True,
     adjust_steps: bool = True,
     holiday_weeks: tuple[int, ...] = (),
+    max_p: int = 3,
+    max_q: int = 2,
 ) -> DataFrame:
     """The next h weeks of each eligible series, with intervals.
 
-    The weekly grid has no holes. Before the fit, spikes and holiday weeks (ISO week
+    The order (p, d, q) up to (`max_p`, 1, `max_q`) is chosen by AIC. The weekly grid has no holes. Before the fit, spikes and holiday weeks (ISO week
     numbers) take the series median and an earlier level is moved to the latest one; a
     forecast holiday week is scaled by the holiday weeks' mean over the median.
     """
@@ -305,9 +335,9 @@ def auto_arima(
     )
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
-        ends = np.flatnonzero((batch[e] != batch[e].shift(-1)).any(axis=1).to_numpy()) + 1
+        ends = np.flatnonzero(np.append(~same_key(batch[e].iloc[:-1].reset_index(drop=True), batch[e].iloc[1:].reset_index(drop=True)), True)) + 1
         parts = np.split(batch["_y"].to_numpy(float), ends[:-1])
-        fits = [autoregress(level_steps(y) if adjust_steps else y, h) for y in parts]
+        fits = [arima(level_steps(y) if adjust_steps else y, h, max_p, max_q) for y in parts]
         out = batch.loc[np.repeat(ends - 1, h), [*e, "week_start"]].rename(columns={"week_start": "last_week"})
         out["step"] = np.tile(np.arange(1, h + 1, dtype=np.int32), len(fits))
         out["forecast"] = np.concatenate([f[0] for f in fits]).clip(min=0)
@@ -315,7 +345,7 @@ def auto_arima(
         out["model_order"] = np.repeat([f[2] for f in fits], h)
         return out
 
-    reach = F.col("standard_error") * NORMAL_QUANTILES[level]
+    reach = F.col("standard_error") * normal_quantile(level)
     ahead = per_series(grid, e, "week_start", work, schema)
     ahead = ahead.withColumn("year_week", year_week(F.date_add("last_week", F.col("step") * 7))).drop("last_week")
     if effects is not None:
@@ -347,20 +377,34 @@ def segment_series(weekly: DataFrame, segments: list[str], min_weeks: int = 1) -
     return eligible(series, ["customer_id"], min_weeks)
 
 
-def cycle_classifier(dim: DataFrame, feats: list[str], label: str = "cycle_regularity", trees: int = 20, seed: int = 42) -> DataFrame:
-    """Predicted order rhythm and its class probabilities, customers with at least two orders."""
-    rows = zero_filled(dim.where(F.col("total_orders") >= 2), feats)
+def held_out(key: Column | str, every: int = 5) -> Column:
+    """A fifth of the keys, by a hash that does not depend on the run."""
+    return F.pmod(F.xxhash64(F.col(key) if isinstance(key, str) else key), F.lit(every)) == 0
+
+
+def cycle_classifier(dim: DataFrame, feats: list[str], label: str = "cycle_regularity", rounds: int = 50, depth: int = 5, seed: int = 42) -> DataFrame:
+    """Predicted order rhythm and its class probabilities, customers with at least two orders.
+
+    One boosted model per class; a class's probability is its model's, scaled so that they sum to 1. Models are
+    fitted without the held-out fifth of the customers, and only those are scored.
+    """
+    rows = zero_filled(dim.where((F.col("total_orders") >= 2) & F.col(label).isNotNull()), feats)
     shared_dir(dim.sparkSession)
     index = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol="_label", numTrees=trees, maxDepth=5, seed=seed
-    )
-    back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=index.labels)
-    stages = [index, VectorAssembler(inputCols=feats, outputCol="features"), forest, back]
-    scored = Pipeline(stages=stages).fit(rows).transform(rows)
-    probs = vector_to_array("probability")
-    classes = F.map_from_arrays(F.array(*[F.lit(c) for c in index.labels]), probs)
-    return scored.select("customer_id", F.col(label).alias("actual_label"), "predicted_label", classes.alias("class_probs"))
+    rows = VectorAssembler(inputCols=feats, outputCol="features").transform(index.transform(rows))
+    train = rows.where(~held_out("customer_id")).select("features", "_label").persist()
+    try:
+        one = GBTClassifier(featuresCol="features", labelCol="_label", maxIter=rounds, maxDepth=depth, seed=seed)
+        model = OneVsRest(classifier=one, featuresCol="features", labelCol="_label", parallelism=FIT_THREADS).fit(train)
+    finally:
+        train.unpersist()
+    scored = model.transform(rows.where(held_out("customer_id")))
+    chances = F.transform(vector_to_array("rawPrediction"), lambda margin: 1 / (1 + F.exp(-2 * margin)))
+    total = F.aggregate(chances, F.lit(0.0), lambda a, c: a + c)
+    labels = F.array(*[F.lit(c) for c in index.labels])
+    classes = F.map_from_arrays(labels, F.transform(chances, lambda c: c / total))
+    said = F.element_at(labels, F.col("prediction").cast("int") + 1)
+    return scored.select("customer_id", F.col(label).alias("actual_label"), said.alias("predicted_label"), classes.alias("class_probs"))
 
 
 def elasticity_features(history: DataFrame, min_pct: float = 0.1) -> DataFrame:
@@ -446,35 +490,35 @@ def ts_splits(df: DataFrame, splits: int = 3) -> DataFrame:
     return folds.select("fold", role.alias("role"), "year_week").where(F.col("role").isNotNull())
 
 
-def ts_cv(df: DataFrame, e: list[str], feats: list[str], label: str, grid: dict[str, list], splits: int = 3) -> DataFrame:
-    """Mean and deviation of the MAE over expanding splits, per parameter setting.
+def ts_cv(df: DataFrame, e: list[str], feats: list[str], label: str, settings: list[dict], splits: int = 3) -> DataFrame:
+    """Mean and deviation of the MAE over expanding splits, per setting of the fit.
 
-    The rows are pinned, as every fit reads them again; a fold's week list is as short as the calendar.
+    The rows are kept, as every fit reads them again; fits run `FIT_THREADS` at a time. A fold's week list is as
+    short as the calendar.
     """
-    df = pin(df.select(*dict.fromkeys([*e, "year_week", *feats, label])))
-    weeks = pin(ts_splits(df, splits))
-    parts = []
-    for values in product(*grid.values()):
-        params = dict(zip(grid, values))
-        for fold in range(1, splits + 1):
-            rows = {
-                role: df.join(
-                    F.broadcast(weeks.where((F.col("fold") == fold) & (F.col("role") == role)).select("year_week")),
-                    "year_week",
-                    "left_semi",
-                )
-                for role in ("train", "test")
-            }
-            preds = gbt_global(rows["train"], rows["test"], e, feats, label, **params)
-            parts.append(
-                preds.agg(F.avg(F.abs(F.col("actual") - F.col("predicted"))).alias("mae")).select(
-                    *[F.lit(v).alias(k) for k, v in params.items()], F.lit(fold).alias("fold"), "mae"
-                )
-            )
-    folds = parts[0]
-    for part in parts[1:]:
-        folds = folds.unionByName(part)
-    table = folds.groupBy(*grid).agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
+    rows = df.select(*dict.fromkeys([*e, "year_week", *feats, label])).persist()
+    weeks = ts_splits(rows, splits).persist()
+    names = list(settings[0])
+
+    def mae(setting: dict, fold: int) -> tuple:
+        part = {
+            role: rows.join(F.broadcast(weeks.where((F.col("fold") == fold) & (F.col("role") == role)).select("year_week")), "year_week", "left_semi")
+            for role in ("train", "test")
+        }
+        preds = gbt_global(part["train"], part["test"], e, feats, label, **setting)
+        return *(setting[n] for n in names), fold, preds.agg(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0]
+
+    try:
+        jobs = [(setting, fold) for setting in settings for fold in range(1, splits + 1)]
+        with ThreadPoolExecutor(FIT_THREADS) as pool:
+            folds = list(pool.map(lambda job: mae(*job), jobs))
+    finally:
+        rows.unpersist()
+        weeks.unpersist()
+    kinds = ", ".join(f"{n} {'double' if isinstance(settings[0][n], float) else 'int'}" for n in names)
+    table = df.sparkSession.createDataFrame(folds, f"{kinds}, fold int, mae double").groupBy(*names).agg(
+        F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std")
+    )
     best = F.min("cv_mae").over(Window.partitionBy(F.lit(1)))
     return table.withColumn("is_best", F.col("cv_mae") == best)
 

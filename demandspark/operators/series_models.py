@@ -8,6 +8,14 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
+def uniform(keys: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 for each 64-bit key, by the published splitmix64 mixing steps."""
+    x = keys + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) / 2.0**64
+
+
 def best_splits(values, residual, order, owner, start, count, total, min_leaf):
     """Best (feature, threshold) of every node at once.
 
@@ -53,12 +61,14 @@ def boost(
     step: float = 0.1,
     min_leaf: int = 2,
     subsample: float = 1.0,
-    seed: int = 42,
+    min_split: int = 2,
+    seeds: np.ndarray | None = None,
 ) -> np.ndarray:
     """Least-squares gradient boosting of many series side by side, one independent model each.
 
     `series` numbers the rows' series from 0; every series has training rows. Each level
-    of a tree is split for all series in one pass over the rows.
+    of a tree is split for all series in one pass over the rows. Which rows a tree draws depends on the series' seed,
+    the row's place in its series and the tree alone, so a series' model does not depend on what it is fitted with.
     """
     fit = np.flatnonzero(train)
     xt, root = x[fit], series[fit]
@@ -69,13 +79,18 @@ def boost(
     presorted = np.stack([np.lexsort((c, root)) for c in columns])
     first_row = np.zeros(len(fit), bool)
     first_row[np.unique(root, return_index=True)[1]] = True
-    rng = np.random.default_rng(seed)
-    for _ in range(trees):
+    if subsample < 1:
+        own_seed = (np.arange(len(mean)) if seeds is None else seeds).astype(np.uint64)[root] << np.uint64(32)
+        by_series = np.argsort(root, kind="stable")
+        sizes_by_series = np.bincount(root)
+        within = np.empty(len(fit), np.uint64)
+        within[by_series] = np.arange(len(fit)) - np.repeat(sizes_by_series.cumsum() - sizes_by_series, sizes_by_series)
+    for tree in range(trees):
         residual = y[fit] - out[fit]
         used = np.ones(len(fit), bool)
         order = presorted
         if subsample < 1:
-            used = first_row | (rng.random(len(fit)) < subsample)
+            used = first_row | (uniform(own_seed + (np.uint64(tree) << np.uint64(16)) + within) < subsample)
             order = presorted[used[presorted]].reshape(width, -1)
         # a split node keeps its number for the left child and appends one for the right
         node = series.astype(np.int64)
@@ -84,7 +99,7 @@ def boost(
             mine = node[fit]
             count = np.bincount(mine[used], minlength=len(live))
             total = np.bincount(mine[used], residual[used], len(live))
-            live &= count >= 2 * min_leaf
+            live &= count >= max(min_split, 2 * min_leaf)
             if not live.any():
                 break
             number = live.cumsum() - 1
@@ -144,43 +159,75 @@ def level_steps(y: np.ndarray, least: int = 8, share: float = 0.6) -> np.ndarray
     return moved
 
 
-def autoregress(y: np.ndarray, h: int, max_p: int = 3) -> tuple[np.ndarray, np.ndarray, str]:
-    """AR(p) on the series or its differences, chosen by AIC: forecasts, standard errors, order.
+def solved(moments: np.ndarray, chosen: list[int]) -> np.ndarray:
+    """Least-squares coefficients of the chosen columns; the target is the last one."""
+    gram = moments[np.ix_(chosen, chosen)] + np.eye(len(chosen)) * 1e-9 * (1 + moments[-1, -1])
+    return np.linalg.solve(gram, moments[chosen, -1])
+
+
+def shocks(z: np.ndarray, order: int) -> np.ndarray:
+    """One-step errors of a long autoregression; zero for the first rows."""
+    rows = len(z) - order
+    design = np.stack([np.ones(rows), *[z[order - k : len(z) - k] for k in range(1, order + 1)], z[order:]])
+    coef = solved(design @ design.T, list(range(order + 1)))
+    return np.concatenate([np.zeros(order), design[-1] - coef @ design[:-1]])
 
-    All orders share one moment matrix of the constant, the lags and the target.
+
+def arima(y: np.ndarray, h: int, max_p: int = 3, max_q: int = 2) -> tuple[np.ndarray, np.ndarray, str]:
+    """ARIMA(p, d, q), d up to 1, chosen by AIC: forecasts, standard errors, order.
+
+    Orders are compared by their conditional sum of squares. The errors that the moving-average terms need come from a
+    long autoregression first, so each order is a linear fit, and all share one moment matrix of constant, lags,
+    lagged errors and target.
     """
     best = None
     for d in (0, 1):
         z = np.diff(y, d)
-        rows = len(z) - max_p
+        long = min(max(max_p, max_q) + 5, len(z) // 4)
+        terms_q = max_q if len(z) >= 30 and long > 0 else 0
+        skip = max(max_p, long + terms_q if terms_q else 0)
+        rows = len(z) - skip
         if rows < 3:
             continue
-        design = np.stack([np.ones(rows), *[z[max_p - k : len(z) - k] for k in range(1, max_p + 1)], z[max_p:]])
+        lags = [z[skip - k : len(z) - k] for k in range(1, max_p + 1)]
+        error = shocks(z, long) if terms_q else z
+        past = [error[skip - k : len(z) - k] for k in range(1, terms_q + 1)]
+        design = np.stack([np.ones(rows), *lags, *past, z[skip:]])
         moments = design @ design.T
         for p in range(max_p + 1):
-            if rows < p + 3:
-                continue
-            gram = moments[: p + 1, : p + 1] + np.eye(p + 1) * 1e-9 * (1 + moments[-1, -1])
-            coef = np.linalg.solve(gram, moments[: p + 1, -1])
-            variance = max(float(np.mean((design[-1] - coef @ design[: p + 1]) ** 2)), 1e-12)
-            aic = rows * np.log(variance) + 2 * (p + 1)
-            if best is None or aic < best[0] - 1e-9:
-                best = (aic, d, p, coef, variance)
+            for q in range(terms_q + 1):
+                if rows < p + q + 3:
+                    continue
+                chosen = [*range(p + 1), *range(max_p + 1, max_p + 1 + q)]
+                coef = solved(moments, chosen)
+                errors = design[-1] - coef @ design[chosen]
+                variance = max(float(np.mean(errors**2)), 1e-12)
+                aic = rows * np.log(variance) + 2 * (p + q + 1)
+                if best is None or aic < best[0] - 1e-9:
+                    best = (aic, d, p, q, coef, errors, variance)
     if best is None or np.ptp(y) == 0:
         spread = float(np.std(y, ddof=1)) if len(y) > 1 else 0.0
         return np.full(h, y[-1]), np.full(h, spread), "last"
-    _, d, p, coef, variance = best
-    past = list(np.diff(y, d)[-max(p, 1) :])
+    _, d, p, q, coef, errors, variance = best
+    phi, theta = coef[1 : p + 1], coef[p + 1 :]
+    values, noise = list(np.diff(y, d)[-max(p, 1) :]), list(errors[-max(q, 1) :])
     ahead, psi = [], []
     for i in range(h):
-        ahead.append(coef[0] + sum(coef[k] * past[-k] for k in range(1, p + 1)))
-        past.append(ahead[-1])
-        psi.append(1.0 if i == 0 else sum(coef[k] * psi[i - k] for k in range(1, min(p, i) + 1)))
+        ahead.append(coef[0] + sum(phi[k] * values[-k - 1] for k in range(p)) + sum(theta[k] * noise[-k - 1] for k in range(q)))
+        values.append(ahead[-1])
+        noise.append(0.0)
+        own = 1.0 if i == 0 else (theta[i - 1] if i <= q else 0.0)
+        psi.append(own + sum(phi[k] * psi[i - k - 1] for k in range(min(p, i))))
     points, weights = np.array(ahead), np.array(psi)
     if d == 1:
         points, weights = y[-1] + points.cumsum(), weights.cumsum()
-    return points, np.sqrt(variance * (weights**2).cumsum()), f"ar{p}_d{d}"
+    return points, np.sqrt(variance * (weights**2).cumsum()), f"arima({p},{d},{q})"
 
 
 def matrix(frame: pd.DataFrame, features: list[str]) -> np.ndarray:
     return frame[features].to_numpy(dtype=float, na_value=0.0)
+
+
+def same_key(keys: pd.DataFrame, other) -> np.ndarray:
+    """Whether the keys equal the other ones, NULL being equal to NULL."""
+    return ((keys == other) | (keys.isna() & (other.isna()))).all(axis=1).to_numpy()

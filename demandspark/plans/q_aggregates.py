@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators import customers, evaluate
 from . import q_enrich
-from .registry import PARTS, Sales, query
+from .registry import CUT, PARTS, Sales, query
 
 PARTS["x_stats"] = """
     SELECT *, std_qty / GREATEST(mean_qty, 1) AS cv, max_qty / GREATEST(min_qty, 1) AS range_ratio
@@ -404,12 +404,12 @@ def _(t):
     """
     SELECT sku, COUNT(*) AS n_weeks, CASE WHEN COUNT(*) FILTER (weekly_quantity = 0) / COUNT(*) > 0.5 THEN 'sparse'
              WHEN stddev_samp(weekly_quantity) / AVG(weekly_quantity) > 1.5 THEN 'volatile' ELSE 'stable' END AS pattern
-    FROM x_sku WHERE week_num <= 26 GROUP BY sku HAVING COUNT(*) >= 4""",
+    FROM x_sku WHERE year_week <= '1998-W26' GROUP BY sku HAVING COUNT(*) >= 4""",
 )
 def _(t):
     from ..operators.baselines import split
 
-    return agg.pattern_v31(split(t.sku_week())[0], ["sku"])
+    return agg.pattern_v31(split(t.sku_week(), CUT)[0], ["sku"])
 
 
 @query(
@@ -429,14 +429,14 @@ def _(t):
     """
     SELECT sku, year_week, weekly_quantity * CASE WHEN week_num = 47 THEN COALESCE(f, 1.0) ELSE 1.0 END AS predicted
     FROM x_sku LEFT JOIN (SELECT sku, CASE WHEN stddev_samp(weekly_quantity) / AVG(weekly_quantity) > 1 THEN 1.2
-        WHEN stddev_samp(weekly_quantity) / AVG(weekly_quantity) > 0.5 THEN 1.1 ELSE 1.0 END AS f FROM x_sku WHERE week_num <= 26 GROUP BY sku) USING (sku)
-    WHERE week_num > 26""",
+        WHEN stddev_samp(weekly_quantity) / AVG(weekly_quantity) > 0.5 THEN 1.1 ELSE 1.0 END AS f FROM x_sku WHERE year_week <= '1998-W26' GROUP BY sku) USING (sku)
+    WHERE year_week > '1998-W26'""",
     "predicted",
 )
 def _(t):
     from ..operators.baselines import split
 
-    train, test = split(t.weekly("sku"))
+    train, test = split(t.weekly("sku"), CUT)
     preds = test.select("sku", "year_week", F.col("weekly_quantity").alias("predicted"))
     return agg.apply_peak_factor(preds, agg.uplift_from_cv(train, ["sku"]), ["sku"])
 

@@ -194,6 +194,19 @@ def _(t):
     return enrich.master_summary(t.lines().join(masters, "customer_id"))
 
 
+@query(
+    "E09_master_ids",
+    """
+    WITH i AS (SELECT c_nationkey AS master_customer_id, customer_id, SUM(quantity) AS volume
+               FROM x_lines JOIN customer ON customer_id = CAST(c_custkey AS VARCHAR) GROUP BY 1, 2)
+    SELECT *, COUNT(*) OVER (PARTITION BY master_customer_id) AS num_ids, SUM(volume) OVER (PARTITION BY master_customer_id) AS total_volume FROM i""",
+    "volume total_volume",
+)
+def _(t):
+    masters = t.customers().select("customer_id", F.col("c_nationkey").alias("master_customer_id"))
+    return enrich.master_ids(t.lines().join(masters, "customer_id"))
+
+
 @query(
     "E11_product_attrs",
     """

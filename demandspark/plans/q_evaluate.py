@@ -8,7 +8,7 @@ from ..functions.calendar import week_num
 from ..operators import baselines, evaluate, windows
 from . import q_aggregates
 from .q_joins import brand, halves, ma_brand, naive_brand, per_sku
-from .registry import PARTS, query
+from .registry import CUT, PARTS, query
 
 ERR = "abs(actual - predicted) * 100 / NULLIF(actual, 0)"
 METRICS = f"""COUNT(*) AS n_predictions, AVG(abs(actual - predicted)) AS mae, sqrt(AVG(pow(actual - predicted, 2))) AS rmse,
@@ -20,7 +20,7 @@ PARTS["x_models"] = """
     SELECT brand, year_week, actual, predicted, 'naive' AS model FROM x_naive_brand
     UNION ALL SELECT brand, year_week, actual, predicted, 'ma4' FROM x_ma_brand
     UNION ALL SELECT brand, year_week, weekly_quantity, p, 'week26' FROM x_brand
-      JOIN (SELECT brand, AVG(weekly_quantity) AS p FROM x_brand WHERE week_num = 26 GROUP BY brand) USING (brand) WHERE week_num > 26"""
+      JOIN (SELECT brand, AVG(weekly_quantity) AS p FROM x_brand WHERE week_num = 26 AND year_week <= '1998-W26' GROUP BY brand) USING (brand) WHERE year_week > '1998-W26'"""
 
 
 def models(t):
@@ -136,12 +136,12 @@ def _(t):
 
 PARTS["x_labelled"] = """
     SELECT sku, wmape, COALESCE(h1_weeks, 0) AS h1_weeks, CASE WHEN wmape < 40 AND h1_weeks >= 15 THEN 'High' WHEN wmape < 60 AND h1_weeks >= 10 THEN 'Medium' ELSE 'Low' END AS confidence
-    FROM x_per_sku LEFT JOIN (SELECT sku, COUNT(*) AS h1_weeks FROM x_sku WHERE week_num <= 26 GROUP BY sku) USING (sku)"""
+    FROM x_per_sku LEFT JOIN (SELECT sku, COUNT(*) AS h1_weeks FROM x_sku WHERE year_week <= '1998-W26' GROUP BY sku) USING (sku)"""
 
 
 def labelled(t):
     per = per_sku(t).select("sku", "wmape")
-    weeks = windows.train_weeks(baselines.split(t.weekly("sku"))[0], ["sku"])
+    weeks = windows.train_weeks(baselines.split(t.weekly("sku"), CUT)[0], ["sku"])
     return evaluate.with_confidence(per, weeks, ["sku"])
 
 
@@ -223,7 +223,7 @@ def _(t):
 @query(
     "V12_drift",
     """
-    WITH r AS (SELECT weekly_quantity AS v FROM x_brand WHERE week_num <= 26), c AS (SELECT weekly_quantity AS v FROM x_brand WHERE week_num > 26),
+    WITH r AS (SELECT weekly_quantity AS v FROM x_brand WHERE year_week <= '1998-W26'), c AS (SELECT weekly_quantity AS v FROM x_brand WHERE year_week > '1998-W26'),
     q AS (SELECT unnest(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS cut FROM r),
     rb AS (SELECT (SELECT COUNT(*) FROM q WHERE cut < v) AS bin, COUNT(*) AS n FROM r GROUP BY 1),
     cb AS (SELECT (SELECT COUNT(*) FROM q WHERE cut < v) AS bin, COUNT(*) AS n FROM c GROUP BY 1),

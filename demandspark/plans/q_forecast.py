@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import baselines, evaluate
 from . import q_aggregates
 from .q_joins import brand, halves, ma_brand, naive_brand
-from .registry import PARTS, query
+from .registry import CUT, PARTS, query
 
 E, Y = ["brand"], "weekly_quantity"
 
@@ -29,23 +29,26 @@ def _(t):
     return evaluate.metrics(preds, ["category"])
 
 
+def marked(train, test):
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))).drop("week_num")
+
+
 @query(
     "F00_split_number",
     "SELECT brand, year_week, weekly_quantity, CASE WHEN week_num <= 26 THEN 'train' ELSE 'test' END AS part FROM x_brand",
     "weekly_quantity",
 )
 def _(t):
-    train, test = baselines.split(brand(t))
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))).drop("week_num")
+    return marked(*baselines.split(brand(t)))
 
 
 @query(
     "F00_split_text",
-    "SELECT brand, year_week, weekly_quantity FROM x_brand WHERE year_week > '1998-W26'",
+    "SELECT brand, year_week, weekly_quantity, CASE WHEN year_week <= '1998-W26' THEN 'train' ELSE 'test' END AS part FROM x_brand",
     "weekly_quantity",
 )
 def _(t):
-    return baselines.split(brand(t), "1998-W26")[1].drop("week_num")
+    return marked(*halves(t))
 
 
 @query("F01_naive_last", "SELECT * FROM x_naive_brand", "actual predicted")
@@ -70,7 +73,7 @@ def _(t):
     "F01_naive_at_week",
     """
     SELECT brand, year_week, weekly_quantity AS actual, p AS predicted FROM x_brand
-    JOIN (SELECT brand, AVG(weekly_quantity) AS p FROM x_brand WHERE week_num = 26 GROUP BY brand) USING (brand) WHERE week_num > 26""",
+    JOIN (SELECT brand, AVG(weekly_quantity) AS p FROM x_brand WHERE week_num = 26 AND year_week <= '1998-W26' GROUP BY brand) USING (brand) WHERE year_week > '1998-W26'""",
     "actual predicted",
 )
 def _(t):
@@ -86,19 +89,19 @@ def _(t):
     "F02_moving_average_8_sku",
     """
     SELECT sku, year_week, weekly_quantity AS actual, p AS predicted FROM x_sku JOIN (
-      SELECT sku, AVG(weekly_quantity) AS p FROM (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY week_num DESC, year_week DESC) AS rn
-        FROM x_sku WHERE week_num <= 26) WHERE rn <= 8 GROUP BY sku HAVING COUNT(*) >= 8) USING (sku) WHERE week_num > 26""",
+      SELECT sku, AVG(weekly_quantity) AS p FROM (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY year_week DESC) AS rn
+        FROM x_sku WHERE year_week <= '1998-W26') WHERE rn <= 8 GROUP BY sku HAVING COUNT(*) >= 8) USING (sku) WHERE year_week > '1998-W26'""",
     "actual predicted",
 )
 def _(t):
-    return baselines.moving_average(*baselines.split(t.weekly("sku")), ["sku"], Y, 8)
+    return baselines.moving_average(*baselines.split(t.weekly("sku"), CUT), ["sku"], Y, 8, baselines.IN_TIME)
 
 
 @query(
     "F02_moving_average_weeks",
     """
     SELECT brand, year_week, weekly_quantity AS actual, p AS predicted FROM x_brand
-    JOIN (SELECT brand, AVG(weekly_quantity) AS p FROM x_brand WHERE week_num BETWEEN 23 AND 26 GROUP BY brand) USING (brand) WHERE week_num > 26""",
+    JOIN (SELECT brand, AVG(weekly_quantity) AS p FROM x_brand WHERE week_num BETWEEN 23 AND 26 AND year_week <= '1998-W26' GROUP BY brand) USING (brand) WHERE year_week > '1998-W26'""",
     "actual predicted",
 )
 def _(t):
@@ -107,36 +110,37 @@ def _(t):
 
 PARTS["x_seasonal_sku"] = """
     SELECT a.sku, a.year_week, a.weekly_quantity AS actual, COALESCE(w.v, m.v) AS predicted FROM x_sku a
-    JOIN (SELECT sku, AVG(weekly_quantity) AS v FROM x_sku WHERE week_num <= 26 GROUP BY sku) m USING (sku)
-    LEFT JOIN (SELECT sku, week_num + 26 AS wn, AVG(weekly_quantity) AS v FROM x_sku WHERE week_num <= 26 GROUP BY 1, 2) w ON a.sku = w.sku AND a.week_num = wn
-    WHERE a.week_num > 26"""
+    JOIN (SELECT sku, AVG(weekly_quantity) AS v FROM x_sku WHERE year_week <= '1998-W26' GROUP BY sku) m USING (sku)
+    LEFT JOIN (SELECT sku, week_num + 26 AS wn, AVG(weekly_quantity) AS v FROM x_sku WHERE year_week <= '1998-W26' GROUP BY 1, 2) w ON a.sku = w.sku AND a.week_num = wn
+    WHERE a.year_week > '1998-W26'"""
 
 
 @query("F03_seasonal_naive", "SELECT * FROM x_seasonal_sku", "actual predicted")
 def _(t):
-    return baselines.seasonal_naive(*baselines.split(t.weekly("sku")), ["sku"], Y)
+    return baselines.seasonal_naive(*baselines.split(t.weekly("sku"), CUT), ["sku"], Y)
 
 
 @query(
     "F04_linear_trend",
     """
-    WITH f AS (SELECT sku, COALESCE(regr_slope(weekly_quantity, week_num), 0) AS s,
-                      COALESCE(regr_intercept(weekly_quantity, week_num), AVG(weekly_quantity)) AS i FROM x_sku WHERE week_num <= 26 GROUP BY sku HAVING COUNT(*) >= 4)
-    SELECT sku, year_week, weekly_quantity AS actual, GREATEST(i + s * week_num, 0) AS predicted FROM x_sku JOIN f USING (sku) WHERE week_num > 26""",
+    WITH x AS (SELECT x_sku.*, (monday - DATE '1970-01-05') // 7 AS k FROM x_sku JOIN x_monday USING (year_week)),
+    f AS (SELECT sku, COALESCE(regr_slope(weekly_quantity, k), 0) AS s,
+                      COALESCE(regr_intercept(weekly_quantity, k), AVG(weekly_quantity)) AS i FROM x WHERE year_week <= '1998-W26' GROUP BY sku HAVING COUNT(*) >= 4)
+    SELECT sku, year_week, weekly_quantity AS actual, GREATEST(i + s * k, 0) AS predicted FROM x JOIN f USING (sku) WHERE year_week > '1998-W26'""",
     "actual predicted",
 )
 def _(t):
-    return baselines.linear_trend(*baselines.split(t.weekly("sku")), ["sku"], Y)
+    return baselines.linear_trend(*baselines.split(t.weekly("sku"), CUT), ["sku"], Y, across_years=True)
 
 
 def smoothing_sql(alpha: float, source: str, key: str) -> str:
     """Smoothing as a recurrence, written independently of the weighted sum under test."""
     return f"""
-    WITH RECURSIVE o AS (SELECT {key}, weekly_quantity AS y, row_number() OVER (PARTITION BY {key} ORDER BY week_num, year_week) AS i,
-                      COUNT(*) OVER (PARTITION BY {key}) AS n FROM {source} WHERE week_num <= 26),
+    WITH RECURSIVE o AS (SELECT {key}, weekly_quantity AS y, row_number() OVER (PARTITION BY {key} ORDER BY year_week) AS i,
+                      COUNT(*) OVER (PARTITION BY {key}) AS n FROM {source} WHERE year_week <= '1998-W26'),
     r AS (SELECT {key}, i, n, y AS s FROM o WHERE i = 1 UNION ALL
           SELECT o.{key}, o.i, o.n, {alpha} * o.y + (1 - {alpha}) * r.s FROM r JOIN o ON r.{key} = o.{key} AND o.i = r.i + 1)
-    SELECT {key}, year_week, weekly_quantity AS actual, s AS predicted FROM {source} JOIN (SELECT {key}, s FROM r WHERE i = n AND n >= 2) USING ({key}) WHERE week_num > 26"""
+    SELECT {key}, year_week, weekly_quantity AS actual, s AS predicted FROM {source} JOIN (SELECT {key}, s FROM r WHERE i = n AND n >= 2) USING ({key}) WHERE year_week > '1998-W26'"""
 
 
 for alpha in (0.3, 0.5):
@@ -144,12 +148,12 @@ for alpha in (0.3, 0.5):
 
     @query(f"F05_exp_smoothing_{tag}", smoothing_sql(alpha, "x_brand", "brand"), "actual predicted")
     def _(t, alpha=alpha):
-        return baselines.exp_smoothing(*halves(t), E, Y, alpha)
+        return baselines.exp_smoothing(*halves(t), E, Y, alpha, baselines.IN_TIME)
 
 
 @query("F05_exp_smoothing_sku", smoothing_sql(0.3, "x_sku", "sku"), "actual predicted")
 def _(t):
-    return baselines.exp_smoothing(*baselines.split(t.weekly("sku")), ["sku"], Y, 0.3)
+    return baselines.exp_smoothing(*baselines.split(t.weekly("sku"), CUT), ["sku"], Y, 0.3, baselines.IN_TIME)
 
 
 @query(
@@ -185,12 +189,12 @@ def _(t):
     """
     SELECT sku, year_week, weekly_quantity AS actual, med AS predicted,
            CASE WHEN abs(weekly_quantity - m) / NULLIF(s, 0) > 2 THEN 'high' ELSE 'normal' END AS uncertainty
-    FROM x_sku JOIN (SELECT sku, median(weekly_quantity) AS med, AVG(weekly_quantity) AS m, stddev_samp(weekly_quantity) AS s FROM x_sku WHERE week_num <= 26 GROUP BY sku) USING (sku)
-    WHERE week_num > 26""",
+    FROM x_sku JOIN (SELECT sku, median(weekly_quantity) AS med, AVG(weekly_quantity) AS m, stddev_samp(weekly_quantity) AS s FROM x_sku WHERE year_week <= '1998-W26' GROUP BY sku) USING (sku)
+    WHERE year_week > '1998-W26'""",
     "actual predicted",
 )
 def _(t):
-    return baselines.median_spike(*baselines.split(t.weekly("sku")), ["sku"], Y)
+    return baselines.median_spike(*baselines.split(t.weekly("sku"), CUT), ["sku"], Y)
 
 
 PARTS["x_routed"] = """
@@ -202,7 +206,7 @@ PARTS["x_routed"] = """
 
 
 def routed(t):
-    seasonal = baselines.seasonal_naive(*baselines.split(t.weekly("sku")), ["sku"], Y)
+    seasonal = baselines.seasonal_naive(*baselines.split(t.weekly("sku"), CUT), ["sku"], Y)
     return baselines.route(q_aggregates.ma_sku(t), seasonal, q_aggregates.patterns(t), ["sku"])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates, baselines, evaluate, joins
 from ..operators.enrich import with_product_attrs
 from . import q_aggregates
-from .registry import PARTS, query
+from .registry import CUT, PARTS, query
 
 PARTS["x_per_sku"] = """
     SELECT sku, COUNT(*) AS n_weeks, SUM(abs(actual - predicted)) * 100 / SUM(actual) AS wmape, SUM(actual) AS volume FROM x_ma_sku GROUP BY sku"""
@@ -96,23 +96,23 @@ def _(t):
 
 PARTS["x_naive_brand"] = """
     SELECT brand, year_week, weekly_quantity AS actual, p AS predicted FROM x_brand
-    JOIN (SELECT brand, arg_max(weekly_quantity, (week_num, year_week)) AS p FROM x_brand WHERE week_num <= 26 GROUP BY brand) USING (brand) WHERE week_num > 26"""
+    JOIN (SELECT brand, arg_max(weekly_quantity, year_week) AS p FROM x_brand WHERE year_week <= '1998-W26' GROUP BY brand) USING (brand) WHERE year_week > '1998-W26'"""
 PARTS["x_ma_brand"] = """
     SELECT brand, year_week, weekly_quantity AS actual, p AS predicted FROM x_brand JOIN (
-      SELECT brand, AVG(weekly_quantity) AS p FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY week_num DESC, year_week DESC) AS rn
-        FROM x_brand WHERE week_num <= 26) WHERE rn <= 4 GROUP BY brand HAVING COUNT(*) >= 4) USING (brand) WHERE week_num > 26"""
+      SELECT brand, AVG(weekly_quantity) AS p FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY year_week DESC) AS rn
+        FROM x_brand WHERE year_week <= '1998-W26') WHERE rn <= 4 GROUP BY brand HAVING COUNT(*) >= 4) USING (brand) WHERE year_week > '1998-W26'"""
 
 
 def halves(t):
-    return baselines.split(brand(t))
+    return baselines.split(brand(t), CUT)
 
 
 def naive_brand(t):
-    return baselines.naive_last(*halves(t), ["brand"], "weekly_quantity")
+    return baselines.naive_last(*halves(t), ["brand"], "weekly_quantity", baselines.IN_TIME)
 
 
 def ma_brand(t, n: int = 4):
-    return baselines.moving_average(*halves(t), ["brand"], "weekly_quantity", n)
+    return baselines.moving_average(*halves(t), ["brand"], "weekly_quantity", n, baselines.IN_TIME)
 
 
 @query(

@@ -62,7 +62,7 @@ def _(t):
 @query(
     "D04_series_document_flat",
     """
-    SELECT brand, 'h1' AS part, year_week, round(weekly_quantity, 1) AS value FROM x_brand WHERE week_num <= 26
+    SELECT brand, 'h1' AS part, year_week, round(weekly_quantity, 1) AS value FROM x_brand WHERE year_week <= '1998-W26'
     UNION ALL SELECT brand, 'actual', year_week, round(actual, 1) FROM x_ma_brand UNION ALL SELECT brand, 'predicted', year_week, round(predicted, 1) FROM x_ma_brand""",
     "value",
 )
@@ -97,7 +97,7 @@ def _(t):
 @query(
     "D07_eval_summary",
     """
-    WITH w AS (SELECT brand AS entity_id, COUNT(*) AS h1_weeks FROM x_brand WHERE week_num <= 26 GROUP BY 1),
+    WITH w AS (SELECT brand AS entity_id, COUNT(*) AS h1_weeks FROM x_brand WHERE year_week <= '1998-W26' GROUP BY 1),
     p AS (SELECT model_version, entity_id, COUNT(*) AS n, SUM(abs_error) * 100 / SUM(actual) AS wmape FROM x_versions GROUP BY 1, 2),
     l AS (SELECT model_version, n, CASE WHEN wmape < 40 AND h1_weeks >= 15 THEN 'High' WHEN wmape < 60 AND h1_weeks >= 10 THEN 'Medium' ELSE 'Low' END AS c FROM p LEFT JOIN w USING (entity_id)),
     s AS (SELECT model_version, SUM(abs_error) * 100 / SUM(actual) AS wmape, AVG(abs_error) AS mae FROM x_versions GROUP BY 1)

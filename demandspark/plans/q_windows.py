@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import windows
 from . import q_aggregates
-from .registry import query
+from .registry import CUT, query
 
 OVER = "OVER (PARTITION BY sku ORDER BY year_week)"
 
@@ -119,15 +119,13 @@ def _(t):
 @query(
     "W09_price_features",
     f"""
-    SELECT sku, year_week, avg_unit_price, p AS prev_price, avg_unit_price - p AS price_change, (avg_unit_price - p) / p * 100 AS price_change_pct_raw,
+    SELECT sku, year_week, avg_unit_price, p AS prev_price, avg_unit_price - p AS price_change, round((avg_unit_price - p) / p * 100, 2) AS price_change_pct,
            m - avg_unit_price AS price_trend_4w, avg_unit_price - a AS price_vs_avg
     FROM (SELECT *, LAG(avg_unit_price) {OVER} AS p, AVG(avg_unit_price) {over(4, True)} AS m, AVG(avg_unit_price) OVER (PARTITION BY sku) AS a FROM x_sku)""",
-    "avg_unit_price prev_price price_change price_change_pct_raw price_trend_4w price_vs_avg",
+    "avg_unit_price prev_price price_change price_change_pct price_trend_4w price_vs_avg",
 )
 def _(t):
-    df = windows.price_features(t.sku_week().select("sku", "year_week", "avg_unit_price"), ["sku"], "year_week")
-    raw = F.col("price_change") / F.col("prev_price") * 100
-    return df.withColumn("price_change_pct_raw", raw).drop("price_change_pct")
+    return windows.price_features(t.sku_week().select("sku", "year_week", "avg_unit_price"), ["sku"], "year_week")
 
 
 @query(
@@ -146,15 +144,15 @@ def _(t):
 @query(
     "W11_rank_in",
     """
-    SELECT week_start, region_name, CAST(rank() OVER (PARTITION BY week_start ORDER BY transaction_count DESC) AS INTEGER) AS revenue_rank,
+    SELECT week_start, region_name, CAST(rank() OVER (PARTITION BY week_start ORDER BY weekly_revenue DESC) AS INTEGER) AS revenue_rank,
            rank() OVER (PARTITION BY week_start ORDER BY transaction_count DESC) + (COUNT(*) OVER (PARTITION BY week_start, transaction_count) - 1) / 2 AS average_rank
     FROM x_region_week""",
     "average_rank",
 )
 def _(t):
-    df = q_aggregates.region_week(t).select("week_start", "region_name", "transaction_count")
-    df = windows.rank_in(df, ["week_start"], "transaction_count", "rank", "revenue_rank")
-    return windows.rank_in(df, ["week_start"], "transaction_count", "average", "average_rank").drop("transaction_count")
+    df = q_aggregates.region_week(t).select("week_start", "region_name", "weekly_revenue", "transaction_count")
+    df = windows.rank_in(df, ["week_start"], "weekly_revenue", "rank", "revenue_rank")
+    return windows.rank_in(df, ["week_start"], "transaction_count", "average", "average_rank").drop("weekly_revenue", "transaction_count")
 
 
 @query(
@@ -189,11 +187,11 @@ def _(t):
     return windows.recent_total(sku(t), ["sku"], "weekly_quantity", "2001-W28", "last_4w_actual")
 
 
-@query("W15_train_weeks", "SELECT sku, COUNT(*) AS h1_weeks FROM x_sku WHERE week_num <= 26 GROUP BY sku")
+@query("W15_train_weeks", "SELECT sku, COUNT(*) AS h1_weeks FROM x_sku WHERE year_week <= '1998-W26' GROUP BY sku")
 def _(t):
     from ..operators.baselines import split
 
-    return windows.train_weeks(split(t.sku_week())[0], ["sku"])
+    return windows.train_weeks(split(t.sku_week(), CUT)[0], ["sku"])
 
 
 @query(

@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 DIGITS = 4
+CUT = "1998-W26"  # the last training week of the registered hold-out queries
 NUDGE = 1e-7  # moves exact halves off the rounding edge, the same way on both sides
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -68,9 +69,30 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+_written: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; it is deleted when the program ends, or by `clear`."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written[path] = spark
+    return path
+
+
+def clear() -> None:
+    """Delete everything under the paths handed out so far."""
+    for path, spark in list(_written.items()):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        del _written[path]
+
+
+@atexit.register
+def clear_at_exit() -> None:
+    try:
+        clear()
+    except Exception:  # the session is gone, and with it the way to the folder
+        _written.clear()
 
 
 def pin(df: DataFrame) -> DataFrame:

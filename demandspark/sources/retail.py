@@ -9,6 +9,13 @@ from ..functions.calendar import year_week
 from ..session import prepare
 
 
+def with_attributes(lines: DataFrame, dim: DataFrame, key: str, defaults: dict | None = None) -> DataFrame:
+    """Every line, with the attributes of its key; lines whose key the dimension lacks take the defaults."""
+    defaults = {c: "Unknown" for c in dim.columns if c != key} | (defaults or {})
+    joined = lines.join(dim, key, "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(value)) for c, value in defaults.items()})
+
+
 class Retail:
     """Lazy views over one folder of parquet tables; each method reads only what it needs."""
 
@@ -48,7 +55,7 @@ class Retail:
         )
 
     def lines(self, product: bool = False, customer: bool = False) -> DataFrame:
-        """Invoice lines; product and customer attributes only on request."""
+        """Invoice lines; product and customer attributes only on request, `Unknown` where the dimension lacks the key."""
         orders = self.table("orders").select(
             "o_orderkey",
             F.col("o_orderdate").cast("date").alias("order_date"),
@@ -71,9 +78,9 @@ class Retail:
             )
         )
         if product:
-            df = df.join(self.products().select("sku", "description", "category", "brand"), "sku")
+            df = with_attributes(df, self.products().select("sku", "description", "category", "brand"), "sku")
         if customer:
-            df = df.join(self.customers().select("customer_id", "customer_name", "region_name"), "customer_id")
+            df = with_attributes(df, self.customers().select("customer_id", "customer_name", "region_name"), "customer_id")
         return df
 
     def raw_lines(self, product: bool = False) -> DataFrame:
@@ -82,9 +89,8 @@ class Retail:
         Line 7 of an order lost price and total, line 6 its price; customers with a
         negative balance lost their id; one region's name is unknown.
         """
-        df = self.lines(product=product).join(
-            self.customers().select("customer_id", "customer_name", "region_name", "c_acctbal"), "customer_id"
-        )
+        customers = self.customers().select("customer_id", "customer_name", "region_name", "c_acctbal")
+        df = with_attributes(self.lines(product=product), customers, "customer_id", {"c_acctbal": 0.0})
         line = F.col("line_number")
         return df.withColumns(
             {

@@ -51,3 +51,10 @@ def test_number_rows_is_gapless_and_ordered(spark):
     df = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("k")).repartition(7)
     got = dist.number_rows(df, ["k"], "n").toPandas()
     assert (got.sort_values("k")["n"].to_numpy() == np.arange(1, 5_001)).all()
+
+
+def test_ranks_tell_large_whole_numbers_apart(spark):
+    base = 2**53
+    df = spark.createDataFrame([("g", base + k, k) for k in (3, 1, 0, 2)], "g string, y long, id int")
+    got = {r["id"]: r["r"] for r in dist.rank_large(df, ["g"], "y", "r", descending=False).collect()}
+    assert got == {0: 1, 1: 2, 2: 3, 3: 4}

@@ -96,3 +96,26 @@ def test_content_hash_ignores_order_and_counts_repeats(spark):
     same = quality.content_hash(df).first()
     assert quality.content_hash(df.orderBy(F.desc("v"))).first() == same
     assert quality.content_hash(df.union(df)).first() != same
+
+
+def test_ids_of_masters_as_rows(spark):
+    from demandspark.operators import enrich
+
+    lines = spark.createDataFrame([(1, "a", 2.0), (1, "a", 3.0), (1, "b", 1.0), (2, "c", 4.0)], "master_customer_id long, customer_id string, quantity double")
+    got = {(r["master_customer_id"], r["customer_id"]): (r["volume"], r["num_ids"], r["total_volume"]) for r in enrich.master_ids(lines).collect()}
+    assert got == {(1, "a"): (5.0, 2, 6.0), (1, "b"): (1.0, 2, 6.0), (2, "c"): (4.0, 1, 4.0)}
+
+
+def test_lines_without_a_dimension_row_stay(spark):
+    from demandspark.sources.retail import with_attributes
+
+    lines = spark.createDataFrame([(1, 5.0), (2, 6.0), (None, 7.0)], "sku long, quantity double")
+    dim = spark.createDataFrame([(1, "box")], "sku long, category string")
+    assert sorted((r["quantity"], r["category"]) for r in with_attributes(lines, dim, "sku").collect()) == [(5.0, "box"), (6.0, "Unknown"), (7.0, "Unknown")]
+
+
+def test_prefix_of_long_values(spark):
+    from demandspark.functions.clean import strip_prefix
+
+    df = spark.range(1).selectExpr("concat('X-', repeat('a', 1000005)) AS v")
+    assert df.select(F.length(strip_prefix("v", "X-"))).first()[0] == 1_000_005

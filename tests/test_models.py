@@ -4,9 +4,10 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandspark.operators import aggregates, baselines, evaluate, models
-from demandspark.operators.series_models import autoregress, boost
+from demandspark.operators.series_models import arima, boost
 
 Y, CUT = "weekly_quantity", "2024-W26"
 
@@ -127,8 +128,96 @@ def test_autoregression_recovers_its_order():
     y = [10.0]
     for e in rng.normal(0, 1, 400):
         y.append(10 + 0.9 * (y[-1] - 10) + e)
-    points, error, order = autoregress(np.array(y), 50)
-    assert order.startswith("ar") and abs(points[-1] - 10) < 2 and error[0] == pytest.approx(1.0, abs=0.15)
+    points, error, order = arima(np.array(y), 50)
+    assert order.startswith("arima(") and abs(points[-1] - 10) < 2 and error[0] == pytest.approx(1.0, abs=0.15)
+
+
+def test_moving_average_is_recovered():
+    """A pure moving average: one step ahead follows the last error, from the second step on it is the mean."""
+    rng = np.random.default_rng(11)
+    e = rng.normal(0, 1, 3001)
+    y = 50 + e[1:] + 0.8 * e[:-1]
+    points, error, order = arima(y, 6, max_p=0)
+    assert order == "arima(0,0,1)" or order == "arima(0,0,2)"
+    assert points[0] == pytest.approx(50 + 0.8 * e[-1], abs=0.35) and points[3:] == pytest.approx(50, abs=0.2)
+    assert error[0] == pytest.approx(1.0, abs=0.1) and error[-1] == pytest.approx(np.sqrt(1.64), abs=0.15)
+    mixed = [0.0]
+    for k in range(1, 3000):
+        mixed.append(0.7 * mixed[-1] + e[k] + 0.5 * e[k - 1])
+    assert "0)" not in arima(np.array(mixed), 2, max_p=1, max_q=1)[2][-2:]
+    assert arima(np.array(mixed), 2, max_p=2)[1][0] == pytest.approx(1.0, abs=0.1)
+
+
+def test_any_interval_level(spark):
+    assert baselines.normal_quantile(0.95) == pytest.approx(1.959963984540054)
+    weeks = [(f"2024-W{w:02d}", 10.0 + w % 5) for w in range(1, 30)]
+    df = spark.createDataFrame([("a", *r) for r in weeks], "e string, year_week string, y double")
+    narrow, wide = (models.auto_arima(df, ["e"], "y", h=2, level=v).orderBy("step").first() for v in (0.5, 0.99))
+    assert narrow["upper_bound"] < wide["upper_bound"]
+
+
+def test_drawn_rows_do_not_depend_on_company(spark):
+    """Volatile series: the same forecasts under other partitions and batches, and with other series beside them."""
+    rng = np.random.default_rng(12)
+    weeks = [f"2024-W{w:02d}" for w in range(1, 53)]
+    data = [(f"s{s}", w, float(rng.gamma(0.3, 50)), 1.0) for s in range(8) for w in weeks]
+    df = spark.createDataFrame(data, ["sku", "year_week", Y, "avg_unit_price"])
+    train, test = baselines.split(models.model_features(df, ["sku"]).cache(), CUT)
+    kinds = train.select("sku").distinct().withColumn("pattern", F.lit("volatile"))
+
+    def run(keep="true"):
+        out = models.by_pattern(train.where(keep), test.where(keep), ["sku"], models.GLOBAL_FEATURES, Y, kinds, trees=20)
+        return sorted(out.collect())
+
+    want = run()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, batch in (("1", "10000"), ("8", "100")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            assert run() == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert run("sku = 's5'") == [r for r in want if r["sku"] == "s5"]
+
+
+def test_series_without_a_key_stay_whole(spark):
+    data = [(None, f"{2020 + i // 50}-W{i % 50 + 1:02d}", float(i % 7)) for i in range(120)]
+    df = spark.createDataFrame(data, "sku string, year_week string, y double")
+    schema = T.StructType([T.StructField("n", T.IntegerType())])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        pieces = models.per_series(df, ["sku"], "year_week", lambda rows: pd.DataFrame({"n": [len(rows)]}), schema)
+        assert [r["n"] for r in pieces.collect()] == [120]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_incomplete_rows_count_only_as_zeros_when_asked(halves):
+    train, test = halves
+    core = ["lag1", "lag4"]
+    table = {r["sku"]: r for r in models.training_rows(train, ["sku"], core).collect()}
+    assert (table["short"]["n_rows"], table["short"]["n_complete"], table["short"]["eligible"]) == (2, 0, False)
+    assert table["s0"]["n_rows"] - table["s0"]["n_complete"] == 4 and table["s0"]["eligible"]
+    strict = models.gbt_by_entity(train, test, ["sku"], models.GLOBAL_FEATURES, Y, trees=5, global_iters=2, core=core)
+    assert strict.where("sku = 'short'").count() == 0 and strict.count() == test.count() - 1
+
+
+def test_classes_are_scored_on_held_out_customers(spark):
+    rows = [(f"c{k}", 2 + k % 5, float(k % 3), "abc"[k % 3]) for k in range(300)]
+    dim = spark.createDataFrame(rows, "customer_id string, total_orders int, x double, cycle_regularity string")
+    scored = models.cycle_classifier(dim, ["x"], rounds=3).collect()
+    assert 20 < len(scored) < 120
+    assert all(sum(r["class_probs"].values()) == pytest.approx(1.0) and set(r["class_probs"]) == {"a", "b", "c"} for r in scored)
+    assert all(r["predicted_label"] == r["actual_label"] for r in scored)
+
+
+def test_settings_are_compared_as_listed(spark, halves):
+    settings = [{"iters": 2, "depth": 2, "step": 0.1}, {"iters": 3, "depth": 3, "step": 0.05}]
+    out = models.ts_cv(halves[0], ["sku"], models.GLOBAL_FEATURES, Y, settings, splits=2).collect()
+    assert sorted((r["iters"], r["depth"], r["step"]) for r in out) == [(2, 2, 0.1), (3, 3, 0.05)]
+    assert sum(r["is_best"] for r in out) == 1 and all(r["cv_mae"] > 0 for r in out)
 
 
 def test_boosting_many_series_equals_boosting_each_alone():

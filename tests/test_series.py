@@ -182,3 +182,25 @@ def test_series_document(spark):
     assert row["h2"]["predicted"] == {"2025-W27": 8.8}
     assert (row["meta"]["name"], row["meta"]["h1_weeks"]) == ("Name", 2)
     assert row["document"].startswith('{"h1":{"2025-W01":3.1')
+
+
+def test_registered_halves_are_split_in_time(spark):
+    """No training week of the hold-out queries lies after a test week."""
+    from pathlib import Path
+
+    from demandspark.plans import q_forecast, q_joins
+    from demandspark.plans.registry import Sales
+
+    if not Path("/root/testdata/sf0.001").exists():
+        pytest.skip("driver tables absent")
+    train, test = q_joins.halves(Sales(spark, "/root/testdata/sf0.001"))
+    assert train.agg({"year_week": "max"}).first()[0] < test.agg({"year_week": "min"}).first()[0]
+    parts = {r["part"] for r in q_forecast.marked(train, test).select("part").distinct().collect()}
+    assert parts == {"train", "test"}
+
+
+def test_trend_across_years(spark):
+    data = [("a", f"{y}-W{w:02d}", float(w + 52 * (y - 2021))) for y in (2021, 2022) for w in (10, 20, 30, 40)] + [("a", "2023-W10", 114.0)]
+    train, test = baselines.split(spark.createDataFrame(data, "e string, year_week string, y double"), "2022-W52")
+    assert baselines.linear_trend(train, test, ["e"], "y", across_years=True).first()["predicted"] == pytest.approx(114.0, abs=1)
+    assert baselines.linear_trend(train, test, ["e"], "y").first()["predicted"] < 60
