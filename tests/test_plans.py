@@ -89,3 +89,24 @@ def test_a_hot_key_is_split(spark):
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     assert "SortMergeJoin(skew=true)" in final and "hashpartitioning(sku" in final
     assert total[0] == lines.agg(F.sum("quantity")).first()[0] and total[1] == n
+
+
+def scans_of_lines(spark, name, monkeypatch):
+    """How often the line items are read, the tables written on the way included."""
+    from demandspark import session
+
+    read, real = [], session.pin
+
+    def counted(df):
+        read.append(plan(df).count("lineitem.parquet"))
+        return real(df)
+
+    for module in ("demandspark.operators.customers", "demandspark.plans.registry"):
+        monkeypatch.setattr(f"{module}.pin", counted)
+    df = catalog.QUERIES[name](spark, FOLDER)
+    return sum(read) + plan(df).count("lineitem.parquet")
+
+
+@pytest.mark.parametrize("name,most", [("A06_sku_week_enriched", 2), ("A20_customer_cycles", 1)])
+def test_line_items_are_read_once_or_twice(spark, monkeypatch, name, most):
+    assert 1 <= scans_of_lines(spark, name, monkeypatch) <= most
