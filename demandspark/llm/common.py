@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,12 +66,19 @@ def drop(*tables: DataFrame) -> None:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
+    """Also after the session has stopped, as long as its JVM runs."""
+    context, jvm = spark.sparkContext, SparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    conf = context._jsc.hadoopConfiguration() if context._jsc else jvm.org.apache.hadoop.conf.Configuration()
+    where.getFileSystem(conf).delete(where, True)
     _open.pop(path, None)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = SparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 @atexit.register
 def remove_all() -> None:
     """At the end of the program: tables that lazy results may still have read until now."""

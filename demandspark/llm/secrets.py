@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import CLEANUP, fresh_path, whole, written
+from .common import CLEANUP, exists, fresh_path, whole, written
 
 
 @dataclass(frozen=True)
@@ -59,12 +58,8 @@ def blob(text):
 
 def read_ledger(spark: SparkSession, ledger: str, name: str, schema: str) -> DataFrame:
     """A ledger table, empty before the first scan."""
-    try:
-        return spark.read.schema(schema).parquet(f"{ledger}/{name}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    path = f"{ledger}/{name}"
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def unseen(versions: DataFrame, ledger: str, rules) -> DataFrame:
