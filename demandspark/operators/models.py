@@ -33,6 +33,7 @@ from .windows import fill_gaps, frame, lags, ordered
 
 GLOBAL_FEATURES = ["lag1", "lag2", "lag4", "rolling_avg_4w", "avg_unit_price", "week_num", "is_w47"]
 FIT_THREADS = 4
+ROWS_A_TASK = 20_000
 
 # the numpy fits travel with the task, so executors need no copy of this package
 register_pickle_by_value(series_models)
@@ -66,12 +67,16 @@ def zero_filled(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def fit(df: DataFrame, feats: list[str], label: str, stage) -> PipelineModel:
-    """Fit an MLlib stage; boosting reads its input several times, so it is kept while fitting."""
+    """Fit an MLlib stage; boosting reads its input several times, so it is kept while fitting.
+
+    A tree is a job for each of its levels, so rows that fit a few tasks are put into as many partitions.
+    """
     shared_dir(df.sparkSession)
     rows = zero_filled(df.where(F.col(label).isNotNull()), feats).select(*feats, F.col(label).cast("double").alias(label))
     rows = rows.persist()
     try:
-        return Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"), stage]).fit(rows)
+        few = rows.coalesce(max(1, -(-rows.count() // ROWS_A_TASK)))
+        return Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"), stage]).fit(few)
     finally:
         rows.unpersist()
 
