@@ -104,14 +104,16 @@ def test_packing(documents):
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
 
 
-def test_rounds_stay_bounded_and_pack_well(spark):
+@pytest.mark.parametrize("node,more", [(200, 1.03), (1000, 1.01), (3000, 1.0)])
+def test_rounds_stay_bounded_and_pack_well(spark, node, more):
+    """Against best fit of all items in one node; nodes of a few hundred items lose a little."""
     rng = np.random.default_rng(4)
     lengths = rng.integers(1, 2049, 3000).tolist()
     items = spark.createDataFrame([(k, 0, 0, n, k) for k, n in enumerate(lengths)], packing.PIECES)
-    rows = packing.pack(items, node=200).collect()
+    rows = packing.pack(items, node=node).collect()
     assert len(rows) == 3000
     alone = max(bins.best_fit(np.sort(lengths)[::-1], 2048)) + 1
-    assert check(rows) <= 1.02 * alone
+    assert check(rows) <= more * alone
 
 
 def test_items_that_never_fit_together(spark):
