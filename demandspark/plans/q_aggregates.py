@@ -345,6 +345,7 @@ def _(t):
     return customers.buying_cycles(t.raw_lines())
 
 
+# Thresholds and labels of the buyer and segment rules.
 BUYER_SQL = """CASE WHEN total_units > 100000 THEN 'Bulk Buyer' WHEN total_revenue / total_orders > 50000 THEN 'High-Value Buyer'
     WHEN total_orders >= 40 THEN 'Frequent Buyer' WHEN total_orders >= 10 THEN 'Regular Buyer' ELSE 'Occasional Buyer' END"""
 SEGMENT_SQL = """CASE WHEN total_units > 100000 OR total_units / total_orders > 10000 THEN 'Bulk/Wholesale'

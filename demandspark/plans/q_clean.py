@@ -208,6 +208,7 @@ def _(t):
     )
 
 
+# The week lists of the calendar flags.
 FLAG_SQL = {
     "sql": """CAST(week_num BETWEEN 47 AND 52 AS INTEGER) AS is_holiday_season, (week_num - 1) % 4 + 1 AS week_of_month,
         CAST(week_num IN (4, 8, 13, 17, 22, 26, 30, 35, 39, 43, 48, 52) AS INTEGER) AS is_month_end,
