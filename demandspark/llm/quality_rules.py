@@ -1,8 +1,9 @@
 """Quality rules: text statistics, and lines that many documents of a host share.
 
 Lines are normalised and hashed. A line is boilerplate where it stands in more documents of its host than the limit.
-Documents that are copies of each other, exact or near, show the line between the same neighbours; they count once:
-the number of documents is taken as the number of different lines before it, or after it, whichever is less.
+Documents that are copies of each other, exact or near, count once: equal texts are one document, and so are the texts
+of a family. Families are components of links between texts whose five-word shingles have a Jaccard similarity of 0.8
+or more, as sketches estimate it; only texts with a line over the limit are put into families.
 Boilerplate lines are removed; a document with too few words left is rejected, besides those that fail a base rule.
 """
 
@@ -12,11 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE_WORD, extract_all, only, text_key, whole, written
+from .links import components
 
 SPACE = r"\x20\x09-\x0D"
 WINDOW = 8
 MIN_WORDS, MAX_REPEATED = 20, 30
 MIN_DOCS, HOST_SHARE, MIN_LEFT = 10, 0.005, 0.2
+SHINGLE, SIMILAR = 5, 80
+# smallest shingle hashes of a sketch; orders of a sketch, and the hashes that make a text's group in each
+SKETCH, BANDS, BAND = 128, 8, 3
 
 
 def line_hash(line):
@@ -60,19 +65,82 @@ def statistics(docs: DataFrame, host: str = "source") -> DataFrame:
     return base.withColumn("base_failed", failed)
 
 
-def boilerplate(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE) -> DataFrame:
-    """(host, line) of lines in more documents of a host than `min_docs` and `host_share` of its documents allow."""
-    rows = docs.select(F.col(host).alias("host"), F.transform(worded_lines(whole()), line_hash).alias("lines"))
-    numbered = rows.withColumn("o", F.sort_array(F.transform("lines", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))
-    # the first place of each different line in its document, with its neighbours there; 0 stands for none
-    firsts = F.filter("o", lambda e, k: F.when(k > 0, F.get("o", k - 1)["x"] != e["x"]).otherwise(True))
-    at = lambda i: F.when(i >= 0, F.coalesce(F.get("lines", i), F.lit(0))).otherwise(F.lit(0))
-    placed = numbered.select("host", F.inline(F.transform(firsts, lambda e: F.struct(e["x"].alias("line"), at(e["i"] - 1).alias("prev"), at(e["i"] + 1).alias("next")))))
-    counts = placed.groupBy("host", "line").agg(F.least(F.count_distinct("prev"), F.count_distinct("next")).alias("n_docs"))
+def over_limit(counts: DataFrame, min_docs: int, host_share: float) -> DataFrame:
+    return counts.where((F.col("n_docs") > min_docs) & (F.col("n_docs") > host_share * F.col("total")))
+
+
+def common_lines(docs: DataFrame, host: str, min_docs: int, host_share: float) -> DataFrame:
+    """(host, line, n_docs, total) of lines in more different texts of a host than the limits allow; written."""
+    rows = docs.select(F.col(host).alias("host"), text_key().alias("text_key"), F.array_distinct(F.transform(worded_lines(whole()), line_hash)).alias("lines"))
+    counts = rows.select("host", "text_key", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count_distinct("text_key").alias("n_docs"))
     over = written(counts.where(F.col("n_docs") > min_docs), "shared-lines", few_files=True)
     hosts = written(docs.groupBy(F.col(host).alias("_host")).agg(F.count("*").alias("total")), "hosts", few_files=True)
-    kept = over.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("n_docs") > host_share * F.col("total"))
-    return kept.select("host", "line", "n_docs")
+    joined = over.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
+    return written(over_limit(joined, min_docs, host_share), "common-lines", few_files=True)
+
+
+def places(docs: DataFrame, host: str, lines: DataFrame) -> DataFrame:
+    """(doc_id, text_key, host, place, line, words) of every place of the given (host, line); written."""
+    rows = docs.select("doc_id", text_key().alias("text_key"), F.col(host).alias("host"), F.posexplode(worded_lines(whole())).alias("place", "text_line"))
+    each = rows.select("doc_id", "text_key", "host", "place", line_hash(F.col("text_line")).alias("line"), F.size(extract_all(F.col("text_line"), SPACE_WORD)).alias("words"))
+    side = lines.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
+    return written(each.join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host"))).drop("_host", "_line"), "line-places", few_files=True)
+
+
+def sketches(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(text_key, sketch) of the texts with these keys: the smallest hashes of their shingles, ascending; written.
+
+    The sketch is made before the join, so that no text is shuffled.
+    """
+    words = docs.select(text_key().alias("text_key"), extract_all(F.lower(whole()), SPACE_WORD).alias("w"))
+    windows = F.transform(F.sequence(F.lit(0), F.size("w") - SHINGLE), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(SHINGLE)]))
+    hashes = F.when(F.size("w") >= SHINGLE, windows).otherwise(F.array(F.xxhash64("w")))
+    made = words.select("text_key", F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH).alias("sketch"))
+    side = keys.select(F.col("text_key").alias("_key")).distinct()
+    return written(made.join(side, F.col("text_key") == F.col("_key")).drop("_key").dropDuplicates(["text_key"]), "sketches", few_files=True)
+
+
+def families(sketched: DataFrame) -> DataFrame:
+    """(node, component) of texts that are near copies of another one.
+
+    Under each of several orders, texts whose first hashes are equal make a group, and each is compared with one text
+    of the group, another one in each order; so pairs grow with the texts, however large a family is.
+    """
+    first = lambda j: F.slice(F.sort_array(F.transform("sketch", lambda x: F.xxhash64(x, j))), 1, BAND)
+    bands = F.array(*[F.xxhash64(F.lit(j), first(F.lit(j))) for j in range(BANDS)])
+    grouped = written(sketched.select("text_key", F.explode(bands).alias("band")), "bands", few_files=True)
+    order = F.struct(F.xxhash64("text_key", "band").alias("h"), "text_key")
+    hubs = grouped.groupBy(F.col("band").alias("_band")).agg(F.min(order).alias("hub"), F.max(order).alias("last")).where("hub <> last")
+    met = grouped.join(hubs, F.col("band") == F.col("_band")).where("text_key <> hub.text_key")
+    pairs = met.select(F.least("text_key", "hub.text_key").alias("a"), F.greatest("text_key", "hub.text_key").alias("b")).distinct()
+    beside = written(pairs, "text-pairs", few_files=True)
+    for name in ("a", "b"):
+        side = sketched.select(F.col("text_key").alias("_key"), F.col("sketch").alias(f"sketch_{name}"))
+        beside = beside.join(side, F.col(name) == F.col("_key")).drop("_key")
+    # of sketches that hold all hashes the union is whole; else its smallest hashes stand for it
+    union = F.array_union("sketch_a", "sketch_b")
+    whole_sets = (F.size("sketch_a") < SKETCH) & (F.size("sketch_b") < SKETCH)
+    sample = F.when(whole_sets, union).otherwise(F.slice(F.sort_array(union), 1, SKETCH))
+    both = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), sample))
+    links = written(beside.where(100 * both >= SIMILAR * F.size(sample)).select("a", "b"), "family-links", few_files=True)
+    return components(links)
+
+
+def counted_lines(docs: DataFrame, common: DataFrame, found: DataFrame, min_docs: int, host_share: float) -> DataFrame:
+    """(host, line, n_docs) of the `common` lines that stay over the limits when a family counts once."""
+    holders = written(found.select("host", "line", "text_key").distinct(), "line-texts", few_files=True)
+    linked = written(families(sketches(docs, holders)), "families", few_files=True)
+    named = holders.join(linked, F.col("text_key") == F.col("node"), "left").withColumn("family", F.coalesce("component", "text_key"))
+    counts = named.groupBy("host", "line").agg(F.count_distinct("family").alias("n_docs"))
+    totals = common.select(F.col("host").alias("_host"), F.col("line").alias("_line"), "total")
+    joined = counts.join(totals, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
+    return over_limit(joined, min_docs, host_share).select("host", "line", "n_docs")
+
+
+def boilerplate(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE) -> DataFrame:
+    """(host, line) of lines in more documents of a host than `min_docs` and `host_share` of its documents allow."""
+    common = common_lines(docs, host, min_docs, host_share)
+    return counted_lines(docs, common, places(docs, host, common), min_docs, host_share)
 
 
 def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT) -> DataFrame:
@@ -83,13 +151,13 @@ def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT) ->
     one row each. An empty table gives an empty result. Columns other than doc_id, text and the host are not read.
     Line and window equality is that of 64-bit hashes.
 
-    Text never leaves its row: line hashes with their neighbours and counts are what is shuffled.
+    Text never leaves its row: line hashes, sketches and counts are what is shuffled.
     """
-    shared = written(boilerplate(docs, host), "boilerplate", few_files=True)
-    rows = docs.select("doc_id", text_key().alias("text_key"), F.col(host).alias("host"), F.posexplode(worded_lines(whole())).alias("place", "text_line"))
-    lines = rows.select("doc_id", "text_key", "host", "place", line_hash(F.col("text_line")).alias("line"), F.size(extract_all(F.col("text_line"), SPACE_WORD)).alias("words"))
+    common = common_lines(docs, host, MIN_DOCS, HOST_SHARE)
+    found = places(docs, host, common)
+    shared = written(counted_lines(docs, common, found, MIN_DOCS, HOST_SHARE), "boilerplate", few_files=True)
     side = shared.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
-    hits = lines.join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
+    hits = found.join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host"))).drop("_host", "_line")
     # a set, so that rows repeating a document do not count its lines again
     lost = hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("host").alias("_host")).agg(F.collect_set(F.struct("place", "line", "words")).alias("gone"))
     # written: a caller's filter on the counts must not be pushed below, into the work on words

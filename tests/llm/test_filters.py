@@ -141,6 +141,34 @@ def test_boilerplate_depletes_but_copies_do_not(documents):
     assert texts[3] == rows[3][1].replace(shared + "\n", "") and texts[100] == rows[30][1]
 
 
+def test_fixed_places_and_passages_are_boilerplate(documents):
+    header, footer = "Site header with seven words in it", "site footer and nothing after it"
+    licence = ["Licensed under the terms of some licence,", "see the notice for all its details."]
+    rows = [(k, "\n".join([header, *prose(k, 2), *licence, *prose(1000 + k, 2), footer])) for k in range(30)]
+    rows += [(50, "\n".join([header, *licence, "three own words", footer]))]  # depleted
+    docs = documents(rows)
+    assert [r["n_docs"] for r in quality_rules.boilerplate(docs).collect()] == [31] * 4
+    judged = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert all(judged[k]["n_boilerplate_words"] == 27 and judged[k]["kept"] for k in range(30))
+    assert judged[50]["n_boilerplate_words"] == 27 and not judged[50]["base_failed"] and not judged[50]["kept"]
+    texts = {r["doc_id"]: r["text"] for r in quality_rules.without_boilerplate(docs).collect()}
+    assert texts[4] == "\n".join([*prose(4, 2), *prose(1004, 2)])
+
+
+def test_a_large_family_counts_once(documents):
+    """Also where each copy has an edit of its own, in another line."""
+    base = [line.split() for line in prose(99, 20)]
+    rows = []
+    for k in range(150):
+        words = [list(line) for line in base]
+        words[k % 20][k % 12] = "edit%d" % k
+        rows.append((k, "\n".join(map(" ".join, words))))
+    docs = documents(rows)
+    assert quality_rules.common_lines(docs, "source", 10, 0.005).count() == 20
+    assert quality_rules.boilerplate(docs).count() == 0
+    assert all(r["kept"] for r in quality_rules.judge(docs).collect())
+
+
 def test_quality_edges(documents):
     repeat = "a b c d e f g h i j k l m n o p q r s t u v w x y z "
     rows = [(1, repeat * 2), (1, repeat * 2), (None, "#a *b\n#a *b\n \n"), (2, "x" * 100_000 + " y" * 3000)]
