@@ -16,8 +16,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates."""
-    return jaccard.one_of_each(docs)
+    """One document of each component of near duplicates: five-word shingles, a Jaccard similarity of 0.8 or more."""
+    return jaccard.one_of_each(docs, 5, 80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,16 @@ def test_edge_rows_pass_through(documents, corpus, spark):
         assert after.columns == docs.columns
         assert after.count() <= docs.count()
         assert stage(spark, docs.where("false"), FOLDER).count() == 0
+
+
+def test_near_duplicates_by_five_words(spark):
+    """Also links what the thin operator's three words and 0.9 do not."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    sets = {r["doc_id"]: brute.shingles(r["text"], 5) for r in docs.collect()}
+    root = {i: i for i in sets}
+    for a, b in ((a, b) for a in sorted(sets) for b in sorted(sets) if a < b and sets[a]):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and root[a] != root[b]:
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = {i: new if r == old else r for i, r in root.items()}
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect())
+    assert kept == [i for i in sorted(root) if root[i] == i] and len(kept) == 187
