@@ -19,34 +19,30 @@ from .common import CLEANUP, exists, fresh_path, whole, written
 
 @dataclass(frozen=True)
 class Rule:
-    """Leftmost non-overlapping matches of `pattern`; the given group must have `least` characters."""
+    """Leftmost non-overlapping matches of `pattern`; the given group must have `least` characters.
+
+    A text without a match of `gate` has no finding of this rule; it only spares work, and without one it is `pattern`.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
     version: int = 1
+    gate: str | None = None
 
 
 # fixed values
 BASE = (
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, gate=r"(?i:password|passwd|secret|token|api_?key)[\x20\"':=]"),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20, gate=r"AKIA[A-Z0-9]{16}"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, gate=r"[0-9a-f]{24}"),
 )
 ADDED = (
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40, gate=r"gh[pousr]_[A-Za-z0-9]{36}"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", gate=r"-----BEGIN "),
 )
 RULES = BASE + ADDED
-# a text without a match of these has no finding of the kind; they only spare work
-GATES = {
-    "assign": r"(?i:password|passwd|secret|token|api_?key)[\x20\"':=]",
-    "access": r"AKIA[A-Z0-9]{16}",
-    "hex": r"[0-9a-f]{24}",
-    "github": r"gh[pousr]_[A-Za-z0-9]{36}",
-    "private_key": r"-----BEGIN ",
-}
 PAIRS = "blob string, rule string, version int"
 FINDINGS = PAIRS + ", start int, end int"
 
@@ -80,7 +76,7 @@ def find(blobs: DataFrame, rules) -> DataFrame:
     """(blob, rule, version, start, end) of every match that passes, in code points."""
 
     def matches(rule: Rule):
-        wanted = F.array_contains("todo", f"{rule.kind}:{rule.version}") & F.col("text").rlike(GATES.get(rule.kind, rule.pattern))
+        wanted = F.array_contains("todo", f"{rule.kind}:{rule.version}") & F.col("text").rlike(rule.gate or rule.pattern)
         found = F.arrays_zip(F.split("text", rule.pattern, -1).alias("gap"), F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0)).alias("hit"))
         return F.struct(F.lit(rule.kind).alias("rule"), F.lit(rule.version).alias("version"), F.when(wanted, found).alias("found"))
 
@@ -91,7 +87,7 @@ def find(blobs: DataFrame, rules) -> DataFrame:
     passes = F.lit(False)
     for rule in rules:
         value = F.regexp_extract("hit", rule.pattern, rule.group)
-        passes = passes | ((F.col("rule") == rule.kind) & (F.char_length(value) >= rule.least))
+        passes = passes | ((F.col("rule") == rule.kind) & (F.col("version") == rule.version) & (F.char_length(value) >= rule.least))
     placed = rows.withColumn("end", ends.cast("int")).where(F.col("hit").isNotNull() & passes)
     return placed.select("blob", "rule", "version", (F.col("end") - F.char_length("hit")).alias("start"), "end")
 

@@ -57,6 +57,17 @@ def test_ledger_scans_only_what_is_new(spark, documents):
     assert not any(kind == "access" for spans in changed.values() for _, kind, _ in spans)
 
 
+def test_a_wider_version_finds_more(spark, documents):
+    ledger = fresh_path(spark, "ledger")
+    docs = documents([(1, "x " + "0123456789abcdef" + " y"), (2, "deadbeef00"), (3, "z" * 9)])
+    assert not any(spans_of(secrets.scan_paths(docs, ["doc_id"], ledger)).values())
+    wider = (secrets.Rule("hex", "[0-9a-f]+", 0, 16, version=2), secrets.Rule("hex", "[0-9a-f]+", 0, 12, version=3))
+    found = {i: spans for (i, _), spans in spans_of(secrets.scan_paths(docs, ["doc_id"], ledger, wider[:1])).items()}
+    assert found == {1: [(2, "hex", 18)], 2: [], 3: []}
+    both = documents([(4, "0123456789abc")])
+    assert [r["version"] for r in secrets.scan(both.select("text"), fresh_path(spark, "ledger"), wider).collect()] == [3]
+
+
 def test_mask(documents):
     found = secrets.scan_paths(documents(SECRETS), ["doc_id"])
     masked = {r["doc_id"]: r["m"] for r in found.select("doc_id", secrets.masked(found.text, found.spans).alias("m")).collect()}
