@@ -11,8 +11,8 @@ from demandspark.llm.common import table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules.kept_documents(docs)
+    """Documents that the quality rules keep, boilerplate lines cut out of their texts; n_chars follows the text."""
+    return quality_rules.cut_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

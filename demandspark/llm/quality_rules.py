@@ -183,3 +183,25 @@ def without_boilerplate(docs: DataFrame, host: str = "source") -> DataFrame:
     joined = docs.select("doc_id", "text").join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")))
     left = F.filter(F.split("text", "\n", -1), lambda line: ~F.array_contains("removed_lines", line_hash(line)))
     return joined.select("doc_id", F.when(F.size("removed_lines") > 0, F.array_join(left, "\n")).otherwise(F.col("text")).alias("text"))
+
+
+def cut_documents(docs: DataFrame, host: str = "source") -> DataFrame:
+    """The rows that pass with all their columns, boilerplate lines cut out of the text; n_chars follows a cut text."""
+    names = [F.col(c).alias(f"_{c}") for c in ("doc_id", "text_key", "host")]
+    kept = judge(docs, host).where("kept").select(*names, F.col("removed_lines").alias("_gone")).dropDuplicates(["_doc_id", "_text_key", "_host"])
+    others = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("others")
+    rows = docs.select(others, "text", "doc_id", text_key().alias("text_key"), F.col(host).alias("host"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")) & F.col("host").eqNullSafe(F.col("_host"))
+    left = F.filter(F.split("text", "\n", -1), lambda line: ~F.array_contains("_gone", line_hash(line)))
+    changed = F.size("_gone") > 0
+    cut = rows.join(kept, same).select("others", changed.alias("changed"), F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")).alias("text"))
+
+    def column(name: str):
+        if name == "text":
+            return F.col("text")
+        own = F.col("others").getField(name)
+        if name == "n_chars":
+            own = F.when(F.col("changed"), F.char_length("text").cast(docs.schema[name].dataType)).otherwise(own)
+        return own.alias(name)
+
+    return cut.select(*map(column, docs.columns))

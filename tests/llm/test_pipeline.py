@@ -96,3 +96,13 @@ def test_near_duplicates_by_five_words(spark):
             root = {i: new if r == old else r for i, r in root.items()}
     kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect())
     assert kept == [i for i in sorted(root) if root[i] == i] and len(kept) == 187
+
+
+def test_quality_cuts_boilerplate_lines(documents, spark):
+    own = [" ".join("d%dw%d" % (k, j) for j in range(25)) for k in range(12)]
+    docs = documents([(k, "Home  and Search\n" + text) for k, text in enumerate(own)] + [(50, "few words")])
+    after = corpus_pipeline.quality(spark, docs, FOLDER)
+    assert after.columns == docs.columns
+    got = {r["doc_id"]: r for r in after.collect()}
+    assert {i: r["text"] for i, r in got.items()} == dict(enumerate(own))
+    assert all(r["n_chars"] == len(r["text"]) and r["others"] == "x" and r["source"] == "src0" for r in got.values())
