@@ -1,10 +1,8 @@
-"""Substring dedup by relative Lempel-Ziv parsing against every earlier document.
+"""Substring dedup of words against every earlier document, by fingerprints of runs around text-picked blocks.
 
-The reference is the text of all documents with smaller ids, indexed in blocks of words that the text itself picks.
-Going through a document block by block, a whole run around a block that an earlier document has continues the
-current factor; the longest stretches of such runs are the factors. At factor boundaries, where a run differs from
-those of its block in earlier documents, single windows are checked, also those that reach over two factors.
-Stretches of at least `WIDTH` words found this way become duplicate spans.
+No Lempel-Ziv factors are built. The blocks of all documents with smaller ids are the reference: `blocks` compares
+blocks, whole runs around repeated ones, the words beside them, and single windows where runs differ. Windows of
+`WIDTH` words found this way become duplicate spans.
 """
 
 from __future__ import annotations

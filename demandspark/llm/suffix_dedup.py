@@ -1,11 +1,8 @@
-"""Suffix-array dedup by distributed prefix doubling over sampled suffixes.
-
-Suffixes are ranked by growing prefixes; a suffix whose rank is unique drops out, and doubling ends at `WIDTH` bytes.
-The first ranks are those of 32-byte strings at the positions that the text itself picks, two in `WIDTH` - 30 bytes:
-each string of `WIDTH` bytes holds one, and equal strings hold it at the same place. What has no equal there is
-unique. The second ranks are those of the picked string with all it can be part of, up to 168 bytes. Only where these
-differ around equal strings are the suffixes between picked positions ranked, each by the pair of the ranks of its
-first 50 bytes and of the 50 bytes that follow.
+"""Substring dedup of bytes by fingerprints of runs around text-picked blocks.
+
+No suffixes are ranked and nothing doubles. Each string of `WIDTH` bytes has a block that the text itself picks, and
+equal strings have it at the same place. `blocks` compares blocks, whole runs around repeated ones, the bytes beside
+them, and single windows where runs differ, each by the hashes of its halves.
 """
 
 from __future__ import annotations
