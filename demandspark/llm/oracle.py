@@ -133,3 +133,44 @@ r(doc_id, to_id) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FRO
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
 """
+
+_RUNS = r"""SELECT {id}, w, len(w) AS n_words,
+  list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f
+  FROM (SELECT {id}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})"""
+
+# the CRC's table follows from its polynomial; a string's CRC is a fold over its bytes
+RESAMPLE = f"""
+WITH crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM (SELECT unnest(range(256)) AS i))),
+d AS ({_RUNS.format(id="doc_id", table="documents")}),
+b AS ({_RUNS.format(id="item_id", table="benchmark")}),
+words AS (SELECT DISTINCT unnest(f) AS s FROM (SELECT f FROM d UNION ALL SELECT f FROM b)),
+hexed AS (SELECT s, hex(encode(s)) AS x FROM words),
+bytes AS (SELECT s, list_transform(range(length(x) // 2), lambda i: CAST(16 * (strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1 AS BIGINT)) AS y FROM hexed),
+hashed AS (SELECT s, xor(list_reduce(list_prepend(4294967295, y), lambda c, v: xor(c // 256, t[xor(c % 256, v) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc),
+runs AS (SELECT doc_id, bucket FROM (SELECT doc_id, unnest(f) AS s FROM d) JOIN hashed USING (s)),
+source AS (SELECT bucket, count(*) AS s FROM runs GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(f) AS s FROM b) JOIN hashed USING (s) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM source) AS ss, (SELECT coalesce(sum(t), 0) FROM target) AS tt),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (ss + 10000)::DOUBLE / ((s + 1) * (tt + 10000)::DOUBLE))) AS BIGINT) AS gain FROM source LEFT JOIN target USING (bucket), sums),
+weights AS (SELECT doc_id, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM runs JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, n_words, CAST(len(f) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substring(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+SEARCH = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORD}) AS w FROM documents),
+b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORD}))) AS term FROM benchmark),
+len AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM len),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM df, total),
+m AS (SELECT doc_id, 100 - 50 + (50 * n * docs) // terms AS m FROM len, total),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM b JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY rank <= 50
+"""

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables, and the SQL for those that SQL can state."""
+"""The registered queries of the operators, over whole tables, and the SQL for those that SQL can state."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import classifier, decontaminate, jaccard, oracle, packing, quality_rules, rlz_dedup, secrets, sharding, suffix_dedup, url_filter
+from . import classifier, decontaminate, jaccard, lexical, oracle, packing, quality_rules, resampling, rlz_dedup, secrets, sharding, simhash, suffix_dedup, url_filter
 from .common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,22 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = classifier.train(docs, table(spark, folder, "labels"))
     held = classifier.held_out(F.col("doc_id")).alias("held_out")
     return classifier.score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query(oracle.RESAMPLE)
+def op11_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank in the draw of every document, towards the benchmark's word runs."""
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(oracle.SEARCH)
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint and the component of every document; fingerprints link at four differing bits or fewer."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
