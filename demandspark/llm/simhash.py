@@ -10,7 +10,7 @@ fingerprints share a cell of some grid. Cells with one fingerprint drop out.
 
 Cells of many fingerprints are not paired out. Their points are first compared with one of them, a hub; links make
 components, and only points of different components are compared further, with eight times as many hubs each round
-while such pairs are many, and all that are left in the end. No link between components is lost.
+while such pairs outnumber the points in cells, and all that are left in the end. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from .links import components
 
 SHINGLE, SEED, REACH = 4, 42, 4
 FIXED = 4
-PENDING = 64
+PENDING = 2
 CHUNK = 1 << 16
 EVEN = 0x5555555555555555
 
@@ -128,7 +128,8 @@ def linked(points: DataFrame, reach: int = REACH) -> DataFrame:
     """(node, component) of the fingerprints (fp, distinct) that are linked with another one."""
     every = cells(points, reach)
     shared = written(every.groupBy(F.col("cell").alias("_cell")).agg(F.count("*").alias("c")).where("c > 1").select("_cell"), "shared-cells", few_files=True)
-    rows = written(every.join(shared, F.col("cell") == F.col("_cell"), "left_semi").withColumn("component", F.col("fp")), "cells")
+    # shared cells grow with the documents: they are never broadcast
+    rows = written(every.join(shared.hint("merge"), F.col("cell") == F.col("_cell"), "left_semi").withColumn("component", F.col("fp")), "cells")
     drop(shared)
     found, count = [], 1
     while True:
@@ -136,7 +137,7 @@ def linked(points: DataFrame, reach: int = REACH) -> DataFrame:
         total, pending = sizes.agg(F.coalesce(F.sum("g"), F.lit(0)), F.coalesce(F.sum((F.col("g") * F.col("g") - F.col("s")) / 2), F.lit(0))).first()
         if pending == 0:
             break
-        if pending <= PENDING * total:
+        if count > 1 and pending <= PENDING * total:
             found.append(written(cross_links(rows, reach).distinct(), "links", few_files=True))
             break
         part = F.pmod(F.xxhash64("fp"), F.lit(count)).alias("part")
