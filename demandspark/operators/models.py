@@ -1,20 +1,14 @@
-"""Trained models (M01-M18): MLlib for pooled fits, grouped maps for one small fit per series."""
+"""Trained models (M01-M18): histogram boosting for pooled fits, moment tables for linear ones, grouped maps per series."""
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,18 +16,19 @@ from pyspark.sql import types as T
 from ..functions.calendar import calendar_flags, cyclical, week_num, week_start, year_week
 from ..functions.clean import SEGMENT_CODES, BUYER_CODES, ordinal, safe_div
 from ..functions.distributed import key_join, number_rows
-from ..session import cpu_tasks, pin, shared_dir
-from . import series_models
+from ..session import cpu_tasks, pin
+from . import boosting, moments, series_models
 from .baselines import normal_quantile
+from .boosting import importance  # noqa: F401  M14, beside the other models
 from .evaluate import errors, wmape
+from .histograms import Settings
 from .joins import eligible, top_entities
-from .quality import outliers_iqr
+from .quality import outliers_iqr, winsorise
 from .series_models import arima, boost, level_steps, matrix, ridge_each, same_key
 from .windows import fill_gaps, frame, lags, ordered
 
 GLOBAL_FEATURES = ["lag1", "lag2", "lag4", "rolling_avg_4w", "avg_unit_price", "week_num", "is_w47"]
-FIT_THREADS = 4
-ROWS_A_TASK = 20_000
+MOST_CLASSES = 64
 
 # the numpy fits travel with the task, so executors need no copy of this package
 register_pickle_by_value(series_models)
@@ -66,34 +61,14 @@ def zero_filled(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
 
 
-def fit(df: DataFrame, feats: list[str], label: str, stage) -> PipelineModel:
-    """Fit an MLlib stage; boosting reads its input several times, so it is kept while fitting.
-
-    A tree is a job for each of its levels, so rows that fit a few tasks are put into as many partitions.
-    """
-    shared_dir(df.sparkSession)
-    rows = zero_filled(df.where(F.col(label).isNotNull()), feats).select(*feats, F.col(label).cast("double").alias(label))
-    rows = rows.persist()
-    try:
-        few = rows.coalesce(max(1, -(-rows.count() // ROWS_A_TASK)))
-        return Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"), stage]).fit(few)
-    finally:
-        rows.unpersist()
-
-
-def gbt(label: str, depth: int = 5, iters: int = 100, step: float = 0.1, seed: int = 42) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features", labelCol=label, predictionCol="predicted",
-        maxDepth=depth, maxIter=iters, stepSize=step, seed=seed,
-    )
+def fit(df: DataFrame, feats: list[str], label: str, core: list[str] | None = None, **settings) -> DataFrame:
+    """Boosted trees on all rows with a label, as a table of nodes; `settings` are those of `Settings`."""
+    return boosting.fit_models(complete_rows(df, core), feats, label, settings=Settings(**settings))
 
 
-def score(model: PipelineModel, df: DataFrame, feats: list[str], floor: bool = True) -> DataFrame:
+def score(model: DataFrame, df: DataFrame, feats: list[str], floor: bool = True) -> DataFrame:
     """Predictions for any rows, also a single what-if row."""
-    names = {c: f"_in_{c}" for c in feats}
-    rows = df.withColumns({v: F.col(k) for k, v in names.items()})
-    scored = model.transform(zero_filled(rows, feats)).drop("features", *feats)
-    scored = scored.withColumnsRenamed({v: k for k, v in names.items()})
+    scored = boosting.predict(model, df, feats)
     return scored.withColumn("predicted", F.greatest("predicted", F.lit(0.0))) if floor else scored
 
 
@@ -107,37 +82,42 @@ def gbt_global(
     train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, core: list[str] | None = None, **params
 ) -> DataFrame:
     """One boosted-tree model over all entities; with `core`, on rows that have all these features."""
-    model = fit(complete_rows(train, core), feats, label, gbt(label, **params))
-    return result(score(model, complete_rows(test, core), feats), e, label, "global")
+    return result(score(fit(train, feats, label, core, **params), complete_rows(test, core), feats), e, label, "global")
+
+
+def grouped(train: DataFrame, group: str, min_rows: int = 50) -> DataFrame:
+    """(group, model): numbers from 1 on for the groups with at least `min_rows` training rows, in the groups' order."""
+    counts = train.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_rows)
+    return number_rows(counts.select(group), [group], "model")
+
+
+def group_training_rows(train: DataFrame, group: str, core: list[str] | None = None, min_rows: int = 50) -> DataFrame:
+    """Per group its complete training rows and whether they are enough for a model of its own."""
+    counts = complete_rows(train, core).groupBy(group).agg(F.count("*").alias("n_rows"))
+    return counts.withColumn("own_model", F.col(group).isNotNull() & (F.col("n_rows") >= min_rows))
+
+
+def group_models(train: DataFrame, group: str, codes: DataFrame, feats: list[str], label: str, **params) -> DataFrame:
+    """Nodes of the global model, number 0, and of each group with a number in `codes`, all from the same jobs."""
+    coded = key_join(train, codes, [group], "left")
+    both = F.when(F.col("model").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.array(F.lit(0).cast("long"), F.col("model")))
+    return boosting.fit_models(coded.withColumn("_models", both), feats, label, "_models", Settings(**params))
 
 
 def gbt_by_group(
-    train: DataFrame, test: DataFrame, e: list[str], group: str, feats: list[str], label: str, min_rows: int = 50, **params
+    train: DataFrame, test: DataFrame, e: list[str], group: str, feats: list[str], label: str, min_rows: int = 50, core: list[str] | None = None, **params
 ) -> DataFrame:
-    """One distributed fit per group of at least `min_rows`; other groups take the global model.
+    """A model per group of at least `min_rows` complete rows; other groups take the global model.
 
-    The names of the groups come to the driver, which starts a fit for each, `FIT_THREADS` at a time; the rows are
-    kept partitioned by group, so a fit reads its own partition's rows.
+    A row trains the global model and its group's; the number of jobs does not depend on the number of groups.
     """
-    needed = list(dict.fromkeys([*e, "year_week", group, *feats, label]))
-    marked = train.select(*needed, F.lit(True).alias("_train")).unionByName(test.select(*needed, F.lit(False).alias("_train")))
-    rows = marked.repartition(group).persist()
-    try:
-        counts = rows.where("_train").groupBy(group).agg(F.count("*").alias("_n")).where((F.col("_n") >= min_rows) & F.col(group).isNotNull())
-        names = [r[0] for r in counts.select(group).orderBy(group).toLocalIterator()]
-        train, test = rows.where("_train").drop("_train"), rows.where(~F.col("_train")).drop("_train")
-
-        def own(name) -> DataFrame:
-            return fit(train if name is None else train.where(F.col(group) == name), feats, label, gbt(label, **params))
-
-        with ThreadPoolExecutor(FIT_THREADS) as pool:
-            fitted = list(pool.map(own, [*names, None]))
-        rest = ~F.col(group).isin(names) if names else F.lit(True)
-        parts = [result(score(model, test.where(F.col(group) == name), feats), e, label, "category") for name, model in zip(names, fitted)]
-        parts.append(result(score(fitted[-1], test.where(rest | F.col(group).isNull()), feats), e, label, "global"))
-        return pin(reduce(DataFrame.unionByName, parts))
-    finally:
-        rows.unpersist()
+    train, test = complete_rows(train, core), complete_rows(test, core)
+    codes = pin(grouped(train, group, min_rows))
+    nodes = group_models(train, group, codes, feats, label, **params)
+    coded = key_join(test, codes, [group], "left").withColumn("model_type", F.when(F.col("model").isNull(), "global").otherwise("category"))
+    scored = boosting.predict(nodes, coded, feats, F.coalesce("model", F.lit(0)))
+    floored = F.greatest("predicted", F.lit(0.0)).alias("predicted")
+    return scored.select(*e, "year_week", floored, F.col(label).cast("double").alias("actual"), "model_type")
 
 
 def complete_rows(df: DataFrame, core: list[str] | None) -> DataFrame:
@@ -238,11 +218,17 @@ def gbt_by_entity(
     rest = rows.where((F.col("_n") < min_rows) & ~F.col("_train"))
     if rest.isEmpty():
         return own.withColumn("model_type", F.lit(model_type))
-    fallback = fit(rows.where("_train"), feats, "_y", gbt("_y", depth=depth, iters=global_iters, step=step))
+    fallback = fit(rows.where("_train"), feats, "_y", depth=depth, iters=global_iters, step=step)
     pooled = result(score(fallback, rest, feats), e, "_y", "global").withColumn("predicted", F.round("predicted", 1))
     return own.withColumn("model_type", F.lit(model_type)).unionByName(pooled)
 
 
+def winsorised_by_entity(train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, **params) -> DataFrame:
+    """Boosted trees per entity, fitted to the label clipped to its quartile fences and scored on the raw one."""
+    clipped = winsorise(train, e, label, name="_clipped").withColumn(label, F.col("_clipped")).drop("_clipped")
+    return gbt_by_entity(clipped, test, e, feats, label, **params)
+
+
 def by_pattern(
     train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, patterns: DataFrame, trees: int = 100
 ) -> DataFrame:
@@ -280,12 +266,11 @@ def gbt_cyclical(train: DataFrame, test: DataFrame, e: list[str], feats: list[st
     return out.withColumn("model_type", F.lit("V2_cyclical"))
 
 
-def linear(train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, l2: float = 0.1) -> DataFrame:
-    """Ridge regression by the normal equation."""
-    stage = LinearRegression(
-        featuresCol="features", labelCol=label, predictionCol="predicted", solver="normal", regParam=l2, elasticNetParam=0.0
-    )
-    return result(score(fit(train, feats, label, stage), test, feats), e, label, "linear")
+def linear(train: DataFrame, test: DataFrame, e: list[str], feats: list[str], label: str, l2: float = 0.1, core: list[str] | None = None) -> DataFrame:
+    """Ridge regression of all rows, solved from one table of moments."""
+    sums = moments.moments(zero_filled(complete_rows(train, core), feats), feats, label)
+    scored = moments.predict(moments.ridge(sums, feats, l2), zero_filled(complete_rows(test, core), feats), feats)
+    return result(scored.withColumn("predicted", F.greatest("predicted", F.lit(0.0))), e, label, "linear")
 
 
 def arima_eligible(df: DataFrame, e: list[str], y: str, min_weeks: int = 20, top: int | None = None, weeks: DataFrame | None = None) -> DataFrame:
@@ -387,29 +372,23 @@ def held_out(key: Column | str, every: int = 5) -> Column:
     return F.pmod(F.xxhash64(F.col(key) if isinstance(key, str) else key), F.lit(every)) == 0
 
 
-def cycle_classifier(dim: DataFrame, feats: list[str], label: str = "cycle_regularity", rounds: int = 50, depth: int = 5, seed: int = 42) -> DataFrame:
+def cycle_classifier(dim: DataFrame, feats: list[str], label: str = "cycle_regularity", rounds: int = 50, depth: int = 5, step: float = 0.1) -> DataFrame:
     """Predicted order rhythm and its class probabilities, customers with at least two orders.
 
-    One boosted model per class; a class's probability is its model's, scaled so that they sum to 1. Models are
-    fitted without the held-out fifth of the customers, and only those are scored.
+    One model of all classes: each round grows a tree of every class on the gradients of their joint softmax. It is
+    fitted without the held-out fifth of the customers, and only those are scored. At most `MOST_CLASSES` labels.
     """
-    rows = zero_filled(dim.where((F.col("total_orders") >= 2) & F.col(label).isNotNull()), feats)
-    shared_dir(dim.sparkSession)
-    index = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(rows)
-    rows = VectorAssembler(inputCols=feats, outputCol="features").transform(index.transform(rows))
-    train = rows.where(~held_out("customer_id")).select("features", "_label").persist()
-    try:
-        one = GBTClassifier(featuresCol="features", labelCol="_label", maxIter=rounds, maxDepth=depth, seed=seed)
-        model = OneVsRest(classifier=one, featuresCol="features", labelCol="_label", parallelism=FIT_THREADS).fit(train)
-    finally:
-        train.unpersist()
-    scored = model.transform(rows.where(held_out("customer_id")))
-    chances = F.transform(vector_to_array("rawPrediction"), lambda margin: 1 / (1 + F.exp(-2 * margin)))
-    total = F.aggregate(chances, F.lit(0.0), lambda a, c: a + c)
-    labels = F.array(*[F.lit(c) for c in index.labels])
-    classes = F.map_from_arrays(labels, F.transform(chances, lambda c: c / total))
-    said = F.element_at(labels, F.col("prediction").cast("int") + 1)
-    return scored.select("customer_id", F.col(label).alias("actual_label"), said.alias("predicted_label"), classes.alias("class_probs"))
+    rows = dim.where((F.col("total_orders") >= 2) & F.col(label).isNotNull())
+    names = [r[0] for r in rows.select(label).distinct().orderBy(label).limit(MOST_CLASSES + 1).collect()]
+    if len(names) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} values")
+    labels = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    rows = rows.withColumn("_class", F.array_position(labels, F.col(label)) - 1)
+    settings = Settings(rounds, depth, step, min_leaf=1.0, min_split=0.0, l2=1.0, classes=len(names))
+    model = boosting.fit_models(rows.where(~held_out("customer_id")), feats, "_class", settings=settings)
+    scored = boosting.predict(model, rows.where(held_out("customer_id")), feats, name="_chances", classes=True)
+    said = F.element_at(labels, F.array_position("_chances", F.array_max("_chances")).cast("int"))
+    return scored.select("customer_id", F.col(label).alias("actual_label"), said.alias("predicted_label"), F.map_from_arrays(labels, "_chances").alias("class_probs"))
 
 
 def elasticity_features(history: DataFrame, min_pct: float = 0.1) -> DataFrame:
@@ -471,14 +450,6 @@ def sku_revenue_features(df: DataFrame, e: str = "sku") -> DataFrame:
     return rows.dropna()
 
 
-def importance(model: PipelineModel, feats: list[str], spark) -> DataFrame:
-    """Normalised importances, one row per feature."""
-    values = model.stages[-1].featureImportances.toArray()
-    total = float(values.sum()) or 1.0
-    rows = [(name, float(v) / total) for name, v in zip(feats, values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
-
-
 def ts_splits(df: DataFrame, splits: int = 3) -> DataFrame:
     """(fold, role, year_week) of expanding splits; the week list is as short as the calendar."""
     weeks = df.select("year_week").distinct()
@@ -495,37 +466,27 @@ def ts_splits(df: DataFrame, splits: int = 3) -> DataFrame:
     return folds.select("fold", role.alias("role"), "year_week").where(F.col("role").isNotNull())
 
 
-def ts_cv(df: DataFrame, e: list[str], feats: list[str], label: str, settings: list[dict], splits: int = 3) -> DataFrame:
+def ts_cv(df: DataFrame, e: list[str], feats: list[str], label: str, settings: list[dict], splits: int = 3, core: list[str] | None = None) -> DataFrame:
     """Mean and deviation of the MAE over expanding splits, per setting of the fit.
 
-    The rows are kept, as every fit reads them again; fits run `FIT_THREADS` at a time. A fold's week list is as
-    short as the calendar.
+    Each pair of a setting and a fold is a model of the same jobs: a row carries the numbers of the models that it
+    trains. A fold's week list is as short as the calendar.
     """
-    rows = df.select(*dict.fromkeys([*e, "year_week", *feats, label])).persist()
-    weeks = ts_splits(rows, splits).persist()
-    names = list(settings[0])
-
-    def mae(setting: dict, fold: int) -> tuple:
-        part = {
-            role: rows.join(F.broadcast(weeks.where((F.col("fold") == fold) & (F.col("role") == role)).select("year_week")), "year_week", "left_semi")
-            for role in ("train", "test")
-        }
-        preds = gbt_global(part["train"], part["test"], e, feats, label, **setting)
-        return *(setting[n] for n in names), fold, preds.agg(F.avg(F.abs(F.col("actual") - F.col("predicted")))).first()[0]
-
-    try:
-        jobs = [(setting, fold) for setting in settings for fold in range(1, splits + 1)]
-        with ThreadPoolExecutor(FIT_THREADS) as pool:
-            folds = list(pool.map(lambda job: mae(*job), jobs))
-    finally:
-        rows.unpersist()
-        weeks.unpersist()
-    kinds = ", ".join(f"{n} {'double' if isinstance(settings[0][n], float) else 'int'}" for n in names)
-    table = df.sparkSession.createDataFrame(folds, f"{kinds}, fold int, mae double").groupBy(*names).agg(
-        F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std")
-    )
+    rows = pin(complete_rows(df, core).select(*dict.fromkeys([*e, "year_week", *feats, label])))
+    weeks = ts_splits(rows, splits).groupBy("year_week").agg(*[F.collect_set(F.when(F.col("role") == r, F.col("fold"))).alias(f"_{r}") for r in ("train", "test")])
+    kinds = ", ".join(f"{n} {'double' if isinstance(v, float) else 'int'}" for n, v in settings[0].items())
+    numbers = [(k * splits + fold - 1, k, *setting.values()) for k, setting in enumerate(settings) for fold in range(1, splits + 1)]
+    models_of = lambda folds: F.flatten(F.transform(folds, lambda f: F.array(*[(f + (k * splits - 1)).cast("long") for k in range(len(settings))])))
+    marked = rows.join(F.broadcast(weeks), "year_week")
+    own = {k * splits + fold: Settings(**setting) for k, setting in enumerate(settings) for fold in range(splits)}
+    nodes = boosting.fit_models(marked.withColumn("_models", models_of("_train")).where(F.size("_models") > 0), feats, label, "_models", own)
+    tests = marked.withColumn("_model", F.explode(models_of("_test")))
+    scored = boosting.predict(nodes, tests, feats, F.col("_model")).withColumn("predicted", F.greatest("predicted", F.lit(0.0)))
+    mae = scored.groupBy("_model").agg(F.avg(F.abs(F.col(label) - F.col("predicted"))).alias("mae"))
+    listed = df.sparkSession.createDataFrame(numbers, f"_model long, _setting int, {kinds}")
+    table = mae.join(F.broadcast(listed), "_model").groupBy("_setting", *settings[0]).agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
     best = F.min("cv_mae").over(Window.partitionBy(F.lit(1)))
-    return table.withColumn("is_best", F.col("cv_mae") == best)
+    return table.withColumn("is_best", F.col("cv_mae") == best).drop("_setting")
 
 
 def exclude_weeks(df: DataFrame, weeks: list[int]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, baselines, customers, models
+from ..operators import aggregates, baselines, boosting, customers, models, moments
 from ..operators.quality import winsorise
 from ..session import pin
 from . import q_aggregates
@@ -41,16 +41,74 @@ def brand_halves(t: Sales):
     return feature_halves(t.brand_week(), ["brand"])
 
 
+# the training rows of M01 and M02 with all core features, and the sums of every split that the bins allow
+PARTS["x_train"] = """
+    SELECT * FROM (
+      SELECT s.sku, s.year_week, p_type AS category, weekly_quantity AS y, LAG(weekly_quantity, 1) OVER w AS lag1, LAG(weekly_quantity, 2) OVER w AS lag2, LAG(weekly_quantity, 4) OVER w AS lag4,
+             AVG(weekly_quantity) OVER (PARTITION BY s.sku ORDER BY s.year_week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS rolling_avg_4w, avg_unit_price,
+             CAST(week_num AS DOUBLE) AS week_num, CAST(week_num = 47 AS INTEGER)::DOUBLE AS is_w47
+      FROM x_sku s JOIN part ON p_partkey = s.sku WINDOW w AS (PARTITION BY s.sku ORDER BY s.year_week))
+    WHERE lag4 IS NOT NULL AND year_week <= '1998-W26'"""
+PARTS["x_cells"] = """
+    SELECT sku, year_week, category, y, unnest(['lag1', 'lag2', 'lag4', 'rolling_avg_4w', 'avg_unit_price', 'week_num', 'is_w47']) AS feature,
+           unnest(range(7)) AS place, unnest([lag1, lag2, lag4, rolling_avg_4w, avg_unit_price, week_num, is_w47]) AS x FROM x_train"""
+PARTS["x_edges"] = """
+    SELECT DISTINCT feature, place, unnest(quantile_disc(x, list_transform(range(1, 64), lambda k: k / 64.0))) AS threshold FROM x_cells GROUP BY feature, place"""
+
+
+def split_sql(group: str, name: str) -> str:
+    """The best first split of each group, by its sums on either side of every edge; equal gains: the first feature and edge."""
+    return f"""
+    m AS (SELECT {group} AS g, AVG(y) AS mean, COUNT(*) AS n FROM x_train GROUP BY 1),
+    h AS (SELECT {group} AS g, feature, place, x, COUNT(*) AS n, SUM(y) AS s FROM x_cells GROUP BY ALL),
+    l AS (SELECT h.g, h.feature, h.place, threshold, SUM(h.n) AS n_left, SUM(h.s - h.n * mean) AS s_left, ANY_VALUE(m.n) AS n
+          FROM h JOIN x_edges e ON h.feature = e.feature AND h.x <= threshold JOIN m ON h.g = m.g GROUP BY ALL),
+    c AS (SELECT *, s_left * s_left / n_left + s_left * s_left / (n - n_left) AS gain FROM l WHERE n_left < n)
+    SELECT {name}feature, threshold, gain, CAST(n AS BIGINT) AS n_rows FROM c QUALIFY row_number() OVER (PARTITION BY g ORDER BY round(gain, 4) DESC, place, threshold) = 1"""
+
+
 @query("M01_gbt_global")
 def _(t):
-    return models.gbt_global(*sku_halves(t), ["sku"], FEATURES, Y)
+    return models.gbt_global(*sku_halves(t), ["sku"], FEATURES, Y, core=CORE)
 
 
-@query("M02_gbt_by_group")
+@query(
+    "M01_training_rows",
+    "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT sku) AS n_entities, SUM(y) AS total FROM x_train",
+    "total",
+)
+def _(t):
+    train = models.complete_rows(open_halves(t.sku_week(), ["sku"])[0], CORE)
+    return train.agg(F.count("*").alias("n_rows"), F.count_distinct("sku").alias("n_entities"), F.sum(Y).alias("total"))
+
+
+@query("M01_root_split", "WITH " + split_sql("0", "").lstrip(), "threshold gain")
 def _(t):
+    nodes = models.fit(sku_halves(t)[0], FEATURES, Y, CORE, iters=1)
+    return boosting.first_splits(nodes).drop("model")
+
+
+def group_halves(t: Sales):
     weekly = t.sku_week().join(t.products().select("sku", "category"), "sku")
-    train, test = baselines.split(models.model_features(weekly, ["sku"]), CUT)
-    return models.gbt_by_group(train, test, ["sku"], "category", FEATURES, Y)
+    return feature_halves(weekly, ["sku"])
+
+
+@query("M02_gbt_by_group")
+def _(t):
+    return models.gbt_by_group(*group_halves(t), ["sku"], "category", FEATURES, Y, core=CORE)
+
+
+@query("M02_training_rows", "SELECT category, COUNT(*) AS n_rows, COUNT(*) >= 50 AS own_model FROM x_train GROUP BY category")
+def _(t):
+    return models.group_training_rows(group_halves(t)[0], "category", CORE)
+
+
+@query("M02_first_splits", "WITH " + split_sql("category", "g AS category, ").lstrip(), "threshold gain")
+def _(t):
+    train = models.complete_rows(group_halves(t)[0], CORE)
+    codes = pin(models.grouped(train, "category"))
+    nodes = models.group_models(train, "category", codes, FEATURES, Y, iters=1)
+    return boosting.first_splits(nodes).join(codes, "model").select("category", "feature", "threshold", "gain", "n_rows")
 
 
 @query(
@@ -99,12 +157,34 @@ def _(t):
     train, test = sku_halves(t)
     clipped = winsorise(train, ["sku"], Y, name="weekly_quantity_raw")
     clipped = clipped.withColumn(Y, F.col("weekly_quantity_raw")).drop("weekly_quantity_raw")
-    return models.gbt_global(clipped, test, ["sku"], FEATURES, Y)
+    return models.gbt_global(clipped, test, ["sku"], FEATURES, Y, core=CORE)
+
+
+@query("M05_winsorised_by_sku")
+def _(t):
+    return models.winsorised_by_entity(*sku_halves(t), ["sku"], SERIES_FEATURES, Y, core=CORE)
 
 
 @query("M06_linear")
 def _(t):
-    return models.linear(*sku_halves(t), ["sku"], FEATURES, Y)
+    return models.linear(*sku_halves(t), ["sku"], FEATURES, Y, core=CORE)
+
+
+@query(
+    "M06_ridge_by_category",
+    """
+    WITH s AS (SELECT category, COUNT(*) AS n, AVG(lag1) AS m1, AVG(avg_unit_price) AS m2, AVG(y) AS my, regr_sxx(lag1, lag1) + 0.1 AS a, regr_sxx(avg_unit_price, avg_unit_price) + 0.1 AS d,
+                 regr_sxy(lag1, avg_unit_price) AS b, regr_sxy(y, lag1) AS u, regr_sxy(y, avg_unit_price) AS v FROM x_train GROUP BY category),
+    c AS (SELECT *, (u * d - b * v) / (a * d - b * b) AS slope_lag1, (a * v - b * u) / (a * d - b * b) AS slope_price FROM s)
+    SELECT category, n, my - slope_lag1 * m1 - slope_price * m2 AS intercept, slope_lag1, slope_price FROM c""",
+    "intercept slope_lag1 slope_price",
+)
+def _(t):
+    # moments by week, as a table that later ranges of weeks can use, then summed to the categories
+    feats = ["lag1", "avg_unit_price"]
+    weekly = pin(moments.moments(models.complete_rows(group_halves(t)[0], CORE), feats, Y, ["category", "year_week"]))
+    table = moments.ridge(moments.merged(weekly, 3, ["category"]), feats, 0.1, ["category"])
+    return table.select("category", "n", "intercept", F.get("slopes", F.lit(0)).alias("slope_lag1"), F.get("slopes", F.lit(1)).alias("slope_price"))
 
 
 @query(
@@ -224,7 +304,7 @@ def _(t):
     rows = models.elasticity_features(aggregates.price_history(t.raw_lines()))
     feats = ["price_change_pct", "avg_price", "prev_avg_price", "prev_quantity"]
     label = "quantity_change_pct"
-    model = models.fit(rows.where(~models.held_out("sku")), feats, label, models.gbt(label))
+    model = models.fit(rows.where(~models.held_out("sku")), feats, label)
     return models.score(model, rows.where(models.held_out("sku")), feats, floor=False).select("sku", "year_week", "price_change_pct", "predicted", label)
 
 
@@ -242,7 +322,7 @@ def _(t):
     cut = weeks.agg(F.percentile(F.unix_date("week_start"), 0.8).alias("_cut"))
     marked = df.crossJoin(F.broadcast(cut)).withColumn("_test", F.unix_date("week_start") > F.col("_cut")).drop("_cut")
     train, test = marked.where(~F.col("_test")), marked.where("_test")
-    model = models.fit(train, feats, "weekly_revenue", models.gbt("weekly_revenue", iters=50))
+    model = models.fit(train, feats, "weekly_revenue", iters=50)
     return models.score(model, test, feats).select("week_start", "region_name", "predicted", "weekly_revenue", "revenue_share", "revenue_rank")
 
 
@@ -284,8 +364,8 @@ def _(t):
 
 @query("M13_what_if")
 def _(t):
-    train, test = brand_halves(t)
-    model = models.fit(train, FEATURES, Y, models.gbt(Y))
+    train, test = (models.complete_rows(half, CORE) for half in brand_halves(t))
+    model = models.fit(train, FEATURES, Y)
     cheaper = test.withColumn("avg_unit_price", F.col("avg_unit_price") * 0.9)
     base = models.score(model, test, FEATURES).select("brand", "year_week", F.col("predicted").alias("predicted_base"))
     changed = models.score(model, cheaper, FEATURES).select("brand", "year_week", F.col("predicted").alias("predicted_cheaper"))
@@ -294,8 +374,7 @@ def _(t):
 
 @query("M14_importance")
 def _(t):
-    model = models.fit(sku_halves(t)[0], FEATURES, Y, models.gbt(Y))
-    return models.importance(model, FEATURES, t.spark)
+    return models.importance(models.fit(sku_halves(t)[0], FEATURES, Y, CORE), FEATURES)
 
 
 @query(
@@ -313,7 +392,7 @@ def _(t):
 @query("M15_ts_cv")
 def _(t):
     rows = models.model_features(t.brand_week(), ["brand"])
-    return models.ts_cv(rows, ["brand"], FEATURES, Y, SETTINGS, splits=3)
+    return models.ts_cv(rows, ["brand"], FEATURES, Y, SETTINGS, splits=3, core=CORE)
 
 
 @query("M16_exclude_weeks", "SELECT sku, year_week, weekly_quantity FROM x_sku WHERE week_num <> 47", Y)

@@ -105,4 +105,15 @@ def pin(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "pinned")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.pinned_path = path
+    return table
+
+
+def unpin(*tables: DataFrame) -> None:
+    """Delete tables made by `pin` that nothing reads any more."""
+    for table in tables:
+        path, jvm = table.pinned_path, SparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _written.pop(path, None)
