@@ -20,38 +20,52 @@ from .common import drop, small_batches, whole, written
 
 N, BUCKETS, SEED = 2, 10_000, 7
 MIN_WORDS, SHARE = 20, 25
+PIECE = 1 << 20  # bytes of buckets in a batch
 
 register_pickle_by_value(features)
 
 
 def hashed(rows: DataFrame, n: int = N, size: int = BUCKETS) -> DataFrame:
-    """(id, n_words, buckets) of every row with an id and a text; the bucket of each run of 1 to n words."""
+    """(id, n_words, buckets) of every row with an id and a text; the buckets of its runs of 1 to n words as bytes."""
+    code = code_of(size)
 
     def work(batches):
         scans = features.patterns(n)
         for batch in batches:
-            ids, data = batch.column("id").to_pylist(), batch.column("data")
-            held = []
-            for value in data:
+            held, amount = [], 0
+            for row, value in zip(batch.column("id").to_pylist(), batch.column("data")):
                 text = features.collapsed(value.as_py())
-                held.append((max(0, text.count(b" ") - 1), features.buckets(text, scans, size)))
-            if not held:
-                continue
-            ends = np.cumsum([0, *(len(b) for _, b in held)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([b for _, b in held]), pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([w for w, _ in held], pa.int64()), lists], ["id", "n_words", "buckets"])
+                own = features.buckets(text, scans, size).astype(code).tobytes()
+                held.append((row, max(0, text.count(b" ") - 1), own))
+                amount += len(own)
+                if amount > PIECE:
+                    yield joined(held)
+                    held, amount = [], 0
+            if held:
+                yield joined(held)
+
+    def joined(held):
+        types = (pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*held), types)], ["id", "n_words", "buckets"])
 
     small_batches(rows.sparkSession)
-    return rows.select(F.col("id").cast("long").alias("id"), whole().cast("binary").alias("data")).mapInArrow(work, "id long, n_words long, buckets array<int>")
+    return rows.select(F.col("id").cast("long").alias("id"), whole().cast("binary").alias("data")).mapInArrow(work, "id long, n_words long, buckets binary")
+
+
+def code_of(size: int) -> str:
+    """How a bucket is kept."""
+    return "<u2" if size <= 1 << 16 else "<u4"
 
 
 def counts(table: DataFrame, size: int = BUCKETS) -> np.ndarray:
     """How many runs of all texts are in each bucket; each task counts for itself, `size` numbers reach the driver."""
+    code = code_of(size)
 
     def work(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
-            total += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=size)
+            for value in batch.column(0):
+                total += np.bincount(np.frombuffer(value.as_py(), code), minlength=size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], ["bucket", "n"])
 
@@ -72,16 +86,14 @@ def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 def weighed(table: DataFrame, gain: np.ndarray) -> DataFrame:
     """(id, n_words, n_features, weight); the weight is the mean gain rounded down, 0 for a text without words."""
+    code = code_of(len(gain))
 
     def work(batches):
         for batch in batches:
-            lists = batch.column("buckets")
-            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            upto = np.concatenate([[0], np.cumsum(gain[lists.flatten().to_numpy(zero_copy_only=False)])])
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            total = upto[ends[1:]] - upto[ends[:-1]]
-            weight = np.where(sizes > 0, total // np.maximum(sizes, 1), 0)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_words"), pa.array(sizes), pa.array(weight)], ["id", "n_words", "n_features", "weight"])
+            found = [np.frombuffer(value.as_py(), code) for value in batch.column("buckets")]
+            sizes = [len(own) for own in found]
+            weights = [int(gain[own].sum()) // len(own) if len(own) else 0 for own in found]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_words"), pa.array(sizes, pa.int64()), pa.array(weights, pa.int64())], ["id", "n_words", "n_features", "weight"])
 
     return table.select("id", "n_words", "buckets").mapInArrow(work, "id long, n_words long, n_features long, weight long")
 
