@@ -85,8 +85,8 @@ def test_group_pattern_and_linear_models(halves):
 
 def test_importance_and_scoring(spark, halves):
     train, test = halves
-    model = models.fit(train, models.GLOBAL_FEATURES, Y, models.gbt(Y, iters=3))
-    table = models.importance(model, models.GLOBAL_FEATURES, spark)
+    model = models.fit(train, models.GLOBAL_FEATURES, Y, iters=3)
+    table = models.importance(model, models.GLOBAL_FEATURES)
     assert table.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
     row = spark.createDataFrame([(100.0, 90.0, 80.0, None, 2.0, 30, 0)], "lag1 double, lag2 double, lag4 double, rolling_avg_4w double, avg_unit_price double, week_num int, is_w47 int")
     assert models.score(model, row, models.GLOBAL_FEATURES).first()["predicted"] >= 0
