@@ -65,6 +65,19 @@ def drop(*tables: DataFrame) -> None:
         remove(table.sparkSession, table.scratch_path)
 
 
+def opened() -> set[str]:
+    """The paths of the tables there are now, for `drop_since`."""
+    return set(_open)
+
+
+def drop_since(before: set[str], *keep: DataFrame) -> None:
+    """Delete all tables written since, but those to keep: what a finished step leaves behind."""
+    kept = {table.scratch_path for table in keep}
+    for path, spark in list(_open.items()):
+        if path not in before and path not in kept:
+            remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Also after the session has stopped, as long as its JVM runs."""
     context, jvm = spark.sparkContext, SparkContext._jvm

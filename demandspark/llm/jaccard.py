@@ -2,14 +2,15 @@
 
 If two sets reach the similarity, they share a token among the first p of each, under any order of all tokens.
 
-The first order ranks the tokens of a fixed 3/16 of the hash space by how many rows hold them, and puts all others
+The first order ranks the tokens of a share of the hash space by how many rows hold them, and puts all others
 after them by hash. So of the tokens of all texts only that share is counted and shuffled (a set that has too few of
-them adds others). Sets without a shared token among their first p drop out, which most do.
+them adds others); it is half as large again as a prefix's share of its set, so that few prefixes need others. Sets
+without a shared token among their first p drop out, which most do.
 
 The second order ranks all tokens of the sets that are left, again the rarest first. A group is a token with a range
 of set sizes; sets that share a group are candidates if the tokens before the shared one leave enough to share, which
-holds at the first token that a linked pair shares. A third order, by another hash, must give a shared token as well;
-what passes all is verified on the whole sets.
+holds at the first token that a linked pair shares. A third order, by another hash, must give a shared token as well:
+its prefixes are short, and are compared first. Only pairs that pass all orders fetch their whole sets.
 
 Candidates are not all pairs of a group. Its sets are first compared with one of them, its hub. Links join sets to
 components; then only sets of different components are compared, with eight times as many hubs each round while such
@@ -27,13 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks, shingles
-from .common import drop, only, written
+from .common import drop, drop_since, only, opened, written
 from .links import components
 from .shingles import ORDERS, prefix, set_id, tokens
 from .symbols import mixed
 
 N, PERCENT = 3, 90
-LOW = np.uint64(3 << 60)  # the share of the hash space that the first order counts
 PENDING = 64
 
 register_pickle_by_value(shingles)
@@ -64,11 +64,18 @@ def per_text(docs: DataFrame, n: int, schema: str, columns, make) -> DataFrame:
     return docs.select("doc_id", "key", "data").mapInArrow(work, schema)
 
 
+def counted_below(percent: int) -> np.uint64:
+    """The end of the hash space that the first order counts: sixteenths, at least 1.5 times a prefix's share."""
+    sixteenths = -(-16 * 15 * (100 - percent) // 1000)
+    return np.uint64(min(max(sixteenths, 1) << 60, (1 << 64) - 1))
+
+
 def sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, key, size of the set, its id (0 for none), number of its tokens that the first order counts."""
+    low_end = counted_below(percent)
 
     def make(doc_id, key, found):
-        return [doc_id], [key], [len(found)], [set_id(found) if len(found) else 0], [int((found < LOW).sum())]
+        return [doc_id], [key], [len(found)], [set_id(found) if len(found) else 0], [int((found < low_end).sum())]
 
     columns = [("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("n_low", pa.int64())]
     return per_text(docs, n, "doc_id long, key long, n long, set long, n_low long", columns, make)
@@ -76,9 +83,10 @@ def sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 def ranked_tokens(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(token, set, high): the tokens that can be in a prefix of the first order."""
+    low_end = counted_below(percent)
 
     def make(doc_id, key, found):
-        low = int(np.searchsorted(found, LOW))
+        low = int(np.searchsorted(found, low_end))
         upto = max(low, min(prefix(len(found), percent), len(found)))
         if not upto:
             return None
@@ -211,17 +219,23 @@ def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("set_a").alias("a"), "n_a", F.col("set_b").alias("b"), "n_b")
 
 
+def beside(pairs: DataFrame, content: DataFrame, column: str) -> DataFrame:
+    """`pairs` (a, b) with this column of both sets."""
+    for name in ("a", "b"):
+        side = content.select(F.col("set").alias("_set"), F.col(column).alias(f"{column}_{name}"))
+        pairs = pairs.join(side, F.col(name) == F.col("_set")).drop("_set")
+    return pairs
+
+
 def verified(pairs: DataFrame, content: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs the links (a, b): prefixes meet under the third order, and the whole sets are similar."""
+    """Of candidate pairs the links (a, b): prefixes meet under the third order as well, and the whole sets are similar."""
     pairs = written(pairs.groupBy("a", "b").agg(F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b")), "pairs", few_files=True)
-    beside = pairs
-    for name in ("a", "b"):
-        side = content.select(F.col("set").alias("_set"), F.col("tokens").alias(f"tokens_{name}"), F.col("other").alias(f"other_{name}"))
-        beside = beside.join(side, F.col(name) == F.col("_set")).drop("_set")
+    met = beside(pairs, content, "other").where(F.arrays_overlap("other_a", "other_b")).select(*pairs.columns)
+    met = written(met, "pairs-of-all-orders", few_files=True)
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    similar_sets = F.when(F.arrays_overlap("other_a", "other_b"), both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent)
-    links = written(beside.where(similar_sets).select("a", "b"), "links", few_files=True)
-    drop(pairs)
+    similar_sets = both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent
+    links = written(beside(met, content, "tokens").where(similar_sets).select("a", "b"), "links", few_files=True)
+    drop(pairs, met)
     return links
 
 
@@ -231,18 +245,24 @@ def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
     joined = rows.select("token", *COLUMNS).join(found, F.col("set") == F.col("node"), "left")
     labelled = written(joined.select("token", *COLUMNS, F.coalesce("component", "set").alias("component")), "labelled", few_files=True)
     apart = labelled.groupBy(F.col("token").alias("_token")).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("_token")
-    return written(labelled.join(written(apart, "apart", few_files=True), F.col("token") == F.col("_token"), "left_semi"), "open")
+    apart = written(apart, "apart", few_files=True)
+    out = written(labelled.join(apart, F.col("token") == F.col("_token"), "left_semi"), "open")
+    drop(found, labelled, apart)
+    return out
 
 
 def similar(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
-    """(node, component) of every set that is linked with another one."""
+    """(node, component) of every set that is linked with another one; written, all else is dropped."""
     spark = docs.sparkSession
-    one_each = known.join(first_candidates(docs, known, n, percent), F.col("set") == F.col("_set"), "left_semi").select(F.col("doc_id").alias("_doc"))
+    before = opened()
+    candidates = first_candidates(docs, known, n, percent)
+    one_each = known.join(candidates, F.col("set") == F.col("_set"), "left_semi").select(F.col("doc_id").alias("_doc"))
     texts = docs.join(one_each, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
     content = written(whole_sets(texts, n, percent).dropDuplicates(["set"]), "sets")
-    rows = prefix_rows(content, percent)
+    drop(candidates)
+    prefixes = prefix_rows(content, percent)
     links = spark.createDataFrame([], "a long, b long")
-    rows = rows.withColumn("component", F.col("set"))
+    rows = prefixes.withColumn("component", F.col("set"))
     count = 1
     while True:
         sizes = rows.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("g"), F.sum(F.col("c") * F.col("c")).alias("s"))
@@ -257,9 +277,12 @@ def similar(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFram
         # a hub has met all others of its token
         met = hubs.select("_token", F.col("hub.set").alias("_hub"))
         rest = rows.join(met, (F.col("token") == F.col("_token")) & (F.col("set") == F.col("_hub")), "left_anti")
-        rows = with_components(rest, links)
-        count *= 8
-    return components(links)
+        after = with_components(rest, links)
+        drop(hubs, prefixes if count == 1 else rows)
+        rows, count = after, count * 8
+    out = written(components(links), "linked", few_files=True)
+    drop_since(before, out)
+    return out
 
 
 def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -275,12 +298,13 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     found = written(sets(texts, n, percent), "set-ids")
     known = found.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("n_low").alias("n_low"))
     known = written(known, "known-sets")
-    linked = written(similar(texts, known, n, percent), "linked", few_files=True)
+    linked = similar(texts, known, n, percent)
     named = known.join(linked, F.col("set") == F.col("node"), "left").select("set", "doc_id", F.coalesce("component", "set").alias("component"))
     named = written(named, "named-sets", few_files=True)
     least = written(named.groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("component_id")), "least-ids", few_files=True)
     by_set = named.join(least, F.col("component") == F.col("_component")).select(F.col("set").alias("_set"), "component", "component_id")
     by_set = written(by_set, "components-by-set", few_files=True)
+    drop(known, linked, named, least)
     joined = found.join(by_set, F.col("set") == F.col("_set"), "left")
     smallest = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("key").alias("text_key"), F.col("n").alias("n_shingles"), "component", smallest.alias("component_id"))
@@ -289,9 +313,14 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` with one document of each component, that of the smallest (doc_id, text_key), null ids last.
 
-    Documents without shingles stay. Rows equal in id and text are one document, so they stay or go together.
+    Documents without shingles (null, empty and wordless texts) stay. Rows equal in id and text are one document, so they
+    stay or go together. An empty table gives no rows; other columns pass as they are. Only the list of documents that
+    stay is kept on disk beside `docs`.
     """
+    before = opened()
     found = near_duplicates(docs, n, percent)
     order = F.struct(F.coalesce("doc_id", F.lit(blocks.LAST)), "text_key", "doc_id")
     first = found.where("n_shingles > 0").groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_key")
-    return only(docs, first.unionAll(found.where("n_shingles = 0").select("doc_id", "text_key").distinct()))
+    stay = written(first.unionAll(found.where("n_shingles = 0").select("doc_id", "text_key").distinct()), "one-of-each", few_files=True)
+    drop_since(before, stay)
+    return only(docs, stay)

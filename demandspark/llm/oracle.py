@@ -67,11 +67,13 @@ ln AS (SELECT doc_id, source, i, line, lower(trim(regexp_replace(line, '[{SPACE}
   FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM d)
   WHERE regexp_matches(line, '[^{SPACE}]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln GROUP BY doc_id),
-near AS (SELECT doc_id, source, norm, i, coalesce(lag(norm) OVER o, '') AS prev, coalesce(lead(norm) OVER o, '') AS next FROM ln WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-firsts AS (SELECT source, norm, prev, next FROM near QUALIFY row_number() OVER (PARTITION BY doc_id, norm ORDER BY i) = 1),
-n AS (SELECT source, norm, least(count(DISTINCT prev), count(DISTINCT next)) AS n_docs FROM firsts GROUP BY source, norm),
 total AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
-shared AS (SELECT n.source, norm FROM n JOIN total ON n.source IS NOT DISTINCT FROM total.source WHERE n_docs > 10 AND n_docs > 0.005 * total),
+common AS (SELECT source, norm FROM (SELECT ln.source, norm, count(DISTINCT t) AS n_docs, any_value(total) AS total FROM ln JOIN d USING (doc_id)
+  JOIN total ON ln.source IS NOT DISTINCT FROM total.source GROUP BY ln.source, norm) WHERE n_docs > 10 AND n_docs > 0.005 * total),
+held AS (SELECT doc_id, ln.source, norm, words FROM ln JOIN common USING (norm) WHERE ln.source IS NOT DISTINCT FROM common.source),
+own AS (SELECT doc_id FROM (SELECT doc_id, sum(words) AS lost FROM held GROUP BY doc_id) JOIN w USING (doc_id) WHERE 100 * (len(w.w) - lost) >= 20 * len(w.w)),
+shared AS (SELECT source, norm FROM (SELECT held.source, norm, count(DISTINCT t) AS n_own, any_value(total) AS total FROM held JOIN own USING (doc_id) JOIN d USING (doc_id)
+  JOIN total ON held.source IS NOT DISTINCT FROM total.source GROUP BY held.source, norm) WHERE n_own > 10 AND n_own > 0.005 * total),
 lost AS (SELECT doc_id, CAST(sum(words) AS BIGINT) AS n_boilerplate_words FROM ln JOIN shared ON ln.norm = shared.norm AND ln.source IS NOT DISTINCT FROM shared.source GROUP BY doc_id),
 s AS (SELECT doc_id, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
@@ -79,7 +81,7 @@ s AS (SELECT doc_id, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS B
   FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND n_words - n_boilerplate_words >= 0.2 * n_words AS kept, n_boilerplate_words FROM f
+  NOT base_failed AND 100 * (n_words - n_boilerplate_words) >= 20 * n_words AS kept, n_boilerplate_words FROM f
 """
 
 URLS = """

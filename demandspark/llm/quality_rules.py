@@ -1,10 +1,11 @@
 """Quality rules: text statistics, and lines that many documents of a host share.
 
-Lines are normalised and hashed. A line is boilerplate where it stands in more documents of its host than the limit.
-Documents that are copies of each other, exact or near, count once: equal texts are one document, and so are the texts
-of a family. Families are components of links between texts whose five-word shingles have a Jaccard similarity of 0.8
-or more, as sketches estimate it; only texts with a line over the limit are put into families.
-Boilerplate lines are removed; a document with too few words left is rejected, besides those that fail a base rule.
+Lines are normalised and hashed. Distinct documents are counted by host and line; a line that stands in more of them than
+the limits allow is a candidate. Copies must not count as documents of their own: equal texts are one document, and a
+document that has less than `MIN_LEFT` per cent of its words outside of candidate lines doesn't count, as it may be one of
+a family of near copies, of which all lines are candidates. Candidates that are still over the limits by the documents
+with words of their own are boilerplate. Boilerplate lines are removed; a document with too few words left is rejected,
+besides those that fail a base rule.
 """
 
 from __future__ import annotations
@@ -12,16 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, extract_all, only, text_key, whole, written
-from .links import components
+from .common import SPACE_WORD, drop, extract_all, only, text_key, whole, written
 
 SPACE = r"\x20\x09-\x0D"
 WINDOW = 8
 MIN_WORDS, MAX_REPEATED = 20, 30
-MIN_DOCS, HOST_SHARE, MIN_LEFT = 10, 0.005, 0.2
-SHINGLE, SIMILAR = 5, 80
-# smallest shingle hashes of a sketch; orders of a sketch, and the hashes that make a text's group in each
-SKETCH, BANDS, BAND = 128, 8, 3
+MIN_DOCS, HOST_SHARE, MIN_LEFT = 10, 0.005, 20
 
 
 def line_hash(line):
@@ -65,8 +62,8 @@ def statistics(docs: DataFrame, host: str = "source") -> DataFrame:
     return base.withColumn("base_failed", failed)
 
 
-def over_limit(counts: DataFrame, min_docs: int, host_share: float) -> DataFrame:
-    return counts.where((F.col("n_docs") > min_docs) & (F.col("n_docs") > host_share * F.col("total")))
+def over_limit(counts: DataFrame, count: str, min_docs: int, host_share: float) -> DataFrame:
+    return counts.where((F.col(count) > min_docs) & (F.col(count) > host_share * F.col("total")))
 
 
 def common_lines(docs: DataFrame, host: str, min_docs: int, host_share: float) -> DataFrame:
@@ -76,125 +73,115 @@ def common_lines(docs: DataFrame, host: str, min_docs: int, host_share: float) -
     over = written(counts.where(F.col("n_docs") > min_docs), "shared-lines", few_files=True)
     hosts = written(docs.groupBy(F.col(host).alias("_host")).agg(F.count("*").alias("total")), "hosts", few_files=True)
     joined = over.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
-    return written(over_limit(joined, min_docs, host_share), "common-lines", few_files=True)
+    common = written(over_limit(joined, "n_docs", min_docs, host_share), "common-lines", few_files=True)
+    drop(over, hosts)
+    return common
 
 
-def places(docs: DataFrame, host: str, lines: DataFrame) -> DataFrame:
-    """(doc_id, text_key, host, place, line, words) of every place of the given (host, line); written."""
+def holders(docs: DataFrame, host: str, lines: DataFrame) -> DataFrame:
+    """(doc_id, text_key, host, held) of documents that have any of the given (host, line); `held` is a set of (place, line, words)."""
     rows = docs.select("doc_id", text_key().alias("text_key"), F.col(host).alias("host"), F.posexplode(worded_lines(whole())).alias("place", "text_line"))
     each = rows.select("doc_id", "text_key", "host", "place", line_hash(F.col("text_line")).alias("line"), F.size(extract_all(F.col("text_line"), SPACE_WORD)).alias("words"))
     side = lines.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
-    return written(each.join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host"))).drop("_host", "_line"), "line-places", few_files=True)
+    met = each.join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
+    # a set, so that rows repeating a document do not count its lines again
+    return met.groupBy("doc_id", "text_key", "host").agg(F.collect_set(F.struct("place", "line", "words")).alias("held"))
 
 
-def sketches(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(text_key, sketch) of the texts with these keys: the smallest hashes of their shingles, ascending; written.
+def words_in(lines: str):
+    return F.aggregate(lines, F.lit(0).cast("long"), lambda a, g: a + g["words"])
 
-    The sketch is made before the join, so that no text is shuffled.
-    """
-    words = docs.select(text_key().alias("text_key"), extract_all(F.lower(whole()), SPACE_WORD).alias("w"))
-    windows = F.transform(F.sequence(F.lit(0), F.size("w") - SHINGLE), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(SHINGLE)]))
-    hashes = F.when(F.size("w") >= SHINGLE, windows).otherwise(F.array(F.xxhash64("w")))
-    made = words.select("text_key", F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH).alias("sketch"))
-    side = keys.select(F.col("text_key").alias("_key")).distinct()
-    return written(made.join(side, F.col("text_key") == F.col("_key")).drop("_key").dropDuplicates(["text_key"]), "sketches", few_files=True)
 
+def enough_left(lost, min_left: int):
+    return 100 * (F.col("n_words") - lost) >= min_left * F.col("n_words")
 
-def families(sketched: DataFrame) -> DataFrame:
-    """(node, component) of texts that are near copies of another one.
 
-    Under each of several orders, texts whose first hashes are equal make a group, and each is compared with one text
-    of the group, another one in each order; so pairs grow with the texts, however large a family is.
-    """
-    first = lambda j: F.slice(F.sort_array(F.transform("sketch", lambda x: F.xxhash64(x, j))), 1, BAND)
-    bands = F.array(*[F.xxhash64(F.lit(j), first(F.lit(j))) for j in range(BANDS)])
-    grouped = written(sketched.select("text_key", F.explode(bands).alias("band")), "bands", few_files=True)
-    order = F.struct(F.xxhash64("text_key", "band").alias("h"), "text_key")
-    hubs = grouped.groupBy(F.col("band").alias("_band")).agg(F.min(order).alias("hub"), F.max(order).alias("last")).where("hub <> last")
-    met = grouped.join(hubs, F.col("band") == F.col("_band")).where("text_key <> hub.text_key")
-    pairs = met.select(F.least("text_key", "hub.text_key").alias("a"), F.greatest("text_key", "hub.text_key").alias("b")).distinct()
-    beside = written(pairs, "text-pairs", few_files=True)
-    for name in ("a", "b"):
-        side = sketched.select(F.col("text_key").alias("_key"), F.col("sketch").alias(f"sketch_{name}"))
-        beside = beside.join(side, F.col(name) == F.col("_key")).drop("_key")
-    # of sketches that hold all hashes the union is whole; else its smallest hashes stand for it
-    union = F.array_union("sketch_a", "sketch_b")
-    whole_sets = (F.size("sketch_a") < SKETCH) & (F.size("sketch_b") < SKETCH)
-    sample = F.when(whole_sets, union).otherwise(F.slice(F.sort_array(union), 1, SKETCH))
-    both = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), sample))
-    links = written(beside.where(100 * both >= SIMILAR * F.size(sample)).select("a", "b"), "family-links", few_files=True)
-    return components(links)
-
-
-def counted_lines(docs: DataFrame, common: DataFrame, found: DataFrame, min_docs: int, host_share: float) -> DataFrame:
-    """(host, line, n_docs) of the `common` lines that stay over the limits when a family counts once."""
-    holders = written(found.select("host", "line", "text_key").distinct(), "line-texts", few_files=True)
-    linked = written(families(sketches(docs, holders)), "families", few_files=True)
-    named = holders.join(linked, F.col("text_key") == F.col("node"), "left").withColumn("family", F.coalesce("component", "text_key"))
-    counts = named.groupBy("host", "line").agg(F.count_distinct("family").alias("n_docs"))
-    totals = common.select(F.col("host").alias("_host"), F.col("line").alias("_line"), "total")
+def same_document(left: str, right: str):
+    pairs = [F.col(f"{left}{c}").eqNullSafe(F.col(f"{right}{c}")) for c in ("doc_id", "host")]
+    return pairs[0] & (F.col(f"{left}text_key") == F.col(f"{right}text_key")) & pairs[1]
+
+
+def renamed(table: DataFrame, *more: str) -> DataFrame:
+    return table.select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "text_key", "host")), *more)
+
+
+def counted_lines(found: DataFrame, base: DataFrame, common: DataFrame, min_docs: int, host_share: float, min_left: int) -> DataFrame:
+    """(host, line, n_docs, n_own) of the `common` lines that `n_own` texts with words of their own have, over the limits."""
+    sized = found.join(renamed(base, "n_words").distinct(), same_document("", "_"))
+    own = sized.where(enough_left(words_in("held"), min_left)).select("host", "text_key", F.explode(F.array_distinct(F.transform("held", lambda g: g["line"]))).alias("line"))
+    counts = own.groupBy("host", "line").agg(F.count_distinct("text_key").alias("n_own"))
+    totals = common.select(F.col("host").alias("_host"), F.col("line").alias("_line"), "n_docs", "total")
     joined = counts.join(totals, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
-    return over_limit(joined, min_docs, host_share).select("host", "line", "n_docs")
+    return over_limit(joined, "n_own", min_docs, host_share).select("host", "line", "n_docs", "n_own")
+
 
+def boilerplate(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE, min_left: int = MIN_LEFT) -> DataFrame:
+    """(host, line, n_docs, n_own): lines in more documents of a host than `min_docs` and `host_share` of its documents.
 
-def boilerplate(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE) -> DataFrame:
-    """(host, line) of lines in more documents of a host than `min_docs` and `host_share` of its documents allow."""
+    `n_docs` counts all different texts with the line, `n_own` those with `min_left` per cent of their words outside of
+    lines that pass the limits by `n_docs`; it decides. Null and empty texts have no lines; a null host is a host.
+    """
     common = common_lines(docs, host, min_docs, host_share)
-    return counted_lines(docs, common, places(docs, host, common), min_docs, host_share)
+    found = written(holders(docs, host, common), "line-holders", few_files=True)
+    return counted_lines(found, statistics(docs, host), common, min_docs, host_share, min_left)
 
 
-def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", min_left: int = MIN_LEFT) -> DataFrame:
     """One row per (doc_id, text, host): the statistics, n_boilerplate_words, removed line hashes, kept.
 
-    `kept` is false where the base rules fail or boilerplate leaves less than `min_left` of the words. Null and empty
-    texts have no words, so they fail. A null host is a host of its own. Rows that repeat a doc_id, text and host get
-    one row each. An empty table gives an empty result. Columns other than doc_id, text and the host are not read.
+    `kept` is false where the base rules fail or boilerplate leaves less than `min_left` per cent of the words. Null and
+    empty texts have no words, so they fail. A null host is a host of its own. Rows that repeat a doc_id, text and host
+    get one row each. An empty table gives an empty result. Columns other than doc_id, text and the host are not read.
     Line and window equality is that of 64-bit hashes.
 
-    Text never leaves its row: line hashes, sketches and counts are what is shuffled.
+    Text never leaves its row: line hashes and counts are what is shuffled.
     """
-    common = common_lines(docs, host, MIN_DOCS, HOST_SHARE)
-    found = places(docs, host, common)
-    shared = written(counted_lines(docs, common, found, MIN_DOCS, HOST_SHARE), "boilerplate", few_files=True)
-    side = shared.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
-    hits = found.join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host"))).drop("_host", "_line")
-    # a set, so that rows repeating a document do not count its lines again
-    lost = hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("host").alias("_host")).agg(F.collect_set(F.struct("place", "line", "words")).alias("gone"))
     # written: a caller's filter on the counts must not be pushed below, into the work on words
     base = written(statistics(docs, host), "statistics")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")) & F.col("host").eqNullSafe(F.col("_host"))
-    return (
-        base.join(lost, same, "left")
-        .withColumn("n_boilerplate_words", F.coalesce(F.aggregate("gone", F.lit(0).cast("long"), lambda a, g: a + g["words"]), F.lit(0).cast("long")))
+    common = common_lines(docs, host, MIN_DOCS, HOST_SHARE)
+    found = written(holders(docs, host, common), "line-holders", few_files=True)
+    shared = written(counted_lines(found, base, common, MIN_DOCS, HOST_SHARE, min_left), "boilerplate", few_files=True)
+    side = shared.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
+    hits = found.select("doc_id", "text_key", "host", F.inline("held")).join(side, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
+    lost = hits.groupBy("doc_id", "text_key", "host").agg(F.collect_set(F.struct("place", "line", "words")).alias("gone"))
+    lost = written(renamed(lost, "gone"), "lost-lines", few_files=True)
+    drop(common, found, shared)
+    judged = (
+        base.join(lost, same_document("", "_"), "left")
+        .withColumn("n_boilerplate_words", F.coalesce(words_in("gone"), F.lit(0).cast("long")))
         .withColumn("removed_lines", F.coalesce(F.array_distinct(F.transform("gone", lambda g: g["line"])), F.array().cast("array<bigint>")))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("n_boilerplate_words") >= min_left * F.col("n_words")))
-        .drop("_id", "_key", "_host", "gone")
+        .withColumn("kept", ~F.col("base_failed") & enough_left(F.col("n_boilerplate_words"), min_left))
+        .drop("_doc_id", "_text_key", "_host", "gone")
     )
+    judged.scratch = [base, lost]
+    return judged
 
 
 def kept_documents(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of `docs` that pass, all their columns as they were."""
+    """The rows of `docs` that pass, all their columns as they were; a text that passes under any host stays under all."""
     return only(docs, judge(docs, host).where("kept").select("doc_id", "text_key").distinct())
 
 
 def without_boilerplate(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows that pass as (doc_id, text), boilerplate lines cut out of the text."""
-    kept = judge(docs, host).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "removed_lines").dropDuplicates(["_id", "_key"])
-    joined = docs.select("doc_id", "text").join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")))
-    left = F.filter(F.split("text", "\n", -1), lambda line: ~F.array_contains("removed_lines", line_hash(line)))
-    return joined.select("doc_id", F.when(F.size("removed_lines") > 0, F.array_join(left, "\n")).otherwise(F.col("text")).alias("text"))
+    return cut_documents(docs, host).select("doc_id", "text")
 
 
 def cut_documents(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows that pass with all their columns, boilerplate lines cut out of the text; n_chars follows a cut text."""
-    names = [F.col(c).alias(f"_{c}") for c in ("doc_id", "text_key", "host")]
-    kept = judge(docs, host).where("kept").select(*names, F.col("removed_lines").alias("_gone")).dropDuplicates(["_doc_id", "_text_key", "_host"])
+    """The rows that pass with all their columns, boilerplate lines cut out of the text; n_chars follows a cut text.
+
+    Null, empty and wordless texts fail and go, also where the id is null. Rows that repeat a document stay or go
+    together, and a text is cut by the lines of its own host. An empty table gives no rows. Only what was decided is
+    kept on disk beside `docs`.
+    """
+    judged = judge(docs, host)
+    kept = written(renamed(judged.where("kept"), F.col("removed_lines").alias("_gone")).dropDuplicates(["_doc_id", "_text_key", "_host"]), "kept-documents", few_files=True)
+    drop(*judged.scratch)
     others = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("others")
     rows = docs.select(others, "text", "doc_id", text_key().alias("text_key"), F.col(host).alias("host"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")) & F.col("host").eqNullSafe(F.col("_host"))
     left = F.filter(F.split("text", "\n", -1), lambda line: ~F.array_contains("_gone", line_hash(line)))
     changed = F.size("_gone") > 0
-    cut = rows.join(kept, same).select("others", changed.alias("changed"), F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")).alias("text"))
+    cut = rows.join(kept, same_document("", "_")).select("others", changed.alias("changed"), F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")).alias("text"))
 
     def column(name: str):
         if name == "text":

@@ -43,9 +43,9 @@ def shingles(text, n=3):
     return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
 
 
-def components(rows, percent=90):
+def components(rows, percent=90, n=3):
     """doc_id: smallest doc_id reachable."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, n) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(i):
