@@ -24,8 +24,8 @@ from .evaluate import errors, wmape
 from .histograms import Settings
 from .joins import eligible, top_entities
 from .quality import outliers_iqr, winsorise
-from .series_models import arima, boost, level_steps, matrix, ridge_each, same_key
-from .windows import fill_gaps, frame, lags, ordered
+from .series_models import arima_each, boost, level_steps, matrix, on_weeks, ridge_each, same_key
+from .windows import frame, lags, ordered
 
 GLOBAL_FEATURES = ["lag1", "lag2", "lag4", "rolling_avg_4w", "avg_unit_price", "week_num", "is_w47"]
 MOST_CLASSES = 64
@@ -297,9 +297,10 @@ def auto_arima(
 ) -> DataFrame:
     """The next h weeks of each eligible series, with intervals.
 
-    The order (p, d, q) up to (`max_p`, 1, `max_q`) is chosen by AIC. The weekly grid has no holes. Before the fit, spikes and holiday weeks (ISO week
-    numbers) take the series median and an earlier level is moved to the latest one; a
-    forecast holiday week is scaled by the holiday weeks' mean over the median.
+    Each series has its exact Gaussian likelihood maximised over ARMA orders up to (`max_p`, `max_q`), with and without a
+    yearly wave, by a Kalman filter in which missing weeks stay missing; one difference by a unit-root test. Before the
+    fit, spikes and holiday weeks (ISO week numbers) take the series median and an earlier level is moved to the latest
+    one; a forecast holiday week is scaled by the holiday weeks' mean over the median.
     """
     rows = eligible(df.where(F.col(y).isNotNull()), e, min_weeks)
     whole = Window.partitionBy(*e)
@@ -312,7 +313,7 @@ def auto_arima(
             effects = flagged.groupBy(*e).agg(F.coalesce(ratio, F.lit(1.0)).alias("_effect"))
         spike = (F.col("is_outlier") == 1) if clean_spikes else F.lit(False)
         rows = flagged.withColumn(y, F.when(spike | is_holiday, F.col("_median")).otherwise(F.col(y)))
-    grid = fill_gaps(rows, e, y).select(*e, "week_start", F.coalesce(F.col(y), F.lit(0.0)).alias("_y"))
+    grid = rows.select(*e, week_start("year_week").alias("week_start"), F.col(y).cast("double").alias("_y"))
     schema = T.StructType(
         [grid.schema[c] for c in e]
         + [
@@ -326,8 +327,9 @@ def auto_arima(
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
         ends = np.flatnonzero(np.append(~same_key(batch[e].iloc[:-1].reset_index(drop=True), batch[e].iloc[1:].reset_index(drop=True)), True)) + 1
-        parts = np.split(batch["_y"].to_numpy(float), ends[:-1])
-        fits = [arima(level_steps(y) if adjust_steps else y, h, max_p, max_q) for y in parts]
+        values = np.split(batch["_y"].to_numpy(float), ends[:-1])
+        weeks = np.split(pd.to_datetime(batch["week_start"]).to_numpy().astype("datetime64[D]").astype(np.int64) // 7, ends[:-1])
+        fits = arima_each([on_weeks(w - w[0], level_steps(y) if adjust_steps else y) for w, y in zip(weeks, values)], h, max_p, max_q)
         out = batch.loc[np.repeat(ends - 1, h), [*e, "week_start"]].rename(columns={"week_start": "last_week"})
         out["step"] = np.tile(np.arange(1, h + 1, dtype=np.int32), len(fits))
         out["forecast"] = np.concatenate([f[0] for f in fits]).clip(min=0)
@@ -466,27 +468,50 @@ def ts_splits(df: DataFrame, splits: int = 3) -> DataFrame:
     return folds.select("fold", role.alias("role"), "year_week").where(F.col("role").isNotNull())
 
 
+def cv_models(settings: list[dict], splits: int) -> dict[int, tuple[int, dict]]:
+    """Number of each model of a cross-validation: its fold and setting."""
+    return {k * splits + fold - 1: (fold, setting) for k, setting in enumerate(settings) for fold in range(1, splits + 1)}
+
+
+def cv_frame(df: DataFrame, settings: list[dict], splits: int, core: list[str] | None) -> DataFrame:
+    """The complete rows with the numbers of the models that they train and that they test."""
+    rows = complete_rows(df, core)
+    weeks = ts_splits(rows, splits).groupBy("year_week").agg(*[F.collect_set(F.when(F.col("role") == r, F.col("fold"))).alias(f"_{r}") for r in ("train", "test")])
+    models_of = lambda folds: F.flatten(F.transform(folds, lambda f: F.array(*[(f + (k * splits - 1)).cast("long") for k in range(len(settings))])))
+    marked = rows.join(F.broadcast(weeks), "year_week")  # a row a week
+    return marked.withColumns({f"_{r}": models_of(f"_{r}") for r in ("train", "test")})
+
+
+def cv_table(spark, settings: list[dict], splits: int) -> DataFrame:
+    kinds = ", ".join(f"{n} {'double' if isinstance(v, float) else 'int'}" for n, v in settings[0].items())
+    listed = [(m, fold, *setting.values()) for m, (fold, setting) in cv_models(settings, splits).items()]
+    return spark.createDataFrame(listed, f"_model long, fold int, {kinds}")
+
+
+def cv_rows(df: DataFrame, settings: list[dict], splits: int = 3, core: list[str] | None = None) -> DataFrame:
+    """Of every setting and fold how many rows train and test it."""
+    marked = cv_frame(df, settings, splits, core)
+    counts = [marked.select(F.explode(f"_{r}").alias("_model")).groupBy("_model").agg(F.count("*").alias(f"n_{r}")) for r in ("train", "test")]
+    counts = counts[0].join(counts[1], "_model", "full").fillna(0)
+    return cv_table(df.sparkSession, settings, splits).join(counts, "_model").drop("_model")
+
+
 def ts_cv(df: DataFrame, e: list[str], feats: list[str], label: str, settings: list[dict], splits: int = 3, core: list[str] | None = None) -> DataFrame:
     """Mean and deviation of the MAE over expanding splits, per setting of the fit.
 
     Each pair of a setting and a fold is a model of the same jobs: a row carries the numbers of the models that it
     trains. A fold's week list is as short as the calendar.
     """
-    rows = pin(complete_rows(df, core).select(*dict.fromkeys([*e, "year_week", *feats, label])))
-    weeks = ts_splits(rows, splits).groupBy("year_week").agg(*[F.collect_set(F.when(F.col("role") == r, F.col("fold"))).alias(f"_{r}") for r in ("train", "test")])
-    kinds = ", ".join(f"{n} {'double' if isinstance(v, float) else 'int'}" for n, v in settings[0].items())
-    numbers = [(k * splits + fold - 1, k, *setting.values()) for k, setting in enumerate(settings) for fold in range(1, splits + 1)]
-    models_of = lambda folds: F.flatten(F.transform(folds, lambda f: F.array(*[(f + (k * splits - 1)).cast("long") for k in range(len(settings))])))
-    marked = rows.join(F.broadcast(weeks), "year_week")
-    own = {k * splits + fold: Settings(**setting) for k, setting in enumerate(settings) for fold in range(splits)}
-    nodes = boosting.fit_models(marked.withColumn("_models", models_of("_train")).where(F.size("_models") > 0), feats, label, "_models", own)
-    tests = marked.withColumn("_model", F.explode(models_of("_test")))
+    marked = pin(cv_frame(df.select(*dict.fromkeys([*e, "year_week", *feats, *(core or []), label])), settings, splits, core))
+    own = {m: Settings(**setting) for m, (_, setting) in cv_models(settings, splits).items()}
+    nodes = boosting.fit_models(marked.where(F.size("_train") > 0), feats, label, "_train", own)
+    tests = marked.withColumn("_model", F.explode("_test"))
     scored = boosting.predict(nodes, tests, feats, F.col("_model")).withColumn("predicted", F.greatest("predicted", F.lit(0.0)))
     mae = scored.groupBy("_model").agg(F.avg(F.abs(F.col(label) - F.col("predicted"))).alias("mae"))
-    listed = df.sparkSession.createDataFrame(numbers, f"_model long, _setting int, {kinds}")
-    table = mae.join(F.broadcast(listed), "_model").groupBy("_setting", *settings[0]).agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
+    listed = cv_table(df.sparkSession, settings, splits)
+    table = mae.join(F.broadcast(listed), "_model").groupBy(*settings[0]).agg(F.avg("mae").alias("cv_mae"), F.stddev_pop("mae").alias("cv_std"))
     best = F.min("cv_mae").over(Window.partitionBy(F.lit(1)))
-    return table.withColumn("is_best", F.col("cv_mae") == best).drop("_setting")
+    return table.withColumn("is_best", F.col("cv_mae") == best)
 
 
 def exclude_weeks(df: DataFrame, weeks: list[int]) -> DataFrame:

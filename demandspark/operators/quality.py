@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,47 @@ def content_hash(df: DataFrame) -> DataFrame:
     )
 
 
+PRIME = 2**61 - 1
+PARTS = 4  # of 15 hexadecimal digits of a row's digest each
+
+
+def canonical_text(df: DataFrame, column: str) -> Column:
+    """A value as text that any engine can state: whole numbers, six decimals, microseconds; with its length before it."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.FractionalType):
+        value = value.cast("decimal(28,6)").cast("string")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = F.unix_micros(value.cast("timestamp")).cast("string")
+    else:
+        value = value.cast("string")
+    return F.coalesce(F.concat(F.char_length(value), F.lit(":"), value), F.lit("-"))
+
+
+def multiset_hash(df: DataFrame, by: list[str] = (), columns: list[str] | None = None) -> DataFrame:
+    """(by, n_rows, h0 to h3): parts of each row's digest, summed modulo a prime.
+
+    Rows count as often as they occur and in any order. Hashes of parts of a table add up to that of the whole, so a
+    file can be added or taken away with `combined` and no other file is read again. Column order and names don't enter;
+    the listed columns (default: all others) do, in this order.
+    """
+    columns = columns or [c for c in df.columns if c not in by]
+    digest = F.sha2(F.concat(*[canonical_text(df, c) for c in columns]), 256)
+    part = lambda k: F.conv(F.substring(digest, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")
+    total = lambda k: (F.sum(part(k)) % F.lit(PRIME).cast("decimal(20,0)")).cast("bigint")
+    return df.groupBy(*by).agg(F.count("*").alias("n_rows"), *[F.coalesce(total(k), F.lit(0).cast("bigint")).alias(f"h{k}") for k in range(PARTS)])
+
+
+def combined(added: DataFrame, removed: DataFrame | None = None, by: list[str] = ()) -> DataFrame:
+    """The multiset hash of all rows behind `added` without those behind `removed`, from the hashes alone."""
+    rows = added.withColumn("_sign", F.lit(1))
+    if removed is not None:
+        rows = rows.unionByName(removed.withColumn("_sign", F.lit(-1)))
+    wide = lambda c: F.sum(F.col("_sign") * F.col(c).cast("decimal(20,0)"))
+    held = lambda c: F.coalesce(F.pmod(wide(c), F.lit(PRIME).cast("decimal(38,0)")).cast("bigint"), F.lit(0).cast("bigint")).alias(c)
+    n = F.coalesce(F.sum(F.col("_sign") * F.col("n_rows")), F.lit(0)).cast("bigint").alias("n_rows")
+    return rows.groupBy(*by).agg(n, *[held(f"h{k}") for k in range(PARTS)])
+
+
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, nulls, mean, std, min, quartiles and max per numeric column."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column_name", "_v")

@@ -142,6 +142,13 @@ def ridge_each(series: np.ndarray, x: np.ndarray, y: np.ndarray, train: np.ndarr
     return out
 
 
+def on_weeks(week: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The values on a grid of weeks from the first to the last one, NaN where a week is missing."""
+    out = np.full(week[-1] + 1, np.nan)
+    out[week] = y
+    return out
+
+
 def level_steps(y: np.ndarray, least: int = 8, share: float = 0.6) -> np.ndarray:
     """Move an earlier level to the latest one when one step explains most of the variance."""
     n = len(y)
@@ -159,69 +166,270 @@ def level_steps(y: np.ndarray, least: int = 8, share: float = 0.6) -> np.ndarray
     return moved
 
 
-def solved(moments: np.ndarray, chosen: list[int]) -> np.ndarray:
-    """Least-squares coefficients of the chosen columns; the target is the last one."""
-    gram = moments[np.ix_(chosen, chosen)] + np.eye(len(chosen)) * 1e-9 * (1 + moments[-1, -1])
-    return np.linalg.solve(gram, moments[chosen, -1])
+AR, MA = 3, 2  # the largest orders; a smaller one has zeros
+YEAR = 365.25 / 7
+REACH = 3.0  # partial autocorrelations stay below tanh of it
+PASSES = 12
+UNIT_ROOT = 0.463  # fixed value: 5 % point of the KPSS statistic for a constant level
 
 
-def shocks(z: np.ndarray, order: int) -> np.ndarray:
-    """One-step errors of a long autoregression; zero for the first rows."""
-    rows = len(z) - order
-    design = np.stack([np.ones(rows), *[z[order - k : len(z) - k] for k in range(1, order + 1)], z[order:]])
-    coef = solved(design @ design.T, list(range(order + 1)))
-    return np.concatenate([np.zeros(order), design[-1] - coef @ design[:-1]])
+def differences(y: np.ndarray) -> int:
+    """0 or 1 by the KPSS test of a stable level against a unit root; missing values are left out."""
+    z = y[~np.isnan(y)]
+    n = len(z)
+    if n < 8 or np.ptp(z) == 0:
+        return 0
+    e = z - z.mean()
+    reach = min(int(12 * (n / 100) ** 0.25), n // 3)
+    long_run = e @ e / n + 2 * sum((1 - k / (reach + 1)) * (e[k:] @ e[:-k]) / n for k in range(1, reach + 1))
+    return int((e.cumsum() ** 2).sum() / n**2 > UNIT_ROOT * max(long_run, 1e-12))
 
 
-def arima(y: np.ndarray, h: int, max_p: int = 3, max_q: int = 2) -> tuple[np.ndarray, np.ndarray, str]:
-    """ARIMA(p, d, q), d up to 1, chosen by AIC: forecasts, standard errors, order.
+def coefficients(u: np.ndarray) -> np.ndarray:
+    """(order, lanes): stationary autoregressions by their partial autocorrelations tanh(u)."""
+    out = np.zeros_like(u)
+    for k, r in enumerate(np.tanh(u)):
+        before = out[:k].copy()
+        out[:k] = before - r * before[::-1]
+        out[k] = r
+    return out
+
 
-    Orders are compared by their conditional sum of squares. The errors that the moving-average terms need come from a
-    long autoregression first, so each order is a linear fit, and all share one moment matrix of constant, lags,
-    lagged errors and target.
+def stationary(phi: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """(m, m, lanes): the covariance of the state before anything is seen, for unit shocks."""
+    m, lanes = r.shape
+    step = np.zeros((lanes, m, m))
+    step[:, :, 0] = phi.T
+    step[:, np.arange(m - 1), np.arange(1, m)] += 1
+    both = np.einsum("lij,lkn->likjn", step, step).reshape(lanes, m * m, m * m)
+    shock = np.einsum("il,jl->lij", r, r).reshape(lanes, m * m, 1)
+    return np.linalg.solve(np.eye(m * m) - both, shock).reshape(lanes, m, m).transpose(1, 2, 0)
+
+
+class Filter:
+    """Kalman recursion of ARMA states for many lanes side by side; with d = 1 a level sums them up.
+
+    A lane is a series under some parameters. Several columns (the series and its regressors) run through the same
+    gains. A missing value moves the state on and updates nothing.
     """
-    best = None
-    for d in (0, 1):
-        z = np.diff(y, d)
-        long = min(max(max_p, max_q) + 5, len(z) // 4)
-        terms_q = max_q if len(z) >= 30 and long > 0 else 0
-        skip = max(max_p, long + terms_q if terms_q else 0)
-        rows = len(z) - skip
-        if rows < 3:
+
+    def __init__(self, phi: np.ndarray, theta: np.ndarray, d: int, columns: int):
+        self.phi, self.d, lanes = phi, d, phi.shape[1]
+        self.r = np.concatenate([np.ones((1, lanes)), theta])
+        self.seen = AR if d else 0  # the state that is observed
+        self.a = np.zeros((AR + d, columns, lanes))
+        self.p = np.zeros((AR + d, AR + d, lanes))
+        self.p[:AR, :AR] = stationary(phi, self.r)
+        if d:
+            self.r = np.concatenate([self.r, np.ones((1, lanes))])
+        self.shock = self.r[:, None] * self.r[None]
+        self.moved = True  # the state stands before the first value
+
+    def move(self) -> None:
+        phi, n = self.phi, AR + self.d
+        a, b = np.empty_like(self.a), np.empty_like(self.p)
+        a[:AR], b[:AR] = phi[:, None] * self.a[0], phi[:, None] * self.p[0]
+        a[: AR - 1] += self.a[1:AR]
+        b[: AR - 1] += self.p[1:AR]
+        if self.d:
+            a[AR], b[AR] = self.a[AR] + a[0], self.p[AR] + b[0]
+        p = np.empty_like(self.p)
+        p[:, :AR] = phi[None] * b[:, :1]
+        p[:, : AR - 1] += b[:, 1:AR]
+        if self.d:
+            p[:, AR] = b[:, AR] + p[:, 0]
+        self.a, self.p = a, p + self.shock[:n, :n]
+
+    def start_level(self) -> None:
+        """The first value is the level: columns are differences to it."""
+        self.p[AR], self.p[:, AR] = 0.0, 0.0
+
+    def update(self, values: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Errors (columns x lanes) and their variance; both only mean something where a value is `there`."""
+        error, variance = values - self.a[self.seen], np.maximum(self.p[self.seen, self.seen], 1e-12)
+        gain = self.p[:, self.seen] * (there / variance)
+        self.a += gain[:, None] * error
+        self.p -= gain[:, None] * self.p[self.seen]
+        return error, variance
+
+
+def filtered(grid: np.ndarray, there: np.ndarray, of: np.ndarray, phi: np.ndarray, theta: np.ndarray, d: int):
+    """Run lanes over their series; (the filter, sums of error products over variances, of log variances, counts).
+
+    `grid` is columns x series x weeks, 0 where nothing is there; `of` is the series of each lane.
+    """
+    run = Filter(phi, theta, d, len(grid))
+    sums, logs, count = np.zeros((len(grid), len(grid), len(of))), np.zeros(len(of)), np.zeros(len(of))
+    for t in range(grid.shape[2]):
+        if t:
+            run.move()
+        elif d:
+            run.start_level()
             continue
-        lags = [z[skip - k : len(z) - k] for k in range(1, max_p + 1)]
-        error = shocks(z, long) if terms_q else z
-        past = [error[skip - k : len(z) - k] for k in range(1, terms_q + 1)]
-        design = np.stack([np.ones(rows), *lags, *past, z[skip:]])
-        moments = design @ design.T
-        for p in range(max_p + 1):
-            for q in range(terms_q + 1):
-                if rows < p + q + 3:
-                    continue
-                chosen = [*range(p + 1), *range(max_p + 1, max_p + 1 + q)]
-                coef = solved(moments, chosen)
-                errors = design[-1] - coef @ design[chosen]
-                variance = max(float(np.mean(errors**2)), 1e-12)
-                aic = rows * np.log(variance) + 2 * (p + q + 1)
-                if best is None or aic < best[0] - 1e-9:
-                    best = (aic, d, p, q, coef, errors, variance)
-    if best is None or np.ptp(y) == 0:
-        spread = float(np.std(y, ddof=1)) if len(y) > 1 else 0.0
-        return np.full(h, y[-1]), np.full(h, spread), "last"
-    _, d, p, q, coef, errors, variance = best
-    phi, theta = coef[1 : p + 1], coef[p + 1 :]
-    values, noise = list(np.diff(y, d)[-max(p, 1) :]), list(errors[-max(q, 1) :])
-    ahead, psi = [], []
-    for i in range(h):
-        ahead.append(coef[0] + sum(phi[k] * values[-k - 1] for k in range(p)) + sum(theta[k] * noise[-k - 1] for k in range(q)))
-        values.append(ahead[-1])
-        noise.append(0.0)
-        own = 1.0 if i == 0 else (theta[i - 1] if i <= q else 0.0)
-        psi.append(own + sum(phi[k] * psi[i - k - 1] for k in range(min(p, i))))
-    points, weights = np.array(ahead), np.array(psi)
-    if d == 1:
-        points, weights = y[-1] + points.cumsum(), weights.cumsum()
-    return points, np.sqrt(variance * (weights**2).cumsum()), f"arima({p},{d},{q})"
+        seen = there[:, t][of]
+        error, variance = run.update(grid[:, :, t][:, of], seen)
+        weighted = error * (seen / variance)
+        for i in range(len(grid)):
+            sums[i, i:] += weighted[i] * error[i:]
+        logs += seen * np.log(variance)
+        count += seen
+    return run, sums, logs, count
+
+
+def profiled(sums: np.ndarray, logs: np.ndarray, count: np.ndarray, use: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log likelihood, slopes, variance) with the listed regressors at their best for each lane."""
+    yy = sums[0, 0]
+    if use:
+        x = np.stack([[sums[min(i, j), max(i, j)] for j in use] for i in use]).transpose(2, 0, 1)
+        x = x + np.eye(len(use)) * (1e-9 * (1 + np.abs(x[:, range(len(use)), range(len(use))]).max(1)))[:, None, None]
+        xy = np.stack([sums[0, i] for i in use], 1)
+        slopes = np.linalg.solve(x, xy[..., None])[..., 0]
+        yy = yy - (slopes * xy).sum(1)
+    else:
+        slopes = np.zeros((len(yy), 0))
+    n = np.maximum(count, 1)
+    variance = np.maximum(yy / n, 1e-12)
+    return -0.5 * (n * (np.log(2 * np.pi * variance) + 1) + logs), slopes, variance
+
+
+def penalty(count: np.ndarray, size) -> np.ndarray:
+    """Of the AIC, corrected for few values."""
+    return 2 * size * np.maximum(count, 1) / np.maximum(count - size - 1, 0.5)
+
+
+def orders(max_p: int, max_q: int) -> list[tuple[int, int]]:
+    """Orders up to three parameters."""
+    return [(p, q) for p in range(min(max_p, AR) + 1) for q in range(min(max_q, MA) + 1) if p + q <= 3]
+
+
+def arima_each(series: list[np.ndarray], h: int, max_p: int = 3, max_q: int = 2, season: float = YEAR) -> list[tuple[np.ndarray, np.ndarray, str]]:
+    """ARIMA(p, d, q) of every series: forecasts, standard errors, order. A NaN is a missing week.
+
+    d is decided by a unit-root test. For each (p, q), and with and without a yearly wave (two regressors) where two
+    years are covered, the exact likelihood is maximised by a compass search over partial autocorrelations; AIC picks.
+    All candidates of all series run through one filter, so they are compared on the same values.
+    """
+    out: list = [None] * len(series)
+    degree = [differences(y) for y in series]
+    for d in (0, 1):
+        own = [i for i, y in enumerate(series) if degree[i] == d and np.ptp(y[~np.isnan(y)]) > 0 and (~np.isnan(y)).sum() >= 4]
+        for k, made in zip(own, fitted([series[i] for i in own], d, h, max_p, max_q, season) if own else []):
+            out[k] = made
+    for k, y in enumerate(series):
+        if out[k] is None:
+            z = y[~np.isnan(y)]
+            out[k] = np.full(h, z[-1]), np.full(h, float(np.std(z, ddof=1)) if len(z) > 1 else 0.0), "last"
+    return out
+
+
+def fitted(series: list[np.ndarray], d: int, h: int, max_p: int, max_q: int, season: float) -> list:
+    n, weeks = len(series), max(map(len, series))
+    there = np.zeros((n, weeks), bool)
+    grid = np.zeros((4, n, weeks))
+    angle = 2 * np.pi * np.arange(weeks) / season
+    for i, y in enumerate(series):
+        seen = np.flatnonzero(~np.isnan(y))
+        there[i, seen] = True
+        scale = np.std(y[seen])
+        grid[0, i, seen] = (y[seen] - y[seen[0]]) / scale
+        grid[1:, i, seen] = np.stack([np.ones(len(seen)), np.sin(angle[seen]), np.cos(angle[seen])])
+    scales = np.array([np.nanstd(y) for y in series])
+    firsts = np.array([y[~np.isnan(y)][0] for y in series])
+    plain, wave = ([1], [1, 2, 3]) if d == 0 else ([], [2, 3])
+    if d:
+        grid[2:] = (grid[2:] - np.stack([np.zeros(n), np.ones(n)])[:, :, None]) * there
+    yearly = np.array([len(y) >= 2 * season and (~np.isnan(y)).sum() >= 16 for y in series])
+    tried = orders(max_p, max_q)
+    of = np.repeat(np.arange(n), len(tried))
+    free = np.array([[k < p for k in range(AR)] + [k < q for k in range(MA)] for p, q in tried] * n).T
+    size = np.array([p + q for p, q in tried] * n)
+
+    def criterion(u: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+        _, sums, logs, count = filtered(grid, there, of[lanes], coefficients(u[:AR]), -coefficients(u[AR:]), d)
+        best = -2 * profiled(sums, logs, count, plain)[0] + penalty(count, size[lanes] + len(plain) + 1)
+        seasonal = -2 * profiled(sums, logs, count, wave)[0] + penalty(count, size[lanes] + len(wave) + 1)
+        return np.where(yearly[of[lanes]], np.minimum(best, seasonal), best)
+
+    every = np.arange(len(of))
+    at = np.zeros((AR + MA, len(of)))
+    now, step = criterion(at, every), np.full(len(of), 0.8)
+    axes = [(k, sign) for k in range(AR + MA) for sign in (1, -1)]
+    for _ in range(PASSES):
+        lanes = np.concatenate([every[free[k]] for k, _ in axes])
+        if not len(lanes):
+            break
+        moves = np.zeros((AR + MA, len(lanes)))
+        begin = 0
+        for k, sign in axes:
+            end = begin + int(free[k].sum())
+            moves[k, begin:end] = sign * step[free[k]]
+            begin = end
+        asked = np.clip(at[:, lanes] + moves, -REACH, REACH)
+        value = criterion(asked, lanes)
+        order = np.lexsort((value, lanes))
+        first = order[np.unique(lanes[order], return_index=True)[1]]
+        better = value[first] < now[lanes[first]] - 1e-6
+        moved = lanes[first][better]
+        at[:, moved], now[moved] = asked[:, first][:, better], value[first][better]
+        step[np.setdiff1d(every, moved)] /= 2
+    # the smallest AIC; among equal ones the fewest parameters
+    table = now.reshape(n, -1)
+    chosen = (table <= table.min(1, keepdims=True) + 1e-6).argmax(1) + np.arange(n) * len(tried)
+    phi, theta = coefficients(at[:AR, chosen]), -coefficients(at[AR:, chosen])
+    run, sums, logs, count = filtered(grid, there, np.arange(n), phi, theta, d)
+    fits = [profiled(sums, logs, count, use) for use in (plain, wave)]
+    k = size[chosen] + 1
+    with_wave = yearly & (-2 * fits[1][0] + penalty(count, k + len(wave)) < -2 * fits[0][0] + penalty(count, k + len(plain)))
+    slopes = np.zeros((4, n))
+    slopes[plain] = fits[0][1].T * ~with_wave
+    slopes[wave] += fits[1][1].T * with_wave
+    # the variance pays for the parameters that were fitted
+    used = size[chosen] + np.where(with_wave, len(wave), len(plain))
+    spread = np.sqrt(np.where(with_wave, fits[1][2], fits[0][2]) * count / np.maximum(count - used, 1))
+    return forecasts(run, series, slopes, spread, scales, firsts, angle, d, h, season, [tried[c % len(tried)] for c in chosen], with_wave)
+
+
+def forecasts(run: Filter, series, slopes, spread, scales, firsts, angle, d, h, season, chosen, with_wave) -> list:
+    """Steps ahead of each series' own last week; shorter series end before the filter does, so theirs runs again."""
+    ahead = np.zeros((len(series), h, 2))
+    lengths = np.array([len(y) for y in series])
+    for end in np.unique(lengths):
+        own = np.flatnonzero(lengths == end)
+        if end == lengths.max():
+            lane = (run.a[:, :, own], run.p[:, :, own], run.phi[:, own], run.shock[:, :, own])
+        else:
+            lane = None
+        one = Filter.__new__(Filter)
+        if lane is None:
+            lane = rerun(run, series, own, int(end), angle, firsts, scales, d)
+        one.a, one.p, one.phi, one.shock, one.d, one.seen = *lane, d, run.seen
+        for k in range(h):
+            one.move()
+            week = 2 * np.pi * (end + k) / season
+            x = np.array([1.0 if d == 0 else 0.0, np.sin(week), np.cos(week) - (1.0 if d else 0.0)])
+            error = one.a[one.seen, 0] - (slopes[1:, own] * one.a[one.seen, 1:]).sum(0)
+            ahead[own, k, 0] = firsts[own] + scales[own] * (error + x @ slopes[1:, own])
+            ahead[own, k, 1] = scales[own] * spread[own] * np.sqrt(np.maximum(one.p[one.seen, one.seen], 0))
+    names = [f"arima({p},{d},{q})" + ("+year" if w else "") for (p, q), w in zip(chosen, with_wave)]
+    return [(ahead[i, :, 0], ahead[i, :, 1], name) for i, name in enumerate(names)]
+
+
+def rerun(run: Filter, series, own, end: int, angle, firsts, scales, d: int):
+    """The states of some series at their own last week."""
+    grid, there = np.zeros((4, len(own), end)), np.zeros((len(own), end), bool)
+    for j, i in enumerate(own):
+        seen = np.flatnonzero(~np.isnan(series[i]))
+        there[j, seen] = True
+        grid[0, j, seen] = (series[i][seen] - firsts[i]) / scales[i]
+        grid[1:, j, seen] = np.stack([np.ones(len(seen)), np.sin(angle[seen]), np.cos(angle[seen]) - (1.0 if d else 0.0)])
+    theta = run.r[1:AR, own]
+    again = filtered(grid, there, np.arange(len(own)), run.phi[:, own], theta, d)[0]
+    return again.a, again.p, again.phi, again.shock
+
+
+def arima(y: np.ndarray, h: int, max_p: int = 3, max_q: int = 2) -> tuple[np.ndarray, np.ndarray, str]:
+    """One series by `arima_each`."""
+    return arima_each([y], h, max_p, max_q)[0]
 
 
 def matrix(frame: pd.DataFrame, features: list[str]) -> np.ndarray:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import customers, evaluate
+from ..session import pin
 from . import q_enrich
 from .registry import CUT, PARTS, Sales, query
 
@@ -584,6 +585,24 @@ def _(t):
     return agg.quantile(t.lines(product=True), ["brand"], "unit_price", 0.5, exact=False)
 
 
+@query(
+    "A38_quantile_sketches",
+    """
+    SELECT brand, COUNT(*) AS n, true AS within_error FROM x_lines WHERE year_week BETWEEN '1997-W01' AND '1998-W26' GROUP BY brand""",
+)
+def _(t):
+    # sketches by brand and week, as they would be stored; any range of weeks is then a merge
+    lines = t.lines(product=True).select("brand", "year_week", "unit_price")
+    stored = pin(agg.quantile_sketches(lines, ["brand", "year_week"], "unit_price"))
+    asked = F.col("year_week").between("1997-W01", "1998-W26")
+    found = agg.merged_quantile(stored.where(asked), ["brand"], 0.75)
+    below = lines.where(asked).join(found, "brand").groupBy("brand").agg(
+        F.first("n").alias("n"), F.avg((F.col("unit_price") < F.col("quantile")).cast("int")).alias("low"), F.avg((F.col("unit_price") <= F.col("quantile")).cast("int")).alias("high")
+    )
+    within = (F.col("low") <= 0.75 + agg.RANK_ERROR) & (F.col("high") >= 0.75 - agg.RANK_ERROR)
+    return below.select("brand", "n", within.alias("within_error"))
+
+
 PARTS["x_ma_sku"] = """
     SELECT sku, year_week, weekly_quantity AS actual, predicted FROM (
       SELECT *, AVG(weekly_quantity) OVER (PARTITION BY sku ORDER BY year_week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS predicted FROM x_sku)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators import enrich, quality
+from ..session import pin
 from .registry import PARTS, Sales, query
 
 PARTS["x_avg_price"] = """
@@ -302,6 +303,36 @@ def _(t):
     return quality.content_hash(t.table("lineitem"))
 
 
+# a row's text: each value with its length before it, six decimals, microseconds
+ROW_TEXT = " || ".join(
+    f"COALESCE(length({v}) || ':' || {v}, '-')"
+    for v in (
+        *(f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")),
+        *(f"CAST(CAST({c} AS DECIMAL(28, 6)) AS VARCHAR)" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+        "l_linestatus",
+        "CAST(epoch_us(l_shipdate) AS VARCHAR)",
+    )
+)
+HASH_COLUMNS = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_linestatus l_shipdate".split()
+HASH_SUMS = ", ".join(f"CAST(SUM(CAST('0x' || substr(d, {1 + 15 * k}, 15) AS HUGEINT)) % 2305843009213693951 AS BIGINT) AS h{k}" for k in range(4))
+
+
+@query(
+    "E15_multiset_hash",
+    f"""
+    WITH r AS (SELECT l_returnflag, sha256({ROW_TEXT}) AS d FROM lineitem)
+    SELECT l_returnflag AS part, COUNT(*) AS n_rows, {HASH_SUMS} FROM r GROUP BY l_returnflag
+    UNION ALL SELECT 'all', COUNT(*), {HASH_SUMS} FROM r
+    UNION ALL SELECT 'all but R', COUNT(*), {HASH_SUMS} FROM r WHERE l_returnflag <> 'R'""",
+)
+def _(t):
+    # the lines are read once; the whole, and the whole without a part, come from the parts' hashes
+    parts = pin(quality.multiset_hash(t.table("lineitem"), ["l_returnflag"], HASH_COLUMNS).withColumnRenamed("l_returnflag", "part"))
+    whole = quality.combined(parts).withColumn("part", F.lit("all"))
+    without = quality.combined(parts, parts.where("part = 'R'")).withColumn("part", F.lit("all but R"))
+    return parts.unionByName(whole).unionByName(without)
+
+
 @query(
     "E16_describe",
     "SELECT column_name, COUNT(v) AS value_count, COUNT(*) - COUNT(v) AS null_count, AVG(v) AS mean, stddev_samp(v) AS std, MIN(v) AS min, MAX(v) AS max, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75 FROM ("

@@ -25,7 +25,8 @@ def brand(t):
 @query(
     "J01_match_predictions",
     """
-    SELECT a.sku, a.year_week, a.weekly_quantity, predicted FROM x_sku a JOIN x_ma_sku p ON a.sku = p.sku AND a.year_week = p.year_week""",
+    WITH a AS MATERIALIZED (SELECT sku, year_week, weekly_quantity FROM x_sku), p AS MATERIALIZED (SELECT sku, year_week, predicted FROM x_ma_sku)
+    SELECT sku, year_week, weekly_quantity, predicted FROM a JOIN p USING (sku, year_week)""",
     "weekly_quantity predicted",
 )
 def _(t):

@@ -255,6 +255,12 @@ def _(t):
     return models.segment_series(customer_weeks(t), ["Medium Retailer", "Large Retailer"], 4)
 
 
+@query("M08_segment_forecast")
+def _(t):
+    series = pin(models.segment_series(customer_weeks(t), ["Medium Retailer", "Large Retailer"], 4))
+    return models.auto_arima(series, ["customer_id"], Y, min_weeks=8)
+
+
 @query("M08_segment_model")
 def _(t):
     feats = ["avg_unit_price", "order_count", "segment_code", "buyer_type_code", "week_of_year", "month"]
@@ -395,6 +401,24 @@ def _(t):
     return models.ts_cv(rows, ["brand"], FEATURES, Y, SETTINGS, splits=3, core=CORE)
 
 
+@query(
+    "M15_cv_rows",
+    """
+    WITH w AS (SELECT year_week, row_number() OVER (ORDER BY year_week) - 1 AS i, COUNT(*) OVER () AS n FROM (
+                 SELECT DISTINCT year_week FROM (SELECT year_week, LAG(weekly_quantity, 4) OVER (PARTITION BY brand ORDER BY year_week) AS lag4 FROM x_brand) WHERE lag4 IS NOT NULL)),
+    f AS (SELECT *, n // 4 AS size, unnest([1, 2, 3]) AS fold FROM w),
+    r AS (SELECT fold, year_week, CASE WHEN i < n - (4 - fold) * size THEN 'train' WHEN i < n - (3 - fold) * size THEN 'test' END AS role FROM f),
+    b AS (SELECT year_week FROM (SELECT year_week, LAG(weekly_quantity, 4) OVER (PARTITION BY brand ORDER BY year_week) AS lag4 FROM x_brand) WHERE lag4 IS NOT NULL),
+    s(iters, depth, step) AS (VALUES (100, 4, 0.1::DOUBLE), (200, 6, 0.1::DOUBLE), (300, 8, 0.05::DOUBLE))
+    SELECT iters, depth, step, CAST(fold AS INTEGER) AS fold, COUNT(*) FILTER (role = 'train') AS n_train, COUNT(*) FILTER (role = 'test') AS n_test
+    FROM s, r JOIN b USING (year_week) GROUP BY ALL""",
+    "step",
+)
+def _(t):
+    rows = models.model_features(t.brand_week(), ["brand"])
+    return models.cv_rows(rows, SETTINGS, splits=3, core=CORE)
+
+
 @query("M16_exclude_weeks", "SELECT sku, year_week, weekly_quantity FROM x_sku WHERE week_num <> 47", Y)
 def _(t):
     return models.exclude_weeks(t.sku_week().select("sku", "year_week", Y), [47])

@@ -296,3 +296,91 @@ print("steps", models.auto_arima(weeks, ["e"], "y", h=3).count())
     repo = str(Path(__file__).resolve().parent.parent)
     done = subprocess.run([sys.executable, "-c", script, repo], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "steps 3" in done.stdout, done.stderr[-2000:]
+
+
+def wave_series(rng, n, phi=0.0, theta=0.0, mean=0.0, wave=0.0, summed=False):
+    e = rng.normal(size=n + 60)
+    w = np.zeros(n + 60)
+    for t in range(1, n + 60):
+        w[t] = phi * w[t - 1] + e[t] + theta * e[t - 1]
+    w = w[60:].cumsum() if summed else w[60:]
+    return mean + w + wave * np.sin(2 * np.pi * np.arange(n) / (365.25 / 7))
+
+
+def with_gaps(rng, y, share=0.3):
+    out = np.where(rng.random(len(y)) < share, np.nan, y)
+    out[[0, -1]] = y[[0, -1]]
+    return out
+
+
+def plain_log_likelihood(y, phi, theta, mean, variance):
+    """Of ARMA(1, 1) by the covariance of the values that are there."""
+    n = len(y)
+    g = np.empty(n)
+    g[0] = 1 + (phi + theta) ** 2 / (1 - phi**2)
+    g[1] = phi + theta + phi * (phi + theta) ** 2 / (1 - phi**2)
+    for k in range(2, n):
+        g[k] = phi * g[k - 1]
+    at = np.flatnonzero(~np.isnan(y))
+    cov = variance * g[np.abs(at[:, None] - at[None])]
+    z = y[at] - mean
+    return -0.5 * (len(at) * np.log(2 * np.pi) + np.linalg.slogdet(cov)[1] + z @ np.linalg.solve(cov, z))
+
+
+def test_filter_gives_the_exact_likelihood_with_gaps():
+    from demandspark.operators import series_models as m
+
+    rng = np.random.default_rng(21)
+    y = with_gaps(rng, wave_series(rng, 90, 0.6, 0.4, 3.0))
+    seen = ~np.isnan(y)
+    grid = np.stack([np.where(seen, y, 0.0), seen.astype(float)])[:, None]
+    phi, theta = np.array([[0.6], [0], [0]]), np.array([[0.4], [0]])
+    _, sums, logs, count = m.filtered(grid, seen[None], np.array([0]), phi, theta, 0)
+    value, mean, variance = m.profiled(sums, logs, count, [1])
+    assert value[0] == pytest.approx(plain_log_likelihood(y, 0.6, 0.4, mean[0, 0], variance[0]), abs=1e-6)
+    assert value[0] >= plain_log_likelihood(y, 0.6, 0.4, mean[0, 0] + 0.1, variance[0]) and value[0] >= plain_log_likelihood(y, 0.6, 0.4, mean[0, 0], variance[0] * 1.1)
+
+
+def test_a_yearly_wave_is_found_under_gaps():
+    from demandspark.operators.series_models import arima_each
+
+    rng = np.random.default_rng(22)
+    whole = [wave_series(rng, 226, mean=100, wave=20) for _ in range(8)]
+    fits = arima_each([with_gaps(rng, y[:200]) for y in whole], 26)
+    assert all(name.endswith("+year") for _, _, name in fits)
+    assert np.abs(np.array([f[0] for f in fits]) - 100 - 20 * np.sin(2 * np.pi * np.arange(200, 226) / (365.25 / 7))).max() < 2
+    flat = arima_each([with_gaps(rng, wave_series(rng, 200, mean=100)) for _ in range(8)], 4)
+    assert sum(name.endswith("+year") for _, _, name in flat) <= 2
+    short = arima_each([wave_series(rng, 60, mean=100, wave=20)], 4)
+    assert not short[0][2].endswith("+year")
+
+
+@pytest.mark.parametrize("kind", [{"phi": 0.7, "mean": 50}, {"theta": 0.6, "mean": 50}, {"phi": 0.4, "mean": 20, "wave": 5}, {"phi": 0.3, "summed": True}])
+def test_intervals_cover_what_they_say(kind):
+    """80 % intervals of four weeks ahead, 600 series with a third of their weeks missing; three points off at most."""
+    from demandspark.operators.series_models import arima_each
+
+    rng = np.random.default_rng(23)
+    whole = [wave_series(rng, 244, **kind) for _ in range(600)]
+    fits = arima_each([with_gaps(rng, y[:240]) for y in whole], 4)
+    inside = np.mean([np.abs(y[240:] - f[0]) <= 1.2815515655 * f[1] for y, f in zip(whole, fits)])
+    assert inside == pytest.approx(0.8, abs=0.03)
+
+
+def test_missing_weeks_stay_missing(spark):
+    """Every third week alone tells the same level as all weeks, not a third of it."""
+    weeks = [f"{y}-W{w:02d}" for y in (2023, 2024) for w in range(1, 53)]
+    data = [("all", w, 90.0 + i % 5) for i, w in enumerate(weeks)] + [("few", w, 90.0 + i % 5) for i, w in enumerate(weeks) if i % 3 == 0]
+    out = models.auto_arima(spark.createDataFrame(data, "e string, year_week string, y double"), ["e"], "y", h=3).collect()
+    assert len(out) == 6 and all(85 < r["forecast"] < 99 for r in out)
+
+
+def test_a_series_does_not_depend_on_its_company():
+    from demandspark.operators.series_models import arima_each
+
+    rng = np.random.default_rng(24)
+    series = [with_gaps(rng, wave_series(rng, n, 0.5, mean=10, summed=k % 2 == 1)) for k, n in enumerate((40, 90, 90, 150, 30))]
+    together = arima_each(series, 5)
+    for y, (points, error, name) in zip(series, together):
+        alone = arima_each([y], 5)[0]
+        assert alone[2] == name and np.allclose(alone[0], points) and np.allclose(alone[1], error)
