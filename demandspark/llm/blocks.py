@@ -25,10 +25,11 @@ LAST = 2**63 - 1
 register_pickle_by_value(symbols)
 
 RUN = "id long, key long, start long, count int, place int, block long, context long, sides long"
+RUN_COLUMNS = tuple(kind.split()[0] for kind in RUN.split(", "))
 
 
-def run_rows(docs: DataFrame, symbols_of, width: int, k: int) -> DataFrame:
-    """All runs of all texts as rows; `docs` has id, key and data (the text's bytes)."""
+def run_rows(docs: DataFrame, symbols_of, width: int, k: int, columns: tuple[str, ...] = RUN_COLUMNS) -> DataFrame:
+    """All runs of all texts as rows of these columns; `docs` has id, key and data (the text's bytes)."""
 
     def work(batches):
         for batch in batches:
@@ -36,11 +37,13 @@ def run_rows(docs: DataFrame, symbols_of, width: int, k: int) -> DataFrame:
             for rows, offsets, bounds, values in segments(batch.column("data").to_pylist(), symbols_of, width):
                 text, start, count, place, block, context, sides = runs(bounds, values, width, k)
                 row = np.asarray(rows)[text]
-                columns = [ids[row], keys[row], start + np.asarray(offsets)[text], count.astype(np.int32), place.astype(np.int32)]
-                columns += [x.view(np.int64) for x in (block, context, sides)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "key", "start", "count", "place", "block", "context", "sides"])
+                found = [ids[row], keys[row], start + np.asarray(offsets)[text], count.astype(np.int32), place.astype(np.int32)]
+                found += [x.view(np.int64) for x in (block, context, sides)]
+                wanted = dict(zip(RUN_COLUMNS, found))
+                yield pa.RecordBatch.from_arrays([pa.array(wanted[c]) for c in columns], list(columns))
 
-    return docs.select("id", "key", "data").mapInArrow(work, RUN)
+    schema = ", ".join(kind for kind in RUN.split(", ") if kind.split()[0] in columns)
+    return docs.select("id", "key", "data").mapInArrow(work, schema)
 
 
 def window_rows(asked: DataFrame, symbols_of, width: int) -> DataFrame:
@@ -83,7 +86,8 @@ def earlier_windows(docs: DataFrame, symbols_of, width: int, k: int, order: list
     place = F.struct(*order)
     all_runs = run_rows(docs, symbols_of, width, k)
     # ranks of blocks: those of a single row drop out
-    shared = written(all_runs.groupBy("block").agg(share.alias("matters")).where("matters").select("block"), "shared-blocks", few_files=True)
+    named = run_rows(docs, symbols_of, width, k, ("id", "block"))
+    shared = written(named.groupBy("block").agg(share.alias("matters")).where("matters").select("block"), "shared-blocks", few_files=True)
     kept = written(all_runs.join(shared, "block", "left_semi"), "runs")
     drop(shared)
     # ranks of whole runs: all but the first of equal ones repeat it

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .symbols import cover, word_symbols
+from .symbols import cover, spans_of, word_symbols
 
 WIDTH, BLOCK = 50, 10
 
@@ -34,12 +34,12 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> Data
     def cut(batches):
         for batch in batches:
             out = []
-            for doc_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "data", "spans"))):
+            for doc_id, data, start, end in spans_of(batch):
                 words = data.split()
-                gone = cover(spans, len(words))
-                n = int(gone.sum())
-                kept = [w for w, g in zip(words, gone.tolist()) if not g] if n else words
-                out.append((doc_id, len(words), n, b" ".join(kept)))
+                kept = words
+                if start is not None:
+                    kept = [w for w, g in zip(words, cover(start, end, len(words)).tolist()) if not g]
+                out.append((doc_id, len(words), len(words) - len(kept), b" ".join(kept)))
             columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))] if out else []
             if columns:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "data"])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .symbols import byte_symbols, cover
+from .symbols import byte_symbols, cover, spans_of
 
 WIDTH, BLOCK = 100, 32
 
@@ -38,12 +38,14 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> Data
     def cut(batches):
         for batch in batches:
             out = []
-            for doc_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "data", "spans"))):
-                gone = cover(spans, len(data))
-                n = int(gone.sum())
-                starts = int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum())
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if n else data
-                out.append((doc_id, len(data), n, starts, kept))
+            for doc_id, data, start, end in spans_of(batch):
+                if start is None:
+                    out.append((doc_id, len(data), 0, 0, data))
+                    continue
+                gone = cover(start, end, len(data))
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+                out.append((doc_id, len(data), len(data) - len(kept), len(edges) // 2, kept))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 

@@ -148,11 +148,18 @@ def runs(bounds: list[int], symbols: np.ndarray, width: int, k: int):
     return text, start - edges[text], count, place - start, grams[place], context, sides
 
 
-def cover(spans, n: int) -> np.ndarray:
+def cover(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
     """Which of n symbols lie in a span."""
-    if not spans:
-        return np.zeros(n, bool)
-    steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, [s["start"] for s in spans], 1)
-    np.add.at(steps, [s["end"] for s in spans], -1)
+    steps = np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1)
     return np.cumsum(steps[:-1]) > 0
+
+
+def spans_of(batch):
+    """(doc_id, data, starts, ends) of each row of an Arrow batch of `blocks.with_spans`; None for starts and ends without spans."""
+    lists = batch.column("spans")
+    values = lists.values
+    start, end = (values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "end"))
+    offsets = lists.offsets.to_numpy()
+    for k, (doc_id, data) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("data"))):
+        low, high = offsets[k], offsets[k + 1]
+        yield (doc_id, data.as_py(), start[low:high], end[low:high]) if lists[k].is_valid and high > low else (doc_id, data.as_py(), None, None)
