@@ -169,7 +169,8 @@ def level_steps(y: np.ndarray, least: int = 8, share: float = 0.6) -> np.ndarray
 AR, MA = 3, 2  # the largest orders; a smaller one has zeros
 YEAR = 365.25 / 7
 REACH = 3.0  # partial autocorrelations stay below tanh of it
-PASSES = 12
+PASSES, FIRST_STEP, LAST_STEP = 12, 0.8, 0.04
+LONG = 50  # values from which on three ARMA parameters are tried, else two
 UNIT_ROOT = 0.463  # fixed value: 5 % point of the KPSS statistic for a constant level
 
 
@@ -223,7 +224,6 @@ class Filter:
         if d:
             self.r = np.concatenate([self.r, np.ones((1, lanes))])
         self.shock = self.r[:, None] * self.r[None]
-        self.moved = True  # the state stands before the first value
 
     def move(self) -> None:
         phi, n = self.phi, AR + self.d
@@ -253,12 +253,14 @@ class Filter:
         return error, variance
 
 
-def filtered(grid: np.ndarray, there: np.ndarray, of: np.ndarray, phi: np.ndarray, theta: np.ndarray, d: int):
+def filtered(grid: np.ndarray, there: np.ndarray, of: np.ndarray, phi: np.ndarray, theta: np.ndarray, d: int, ends: np.ndarray | None = None):
     """Run lanes over their series; (the filter, sums of error products over variances, of log variances, counts).
 
-    `grid` is columns x series x weeks, 0 where nothing is there; `of` is the series of each lane.
+    `grid` is columns x series x weeks, 0 where nothing is there; `of` is the series of each lane. With `ends`, the
+    filter is left in the state of each lane after that many weeks.
     """
     run = Filter(phi, theta, d, len(grid))
+    kept = (np.empty_like(run.a), np.empty_like(run.p))
     sums, logs, count = np.zeros((len(grid), len(grid), len(of))), np.zeros(len(of)), np.zeros(len(of))
     for t in range(grid.shape[2]):
         if t:
@@ -273,6 +275,11 @@ def filtered(grid: np.ndarray, there: np.ndarray, of: np.ndarray, phi: np.ndarra
             sums[i, i:] += weighted[i] * error[i:]
         logs += seen * np.log(variance)
         count += seen
+        if ends is not None:
+            now = ends == t + 1
+            kept[0][:, :, now], kept[1][:, :, now] = run.a[:, :, now], run.p[:, :, now]
+    if ends is not None:
+        run.a, run.p = kept
     return run, sums, logs, count
 
 
@@ -343,6 +350,7 @@ def fitted(series: list[np.ndarray], d: int, h: int, max_p: int, max_q: int, sea
     of = np.repeat(np.arange(n), len(tried))
     free = np.array([[k < p for k in range(AR)] + [k < q for k in range(MA)] for p, q in tried] * n).T
     size = np.array([p + q for p, q in tried] * n)
+    allowed = (size <= 2) | (there.sum(1) >= LONG)[of]
 
     def criterion(u: np.ndarray, lanes: np.ndarray) -> np.ndarray:
         _, sums, logs, count = filtered(grid, there, of[lanes], coefficients(u[:AR]), -coefficients(u[AR:]), d)
@@ -352,17 +360,18 @@ def fitted(series: list[np.ndarray], d: int, h: int, max_p: int, max_q: int, sea
 
     every = np.arange(len(of))
     at = np.zeros((AR + MA, len(of)))
-    now, step = criterion(at, every), np.full(len(of), 0.8)
+    now, step = np.where(allowed, criterion(at, every), np.inf), np.where(allowed, FIRST_STEP, 0.0)
     axes = [(k, sign) for k in range(AR + MA) for sign in (1, -1)]
     for _ in range(PASSES):
-        lanes = np.concatenate([every[free[k]] for k, _ in axes])
+        active = [free[k] & (step >= LAST_STEP) for k in range(AR + MA)]
+        lanes = np.concatenate([every[active[k]] for k, _ in axes])
         if not len(lanes):
             break
         moves = np.zeros((AR + MA, len(lanes)))
         begin = 0
         for k, sign in axes:
-            end = begin + int(free[k].sum())
-            moves[k, begin:end] = sign * step[free[k]]
+            end = begin + int(active[k].sum())
+            moves[k, begin:end] = sign * step[active[k]]
             begin = end
         asked = np.clip(at[:, lanes] + moves, -REACH, REACH)
         value = criterion(asked, lanes)
@@ -376,7 +385,8 @@ def fitted(series: list[np.ndarray], d: int, h: int, max_p: int, max_q: int, sea
     table = now.reshape(n, -1)
     chosen = (table <= table.min(1, keepdims=True) + 1e-6).argmax(1) + np.arange(n) * len(tried)
     phi, theta = coefficients(at[:AR, chosen]), -coefficients(at[AR:, chosen])
-    run, sums, logs, count = filtered(grid, there, np.arange(n), phi, theta, d)
+    lengths = np.array([len(y) for y in series])
+    run, sums, logs, count = filtered(grid, there, np.arange(n), phi, theta, d, lengths)
     fits = [profiled(sums, logs, count, use) for use in (plain, wave)]
     k = size[chosen] + 1
     with_wave = yearly & (-2 * fits[1][0] + penalty(count, k + len(wave)) < -2 * fits[0][0] + penalty(count, k + len(plain)))
@@ -386,47 +396,18 @@ def fitted(series: list[np.ndarray], d: int, h: int, max_p: int, max_q: int, sea
     # the variance pays for the parameters that were fitted
     used = size[chosen] + np.where(with_wave, len(wave), len(plain))
     spread = np.sqrt(np.where(with_wave, fits[1][2], fits[0][2]) * count / np.maximum(count - used, 1))
-    return forecasts(run, series, slopes, spread, scales, firsts, angle, d, h, season, [tried[c % len(tried)] for c in chosen], with_wave)
-
-
-def forecasts(run: Filter, series, slopes, spread, scales, firsts, angle, d, h, season, chosen, with_wave) -> list:
-    """Steps ahead of each series' own last week; shorter series end before the filter does, so theirs runs again."""
-    ahead = np.zeros((len(series), h, 2))
-    lengths = np.array([len(y) for y in series])
-    for end in np.unique(lengths):
-        own = np.flatnonzero(lengths == end)
-        if end == lengths.max():
-            lane = (run.a[:, :, own], run.p[:, :, own], run.phi[:, own], run.shock[:, :, own])
-        else:
-            lane = None
-        one = Filter.__new__(Filter)
-        if lane is None:
-            lane = rerun(run, series, own, int(end), angle, firsts, scales, d)
-        one.a, one.p, one.phi, one.shock, one.d, one.seen = *lane, d, run.seen
-        for k in range(h):
-            one.move()
-            week = 2 * np.pi * (end + k) / season
-            x = np.array([1.0 if d == 0 else 0.0, np.sin(week), np.cos(week) - (1.0 if d else 0.0)])
-            error = one.a[one.seen, 0] - (slopes[1:, own] * one.a[one.seen, 1:]).sum(0)
-            ahead[own, k, 0] = firsts[own] + scales[own] * (error + x @ slopes[1:, own])
-            ahead[own, k, 1] = scales[own] * spread[own] * np.sqrt(np.maximum(one.p[one.seen, one.seen], 0))
-    names = [f"arima({p},{d},{q})" + ("+year" if w else "") for (p, q), w in zip(chosen, with_wave)]
+    ahead = np.zeros((n, h, 2))
+    for k in range(h):
+        run.move()
+        week = 2 * np.pi * (lengths + k) / season
+        x = np.stack([np.full(n, 1.0 - d), np.sin(week), np.cos(week) - d])
+        error = run.a[run.seen, 0] - (slopes[1:] * run.a[run.seen, 1:]).sum(0)
+        ahead[:, k, 0] = firsts + scales * (error + (x * slopes[1:]).sum(0))
+        ahead[:, k, 1] = scales * spread * np.sqrt(np.maximum(run.p[run.seen, run.seen], 0))
+    names = [f"arima({p},{d},{q})" + ("+year" if w else "") for (p, q), w in zip((tried[c % len(tried)] for c in chosen), with_wave)]
     return [(ahead[i, :, 0], ahead[i, :, 1], name) for i, name in enumerate(names)]
 
 
-def rerun(run: Filter, series, own, end: int, angle, firsts, scales, d: int):
-    """The states of some series at their own last week."""
-    grid, there = np.zeros((4, len(own), end)), np.zeros((len(own), end), bool)
-    for j, i in enumerate(own):
-        seen = np.flatnonzero(~np.isnan(series[i]))
-        there[j, seen] = True
-        grid[0, j, seen] = (series[i][seen] - firsts[i]) / scales[i]
-        grid[1:, j, seen] = np.stack([np.ones(len(seen)), np.sin(angle[seen]), np.cos(angle[seen]) - (1.0 if d else 0.0)])
-    theta = run.r[1:AR, own]
-    again = filtered(grid, there, np.arange(len(own)), run.phi[:, own], theta, d)[0]
-    return again.a, again.p, again.phi, again.shock
-
-
 def arima(y: np.ndarray, h: int, max_p: int = 3, max_q: int = 2) -> tuple[np.ndarray, np.ndarray, str]:
     """One series by `arima_each`."""
     return arima_each([y], h, max_p, max_q)[0]
