@@ -127,6 +127,21 @@ def _(t):
     return models.gbt_by_entity(*halves, ["sku"], SERIES_FEATURES, Y, min_rows=4, core=CORE)
 
 
+@query(
+    "M03_scored_rows",
+    """
+    WITH f AS (SELECT sku, year_week, weekly_quantity, LAG(weekly_quantity, 4) OVER (PARTITION BY sku ORDER BY year_week) AS lag4 FROM x_sku),
+    own AS (SELECT sku FROM f WHERE lag4 IS NOT NULL AND year_week <= '1998-W26' GROUP BY sku HAVING COUNT(*) >= 4)
+    SELECT CASE WHEN sku IN (SELECT sku FROM own) THEN 'sku' ELSE 'global' END AS model_type, COUNT(*) AS n_rows, COUNT(DISTINCT sku) AS n_entities, SUM(weekly_quantity) AS total
+    FROM f WHERE lag4 IS NOT NULL AND year_week > '1998-W26' GROUP BY 1""",
+    "total",
+)
+def _(t):
+    # which rows are scored, and by which kind of model, does not depend on the number of trees
+    preds = models.gbt_by_entity(*open_halves(t.sku_week(), ["sku"]), ["sku"], SERIES_FEATURES, Y, trees=1, global_iters=1, core=CORE)
+    return preds.groupBy("model_type").agg(F.count("predicted").alias("n_rows"), F.count_distinct("sku").alias("n_entities"), F.sum("actual").alias("total"))
+
+
 @query("M03_gbt_by_brand")
 def _(t):
     halves = open_halves(t.brand_week(), ["brand"])
@@ -368,6 +383,20 @@ def _(t):
     return models.gbt_global(train, test, ["sku"], feats, "revenue", iters=200, depth=6)
 
 
+@query(
+    "M12_scored_rows",
+    """
+    WITH f AS (SELECT *, LAG(revenue, 4) OVER (PARTITION BY sku ORDER BY year_week) AS lag4 FROM x_revenue)
+    SELECT COUNT(*) AS n_rows, COUNT(DISTINCT sku) AS n_entities, SUM(revenue) AS total FROM f WHERE lag4 IS NOT NULL AND year_week > '1998-W26'""",
+    "total",
+)
+def _(t):
+    rows = pin(models.sku_revenue_features(revenue_week(t)))
+    train, test = rows.where(F.col("year_week") <= CUT), rows.where(F.col("year_week") > CUT)
+    preds = models.gbt_global(train, test, ["sku"], ["revenue_lag_1", "revenue_lag_2"], "revenue", iters=1)
+    return preds.agg(F.count("predicted").alias("n_rows"), F.count_distinct("sku").alias("n_entities"), F.sum("actual").alias("total"))
+
+
 @query("M13_what_if")
 def _(t):
     train, test = (models.complete_rows(half, CORE) for half in brand_halves(t))
