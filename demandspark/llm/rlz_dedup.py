@@ -1,8 +1,8 @@
-"""Substring dedup of words against every earlier document, by fingerprints of runs around text-picked blocks.
+"""Substring dedup of words by relative Lempel-Ziv factors against every earlier document.
 
-No Lempel-Ziv factors are built. The blocks of all documents with smaller ids are the reference: `blocks` compares
-blocks, whole runs around repeated ones, the words beside them, and single windows where runs differ. Windows of
-`WIDTH` words found this way become duplicate spans.
+The blocks of all documents with smaller ids are the reference; `factors` finds the pieces of a document that stand
+there, checks windows across the ends of pieces, and parses the document greedily. The words of factors of `WIDTH` or
+more words, and of those cut short at a boundary inside such a piece, are duplicate spans.
 """
 
 from __future__ import annotations
@@ -11,16 +11,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import blocks
+from . import blocks, factors
+from .common import written
 from .symbols import cover, spans_of, word_symbols
 
 WIDTH, BLOCK = 50, 10
 
 
+def parsed(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+    """(id, key, factors) of texts with a window of `width` words that starts in a document of smaller id.
+
+    A factor is (start, length, ref_id, ref_key, ref_start) in words; ref_key is `common.text_key` of the text under
+    ref_id. Words between factors are literals.
+    """
+    return factors.factors(factors.pieces(blocks.keyed(docs), word_symbols, width, block))
+
+
 def duplicate_spans(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
-    """(id, key, spans) in words, for texts with a window of `width` words that starts in a document of smaller id."""
-    two_ids = F.min("id") < F.max("id")
-    return blocks.earlier_windows(blocks.keyed(docs), word_symbols, width, block, ["id"], two_ids)
+    """(id, key, spans) in words: the stretches of a text's factors."""
+    span = lambda f: F.struct(f["start"].alias("start"), (f["start"] + f["length"]).alias("end"))
+    return written(parsed(docs, width, block).select("id", "key", F.transform("factors", span).alias("spans")), "spans", few_files=True)
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
