@@ -1,18 +1,12 @@
-"""Substring dedup of bytes by fingerprints of runs around text-picked blocks.
-
-No suffixes are ranked and nothing doubles. Each string of `WIDTH` bytes has a block that the text itself picks, and
-equal strings have it at the same place. `blocks` compares blocks, whole runs around repeated ones, the bytes beside
-them, and single windows where runs differ, each by the hashes of its halves.
-"""
+"""Substring dedup of bytes by prefix doubling over the positions at which a string may repeat; see `doubling`."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from . import blocks
+from . import blocks, doubling
 from .symbols import byte_symbols, cover, spans_of
 
 WIDTH, BLOCK = 100, 32
@@ -20,8 +14,7 @@ WIDTH, BLOCK = 100, 32
 
 def duplicate_spans(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """(id, key, spans) in bytes, for texts with a string of `width` bytes that also starts earlier."""
-    twice = F.count("*") > 1
-    return blocks.earlier_windows(blocks.keyed(docs), byte_symbols, width, block, ["id", "key", "start"], twice)
+    return doubling.repeated(blocks.keyed(docs), byte_symbols, width, block)
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
