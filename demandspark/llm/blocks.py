@@ -1,10 +1,8 @@
-"""Repeated windows of symbols (words or bytes) in texts, found without a row per position.
+"""Blocks that texts pick themselves, as an index of repeated windows of symbols (words or bytes).
 
 Of each window of `width` symbols the smallest of its hashed k-grams is its block. Equal windows have equal blocks,
 and neighbouring windows mostly share theirs, so a text has about one block in (width - k) / 2 symbols. Windows that
-follow each other with the same block are a run. Blocks are compared between all texts first, then the whole runs
-around repeated blocks. Where runs around one block differ, the symbols next to the block on either side are compared,
-and only windows that reach over a repeated side are compared one by one.
+follow each other with the same block are a run. `factors` (words) and `doubling` (bytes) start from runs.
 """
 
 from __future__ import annotations
@@ -12,12 +10,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import symbols
-from .common import drop, small_batches, whole, written
-from .symbols import Rolling, mixed, runs, segments
+from .common import small_batches, whole
+from .symbols import runs, segments
 
 LAST = 2**63 - 1
 
@@ -46,29 +44,6 @@ def run_rows(docs: DataFrame, symbols_of, width: int, k: int, columns: tuple[str
     return docs.select("id", "key", "data").mapInArrow(work, schema)
 
 
-def window_rows(asked: DataFrame, symbols_of, width: int) -> DataFrame:
-    """One row (id, key, start, a, b) per window asked for; a and b are the hashes of its halves.
-
-    `asked` has id, key, data and todo, an array of (start, count).
-    """
-    half, segment = width // 2, symbols.SEGMENT
-
-    def work(batches):
-        for batch in batches:
-            for id_, key, data, todo in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "data", "todo"))):
-                values = symbols_of(data)
-                wanted = np.unique(np.concatenate([np.arange(t["start"], t["start"] + t["count"]) for t in todo]))
-                for low in range(0, len(values), segment):
-                    own = wanted[(wanted >= low) & (wanted < low + segment)] - low
-                    if len(own):
-                        rolling = Rolling(values[low : low + segment + width])
-                        a, b = mixed(rolling.window(own, half)), mixed(rolling.window(own + half, width - half))
-                        columns = [np.full(len(own), id_), np.full(len(own), key), own + low, a.view(np.int64), b.view(np.int64)]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "key", "start", "a", "b"])
-
-    return asked.select("id", "key", "data", "todo").mapInArrow(work, "id long, key long, start long, a long, b long")
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, id (null ids last), key (of the text), data (UTF-8, empty for null); rows equal in both are one row."""
     small_batches(docs.sparkSession)
@@ -76,53 +51,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("data"))
 
 
-def earlier_windows(docs: DataFrame, symbols_of, width: int, k: int, order: list[str], share: Column) -> DataFrame:
-    """(id, key, spans): stretches of symbols made of windows that some row earlier by `order` has as well.
-
-    `docs` comes from `keyed`. `share` is an aggregate that tells whether the rows of one block may matter. All of it
-    is counts and smallest rows by hash, combined before each shuffle, and joins of written tables, whose hot keys
-    Spark splits; no step gathers a block's rows.
-    """
-    place = F.struct(*order)
-    all_runs = run_rows(docs, symbols_of, width, k)
-    # ranks of blocks: those of a single row drop out
-    named = run_rows(docs, symbols_of, width, k, ("id", "block"))
-    shared = written(named.groupBy("block").agg(share.alias("matters")).where("matters").select("block"), "shared-blocks", few_files=True)
-    kept = written(all_runs.join(shared, "block", "left_semi"), "runs")
-    drop(shared)
-    # ranks of whole runs: all but the first of equal ones repeat it
-    first = written(kept.groupBy("block", "context").agg(F.min(place).alias("first")), "first-runs", few_files=True)
-    judged = kept.join(first, ["block", "context"]).withColumn("later", place > F.col("first"))
-    repeated = judged.where("later").select("id", "key", "start", (F.col("start") + F.col("count") + width - 1).alias("end"))
-    repeated = written(repeated, "repeated-runs")
-    # ranks of blocks with a side: a window reaches over the left side, or else over the right one
-    n_left = F.greatest(F.lit(0), F.least(F.col("count"), F.col("place") - (width - k) // 2 + 1))
-    part = lambda name, side, at, n: F.struct(F.lit(name).alias("part"), side.alias("side"), at.alias("from"), n.alias("n"))
-    left = part("left", F.shiftright("sides", 32), F.col("start"), n_left)
-    right = part("right", F.col("sides").bitwiseAND(F.lit(2**32 - 1)), F.col("start") + n_left, F.col("count") - n_left)
-    parts = F.explode(F.array(left, right))
-    heads = judged.where("not later").select("id", "key", "block", "context", parts.alias("p")).where("p.n > 0")
-    heads = written(heads.select("id", "key", "context", "p.from", "p.n", F.xxhash64("block", "p.part", "p.side").alias("rank")), "sides")
-    differ = written(heads.groupBy("rank").agg((F.min("context") != F.max("context")).alias("differs")).where("differs").select("rank"), "repeated-sides", few_files=True)
-    open_parts = heads.join(differ, "rank", "left_semi")
-    todo = open_parts.groupBy("id", "key").agg(F.collect_set(F.struct(F.col("from").alias("start"), F.col("n").alias("count"))).alias("todo"))
-    todo = written(todo, "open-parts", few_files=True)
-    drop(kept, first, heads, differ)
-    # ranks of single windows, as pairs of the ranks of their halves
-    asked = docs.select("id", "key", "data").join(todo, ["id", "key"]).dropDuplicates(["id", "key"])
-    windows = written(window_rows(asked, symbols_of, width), "windows")
-    drop(todo)
-    first = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    first = written(first, "first-windows", few_files=True)
-    later = windows.join(first, ["a", "b"]).where(place > F.col("first")).select("id", "key", "start", (F.col("start") + width).alias("end"))
-    later = written(later, "later-windows")
-    drop(windows, first)
-    spans = repeated.unionAll(later).groupBy("id", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = written(spans, "spans", few_files=True)
-    drop(repeated, later)
-    return spans
-
-
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, data and spans (null: none) of every text."""
     side = spans.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "spans")
