@@ -1,10 +1,13 @@
 """The histogram booster and the moment tables against plain numpy statements."""
 
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from demandspark import session
 from demandspark.operators import boosting, histograms, models, moments
 from demandspark.operators.histograms import Settings
 
@@ -114,6 +117,35 @@ def test_level_jobs_do_not_grow_with_the_models(spark, rows):
     assert abs(jobs("m") - jobs(None)) <= 4
 
 
+def test_a_level_is_one_stage_and_leaves_nothing_behind(spark, rows, monkeypatch):
+    """Jobs of levels shuffle nothing; the state written on the way is deleted; sums added up by model give the same."""
+    root = Path(session.shared_dir(spark).removeprefix("file:"))
+    before = {f for f in root.rglob("*") if f.is_file()}
+    monkeypatch.setattr(boosting, "KEPT_TREES", 2)
+    spark.sparkContext.setJobGroup("levels", "levels")
+    try:
+        level = as_frame(boosting.fit_models(rows, FEATS, "y", "m", Settings(7, 3), 16, task_rows=100))
+        tracker = spark.sparkContext.statusTracker()
+        stages = [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("levels")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(n == 1 for n in stages) >= 7 * 3
+    left = {f for f in root.rglob("*") if f.is_file()} - before
+    assert not [f for f in left if "rdd-" in str(f)]
+    monkeypatch.setattr(boosting, "GATHERED_BYTES", 0)
+    added = as_frame(boosting.fit_models(rows, FEATS, "y", "m", Settings(7, 3), 16, task_rows=100))
+    whole = as_frame(boosting.fit_models(rows, FEATS, "y", "m", Settings(7, 3), 16))
+    pd.testing.assert_frame_equal(whole, level, rtol=1e-6, atol=1e-9)
+    pd.testing.assert_frame_equal(whole, added, rtol=1e-6, atol=1e-9)
+
+
+def test_functions_of_tasks_need_no_package():
+    from pyspark import cloudpickle
+
+    for f in (boosting.unpacked, boosting.node_rows, boosting.raw_scores):
+        assert b"demandspark.operators.boosting\x94\x8c" not in cloudpickle.dumps(f)
+
+
 def test_models_of_a_set_equal_models_alone(rows):
     s = Settings(5, 3, 0.2)
     together = as_frame(boosting.fit_models(rows, FEATS, "y", "m", {m: s for m in range(3)}, 64))
