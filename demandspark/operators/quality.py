@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import flag
-from ..functions.clean import NULL_WORDS, safe_div
+from ..functions.clean import NULL_WORDS, exceeds, safe_div
 from ..functions.distributed import exact_percentiles
 
 # Columns whose distinct values a fingerprint counts.
@@ -238,7 +238,7 @@ def outliers_z(
     w = series(e)
     scored = df.withColumns({"_m": F.avg(y).over(w), "_s": F.stddev_samp(y).over(w), "_n": F.count("*").over(w)})
     z = safe_div(F.abs(F.col(y) - F.col("_m")), "_s")
-    outside = F.coalesce((F.col("_n") >= min_n) & (z > k), F.lit(False))
+    outside = F.coalesce((F.col("_n") >= min_n) & exceeds(z, k), F.lit(False))
     return scored.withColumn(name, flag(outside)).drop("_m", "_s", "_n")
 
 

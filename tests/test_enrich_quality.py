@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from demandspark.operators import enrich, quality
+from demandspark.operators import baselines, enrich, quality, windows
 
 LINES = "sku int, quantity double, unit_price double, line_total double"
 
@@ -119,3 +121,16 @@ def test_prefix_of_long_values(spark):
 
     df = spark.range(1).selectExpr("concat('X-', repeat('a', 1000005)) AS v")
     assert df.select(F.length(strip_prefix("v", "X-"))).first()[0] == 1_000_005
+
+
+def test_a_score_at_the_limit_is_no_outlier_in_any_order(spark):
+    """A series of the driver's tables: mean 30, deviation 12, so 6 is exactly two deviations off."""
+    values = [32, 20, 43, 40, 27, 43, 13, 28, 13, 14, 17, 37, 41, 21, 48, 29, 22, 18, 45, 45, 6, 33, 36, 39, 30, 25, 45]
+    rng = random.Random(3)
+    rows = [(k, f"1995-W{i:02}", float(v)) for k in range(300) for i, v in enumerate(rng.sample(values, 27), 1)]
+    df = spark.createDataFrame(rows, "sku int, year_week string, weekly_quantity double").coalesce(1)
+    assert windows.spikes(df, ["sku"], "weekly_quantity").agg(F.sum("is_spike")).first()[0] == 0
+    assert quality.outliers_z(df, ["sku"], "weekly_quantity", 2.0).agg(F.sum("is_outlier")).first()[0] == 0
+    assert quality.outliers_z(df, ["sku"], "weekly_quantity", 1.99).agg(F.sum("is_outlier")).first()[0] == 300
+    test = df.where("weekly_quantity = 6")
+    assert baselines.median_spike(df, test, ["sku"], "weekly_quantity").where("uncertainty = 'high'").count() == 0
