@@ -1,5 +1,6 @@
 """Windows, baselines and evaluation on literal series."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,3 +205,20 @@ def test_trend_across_years(spark):
     train, test = baselines.split(spark.createDataFrame(data, "e string, year_week string, y double"), "2022-W52")
     assert baselines.linear_trend(train, test, ["e"], "y", across_years=True).first()["predicted"] == pytest.approx(114.0, abs=1)
     assert baselines.linear_trend(train, test, ["e"], "y").first()["predicted"] < 60
+
+
+def test_a_week_updates_only_the_series_that_have_a_value(monkeypatch):
+    """Few weeks of a sparse series have values; the filter's costly step is not taken for the others."""
+    from demandspark.operators import series_models
+
+    taken = []
+    plain = series_models.Filter.update
+    monkeypatch.setattr(series_models.Filter, "update", lambda self, values, lanes: taken.append(values.shape[1]) or plain(self, values, lanes))
+    there = np.zeros((2, 40), bool)
+    there[0, ::10], there[1, :4] = True, True
+    grid = np.zeros((4, 2, 40))
+    grid[0][there] = np.arange(8.0)
+    phi, theta = np.zeros((3, 2)), np.zeros((2, 2))
+    _, sums, logs, count = series_models.filtered(grid, there, np.array([0, 1]), phi, theta, 0)
+    assert sum(taken) == 8 and count.tolist() == [4, 4]
+    assert np.allclose(sums[0, 0], (grid[0] ** 2).sum(1)) and np.allclose(logs, 0)
