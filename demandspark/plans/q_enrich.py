@@ -43,13 +43,13 @@ PARTS["x_lookup"] = """
     SELECT CAST(c_custkey AS VARCHAR), c_mktsegment, CAST(c_nationkey * 10 + 2 AS BIGINT) FROM customer WHERE c_acctbal > 5000"""
 
 
-def priced(t: Sales):
+def priced(t: Sales, parted: bool = True):
     master = t.products().where(F.col("category") != "PROMO").select("sku", "price")
-    return enrich.infer_prices(t.raw_lines(), master)
+    return enrich.infer_prices(t.raw_lines(), master, parted)
 
 
-def scored(t: Sales):
-    return enrich.dq_score(priced(t))
+def scored(t: Sales, parted: bool = True):
+    return enrich.dq_score(priced(t, parted))
 
 
 def lookup(t: Sales):

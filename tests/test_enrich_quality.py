@@ -1,9 +1,12 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from demandspark.operators import baselines, enrich, quality, windows
+from demandspark.plans import catalog
+from demandspark.sources.retail import Retail
 
 LINES = "sku int, quantity double, unit_price double, line_total double"
 
@@ -134,3 +137,30 @@ def test_a_score_at_the_limit_is_no_outlier_in_any_order(spark):
     assert quality.outliers_z(df, ["sku"], "weekly_quantity", 1.99).agg(F.sum("is_outlier")).first()[0] == 300
     test = df.where("weekly_quantity = 6")
     assert baselines.median_spike(df, test, ["sku"], "weekly_quantity").where("uncertainty = 'high'").count() == 0
+
+
+def test_parted_lines_give_the_same_prices_and_only_lost_ones_are_shuffled(spark, rows):
+    data = [(1, 2.0, 5.0, 10.0), (1, 1.0, 0.0, 7.0), (1, 3.0, 0.0, 0.0), (2, 2.0, 0.0, 0.0), (3, 2.0, 0.0, 0.0), (4, None, None, 0.0), (None, 1.0, 0.0, 0.0)]
+    lines, products = spark.createDataFrame(data, LINES), spark.createDataFrame([(1, 99.0), (2, 4.0)], "sku int, price double")
+    whole, parted = (enrich.infer_prices(lines, products, parted=p) for p in (False, True))
+    assert sorted(rows(parted.select(whole.columns)), key=repr) == sorted(rows(whole), key=repr)
+
+
+def test_customers_are_joined_to_orders_not_to_lines(spark):
+    """Lines are shuffled once, for their order; product attributes of A07 and A16 come after the grouping."""
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).exists():
+        pytest.skip("driver tables absent")
+
+    def left_joins(df):
+        text = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        found = [i for i, line in enumerate(text) if "Join LeftOuter" in line]
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        below = lambda i: [line for line in text[i + 1 : next((j for j in range(i + 1, len(text)) if depth(text[j]) <= depth(text[i])), len(text))]]
+        return ["\n".join(below(i)) for i in found]
+
+    joins = left_joins(Retail(spark, folder).raw_lines())
+    assert len(joins) == 1 and "o_custkey" in joins[0] and "l_partkey" not in joins[0]
+    for name in ("A16_product_stats", "A07_sku_week_v2"):
+        named = [j for j in left_joins(catalog.QUERIES[name](spark, folder)) if "p_name" in j]
+        assert named and all("Aggregate" in j for j in named)
