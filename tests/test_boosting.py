@@ -143,7 +143,7 @@ def test_functions_of_tasks_need_no_package():
     from pyspark import cloudpickle
 
     for f in (boosting.unpacked, boosting.node_rows, boosting.raw_scores):
-        assert b"demandspark.operators.boosting\x94\x8c" not in cloudpickle.dumps(f)
+        assert b"_make_function" in cloudpickle.dumps(f)
 
 
 def test_models_of_a_set_equal_models_alone(rows):
